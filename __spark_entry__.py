@@ -159,11 +159,11 @@ def _(t):
 
 @query("sink_raw_append")
 def _(t):
-    table = _table(t, "raw", schemas.RAW, partition=("created_date", times.day_of("created")))
+    table = _table(t, "raw", schemas.RAW, partition=store.CREATED_MONTH)
     records = landed.subscription_records(t.b_subscriptions)
     table.append(store.raw_rows(records, times.moment(SYNCED_AT)), 1)
     return table.read().select(
-        "id", "ingested_at", "created", "created_date", F.get_json_object("json_data", "$.status").alias("status")
+        "id", "ingested_at", "created", "created_month", F.get_json_object("json_data", "$.status").alias("status")
     )
 
 
@@ -187,14 +187,14 @@ FEED_ORDER = ["feed_kind", "feed_key"]
 
 @query("sink_raw_mixed")
 def _(t):
-    table = _table(t, "raw-mixed", schemas.RAW_MIXED, partition=("ingest_date", times.day_of("ingested_at")))
+    table = _table(t, "raw-mixed", schemas.RAW_MIXED, partition=store.INGEST_DATE)
     table.append(store.raw_mixed_rows(_mixed(t), [*FEED_ORDER, "json_data"], times.moment(SYNCED_AT)), 1)
     return table.read().select("id", "record_type", "ingested_at")
 
 
 @query("sink_raw_linked")
 def _(t):
-    table = _table(t, "raw-linked", schemas.RAW_UNDATED, partition=("ingest_date", times.day_of("ingested_at")))
+    table = _table(t, "raw-linked", schemas.RAW_UNDATED, partition=store.INGEST_DATE)
     table.append(store.raw_linked_rows(_linked(t), [*FEED_ORDER, "json_data"], times.moment(SYNCED_AT)), 1)
     return table.read().select("id", "ingested_at")
 
@@ -241,11 +241,11 @@ def _(t):
 
 @query("append_sync_history")
 def _(t):
-    table = _table(t, "history", schemas.SYNC_HISTORY, partition=("completed_date", times.day_of("sync_completed_at")))
+    table = _table(t, "history", schemas.SYNC_HISTORY, partition=store.COMPLETED_MONTH)
     table.append(t.sync_history, 1)
     table.append(store.audit_row(t.spark, "customers", 5, SYNCED_AT, SYNCED_AT, "success", CUT_SECONDS), 2)
     table.append(store.completion_audit_row(t.spark, "tiers", 7, SYNCED_AT, SYNCED_AT, "failed", "no answer"), 3)
-    return table.read().drop("last_synced_id", "completed_date")
+    return table.read().drop("last_synced_id", "completed_month")
 
 
 @query("ensure_tables")
@@ -1027,35 +1027,42 @@ def _store(t: Tables, label: str) -> store.Store:
     return store.Store(t.spark, session.scratch(t.spark, label))
 
 
-def _dated_customer_records(t: Tables) -> DataFrame:
-    return landed.customer_records(t.b_customers).join(t.b_customers.select("customer_id", "created"), "customer_id")
+def _landed(t: Tables, records: DataFrame, label: str) -> DataFrame:
+    """Records as files: one JSON text per line."""
+    path = session.scratch(t.spark, label)
+    records.select("json_data").write.text(path)
+    return t.spark.read.text(path).withColumnRenamed("value", "json_data")
+
+
+def _customer_increments(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """All customer records, and those created up to the cut."""
+    everything = _landed(t, landed.customer_records(t.b_customers), "customers")
+    created = F.get_json_object("json_data", "$.created").try_cast("bigint")
+    return everything, everything.where(F.coalesce(created, F.lit(0)) <= CUT_SECONDS)
 
 
 @query("incremental_sync")
 def _(t):
-    s, records = _store(t, "incremental"), _dated_customer_records(t)
-    early = records.where(F.coalesce("created", times.epoch()) <= times.moment(CUT)).select("json_data")
+    s, (everything, early) = _store(t, "incremental"), _customer_increments(t)
     sync.sync_entity(s, "customers", early, 1, now="2024-02-01 00:00:00")
-    sync.sync_entity(s, "customers", records.select("json_data"), 2, now="2024-02-02 00:00:00")
-    return s.billing["customers"].current().drop("updated_at", "ingested_at", "created_date")
+    sync.sync_entity(s, "customers", everything, 2, now="2024-02-02 00:00:00")
+    return s.billing["customers"].current().drop("updated_at", "ingested_at", "created_month")
 
 
 @query("incremental_sync_history")
 def _(t):
-    s, records = _store(t, "incremental"), _dated_customer_records(t)
-    early = records.where(F.coalesce("created", times.epoch()) <= times.moment(CUT)).select("json_data")
-    sync.sync_entity(s, "customers", early, 1, now="2024-02-01 00:00:00")
-    sync.sync_entity(s, "customers", records.select("json_data"), 2, now="2024-02-02 00:00:00")
-    sync.sync_entity(s, "customers", records.select("json_data"), 3, now="2024-02-03 00:00:00")
+    s, (everything, early) = _store(t, "incremental"), _customer_increments(t)
+    for batch, records in enumerate((early, everything, everything), start=1):
+        sync.sync_entity(s, "customers", records, batch, now=f"2024-02-0{batch} 00:00:00")
     return s.history.read().select("entity_type", "last_sync_timestamp", "records_synced", "sync_completed_at", "status")
 
 
 @query("late_records")
 def _(t):
-    s, records = _store(t, "late"), _dated_customer_records(t)
-    recent = records.where(c("created") > times.moment(CUT)).select("json_data")
-    sync.sync_entity(s, "customers", recent, 1, now="2024-02-01 00:00:00")
-    sync.sync_entity(s, "customers", records.select("json_data"), 2, now="2024-02-02 00:00:00")
+    s, (everything, _early) = _store(t, "late"), _customer_increments(t)
+    created = F.get_json_object("json_data", "$.created").try_cast("bigint")
+    sync.sync_entity(s, "customers", everything.where(created > CUT_SECONDS), 1, now="2024-02-01 00:00:00")
+    sync.sync_entity(s, "customers", everything, 2, now="2024-02-02 00:00:00")
     return s.billing["customers"].current().select("customer_id", "created")
 
 
@@ -1100,8 +1107,8 @@ def _(t):
 def _(t):
     s = _store(t, "run")
     billing = {
-        "customers": landed.customer_records(t.b_customers).select("json_data"),
-        "subscriptions": landed.subscription_records(t.b_subscriptions).select("json_data"),
+        "customers": _landed(t, landed.customer_records(t.b_customers), "customers"),
+        "subscriptions": _landed(t, landed.subscription_records(t.b_subscriptions), "subscriptions"),
     }
     return sync.run_all(s, 1, billing, landed.tier_records(t.m_tiers), _linked(t), [*FEED_ORDER, "json_data"], now=SYNCED_AT)
 
@@ -1120,7 +1127,7 @@ def _unified_flat(rows: DataFrame) -> DataFrame:
     ids = {"billing_subscriptions": "subscription_id", "membership_subscriptions": "subscription_id",
            "assets": "asset_id", "sessions": "session_id"}
     scalars = [n for n in rows.columns if n not in unified.ARRAYS]
-    lists = [F.array_join(F.transform(a, lambda x, f=f: x[f]), ",").alias(f"{a}_ids") for a, f in ids.items()]
+    lists = [F.array_join(c(a)[field], ",").alias(f"{a}_ids") for a, field in ids.items()]
     sizes = [F.size(a).cast("long").alias(f"{a}_count") for a in unified.ARRAYS]
     return rows.select(*scalars, *sizes, *lists, F.array_join("billing_product_ids", ",").alias("billing_product_list"))
 

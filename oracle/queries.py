@@ -83,7 +83,7 @@ ORDER BY sync_completed_at DESC NULLS LAST, sync_started_at DESC LIMIT 1""")
 
 # -- sinks
 add("sink_raw_append", """
-SELECT subscription_id AS id, timestamp '2024-02-02 00:00:00' AS ingested_at, created, cast(created AS date) AS created_date, status
+SELECT subscription_id AS id, timestamp '2024-02-02 00:00:00' AS ingested_at, created, cast(date_trunc('month', created) AS date) AS created_month, status
 FROM b_subscriptions""")
 add("sink_raw_tiers", "SELECT product_id AS id, timestamp '2024-02-02 00:00:00' AS ingested_at, name FROM m_tiers")
 add("sink_raw_mixed", """
@@ -198,8 +198,8 @@ add("split_mixed_assets", ASSETS_OF_FEED.format(year="cast(NULL AS bigint)"))
 add("split_linked_assets", ASSETS_OF_FEED.format(year="cast(0 AS bigint)"))
 add("classify_raw_record", """
 SELECT n AS feed_row, coalesce(id, 'row_' || cast(n - 1 AS varchar)) AS id, record_type FROM (
-  SELECT id, record_type, row_number() OVER (ORDER BY kind, key, at, id NULLS FIRST) AS n FROM (
-    SELECT 0 AS kind, subscription_id AS key, updated_at AS at, CASE WHEN status <> 'paused' THEN client_id END AS id,
+  SELECT id, record_type, row_number() OVER (ORDER BY kind, key, happened, id NULLS FIRST) AS n FROM (
+    SELECT 0 AS kind, subscription_id AS key, updated_at AS happened, CASE WHEN status <> 'paused' THEN client_id END AS id,
            'customer' AS record_type FROM m_subscriptions
     UNION ALL SELECT 1, session_id, session_date, CASE WHEN session_type = 'click' THEN client_id ELSE session_id END,
            'session' FROM m_sessions) x) y""")

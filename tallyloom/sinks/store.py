@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom import schemas
-from tallyloom.functions.times import day_of, from_seconds, moment
+from tallyloom.functions.times import from_seconds, moment
 from tallyloom.operators.flatten import classify
 from tallyloom.operators.upsert import seed_missing
 from tallyloom.plans.snapshot import CLUSTER_COLUMNS
@@ -17,6 +17,11 @@ from tallyloom.sinks.tables import Table
 # The entities of the billing sync, in the order they run.
 ENTITIES = ("customers", "subscriptions")
 
+# Months, not days: a batch touches few folders and files stay large.
+CREATED_MONTH = ("created_month", "trunc(CAST(created AS DATE), 'month')")
+COMPLETED_MONTH = ("completed_month", "trunc(CAST(sync_completed_at AS DATE), 'month')")
+INGEST_DATE = ("ingest_date", "CAST(ingested_at AS DATE)")
+
 
 class Store:
     """All tables under one folder that every executor can reach."""
@@ -29,8 +34,7 @@ class Store:
 
     @cached_property
     def raw(self) -> dict[str, Table]:
-        day = ("created_date", day_of("created"))
-        return {e: self._table(f"raw_billing_{e}", schemas.RAW, partition=day) for e in ENTITIES}
+        return {e: self._table(f"raw_billing_{e}", schemas.RAW, partition=CREATED_MONTH) for e in ENTITIES}
 
     @cached_property
     def raw_tiers(self) -> Table:
@@ -38,20 +42,19 @@ class Store:
 
     @cached_property
     def raw_mixed(self) -> Table:
-        return self._table("raw_mixed", schemas.RAW_MIXED, partition=("ingest_date", day_of("ingested_at")))
+        return self._table("raw_mixed", schemas.RAW_MIXED, partition=INGEST_DATE)
 
     @cached_property
     def raw_linked(self) -> Table:
-        return self._table("raw_linked_customers", schemas.RAW_UNDATED, partition=("ingest_date", day_of("ingested_at")))
+        return self._table("raw_linked_customers", schemas.RAW_UNDATED, partition=INGEST_DATE)
 
     @cached_property
     def billing(self) -> dict[str, Table]:
-        day = ("created_date", day_of("created"))
         return {
-            "customers": self._table("b_customers", schemas.B_CUSTOMERS, keys=["customer_id"], partition=day,
+            "customers": self._table("b_customers", schemas.B_CUSTOMERS, keys=["customer_id"], partition=CREATED_MONTH,
                                      cluster=["customer_id", "email"]),
             "subscriptions": self._table("b_subscriptions", schemas.B_SUBSCRIPTIONS, keys=["subscription_id"],
-                                         partition=day, cluster=["customer_id", "status"]),
+                                         partition=CREATED_MONTH, cluster=["customer_id", "status"]),
         }
 
     @cached_property
@@ -63,14 +66,14 @@ class Store:
             "subscriptions": self._table("m_subscriptions", schemas.M_SUBSCRIPTIONS, keys=["subscription_id"],
                                          cluster=["billing_id", "subscription_id"]),
             "sessions": self._table("m_sessions", schemas.M_SESSIONS, keys=["session_id"],
-                                    partition=("session_day", day_of("session_date")), cluster=["session_id", "client_id"]),
+                                    partition=("session_month", "trunc(CAST(session_date AS DATE), 'month')"), cluster=["session_id", "client_id"]),
             "assets": self._table("m_assets", schemas.M_ASSETS, keys=["asset_id", "client_id"],
                                   cluster=["asset_id", "billing_id", "client_id"]),
         }
 
     @cached_property
     def history(self) -> Table:
-        return self._table("sync_history", schemas.SYNC_HISTORY, partition=("completed_date", day_of("sync_completed_at")))
+        return self._table("sync_history", schemas.SYNC_HISTORY, partition=COMPLETED_MONTH)
 
     @property
     def unified_path(self) -> str:
@@ -189,7 +192,7 @@ def replace_snapshot(snapshot: DataFrame, path: str, batch: int) -> DataFrame:
     """
     table = Table(
         snapshot.sparkSession, path, _ddl(snapshot), cluster=CLUSTER_COLUMNS,
-        partition=("since_month", F.trunc("membership_since", "month")),
+        partition=("since_month", "trunc(membership_since, 'month')"),
     )
     table.replace(snapshot, batch)
     return table.read_base()

@@ -26,7 +26,7 @@ _WIDTH = 19
 class Table:
     def __init__(
         self, spark: SparkSession, folder: str, schema: str, keys: Sequence[str] = (),
-        newest_by: Sequence[str] = ("ingested_at",), partition: tuple[str, Column] | None = None,
+        newest_by: Sequence[str] = ("ingested_at",), partition: tuple[str, str] | None = None,
         cluster: Sequence[str] = (),
     ):
         self.spark, self.folder, self.schema = spark, folder, schema
@@ -66,7 +66,7 @@ class Table:
             name, value = self.partition
             # Rebalancing splits a partition value that holds much of the data over several tasks
             # and gathers the small ones, so files come out near the advisory size.
-            rows = rows.withColumn(name, value).hint("rebalance", name)
+            rows = rows.withColumn(name, F.expr(value)).hint("rebalance", name)
         if self.cluster:
             rows = rows.sortWithinPartitions(*([self.partition[0]] if self.partition else []), *self.cluster)
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")

@@ -11,16 +11,16 @@ from tallyloom.functions.times import from_seconds, to_seconds
 from tallyloom.functions.values import truthy
 
 
-def incremental(rows: DataFrame, watermark: int | None, time: str = "created", day: str | None = None) -> DataFrame:
+def incremental(rows: DataFrame, watermark: int | None, time: str = "created", month: str | None = None) -> DataFrame:
     """Rows created after the watermark (Unix seconds); no watermark or 0 reads everything.
 
-    `day` names a date partition column derived from `time`, so that whole partitions are skipped.
+    `month` names a partition column with the month of `time`, so that whole partitions are skipped.
     """
     if not watermark:
         return rows
     mark = datetime.datetime(1970, 1, 1) + datetime.timedelta(seconds=watermark)
     newer = rows.where(F.col(time) > F.lit(mark.isoformat(" ")).cast("timestamp_ntz"))
-    return newer if day is None else newer.where(F.col(day) >= F.lit(mark.date()))
+    return newer if month is None else newer.where(F.col(month) >= F.lit(mark.date().replace(day=1)))
 
 
 def incremental_records(records: DataFrame, watermark: int | None, lookback: int = 0) -> DataFrame:

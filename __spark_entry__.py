@@ -194,7 +194,7 @@ def _(t):
 
 @query("sink_raw_linked")
 def _(t):
-    table = _table(t, "raw-linked", schemas.RAW_UNDATED, partition=store.INGEST_DATE)
+    table = _table(t, "raw-linked", schemas.RAW_LINKED, partition=store.INGEST_DATE)
     table.append(store.raw_linked_rows(_linked(t), [*FEED_ORDER, "json_data"], times.moment(SYNCED_AT)), 1)
     return table.read().select("id", "ingested_at")
 
@@ -1095,10 +1095,16 @@ def _(t):
     return table.read().select("customer_id")
 
 
+def _landed_feed(t: Tables) -> DataFrame:
+    path = session.scratch(t.spark, "feed")
+    _linked(t).write.json(path)
+    return t.spark.read.schema("feed_kind int, feed_key string, json_data string").json(path)
+
+
 @query("full_refresh_sync")
 def _(t):
     s = _store(t, "refresh")
-    sync.refresh_membership(s, landed.tier_records(t.m_tiers), _linked(t), [*FEED_ORDER, "json_data"], 1, now=SYNCED_AT)
+    sync.refresh_membership(s, landed.tier_records(t.m_tiers), _landed_feed(t), [*FEED_ORDER, "json_data"], 1, now=SYNCED_AT)
     counts = quality.row_counts({name: table.current() for name, table in s.membership.items()})
     return counts.select("table_name", "row_count")
 
@@ -1110,7 +1116,7 @@ def _(t):
         "customers": _landed(t, landed.customer_records(t.b_customers), "customers"),
         "subscriptions": _landed(t, landed.subscription_records(t.b_subscriptions), "subscriptions"),
     }
-    return sync.run_all(s, 1, billing, landed.tier_records(t.m_tiers), _linked(t), [*FEED_ORDER, "json_data"], now=SYNCED_AT)
+    return sync.run_all(s, 1, billing, landed.tier_records(t.m_tiers), _landed_feed(t), [*FEED_ORDER, "json_data"], now=SYNCED_AT)
 
 
 # -- end products --------------------------------------------------------------------------------

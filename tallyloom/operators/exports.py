@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom import schemas
+from tallyloom.functions.records import parse
 from tallyloom.functions.times import printed
 from tallyloom.functions.values import first_truthy, header_text, is_truthy, truthy
 
@@ -25,9 +26,9 @@ def enrich(subscriptions: DataFrame, customers: DataFrame, payment_methods: Data
     The customer joins its payment method first, one row to one row. Subscriptions without a
     customer stay.
     """
-    s = subscriptions.select(F.from_json("json_data", schemas.BILLING_SUBSCRIPTION).alias("s"))
-    c = customers.select(F.from_json("json_data", schemas.BILLING_CUSTOMER).alias("c"))
-    p = payment_methods.select(F.from_json("json_data", schemas.PAYMENT_METHOD).alias("p"))
+    s = parse(subscriptions, schemas.BILLING_SUBSCRIPTION, "s").select("s")
+    c = parse(customers, schemas.BILLING_CUSTOMER, "c").select("c")
+    p = parse(payment_methods, schemas.PAYMENT_METHOD, "p").select("p")
     paying = c.join(p, F.col("c.default_source") == F.col("p.id"), "left")
     return s.join(paying, F.col("s.customer") == F.col("c.id"), "left")
 
@@ -73,9 +74,11 @@ def customer_rows(subscriptions: DataFrame, customers: DataFrame, payment_method
                   limit: int | None = CUSTOMER_EXPORT_LIMIT) -> DataFrame:
     """The same without the subscription id, for the first `limit` subscriptions by id."""
     if limit is not None:
-        subscriptions = (
-            subscriptions.withColumn("_id", F.get_json_object("json_data", "$.id")).orderBy("_id").limit(limit).drop("_id")
-        )
+        ident, owner = (F.get_json_object("json_data", f"$.{field}") for field in ("id", "customer"))
+        subscriptions = subscriptions.select("json_data", ident.alias("_id"), owner.alias("_owner")).orderBy("_id").limit(limit)
+        # At most `limit` ids, so this broadcast has a fixed bound; the customers are filtered in place.
+        owners = F.broadcast(subscriptions.select("_owner").distinct())
+        customers = customers.join(owners, F.get_json_object(customers["json_data"], "$.id") == owners["_owner"], "left_semi")
     return subscription_rows(subscriptions, customers, payment_methods).select(*CUSTOMER_EXPORT)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom import schemas
+from tallyloom.functions.records import parse, with_parsed
 from tallyloom.functions.times import from_seconds, parsed
 from tallyloom.functions.values import first_truthy, is_truthy, truthy
 from tallyloom.operators.ordinals import number_rows
@@ -17,7 +18,7 @@ def now() -> Column:
 
 
 def _parsed(raw: DataFrame, schema: str, *keep: str) -> DataFrame:
-    return raw.select(F.from_json("json_data", schema).alias("r"), "json_data", *keep)
+    return parse(raw.select("json_data", *keep), schema)
 
 
 def _stamps(synced_at: Column) -> list[Column]:
@@ -35,12 +36,13 @@ def quarantine(raw: DataFrame, schema: str, key: str) -> tuple[DataFrame, DataFr
     A record is unreadable if it is not JSON of the expected shape or has no key. Without this
     check such a record would turn into a row of nulls.
     """
-    typed = F.from_json("json_data", f"{schema}, {schemas.CORRUPT} string", {"columnNameOfCorruptRecord": schemas.CORRUPT})
+    whole = F.from_json("json_data", f"{schema}, {schemas.CORRUPT} string", {"columnNameOfCorruptRecord": schemas.CORRUPT})
+    typed = F.col("_typed")
     reason = (
         F.when(typed.isNull() | typed[schemas.CORRUPT].isNotNull(), "not readable")
         .when(~F.coalesce(is_truthy(typed[key]), F.lit(False)), f"no {key}")
     )
-    judged = raw.withColumn("reason", reason)
+    judged = with_parsed(raw, whole, "_typed").withColumn("reason", reason).drop("_typed")
     return judged.where("reason is null").drop("reason"), judged.where("reason is not null")
 
 
@@ -128,6 +130,10 @@ def classify(raw: DataFrame, id_fields: tuple[str, ...], order: list[str]) -> Da
     )
 
 
+def parse_members(raw: DataFrame, order: list[str], mixed: bool) -> DataFrame:
+    return _parsed(raw, schemas.MIXED_RECORD if mixed else schemas.LINKED_MEMBER, *order).drop("json_data")
+
+
 class MemberFeed:
     """Splits membership records into customers, subscriptions, sessions and assets.
 
@@ -140,8 +146,8 @@ class MemberFeed:
         self.mixed = mixed
         self.order = order
         self.stamps = _stamps(synced_at if synced_at is not None else now())
-        schema = schemas.MIXED_RECORD if mixed else schemas.LINKED_MEMBER
-        records = _parsed(raw, schema, *order)
+        # Records that were parsed and stored before come with their struct.
+        records = raw if "r" in raw.columns else parse_members(raw, order, mixed)
         self.everything = records.withColumn("client", F.coalesce("r.clientId", F.lit(""))).withColumn(
             "billing", F.col("r.billingID")
         )
@@ -182,9 +188,7 @@ class MemberFeed:
     def assets(self) -> DataFrame:
         """Elements of `cars` that are objects with an id (or _id)."""
         element = self.members.select("client", "billing", F.explode("r.cars").alias("json_data"))
-        objects = element.where(F.startswith(F.ltrim("json_data"), F.lit("{"))).withColumn(
-            "a", F.from_json("json_data", schemas.ASSET)
-        )
+        objects = parse(element.where(F.startswith(F.ltrim("json_data"), F.lit("{"))), schemas.ASSET, "a")
         year = F.col("a.year").try_cast("bigint")
         if self.mixed:
             make, plate = F.col("a.make"), F.coalesce(truthy("a.licensePlate"), F.col("a.license_plate"))

@@ -43,7 +43,9 @@ CORRUPT = "_corrupt_record"
 # Stored tables.
 RAW = "id string, json_data string, ingested_at timestamp_ntz, created timestamp_ntz"
 RAW_UNDATED = "id string, json_data string, ingested_at timestamp_ntz"
-RAW_MIXED = "id string, record_type string, json_data string, ingested_at timestamp_ntz"
+# feed_row is the place of a record in its feed, from 1; it keeps the order of arrival.
+RAW_LINKED = f"{RAW_UNDATED}, feed_row bigint"
+RAW_MIXED = "id string, record_type string, json_data string, ingested_at timestamp_ntz, feed_row bigint"
 
 B_CUSTOMERS = """customer_id string, object_type string, email string, name string, description string, phone string,
 created timestamp_ntz, created_timestamp bigint, address_line1 string, address_line2 string, address_city string,

@@ -46,7 +46,7 @@ class Store:
 
     @cached_property
     def raw_linked(self) -> Table:
-        return self._table("raw_linked_customers", schemas.RAW_UNDATED, partition=INGEST_DATE)
+        return self._table("raw_linked_customers", schemas.RAW_LINKED, partition=INGEST_DATE)
 
     @cached_property
     def billing(self) -> dict[str, Table]:
@@ -105,13 +105,13 @@ def raw_tier_rows(records: DataFrame, ingested_at: Column) -> DataFrame:
 
 def raw_mixed_rows(records: DataFrame, order: list[str], ingested_at: Column) -> DataFrame:
     return classify(records, ("clientId", "sessionId"), order).select(
-        "id", "record_type", "json_data", ingested_at.alias("ingested_at")
+        "id", "record_type", "json_data", ingested_at.alias("ingested_at"), "feed_row"
     )
 
 
 def raw_linked_rows(records: DataFrame, order: list[str], ingested_at: Column) -> DataFrame:
     return classify(records, ("clientId", "billingID"), order).select(
-        "id", "json_data", ingested_at.alias("ingested_at")
+        "id", "json_data", ingested_at.alias("ingested_at"), "feed_row"
     )
 
 

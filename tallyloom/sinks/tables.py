@@ -101,15 +101,14 @@ class Table:
             return self.spark.createDataFrame([], self._stored_schema())
         return self._read(f"{self.folder}/base/upto={base:0{_WIDTH}d}")
 
+    def read_batch(self, batch: int) -> DataFrame:
+        return self._read(f"{self.folder}/batches/batch={batch:0{_WIDTH}d}")
+
     def read_batches(self, below: int | None = None) -> DataFrame:
         wanted = [b for b in self._batches() if below is None or b < below]
         if not wanted:
             return self.spark.createDataFrame([], self._stored_schema())
-        paths = [f"{self.folder}/batches/batch={b:0{_WIDTH}d}" for b in wanted]
-        rows = self._read(paths[0])
-        for path in paths[1:]:
-            rows = rows.unionByName(self._read(path))
-        return rows
+        return reduce(DataFrame.unionByName, [self.read_batch(b) for b in wanted])
 
     def read(self) -> DataFrame:
         """Every stored row, including older rows of a key."""

@@ -174,9 +174,12 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._bases: dict[str, DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._bases:
+            self._bases[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._bases[name]
 
     def view(self, name: str) -> DataFrame:
         text = VIEWS[name]

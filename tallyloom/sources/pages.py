@@ -7,7 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tallyloom.functions.records import parse, with_parsed
 
 ENVELOPE = "data array<string>, has_more boolean, nextCursor string"
 
@@ -39,15 +40,15 @@ def envelopes(pages: DataFrame, follow: str = "has_more") -> DataFrame:
     point to a next one. `follow` says what the pointer is: has_more, nextCursor, or any integer
     text for 'a page shorter than this is the last'.
     """
-    records = page_records(F.col("body"))
-    parsed = F.from_json("body", ENVELOPE)
+    records, parsed = page_records(F.col("body")), F.col("envelope")
     if follow == "has_more":
         more = F.coalesce(parsed["has_more"], F.lit(False))
     elif follow == "nextCursor":
         more = F.coalesce(parsed["nextCursor"], F.lit("")) != ""
     else:
-        more = F.size(records) >= int(follow)
-    read = pages.select("page", records.alias("records"), more.alias("more"))
+        more = F.size("records") >= int(follow)
+    opened = with_parsed(parse(pages, ENVELOPE, "envelope", "body"), records, "records")
+    read = opened.select("page", "records", more.alias("more"))
     blank = F.coalesce(F.size("records"), F.lit(0)) < 1
     # Two numbers for the whole source, reduced in the tasks before they meet.
     ends = read.agg(
@@ -60,6 +61,6 @@ def envelopes(pages: DataFrame, follow: str = "has_more") -> DataFrame:
     ).select("page", F.posexplode("records").alias("place", "json_data"))
 
 
-def as_records(rows: DataFrame, schema: str | T.DataType) -> DataFrame:
+def as_records(rows: DataFrame, schema: str) -> DataFrame:
     """Parses json_data into columns."""
-    return rows.select(F.from_json("json_data", schema).alias("r")).select("r.*")
+    return parse(rows, schema).select("r.*")

@@ -18,7 +18,7 @@ from tallyloom import schemas
 from tallyloom.functions.times import moment
 from tallyloom.operators.contacts import chunk_bodies, contacts
 from tallyloom.operators.flatten import (
-    MemberFeed, flatten_customers, flatten_subscriptions, flatten_tiers, product_ids, quarantine,
+    MemberFeed, flatten_customers, flatten_subscriptions, flatten_tiers, parse_members, product_ids, quarantine,
 )
 from tallyloom.operators.upsert import newest_per_key
 from tallyloom.plans.snapshot import bi_snapshot
@@ -92,10 +92,11 @@ def sync_entity(
         raw = store.raw[entity]
         raw.append(raw_rows(good, moment(started)), batch)
         # From here on the stored raw batch is read, not the source again.
-        stored = raw._read(f"{raw.folder}/batches/batch={batch:019d}")
+        stored = raw.read_batch(batch)
         count, newest = new_watermark(stored)
-        bad.write.mode("overwrite").json(f"{store.folder}/quarantine/{entity}/batch={batch:019d}")
-        unreadable = spark.read.text(f"{store.folder}/quarantine/{entity}/batch={batch:019d}").count()
+        rejected = f"{store.folder}/quarantine/{entity}/batch={batch:019d}"
+        bad.select("json_data", "reason").write.mode("overwrite").parquet(rejected)
+        unreadable = spark.read.parquet(rejected).count()
         if unreadable > allowed_bad * (count + unreadable):
             raise UnreadableRecords(f"{unreadable} of {count + unreadable} records of {entity} could not be read")
         if count == 0:
@@ -132,17 +133,21 @@ def refresh_membership(
 
     try:
         store.raw_tiers.append(raw_tier_rows(tiers, moment(started)), batch)
-        landed_tiers = store.raw_tiers._read(f"{store.raw_tiers.folder}/batches/batch={batch:019d}")
+        landed_tiers = store.raw_tiers.read_batch(batch)
         tier_count = landed_tiers.count()
         if tier_count:
             store.membership["tiers"].replace(flatten_tiers(landed_tiers, moment(started)), batch)
         audit("tiers", tier_count, "success")
-        count = linked.count()
-        if not count:
+        if linked.isEmpty():
             audit("linked_customers", 0, "success", line=1)
             return Outcome("membership", "success", 0)
         store.raw_linked.append(raw_linked_rows(linked, order, moment(started)), batch)
-        feed = MemberFeed(linked, order, mixed=False, synced_at=moment(started))
+        stored = store.raw_linked.read_batch(batch)
+        count = stored.count()
+        # Records are parsed once; the four tables then read only the columns they need.
+        staging = f"{store.folder}/staging/linked_customers/batch={batch:019d}"
+        parse_members(stored, ["feed_row"], mixed=False).write.mode("overwrite").parquet(staging)
+        feed = MemberFeed(spark.read.parquet(staging), ["feed_row"], mixed=False, synced_at=moment(started))
         store.membership["customers"].replace(feed.customers(), batch)
         for name, rows in (("subscriptions", feed.subscriptions()), ("assets", feed.assets())):
             table = store.membership[name]

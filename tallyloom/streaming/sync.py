@@ -87,10 +87,10 @@ def sync_entity(
 
     try:
         mark = watermark(store, entity)
-        fresh = incremental_records(records, mark, lookback)
-        good, bad = quarantine(fresh, RECORD[entity], "id")
+        # Unreadable records first: without a creation time the watermark would silently drop them.
+        good, bad = quarantine(records, RECORD[entity], "id")
         raw = store.raw[entity]
-        raw.append(raw_rows(good, moment(started)), batch)
+        raw.append(raw_rows(incremental_records(good, mark, lookback), moment(started)), batch)
         # From here on the stored raw batch is read, not the source again.
         stored = raw.read_batch(batch)
         count, newest = new_watermark(stored)

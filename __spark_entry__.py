@@ -842,12 +842,12 @@ def _(t):
 
 @query("latest_billing_sub")
 def _(t):
-    return summaries.billing_summary(t.b_subscriptions).select("customer_id", "latest.*")
+    return summaries.billing_summary(t.b_subscriptions).select("customer_id", "latest.*").drop("is_active")
 
 
 @query("latest_membership_sub")
 def _(t):
-    return summaries.membership_summary(t.m_subscriptions).select("billing_id", "latest.*")
+    return summaries.membership_summary(t.m_subscriptions).select("billing_id", "latest.*").drop("is_active")
 
 
 @query("current_tier")

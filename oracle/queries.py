@@ -31,7 +31,7 @@ def add(name: str, body: str, ctes: str = "") -> None:
     ORACLE[name] = over_views(body, ctes)
 
 
-EPOCH_S = "cast(epoch({0}) AS bigint)"
+EPOCH_S = "cast(floor(epoch({0})) AS bigint)"
 ADDRESS = "address_line1, address_line2, address_city, address_state, address_postal_code, address_country"
 
 FLAT_CUSTOMERS = f"""

@@ -12,16 +12,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def latest(values: Sequence[str | Column], by: Sequence[str | Column]) -> Column:
-    """The values of the row that is last by the given keys.
+def latest(values: Sequence[str], by: Sequence[str | Column]) -> Column:
+    """The row that is last by the given keys, as a struct of the keys and the other values.
 
-    The keys are wrapped in a struct: a null first key sorts lowest instead of hiding the row.
+    The row itself is what gets compared, so it is kept once. A null key sorts lowest and does not
+    hide its row, and ties are settled by the remaining values.
     """
-    return F.max_by(F.struct(*values), F.struct(*by))
+    return F.max(_sortable(values, by))
 
 
-def earliest(values: Sequence[str | Column], by: Sequence[str | Column]) -> Column:
-    return F.min_by(F.struct(*values), F.struct(*by))
+def earliest(values: Sequence[str], by: Sequence[str | Column]) -> Column:
+    return F.min(_sortable(values, by))
+
+
+def _sortable(values: Sequence[str], by: Sequence[str | Column]) -> Column:
+    return F.struct(*by, *[v for v in values if v not in [b for b in by if isinstance(b, str)]])
 
 
 def active_first(status: str = "status") -> Column:
@@ -30,7 +35,12 @@ def active_first(status: str = "status") -> Column:
 
 
 def ordered_array(values: Sequence[str], by: Sequence[str], descending: bool) -> Column:
-    """All rows of the group as structs, sorted by the keys and then by the other values."""
-    keys = F.struct(*by).alias("sort_by")
-    items = F.collect_list(F.struct(keys, F.struct(*values).alias("item")))
-    return F.transform(F.sort_array(items, asc=not descending), lambda x: x["item"])
+    """All rows of the group as structs, sorted by the keys and then by the other values.
+
+    Keys that are values too come first in the struct, which then sorts as it is. Other keys are
+    taken off again after sorting.
+    """
+    items = F.sort_array(F.collect_list(_sortable(values, by)), asc=not descending)
+    if set(by) <= set(values):
+        return items
+    return F.transform(items, lambda x: F.struct(*[x[v].alias(v) for v in values]))

@@ -21,7 +21,9 @@ def from_seconds(seconds: ColumnOrName) -> Column:
 
 
 def to_seconds(time: ColumnOrName) -> Column:
-    return F.timestamp_diff("SECOND", epoch(), _col(time))
+    """Whole seconds since 1970, rounded down, also before 1970."""
+    micros, million = F.timestamp_diff("MICROSECOND", epoch(), _col(time)), F.lit(1_000_000)
+    return ((micros - F.pmod(micros, million)) / million).cast("long")
 
 
 def month_of(time: ColumnOrName) -> Column:

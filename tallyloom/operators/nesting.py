@@ -22,7 +22,11 @@ PAGE = 10_000
 
 @dataclass(frozen=True)
 class Children:
-    """Rows to nest: the key of the parent, the fields of an item and the order of the items."""
+    """Rows to nest: the key of the parent, the fields of an item and the order of the items.
+
+    `counted` may name a cheaper frame that has at least as many rows per key, such as the rows
+    before a lookup join or before duplicates are removed.
+    """
 
     name: str
     rows: DataFrame
@@ -30,20 +34,34 @@ class Children:
     fields: tuple[str, ...]
     order: tuple[str, ...]
     descending: bool = False
+    counted: DataFrame | None = None
+
+    @property
+    def source(self) -> DataFrame:
+        return self.rows if self.counted is None else self.counted
 
-    def crowded(self, page: int) -> DataFrame:
-        """Keys with more children than fit one array; counted map-side first."""
-        counts = self.rows.groupBy(self.key).agg(F.count(F.lit(1)).alias("_n"))
-        return counts.where(F.col("_n") > page).select(self.key)
+
+def _crowded(rows: DataFrame, key: str, page: int) -> DataFrame:
+    """Keys with more rows than fit one array; counted map-side first."""
+    present = rows.where(F.col(key).isNotNull())
+    return present.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > page).select(key)
 
 
 def crowded_names(children: Sequence[Children], page: int) -> set[str]:
-    """Which of the child tables have a crowded key at all: one job over the key columns."""
+    """Child tables that may have a crowded key: one job over the key columns of their sources.
+
+    Brings back one number per source.
+    """
+    sources: dict[tuple[int, str], list[Children]] = {}
+    for child in children:
+        sources.setdefault((id(child.source), child.key), []).append(child)
     marks = [
-        c.crowded(page).select(F.lit(c.name).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("keys"))
-        for c in children
+        _crowded(group[0].source, key, page).agg(F.count(F.lit(1)).alias("keys")).withColumn("source", F.lit(number))
+        for number, ((_, key), group) in enumerate(sources.items())
     ]
-    return {row["name"] for row in reduce(DataFrame.unionByName, marks).collect()}
+    found = reduce(DataFrame.unionByName, marks).where("keys > 0").collect()
+    groups = list(sources.values())
+    return {child.name for row in found for child in groups[row["source"]]}
 
 
 def _arrays(child: Children, rows: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -56,7 +74,7 @@ def nested(child: Children, page: int, has_crowd: bool) -> tuple[DataFrame, Data
     rows = child.rows.where(F.col(child.key).isNotNull())
     if not has_crowd:
         return _arrays(child, rows, [child.key]), None
-    crowd = child.crowded(page)
+    crowd = _crowded(child.rows, child.key, page)
     calm = rows.join(crowd, child.key, "left_anti")
     busy = rows.join(crowd, child.key, "left_semi")
     columns = list(dict.fromkeys([*child.order, *child.fields]))

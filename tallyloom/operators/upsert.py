@@ -11,11 +11,10 @@ from tallyloom.functions.picking import earliest, latest
 
 
 def _pick(df: DataFrame, keys: Sequence[str], chooser, by: Sequence[str]) -> DataFrame:
-    rest = [c for c in df.columns if c not in by]
     return (
         df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys])
-        .agg(chooser(df.columns, [*by, *rest]).alias("_row"))
-        .select("_row.*")
+        .agg(chooser(df.columns, by).alias("_row"))
+        .select(*[F.col(f"_row.{name}") for name in df.columns])
     )
 
 

@@ -21,13 +21,9 @@ SESSION_LATEST = ("session_id", "session_date", "session_type", "session_descrip
 ASSET_LATEST = ("asset_id", "make", "model", "year", "license_plate", "updated_at")
 
 
-def _rest(chosen: tuple[str, ...], used: tuple[str, ...]) -> list[str]:
-    return [c for c in chosen if c not in used]
-
-
 def billing_summary(subscriptions: DataFrame) -> DataFrame:
     status = F.col("status")
-    by = [active_first(), "created", "subscription_id", *_rest(BILLING_LATEST, ("created", "subscription_id"))]
+    by = [active_first(), "created", "subscription_id"]
     return (
         subscriptions.where(F.col("customer_id").isNotNull())
         .groupBy("customer_id")
@@ -41,7 +37,7 @@ def billing_summary(subscriptions: DataFrame) -> DataFrame:
 
 
 def membership_summary(subscriptions: DataFrame) -> DataFrame:
-    by = [active_first(), "updated_at", "subscription_id", *_rest(MEMBERSHIP_LATEST, ("updated_at", "subscription_id"))]
+    by = [active_first(), "updated_at", "subscription_id"]
     return (
         subscriptions.where(F.col("billing_id").isNotNull())
         .groupBy("billing_id")
@@ -63,7 +59,7 @@ def tiers_used(subscriptions: DataFrame) -> DataFrame:
 
 
 def session_summary(sessions: DataFrame) -> DataFrame:
-    by = ["session_date", "session_id", *_rest(SESSION_LATEST, ("session_date", "session_id"))]
+    by = ["session_date", "session_id"]
     return (
         sessions.where(F.col("client_id").isNotNull())
         .groupBy("client_id")
@@ -77,7 +73,7 @@ def session_summary(sessions: DataFrame) -> DataFrame:
 
 
 def asset_summary(assets: DataFrame) -> DataFrame:
-    by = ["updated_at", "asset_id", *_rest(ASSET_LATEST, ("updated_at", "asset_id"))]
+    by = ["updated_at", "asset_id"]
     return (
         assets.where(F.col("billing_id").isNotNull())
         .groupBy("billing_id")

@@ -74,12 +74,13 @@ def billing_subscription_children(subscriptions: DataFrame) -> Children:
         "collection_method", F.col("created").alias("sub_created"), F.col("updated_at").alias("sub_updated_at"),
     )
     return Children("billing_subscriptions", rows, "customer_id", tuple(rows.columns[1:]),
-                    ("sub_created", "subscription_id"), descending=True)
+                    ("sub_created", "subscription_id"), descending=True, counted=subscriptions)
 
 
 def billing_product_children(subscriptions: DataFrame) -> Children:
     rows = subscriptions.where(F.col("product_id").isNotNull()).select("customer_id", "product_id").distinct()
-    return Children("billing_product_ids", rows, "customer_id", ("product_id",), ("product_id",))
+    return Children("billing_product_ids", rows, "customer_id", ("product_id",), ("product_id",),
+                    counted=subscriptions)
 
 
 def membership_subscription_children(subscriptions: DataFrame, tiers: DataFrame) -> Children:
@@ -89,7 +90,8 @@ def membership_subscription_children(subscriptions: DataFrame, tiers: DataFrame)
         "tier_name", "tier_key", "tier_description", "tier_perks", "tier_taxable_amount",
         F.col("updated_at").alias("sub_updated_at"), F.col("ingested_at").alias("sub_ingested_at"),
     )
-    return Children("membership_subscriptions", rows, "billing_id", tuple(rows.columns[1:]), ("subscription_id",))
+    return Children("membership_subscriptions", rows, "billing_id", tuple(rows.columns[1:]), ("subscription_id",),
+                    counted=subscriptions)
 
 
 def asset_children(assets: DataFrame) -> Children:

@@ -14,6 +14,13 @@ from tallyloom.functions.times import to_seconds
 PAGE_KEYS = 100
 
 
+def _spread(rows: DataFrame, key: str) -> DataFrame:
+    """Landed feeds come as many files. A few small files are read by as few tasks, so their rows
+    are dealt out before records are made of them; with more files than cores nothing is moved."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if len(rows.inputFiles()) >= cores else rows.repartition(cores, key)
+
+
 def _record(**fields: Column) -> Column:
     return F.to_json(F.struct(*[value.alias(name) for name, value in fields.items()]))
 
@@ -66,7 +73,7 @@ def subscription_records(subscriptions: DataFrame, expanded: bool = False) -> Da
         as_object = F.struct(c("product_id").alias("id"))
         add_on = F.struct(F.lit("addon").alias("id"))
         plain = F.when(yearly, record(F.array(item(as_object), item(add_on)))).otherwise(plain)
-    return subscriptions.select("subscription_id", plain.alias("json_data"))
+    return _spread(subscriptions, "subscription_id").select("subscription_id", plain.alias("json_data"))
 
 
 def payment_method_records(customers: DataFrame) -> DataFrame:
@@ -116,6 +123,7 @@ def _with_cars(record: Column, car: Column) -> Column:
 
 def _subscription_feed(subscriptions: DataFrame, mixed: bool) -> DataFrame:
     c = F.col
+    subscriptions = _spread(subscriptions, "subscription_id")
     asset = F.get_json_object("asset_ids", "$[0]")
     child = F.struct(
         c("subscription_id").alias("id"), c("status").alias("status"), c("product_id").alias("productId"),

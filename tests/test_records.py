@@ -181,6 +181,13 @@ def test_times_do_not_depend_on_the_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def test_seconds_are_rounded_down(spark):
+    row = spark.range(1).select(
+        times.to_seconds(times.moment("1970-01-01 00:00:01.999")), times.to_seconds(times.moment("1969-12-31 23:59:59.5")),
+        times.to_seconds(times.moment("2024-01-30 18:30:58.999999"))).first()
+    assert tuple(row) == (1, -1, 1706639458)
+
+
 def test_export_writes_nothing_for_no_rows(spark, records, scratch):
     out = exports.subscription_rows(records({"id": "s", "status": "active"}), records({"id": "c"}), records({"id": "p"}))
     assert not exports.write_export(out.where("status = 'none'"), scratch)

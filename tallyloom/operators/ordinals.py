@@ -21,9 +21,8 @@ PLACE_BITS = 33
 
 def number_rows(df: DataFrame, order: Sequence[str | Column], into: str = "ordinal") -> DataFrame:
     """Number all rows from 1 in the given order. The order should be total."""
-    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = checkpointed(
-        df.repartitionByRange(spread, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id())
     )

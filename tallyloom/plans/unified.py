@@ -133,7 +133,9 @@ def attach(parents: DataFrame, children: Iterable[Children], page: int = PAGE) -
     children = list(children)
     crowd = crowded_names(children, page)
     whole, extras = parents.withColumn("array_page", F.lit(0)), []
-    for child in children:
+    # Children under the client id go first, while the rows that change key are still narrow; all
+    # others share the billing id and its partitioning.
+    for child in sorted(children, key=_parent_key, reverse=True):
         first, further = nested(child, page, child.name in crowd)
         whole = whole.join(_plain(child, first), _parent_key(child), "left")
         if further is not None:

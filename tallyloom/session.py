@@ -15,9 +15,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A skewed join is split even when that costs one more shuffle afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # Array aggregates hash this many keys per task before they fall back to sorting.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
 }
 
 

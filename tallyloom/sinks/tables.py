@@ -108,7 +108,10 @@ class Table:
         wanted = [b for b in self._batches() if below is None or b < below]
         if not wanted:
             return self.spark.createDataFrame([], self._stored_schema())
-        return reduce(DataFrame.unionByName, [self.read_batch(b) for b in wanted])
+        # One scan over all batch folders; their number is in the path only.
+        paths = [f"{self.folder}/batches/batch={b:0{_WIDTH}d}" for b in wanted]
+        rows = self.spark.read.schema(self._stored_schema()).option("basePath", f"{self.folder}/batches").parquet(*paths)
+        return rows.drop("batch")
 
     def read(self) -> DataFrame:
         """Every stored row, including older rows of a key."""

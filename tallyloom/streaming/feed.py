@@ -49,11 +49,15 @@ def append_unseen(
 
     Keys are compared with what earlier batches stored and not with a time-limited state, so a
     record is recognised however late its copy arrives. Key columns must not be null.
+
+    The stored keys are first reduced to those of the batch. The batch's keys are the small side
+    there, so Spark can broadcast them and read the stored keys without a shuffle.
     """
 
     def each(pages: DataFrame, batch: int) -> None:
         fresh = first_seen(shape(list_or_envelope(pages)), keys, arrival)
-        known = table.read_batches(below=batch + 1).select(*keys)
+        stored = table.read_batches(below=batch + 1).select(*keys)
+        known = stored.join(fresh.select(*keys), keys, "left_semi")
         table.append(fresh.join(known, keys, "left_anti"), batch + 1)
 
     return each

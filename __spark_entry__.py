@@ -11,6 +11,7 @@ from oracle.queries import ORACLE
 from tallyloom import schemas, session
 from tallyloom.functions import times, values
 from tallyloom.operators import contacts, exports, flatten, matching, nesting, upsert
+from tallyloom.operators.ordinals import number_rows
 from tallyloom.plans import customers, invoices, quality, revenue, snapshot, summaries, sync_reports, unified
 from tallyloom.sinks import store
 from tallyloom.sinks.tables import Table
@@ -881,8 +882,9 @@ def _(t):
 
 @query("order_multi")
 def _(t):
-    rows = t.b_subscriptions.orderBy(F.desc("status"), "plan_name", F.desc("amount_cents"), "subscription_id")
-    return rows.select("subscription_id", "status", "plan_name", "amount_cents")
+    order = [F.desc("status"), F.asc("plan_name"), F.desc("amount_cents"), F.asc("subscription_id")]
+    rows = t.b_subscriptions.select("subscription_id", "status", "plan_name", "amount_cents")
+    return number_rows(rows, order, "position")
 
 
 @query("topk_subscriptions")
@@ -899,9 +901,10 @@ def _(t):
 
 @query("null_order")
 def _(t):
+    """Where nulls go: the place of every row in descending and in ascending order."""
     rows = t.sync_history.select("entity_type", "sync_completed_at", "sync_started_at")
-    last = rows.orderBy(F.desc("sync_completed_at"), "sync_started_at").limit(200)
-    first = rows.orderBy("sync_completed_at", "sync_started_at").limit(200)
+    last = number_rows(rows, [F.desc("sync_completed_at"), F.asc("sync_started_at")], "position")
+    first = number_rows(rows, [F.asc("sync_completed_at"), F.asc("sync_started_at")], "position")
     return last.withColumn("direction", F.lit("desc")).unionByName(first.withColumn("direction", F.lit("asc")))
 
 

@@ -431,12 +431,12 @@ SELECT customer_id, 0 AS array_page, string_agg(product_id, ',' ORDER BY rank) A
     SELECT customer_id, product_id, row_number() OVER (PARTITION BY customer_id ORDER BY created, subscription_id, place) AS n
     FROM products) x GROUP BY 1, 2) y GROUP BY customer_id""", PRODUCTS)
 add("customer_date_range", """
-SELECT total_count, lo AS earliest_timestamp, hi AS latest_timestamp, strftime(to_timestamp(lo) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS earliest_date,
-  strftime(to_timestamp(hi) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS latest_date,
-  strftime(to_timestamp(lo) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') || ' to ' || strftime(to_timestamp(hi) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS date_range,
-  round((hi - lo) / 86400, 1) AS span_days, round((hi - lo) / 86400 / 365.25::double, 2) AS span_years
-FROM (SELECT count(*) AS total_count, cast(epoch(min(created)) AS bigint) AS lo, cast(epoch(max(created)) AS bigint) AS hi
-      FROM b_customers) x""")
+SELECT total_count, cast(floor(epoch(lo)) AS bigint) AS earliest_timestamp, cast(floor(epoch(hi)) AS bigint) AS latest_timestamp,
+  strftime(lo, '%Y-%m-%d %H:%M:%S') AS earliest_date, strftime(hi, '%Y-%m-%d %H:%M:%S') AS latest_date,
+  strftime(lo, '%Y-%m-%d %H:%M:%S') || ' to ' || strftime(hi, '%Y-%m-%d %H:%M:%S') AS date_range,
+  round((floor(epoch(hi)) - floor(epoch(lo))) / 86400, 1) AS span_days,
+  round((floor(epoch(hi)) - floor(epoch(lo))) / 86400 / 365.25::double, 2) AS span_years
+FROM (SELECT count(*) AS total_count, min(created) AS lo, max(created) AS hi FROM b_customers) x""")
 add("sub_counts", """
 SELECT coalesce(b.customer_id, s.billing_id) AS billing_id, b.n AS billing_total, b.a AS billing_active, b.c AS billing_canceled,
   s.n AS membership_total, s.a AS membership_active, s.d AS distinct_tiers, a.n AS assets
@@ -494,16 +494,18 @@ SELECT renewal_status, count(*) AS subscription_count, {SHARE} FROM (SELECT {REN
 GROUP BY renewal_status""")
 
 # -- sort and limit
-add("order_multi", "SELECT subscription_id, status, plan_name, amount_cents FROM b_subscriptions")
+add("order_multi", """
+SELECT subscription_id, status, plan_name, amount_cents,
+       row_number() OVER (ORDER BY status DESC, plan_name, amount_cents DESC, subscription_id) AS position FROM b_subscriptions""")
 add("topk_subscriptions", """
 SELECT subscription_id, customer_id, amount_cents FROM b_subscriptions ORDER BY amount_cents DESC, subscription_id LIMIT 50""")
 add("limit_unordered", """
 SELECT client_id, billing_id, full_name FROM people ORDER BY client_id LIMIT 20""", PEOPLE)
 add("null_order", """
-SELECT * FROM (SELECT entity_type, sync_completed_at, sync_started_at, 'desc' AS direction FROM sync_history
-  ORDER BY sync_completed_at DESC NULLS LAST, sync_started_at LIMIT 200) a
-UNION ALL SELECT * FROM (SELECT entity_type, sync_completed_at, sync_started_at, 'asc' FROM sync_history
-  ORDER BY sync_completed_at NULLS FIRST, sync_started_at LIMIT 200) b""")
+SELECT entity_type, sync_completed_at, sync_started_at, 'desc' AS direction,
+       row_number() OVER (ORDER BY sync_completed_at DESC NULLS LAST, sync_started_at) AS position FROM sync_history
+UNION ALL SELECT entity_type, sync_completed_at, sync_started_at, 'asc',
+       row_number() OVER (ORDER BY sync_completed_at NULLS FIRST, sync_started_at) FROM sync_history""")
 
 # -- set operations
 add("dq_duplicates", " UNION ALL ".join(

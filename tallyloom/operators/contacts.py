@@ -74,3 +74,8 @@ def chunk_bodies(rows: DataFrame, tags: list[str] | None = None, size: int = CHU
             F.to_json(F.struct(F.transform("sorted", lambda x: x["c"]).alias("customers"), words.alias("tags"))).alias("body"),
         )
     )
+
+
+def write_files(rows: DataFrame, path: str, size: int = CHUNK) -> None:
+    """The contacts as JSON lines in files of at most `size` each, for a receiver that picks up files."""
+    rows.write.mode("overwrite").option("maxRecordsPerFile", size).json(path)

@@ -11,11 +11,12 @@ from tallyloom.functions.picking import earliest, latest
 
 
 def _pick(df: DataFrame, keys: Sequence[str], chooser, by: Sequence[str]) -> DataFrame:
-    return (
-        df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys])
-        .agg(chooser(df.columns, by).alias("_row"))
-        .select(*[F.col(f"_row.{name}") for name in df.columns])
-    )
+    """Chooses among the other columns; the keys are the group and need no second copy."""
+    others = [name for name in df.columns if name not in keys]
+    if not others:
+        return df.distinct()
+    chosen = df.groupBy(*keys).agg(chooser(others, [b for b in by if b not in keys]).alias("_row"))
+    return chosen.select(*[F.col(n) if n in keys else F.col(f"_row.{n}") for n in df.columns])
 
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:

@@ -1,5 +1,7 @@
 """Hand-made records for the cases where loosely typed JSON goes wrong."""
 
+import os
+
 from tallyloom import schemas
 from tallyloom.functions import times, values
 from tallyloom.operators import contacts, exports, flatten, matching
@@ -124,6 +126,12 @@ def test_contacts(spark):
     assert bodies.where("chunk = 1").first()["body"] == '{"customers":[{"customer_id":"c3","name":"n"}],"tags":[]}'
 
 
+def test_contact_files_are_bounded(spark, scratch):
+    rows_ = spark.range(25).selectExpr("'c' || id AS customer_id").coalesce(1)
+    contacts.write_files(rows_, scratch, size=10)
+    assert len([n for n in os.listdir(scratch) if n.endswith(".json")]) == 3 and spark.read.json(scratch).count() == 25
+
+
 def test_products_in_order_of_first_appearance(spark):
     bought = spark.createDataFrame(
         [("c", 2, "s2", 0, "a"), ("c", 1, "s1", 0, "b"), ("c", 1, "s1", 1, "a"), ("c", 3, "s3", 0, "z")],

@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oracle.queries import ORACLE
-from tallyloom import schemas, session
-from tallyloom.functions import times, values
-from tallyloom.operators import contacts, exports, flatten, matching, nesting, upsert
-from tallyloom.operators.ordinals import number_rows
-from tallyloom.plans import customers, invoices, quality, revenue, snapshot, summaries, sync_reports, unified
-from tallyloom.sinks import store
-from tallyloom.sinks.tables import Table
-from tallyloom.sources import landed, lookups, pages
-from tallyloom.sources.fixtures import Tables
-from tallyloom.streaming import feed, sync
+if (_here := str(Path(__file__).resolve().parent)) not in sys.path:
+    sys.path.insert(0, _here)
+
+from oracle.queries import ORACLE  # noqa: E402
+from tallyloom import schemas, session  # noqa: E402
+from tallyloom.functions import times, values  # noqa: E402
+from tallyloom.operators import contacts, exports, flatten, matching, nesting, upsert  # noqa: E402
+from tallyloom.operators.ordinals import number_rows  # noqa: E402
+from tallyloom.plans import customers, invoices, quality, revenue, snapshot, summaries, sync_reports, unified  # noqa: E402
+from tallyloom.sinks import store  # noqa: E402
+from tallyloom.sinks.tables import Table  # noqa: E402
+from tallyloom.sources import landed, lookups, pages  # noqa: E402
+from tallyloom.sources.fixtures import Tables  # noqa: E402
+from tallyloom.streaming import feed, sync  # noqa: E402
 
 # Reports on a moving window take the moment they report for.
 SYNC_AS_OF = "2024-01-31 00:00:00"

@@ -87,6 +87,20 @@ class Table:
         if batches := self._batches():
             self.replace(self.current() if self.keys else self.read(), batches[-1])
 
+    def drop_superseded(self) -> int:
+        """Deletes old versions of the base, and batches the base contains. Call it when no reader
+        of an older state is at work. Returns how many folders went."""
+        base = self._base()
+        if base is None:
+            return 0
+        old = [f"base/upto={n:0{_WIDTH}d}" for n in self._listing("base", "upto") if n < base]
+        old += [f"batches/batch={n:0{_WIDTH}d}" for n in self._listing("batches", "batch") if n <= base]
+        jvm = self.spark._jvm
+        for name in old:
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        return len(old)
+
     # -- reading ---------------------------------------------------------------------------------
 
     def _read(self, path: str) -> DataFrame:

@@ -61,6 +61,15 @@ def test_newest_row_wins_before_and_after_compaction(spark, table):
     assert table.last_batch() == 3
 
 
+def test_superseded_folders_can_go(spark, table):
+    for n in (1, 2):
+        table.append(batch(spark, ("a", n, n)), n)
+        table.compact()
+    table.append(batch(spark, ("b", 3, 3)), 3)
+    assert table.drop_superseded() == 3
+    assert sorted(tuple(r) for r in table.current().select("k", "v").collect()) == [("a", 2), ("b", 3)]
+
+
 def test_half_written_outputs_are_not_read(spark, table):
     table.replace(batch(spark, ("a", 1, 1)), 1)
     table.replace(batch(spark, ("b", 1, 1)), 2)

@@ -60,11 +60,24 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
         return run
 
-    return {name: bind(build) for name, build in REGISTRY.items()}
+    return {name: bind(build) for name, build in REGISTRY.items()} | _training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: text for name, text in ORACLE.items() if name in REGISTRY}
+    return {name: text for name, text in ORACLE.items() if name in REGISTRY} | _training_data()[1]
+
+
+def _training_data() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data operators, if that part of the repository is present."""
+    try:
+        import corpus_pipeline
+        from tallyloom.llm import queries as training
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "tallyloom.llm"):
+            raise
+        return {}, {}
+    sql = training.ORACLE | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return training.QUERIES | {"pipeline": corpus_pipeline.run}, sql
 
 
 def _table(t: Tables, label: str, schema: str, **options) -> Table:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import common, line_rules, quality_gbdt
+from tallyloom.llm import common, line_rules, packing, quality_gbdt
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -21,6 +21,17 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return run
 
 
+def public_tokenizer(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(common.table(spark, folder, "documents"), public_tokenizer())
+
+
 @query
 def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = common.table(spark, folder, "documents")

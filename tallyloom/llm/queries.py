@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import common, jaccard_join, line_rules, packing, quality_gbdt
+from tallyloom.llm import common, jaccard_join, line_rules, packing, quality_gbdt, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -37,6 +37,11 @@ def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(common.table(spark, folder, "documents"), public_tokenizer())
 
 
+@query
+def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.dedup(common.table(spark, folder, "documents")).drop("removed")
+
+
 @query
 def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = common.table(spark, folder, "documents")

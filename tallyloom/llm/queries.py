@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import common, jaccard_join, line_rules, packing, quality_gbdt, suffix_dedup
+from tallyloom.llm import common, decontaminate, jaccard_join, line_rules, packing, quality_gbdt, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -21,6 +21,11 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return run
 
 
+@query
+def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find(common.table(spark, folder, "documents"), common.table(spark, folder, "benchmark"))
+
+
 @query
 def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.groups(common.table(spark, folder, "documents"))

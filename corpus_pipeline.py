@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom import session
-from tallyloom.llm import common, quality_gbdt
+from tallyloom.llm import common, decontaminate, jaccard_join, packing, quality_gbdt, queries, suffix_dedup
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,7 +17,37 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return quality_gbdt.keep_good(docs, trees)
 
 
-STAGES = [("quality classifier", quality_classifier)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of similar ones."""
+    common.prepare(spark)
+    return jaccard_join.keep_one(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the long byte strings that occur more than once."""
+    common.prepare(spark)
+    return suffix_dedup.clean(docs)
+
+
+def benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item is found."""
+    common.prepare(spark)
+    return decontaminate.drop_found(docs, common.table(spark, sf_dir, "benchmark"))
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of training sequences."""
+    common.prepare(spark)
+    return packing.pack(docs, queries.public_tokenizer())
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("n-gram Jaccard join", near_duplicates),
+    ("suffix-array dedup", repeated_passages),
+    ("benchmark decontamination", benchmark_items),
+    ("packing", sequences),
+]
 
 # Trees, a tokenizer and a suffix order stand in the way of SQL; tests/llm compares with brute force.
 ORACLE_SQL = None

@@ -12,6 +12,7 @@ from tallyloom import session
 
 # Rows handed to Python at once; texts differ in length by four orders of magnitude.
 ARROW_ROWS = 1000
+ARROW_BYTES = 32 << 20
 WHITE = b" \t\n\x0b\x0c\r"
 
 
@@ -19,6 +20,7 @@ def prepare(spark: SparkSession) -> None:
     """Bound the rows of one Arrow batch and make sure that a shared folder is known."""
     session.apply_settings(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     session.shared_folder(spark)
 
 

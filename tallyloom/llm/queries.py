@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import common, decontaminate, jaccard_join, line_rules, packing, quality_gbdt, suffix_dedup
+from tallyloom.llm import common, decontaminate, interpolated_lm, jaccard_join, line_rules, packing, quality_gbdt, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -42,6 +42,11 @@ def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(common.table(spark, folder, "documents"), public_tokenizer())
 
 
+@query
+def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return interpolated_lm.score(common.table(spark, folder, "documents"))
+
+
 @query
 def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.dedup(common.table(spark, folder, "documents")).drop("removed")

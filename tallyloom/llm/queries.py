@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import common, decontaminate, interpolated_lm, jaccard_join, line_rules, packing, quality_gbdt, suffix_dedup
+from tallyloom.llm import common, decontaminate, interpolated_lm, jaccard_join, line_rules, packing, quality_gbdt, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -42,6 +42,12 @@ def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(common.table(spark, folder, "documents"), public_tokenizer())
 
 
+@query
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = common.table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, common.table(spark, folder, "labels")))
+
+
 @query
 def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return interpolated_lm.score(common.table(spark, folder, "documents"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import chat_template, common, decontaminate, interpolated_lm, jaccard_join, line_rules, packing, quality_gbdt, suffix_dedup, toxicity
+from tallyloom.llm import chat_template, common, decontaminate, html_crf, interpolated_lm, jaccard_join, line_rules, packing, quality_gbdt, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -21,6 +21,11 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return run
 
 
+@query
+def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_crf.extract(common.table(spark, folder, "pages"), html_crf.fit())
+
+
 @query
 def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find(common.table(spark, folder, "documents"), common.table(spark, folder, "benchmark"))

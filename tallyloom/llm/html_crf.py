@@ -243,7 +243,7 @@ def viterbi(scores: np.ndarray, steps: np.ndarray) -> list[int]:
     return out[::-1]
 
 
-def learn(pages: list[tuple[list[list[int]], list[int]]], rounds: int = 120, rate: float = 0.3, keep: float = 0.02) -> Field:
+def learn(pages: list[tuple[list[list[int]], list[int]]], rounds: int = 240, rate: float = 0.6, keep: float = 0.002) -> Field:
     """Maximise the likelihood of the pages' labels; pages of different length go through the sums side by side."""
     pages = [p for p in pages if p[0]]
     longest = max(len(rows) for rows, _ in pages)
@@ -299,7 +299,7 @@ def learn(pages: list[tuple[list[list[int]], list[int]]], rounds: int = 120, rat
 _SYLLABLES = "ba co di fu le mi no pra ru sta ti ver lo gan en sel ora tu pi kal dem os är é ön".split()
 
 
-def labelled_pages(count: int = 260, seed: int = 7) -> list[str]:
+def labelled_pages(count: int = 400, seed: int = 7) -> list[str]:
     """Pages of many layouts with invented words; `data-main` marks the main text."""
     r = random.Random(seed)
     pick, chance = r.choice, r.random
@@ -347,29 +347,30 @@ def labelled_pages(count: int = 260, seed: int = 7) -> list[str]:
 
     def article() -> str:
         m = ' data-main="1"'
-        out = [f"<{pick(('h1', 'h1', 'h2'))}{m}>{words(2, 10).capitalize()}</h1>"] if chance() < 0.85 else []
+        head = lambda *names: (lambda tag: f"<{tag}{m}>{words(1, 8).capitalize()}</{tag}>")(pick(names))
+        out = [head("h1", "h1", "h2")] if chance() < 0.85 else []
         for _ in range(r.randint(1, 9)):
             kind = chance()
-            if kind < 0.55:
+            if kind < 0.48:
                 out.append(f"<p{m}>{sentences(1, 7)}{pick(('</p>', '</p>', '</p>', ''))}")
-            elif kind < 0.62:
+            elif kind < 0.54:
                 out.append(f"<p{m}><b>{sentences(1, 5)}<br>")
-            elif kind < 0.68:
+            elif kind < 0.59:
                 out.append(f"<p{m}>{words(1, 6)}{pick(('', '.'))}</p>")
-            elif kind < 0.74:
-                out.append(f"<{pick(('h2', 'h3'))}{m}>{words(1, 6).capitalize()}</h2>")
-            elif kind < 0.80:
+            elif kind < 0.64:
+                out.append(head("h2", "h3"))
+            elif kind < 0.69:
                 out.append("<ul>" + "".join(f"<li{m}>{pick((words(1, 9), sentences(1, 2)))}</li>" for _ in range(r.randint(2, 5))) + "</ul>")
-            elif kind < 0.85:
+            elif kind < 0.73:
                 out.append(f"<blockquote{m}><p>{sentences(1, 3)}</p></blockquote>")
-            elif kind < 0.89:
+            elif kind < 0.77:
                 out.append("<table>" + "".join(f"<tr><td{m}>{words(1, 3)}</td><td{m}>{r.randint(1, 9999)}</td></tr>" for _ in range(r.randint(1, 4))) + "</table>")
-            elif kind < 0.92:
+            elif kind < 0.79:
                 out.append(f"<p{m}>{sentences(1, 2)} {link(words(1, 4))} {sentences(1, 2)}</p>")
-            elif kind < 0.94:
+            elif kind < 0.81:
                 out.append(f"<p{m}>{'&amp;&amp; ### '.join(words(1, 4) for _ in range(4))}</p>")
             else:
-                out.append(pick((advert, side, form, notice))())
+                out.append(pick((advert, advert, side, form, notice))())
         return "".join(out)
 
     def page() -> str:
@@ -380,7 +381,7 @@ def labelled_pages(count: int = 260, seed: int = 7) -> list[str]:
         if chance() < 0.25:
             top.append(links(2, 4, named("breadcrumb")))
         extra = [f() for f in (advert, notice, form) if chance() < 0.35]
-        box = pick((("article", ""), ("article", ""), ("article", ""), ("main", ""), ("div", named("content", "post", "article-body", "entry", "story", "main")),
+        box = pick((("article", ""), ("article", ""), ("article", ""), ("main", ""), ("main", ""), ("div", named("content", "post", "article-body", "entry", "story", "main")),
                     ("section", named("content", "article")), ("div", ""), ("div", f' class="{word()}"')))
         middle = f"<{box[0]}{box[1]}>{article()}</{box[0]}>"
         if chance() < 0.2:

@@ -389,7 +389,7 @@ def clean(docs: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
     """
     rows = docs.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
     own = [c for c in docs.columns if c not in ("doc_id", "text")]
-    held = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.struct(*own).alias("own") if own else F.lit(1).alias("own"))
+    held = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.struct(*(F.col(f"`{c}`") for c in own)).alias("own") if own else F.lit(1).alias("own"))
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         kept = [
@@ -399,7 +399,7 @@ def clean(docs: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
         return pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(kept, pa.string()), batch["own"]], ["doc_id", "text", "own"])
 
     cleaned = common.map_arrow(repeats(held, min_length), step, held.schema)
-    columns = {c: F.col(f"own.`{c}`") for c in own} | {"doc_id": F.col("doc_id"), "text": F.col("text")}
+    columns = {c: F.col("own")[c] for c in own} | {"doc_id": F.col("doc_id"), "text": F.col("text")}
     if "n_chars" in columns:
         columns["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
     return cleaned.select(*(columns[c].alias(c) for c in docs.columns))

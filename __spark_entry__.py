@@ -531,12 +531,8 @@ def _(t):
 
 @query("filter_array_non_empty")
 def _(t):
-    people = unified.attach(
-        unified.join_both_systems(t.m_customers, t.b_customers), [unified.session_children(t.m_sessions)]
-    )
-    return people.where(F.size("sessions") > 0).select(
-        "client_id", "array_page", F.size("sessions").cast("long").alias("session_count")
-    )
+    people = unified.with_counts(_people(t), [unified.session_children(t.m_sessions)])
+    return people.where("sessions_count > 0").select("client_id", c("sessions_count").alias("session_count"))
 
 
 @query("filter_param")
@@ -658,26 +654,23 @@ def _people(t: Tables) -> DataFrame:
 
 @query("unnest_cars")
 def _(t):
-    people = unified.attach(_people(t), [unified.asset_children(t.m_assets)])
-    return unified.unnest(people, "assets", ["client_id", "email", "full_name"])
+    return unified.unnest(_people(t), unified.asset_children(t.m_assets), ["client_id", "email", "full_name"])
 
 
 @query("unnest_sessions")
 def _(t):
-    people = unified.attach(_people(t), [unified.session_children(t.m_sessions)])
-    return unified.unnest(people, "sessions", ["client_id", "email"])
+    return unified.unnest(_people(t), unified.session_children(t.m_sessions), ["client_id", "email"])
 
 
 @query("unnest_subs_with_tiers")
 def _(t):
-    people = unified.attach(_people(t), [unified.membership_subscription_children(t.m_subscriptions, t.m_tiers)])
-    return unified.unnest(people, "membership_subscriptions", ["client_id", "email"])
+    child = unified.membership_subscription_children(t.m_subscriptions, t.m_tiers)
+    return unified.unnest(_people(t), child, ["client_id", "email"])
 
 
 @query("unnest_billing_subscriptions")
 def _(t):
-    people = unified.attach(_people(t), [unified.billing_subscription_children(t.b_subscriptions)])
-    return unified.unnest(people, "billing_subscriptions", ["client_id"])
+    return unified.unnest(_people(t), unified.billing_subscription_children(t.b_subscriptions), ["client_id"])
 
 
 @query("latest_sync_per_entity")
@@ -773,13 +766,10 @@ def _(t):
 
 @query("agg_array_struct_ordered")
 def _(t):
-    child = unified.billing_subscription_children(t.b_subscriptions)
-    arrays, further = nesting.nested(child, nesting.PAGE, bool(nesting.crowded_names([child], nesting.PAGE)))
-    pages_ = arrays.withColumn("array_page", F.lit(0))
-    pages_ = pages_ if further is None else pages_.unionByName(further)
+    arrays = nesting.nested(unified.billing_subscription_children(t.b_subscriptions))
     items = c("billing_subscriptions")
-    return pages_.select(
-        "customer_id", "array_page", F.size(items).cast("long").alias("n"),
+    return arrays.select(
+        "customer_id", F.size(items).cast("long").alias("n"),
         F.array_join(F.transform(items, lambda x: x["subscription_id"]), ",").alias("ids"),
         F.array_join(F.transform(items, lambda x: x["sub_amount_cents"].cast("string")), ",").alias("amounts"),
     )
@@ -787,12 +777,9 @@ def _(t):
 
 @query("agg_array_distinct_non_null")
 def _(t):
-    child = unified.billing_product_children(t.b_subscriptions)
-    arrays, further = nesting.nested(child, nesting.PAGE, bool(nesting.crowded_names([child], nesting.PAGE)))
-    pages_ = arrays.withColumn("array_page", F.lit(0))
-    pages_ = pages_ if further is None else pages_.unionByName(further)
+    arrays = nesting.nested(unified.billing_product_children(t.b_subscriptions))
     ids = F.transform("billing_product_ids", lambda x: x["product_id"])
-    return pages_.select("customer_id", "array_page", F.array_join(ids, ",").alias("product_ids"))
+    return arrays.select("customer_id", F.array_join(ids, ",").alias("product_ids"))
 
 
 @query("agg_min_max_dates")
@@ -810,7 +797,7 @@ def _(t):
 def _(t):
     products = flatten.product_ids(landed.subscription_records(t.b_subscriptions, expanded=True))
     lists = contacts.ordered_products(products)
-    return lists.select("customer_id", "array_page", F.array_join("products", ",").alias("products"))
+    return lists.select("customer_id", F.array_join("products", ",").alias("products"))
 
 
 @query("customer_date_range")
@@ -1017,14 +1004,10 @@ def _(t):
 @query("scalar_array")
 def _(t):
     pairs = t.b_subscriptions.where("product_id is not null").select("customer_id", "product_id").distinct()
-    child = nesting.Children("ids", pairs, "customer_id", ("product_id",), ("product_id",))
-    arrays, further = nesting.nested(child, nesting.PAGE, bool(nesting.crowded_names([child], nesting.PAGE)))
-    pages_ = arrays.withColumn("array_page", F.lit(0))
-    pages_ = pages_ if further is None else pages_.unionByName(further)
+    arrays = nesting.nested(nesting.Children("ids", pairs, "customer_id", ("product_id",), ("product_id",)))
     ids = F.coalesce("ids", F.array().cast(arrays.schema["ids"].dataType))
-    return t.b_customers.select("customer_id").join(pages_, "customer_id", "left").select(
-        "customer_id", F.coalesce("array_page", F.lit(0)).alias("array_page"), F.size(ids).cast("long").alias("n"),
-        F.get(ids, F.lit(0))["product_id"].alias("first_id"),
+    return t.b_customers.select("customer_id").join(arrays, "customer_id", "left").select(
+        "customer_id", F.size(ids).cast("long").alias("n"), F.get(ids, F.lit(0))["product_id"].alias("first_id"),
     )
 
 
@@ -1078,6 +1061,41 @@ def _(t):
     return s.history.read().select("entity_type", "last_sync_timestamp", "records_synced", "sync_completed_at", "status")
 
 
+def _stored_customers(s: store.Store) -> DataFrame:
+    """Every stored row, so that a row that was added twice shows."""
+    return s.billing["customers"].read().drop("updated_at", "ingested_at", "created_month")
+
+
+@query("rerun_batch")
+def _(t):
+    s, (everything, early) = _store(t, "rerun"), _customer_increments(t)
+    for batch, records in ((1, early), (2, everything), (2, everything)):
+        sync.sync_entity(s, "customers", records, batch, now=f"2024-02-0{batch} 00:00:00")
+    return _stored_customers(s)
+
+
+def _broken(t: Tables) -> DataFrame:
+    return t.spark.range(1).select(F.lit("{broken").alias("json_data"))
+
+
+@query("failed_then_retried")
+def _(t):
+    s, (everything, _early) = _store(t, "retried"), _customer_increments(t)
+    for allowed in (0.0, 0.5):
+        sync.sync_entity(s, "customers", everything.unionByName(_broken(t)), 1, now=SYNCED_AT, allowed_bad=allowed)
+    return _stored_customers(s)
+
+
+@query("old_bad_records")
+def _(t):
+    s, (everything, early) = _store(t, "old-bad"), _customer_increments(t)
+    for batch, records, allowed in ((1, early, 0.5), (2, everything, 0.0)):
+        sync.sync_entity(
+            s, "customers", records.unionByName(_broken(t)), batch, now=f"2024-02-0{batch} 00:00:00", allowed_bad=allowed
+        )
+    return _stored_customers(s)
+
+
 @query("late_records")
 def _(t):
     s, (everything, _early) = _store(t, "late"), _customer_increments(t)
@@ -1182,7 +1200,8 @@ def _(t):
 
 @query("unified_counts")
 def _(t):
-    return unified.array_counts(_unified(t), ["client_id", "billing_id", "email", "full_name"])
+    children = unified.all_children(t.b_subscriptions, t.m_subscriptions, t.m_tiers, t.m_assets, t.m_sessions)
+    return unified.with_counts(_people(t).select("client_id", "billing_id", "email", "full_name"), children)
 
 
 @query("delinquent_customers")

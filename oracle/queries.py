@@ -47,7 +47,8 @@ SELECT product_id, name, description, product_key, metadata_order, perks, refund
 FROM m_tiers"""
 
 # -- sources
-for _name in ("scan_page_envelopes", "flatten_customers", "incremental_sync", "stream_pages"):
+for _name in ("scan_page_envelopes", "flatten_customers", "incremental_sync", "stream_pages", "rerun_batch",
+              "failed_then_retried", "old_bad_records"):
     add(_name, FLAT_CUSTOMERS)
 add("scan_list_or_envelope", """
 SELECT product_id AS id, cast(split_part(product_id, '_', 2) AS bigint) // 100 + 1 AS page FROM m_tiers
@@ -140,7 +141,7 @@ add("export_subscriptions", EXPORT)
 add("extract_subscription_rows", EXPORT)
 add("export_customers", f"SELECT * EXCLUDE (subscription_id) FROM ({EXPORT}) x")
 add("extract_customer_rows", f"""
-SELECT * EXCLUDE (subscription_id) FROM (SELECT * FROM ({EXPORT}) x ORDER BY subscription_id LIMIT 1200) y""")
+SELECT * EXCLUDE (subscription_id) FROM ({EXPORT}) x""")
 
 PRODUCTS = """products AS (
 SELECT subscription_id, customer_id, created, cast(0 AS bigint) AS place, product_id FROM b_subscriptions
@@ -266,7 +267,7 @@ add("filter_overdue", """
 SELECT invoice_id, due_date, amount_remaining FROM b_invoices
 WHERE status <> 'paid' AND due_date < timestamp '2001-08-01' AND amount_remaining > 0""")
 add("filter_array_non_empty", """
-SELECT m.client_id, 0 AS array_page, s.n AS session_count
+SELECT m.client_id, s.n AS session_count
 FROM m_customers m JOIN b_customers b ON b.customer_id = m.billing_id
 JOIN (SELECT client_id, count(*) AS n FROM m_sessions GROUP BY client_id) s ON s.client_id = m.client_id""")
 add("filter_param", "SELECT entity_type, sync_completed_at, status FROM sync_history WHERE entity_type = 'purchase'")
@@ -412,11 +413,11 @@ add("agg_count_distinct", """
 SELECT status, count(DISTINCT product_id) AS products, count(DISTINCT customer_id || '/' || plan_name) AS customer_plans
 FROM b_subscriptions GROUP BY status""")
 add("agg_array_struct_ordered", """
-SELECT customer_id, 0 AS array_page, count(*) AS n, string_agg(subscription_id, ',' ORDER BY created DESC, subscription_id DESC) AS ids,
+SELECT customer_id, count(*) AS n, string_agg(subscription_id, ',' ORDER BY created DESC, subscription_id DESC) AS ids,
        string_agg(cast(amount_cents AS varchar), ',' ORDER BY created DESC, subscription_id DESC) AS amounts
 FROM b_subscriptions GROUP BY customer_id""")
 add("agg_array_distinct_non_null", """
-SELECT customer_id, 0 AS array_page, string_agg(product_id, ',' ORDER BY product_id) AS product_ids
+SELECT customer_id, string_agg(product_id, ',' ORDER BY product_id) AS product_ids
 FROM (SELECT DISTINCT customer_id, product_id FROM b_subscriptions WHERE product_id IS NOT NULL) d GROUP BY customer_id""")
 add("agg_min_max_dates", """
 SELECT client_id, count(*) AS total, min(cast(session_date AS date)) AS first_date, max(cast(session_date AS date)) AS last_date
@@ -426,7 +427,7 @@ SELECT client_id, billing_id, updated_at, subscription_id, product_id FROM (
   SELECT *, row_number() OVER (PARTITION BY client_id, billing_id ORDER BY updated_at, subscription_id, product_id) AS rn
   FROM m_subscriptions) r WHERE rn = 1""")
 add("dedup_ordered_list", """
-SELECT customer_id, 0 AS array_page, string_agg(product_id, ',' ORDER BY rank) AS products FROM (
+SELECT customer_id, string_agg(product_id, ',' ORDER BY rank) AS products FROM (
   SELECT customer_id, product_id, min(n) AS rank FROM (
     SELECT customer_id, product_id, row_number() OVER (PARTITION BY customer_id ORDER BY created, subscription_id, place) AS n
     FROM products) x GROUP BY 1, 2) y GROUP BY customer_id""", PRODUCTS)
@@ -547,7 +548,7 @@ add("scalar_json", """
 SELECT subscription_id, status, subscription_interval AS plan_interval, subscription_interval = 'year' AS product_is_object,
   cast(NULL AS varchar) AS sixth_item, cast(epoch(created) AS bigint) AS created_seconds FROM b_subscriptions""")
 add("scalar_array", """
-SELECT c.customer_id, 0 AS array_page, coalesce(d.n, 0) AS n, d.f AS first_id FROM b_customers c
+SELECT c.customer_id, coalesce(d.n, 0) AS n, d.f AS first_id FROM b_customers c
 LEFT JOIN (SELECT customer_id, count(DISTINCT product_id) AS n, min(product_id) AS f FROM b_subscriptions
   WHERE product_id IS NOT NULL GROUP BY customer_id) d USING (customer_id)""")
 add("scalar_math", """
@@ -602,7 +603,7 @@ LEFT JOIN u_sessions us ON us.client_id = m.client_id"""
 COUNTS = """coalesce(ub.n, 0) AS billing_subscriptions_count, coalesce(ub.products, 0) AS billing_product_ids_count,
 coalesce(um.n, 0) AS membership_subscriptions_count, coalesce(ua.n, 0) AS assets_count, coalesce(us.n, 0) AS sessions_count"""
 add("unified_customers", f"""
-SELECT {SCALARS}, 0 AS array_page, {COUNTS}, coalesce(ub.ids, '') AS billing_subscriptions_ids,
+SELECT {SCALARS}, {COUNTS}, coalesce(ub.ids, '') AS billing_subscriptions_ids,
   coalesce(um.ids, '') AS membership_subscriptions_ids, coalesce(ua.ids, '') AS assets_ids,
   coalesce(us.ids, '') AS sessions_ids, coalesce(up.ids, '') AS billing_product_list {CHAIN}""", UNIFIED)
 ORACLE["ctas_unified"] = ORACLE["unified_customers"]

@@ -60,4 +60,10 @@ def printed(seconds: ColumnOrName) -> Column:
 
 
 def parsed(text: ColumnOrName) -> Column:
-    return _col(text).try_cast("timestamp_ntz")
+    """A time from text. With a zone or an offset it is brought to UTC; without, it is taken as UTC."""
+    value = F.trim(_col(text))
+    # Through the session's zone and back out of it, so that the zone does not matter.
+    zoned = F.convert_timezone(F.current_timezone(), F.lit("UTC"), value.try_cast("timestamp").cast("timestamp_ntz"))
+    return F.when(value.rlike(r"\d\s*(Z|UTC|GMT|[+-]\d{1,2}:?\d{2})$") & value.contains(":"), zoned).otherwise(
+        value.try_cast("timestamp_ntz")
+    )

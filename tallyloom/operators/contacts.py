@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.values import is_truthy, truthy
-from tallyloom.operators.nesting import PAGE, Children, crowded_names, nested
+from tallyloom.operators.nesting import Children, nested
 from tallyloom.operators.ordinals import number_rows
 from tallyloom.sources.lookups import contactable
 
@@ -20,16 +20,11 @@ def first_positions(products: DataFrame) -> DataFrame:
     )
 
 
-def ordered_products(products: DataFrame, page: int = PAGE) -> DataFrame:
-    """Each customer's distinct products in order of first appearance, as pages of an array."""
+def ordered_products(products: DataFrame) -> DataFrame:
+    """Each customer's distinct products in order of first appearance."""
     pairs = first_positions(products).select("customer_id", "product_id", "seen")
     child = Children("products", pairs, "customer_id", ("product_id",), ("seen", "product_id"))
-    first, further = nested(child, page, bool(crowded_names([child], page)))
-    first = first.withColumn("array_page", F.lit(0))
-    pages = first if further is None else first.unionByName(further)
-    return pages.select(
-        "customer_id", "array_page", F.transform("products", lambda x: x["product_id"]).alias("products")
-    )
+    return nested(child).select("customer_id", F.transform("products", lambda x: x["product_id"]).alias("products"))
 
 
 def contacts(customers: DataFrame, products: DataFrame) -> DataFrame:

@@ -17,7 +17,6 @@ SUBSCRIPTION_EXPORT = (
     "customer_postal_code", "currency", "amount", "interval", "plan_name",
 )
 CUSTOMER_EXPORT = SUBSCRIPTION_EXPORT[1:]
-CUSTOMER_EXPORT_LIMIT = 1200
 
 
 def enrich(subscriptions: DataFrame, customers: DataFrame, payment_methods: DataFrame) -> DataFrame:
@@ -71,13 +70,12 @@ def subscription_rows(subscriptions: DataFrame, customers: DataFrame, payment_me
 
 
 def customer_rows(subscriptions: DataFrame, customers: DataFrame, payment_methods: DataFrame,
-                  limit: int | None = CUSTOMER_EXPORT_LIMIT) -> DataFrame:
-    """The same without the subscription id, for the first `limit` subscriptions by id."""
+                  limit: int | None = None) -> DataFrame:
+    """The same without the subscription id, for all subscriptions, or the first `limit` by id."""
     if limit is not None:
         ident, owner = (F.get_json_object("json_data", f"$.{field}") for field in ("id", "customer"))
         subscriptions = subscriptions.select("json_data", ident.alias("_id"), owner.alias("_owner")).orderBy("_id").limit(limit)
-        # At most `limit` ids, so this broadcast has a fixed bound; the customers are filtered in place.
-        owners = F.broadcast(subscriptions.select("_owner").distinct())
+        owners = subscriptions.select("_owner").distinct()
         customers = customers.join(owners, F.get_json_object(customers["json_data"], "$.id") == owners["_owner"], "left_semi")
     return subscription_rows(subscriptions, customers, payment_methods).select(*CUSTOMER_EXPORT)
 

@@ -30,8 +30,8 @@ def _instant(seconds: Column) -> Column:
     return from_seconds(truthy(seconds, 0))
 
 
-def quarantine(raw: DataFrame, schema: str, key: str) -> tuple[DataFrame, DataFrame]:
-    """Splits raw records into readable ones and (json_data, reason) of the others.
+def judged(raw: DataFrame, schema: str, key: str) -> DataFrame:
+    """Raw records with `reason`, which is null for readable ones.
 
     A record is unreadable if it is not JSON of the expected shape or has no key. Without this
     check such a record would turn into a row of nulls.
@@ -42,8 +42,13 @@ def quarantine(raw: DataFrame, schema: str, key: str) -> tuple[DataFrame, DataFr
         F.when(typed.isNull() | typed[schemas.CORRUPT].isNotNull(), "not readable")
         .when(~F.coalesce(is_truthy(typed[key]), F.lit(False)), f"no {key}")
     )
-    judged = with_parsed(raw, whole, "_typed").withColumn("reason", reason).drop("_typed")
-    return judged.where("reason is null").drop("reason"), judged.where("reason is not null")
+    return with_parsed(raw, whole, "_typed").withColumn("reason", reason).drop("_typed")
+
+
+def quarantine(raw: DataFrame, schema: str, key: str) -> tuple[DataFrame, DataFrame]:
+    """Splits raw records into readable ones and (json_data, reason) of the others."""
+    rows = judged(raw, schema, key)
+    return rows.where("reason is null").drop("reason"), rows.where("reason is not null")
 
 
 def flatten_customers(raw: DataFrame, synced_at: Column | None = None) -> DataFrame:

@@ -1,32 +1,24 @@
-"""One-to-many rows as arrays, with a bound on the size of a single row.
+"""One-to-many rows as arrays: one row per parent with the whole list, in a defined order.
 
-Customers with up to `page` children get one array with all of them. A customer above that bound
-gets several rows: array_page 0, 1, 2 ... hold consecutive stretches of the same ordered list.
-Nothing is dropped; only the length of one array is bounded.
+The shape is the same whatever the sizes are, and building a plan runs no job. Items are gathered map-side before they
+are shuffled. A list is one value of one row, as the nested record asks for; reports that need single items or only their number
+use `items` or `item_counts`, which never build a list.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.picking import ordered_array
-from tallyloom.operators.ordinals import number_rows_within
-
-PAGE = 10_000
+from tallyloom.functions.values import is_truthy
 
 
 @dataclass(frozen=True)
 class Children:
-    """Rows to nest: the key of the parent, the fields of an item and the order of the items.
-
-    `counted` may name a cheaper frame that has at least as many rows per key, such as the rows
-    before a lookup join or before duplicates are removed.
-    """
+    """Rows to nest: the key of the parent, the fields of an item and the order of the items."""
 
     name: str
     rows: DataFrame
@@ -34,54 +26,19 @@ class Children:
     fields: tuple[str, ...]
     order: tuple[str, ...]
     descending: bool = False
-    counted: DataFrame | None = None
 
     @property
-    def source(self) -> DataFrame:
-        return self.rows if self.counted is None else self.counted
-
-
-def _crowded(rows: DataFrame, key: str, page: int) -> DataFrame:
-    """Keys with more rows than fit one array; counted map-side first."""
-    present = rows.where(F.col(key).isNotNull())
-    return present.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > page).select(key)
-
-
-def crowded_names(children: Sequence[Children], page: int) -> set[str]:
-    """Child tables that may have a crowded key: one job over the key columns of their sources.
-
-    Brings back one number per source.
-    """
-    sources: dict[tuple[int, str], list[Children]] = {}
-    for child in children:
-        sources.setdefault((id(child.source), child.key), []).append(child)
-    marks = [
-        _crowded(group[0].source, key, page).agg(F.count(F.lit(1)).alias("keys")).withColumn("source", F.lit(number))
-        for number, ((_, key), group) in enumerate(sources.items())
-    ]
-    found = reduce(DataFrame.unionByName, marks).where("keys > 0").collect()
-    groups = list(sources.values())
-    return {child.name for row in found for child in groups[row["source"]]}
+    def items(self) -> DataFrame:
+        """The rows that have a parent; a blank key names nobody."""
+        return self.rows.where(is_truthy(self.key))
 
 
-def _arrays(child: Children, rows: DataFrame, by: Sequence[str]) -> DataFrame:
+def nested(child: Children) -> DataFrame:
+    """The key and the array of its items."""
     array = ordered_array(child.fields, child.order, child.descending)
-    return rows.groupBy(*by).agg(array.alias(child.name))
+    return child.items.groupBy(child.key).agg(array.alias(child.name))
 
 
-def nested(child: Children, page: int, has_crowd: bool) -> tuple[DataFrame, DataFrame | None]:
-    """Arrays of page 0 by key, and the further pages as (key, array_page, array) if there are any."""
-    rows = child.rows.where(F.col(child.key).isNotNull())
-    if not has_crowd:
-        return _arrays(child, rows, [child.key]), None
-    crowd = _crowded(child.rows, child.key, page)
-    calm = rows.join(crowd, child.key, "left_anti")
-    busy = rows.join(crowd, child.key, "left_semi")
-    columns = list(dict.fromkeys([*child.order, *child.fields]))
-    order = [F.desc(c) if child.descending else F.asc(c) for c in columns]
-    paged = number_rows_within(busy, [child.key], order).withColumn(
-        "array_page", F.floor((F.col("ordinal") - 1) / page).cast("int")
-    )
-    pages = _arrays(child, paged, [child.key, "array_page"])
-    first = pages.where("array_page = 0").drop("array_page")
-    return _arrays(child, calm, [child.key]).unionByName(first), pages.where("array_page > 0")
+def item_counts(child: Children) -> DataFrame:
+    """The key and the number of its items."""
+    return child.items.groupBy(child.key).agg(F.count(F.lit(1)).alias(f"{child.name}_count"))

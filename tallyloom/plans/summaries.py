@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.picking import active_first, latest
 from tallyloom.functions.times import day_of
+from tallyloom.functions.values import is_truthy
 
 BILLING_LATEST = (
     "subscription_id", "status", "plan_name", "amount_cents", "currency", "subscription_interval",
@@ -25,7 +26,7 @@ def billing_summary(subscriptions: DataFrame) -> DataFrame:
     status = F.col("status")
     by = [active_first(), "created", "subscription_id"]
     return (
-        subscriptions.where(F.col("customer_id").isNotNull())
+        subscriptions.where(is_truthy("customer_id"))
         .groupBy("customer_id")
         .agg(
             latest(BILLING_LATEST, by).alias("latest"),
@@ -39,7 +40,7 @@ def billing_summary(subscriptions: DataFrame) -> DataFrame:
 def membership_summary(subscriptions: DataFrame) -> DataFrame:
     by = [active_first(), "updated_at", "subscription_id"]
     return (
-        subscriptions.where(F.col("billing_id").isNotNull())
+        subscriptions.where(is_truthy("billing_id"))
         .groupBy("billing_id")
         .agg(
             latest(MEMBERSHIP_LATEST, by).alias("latest"),
@@ -52,7 +53,7 @@ def membership_summary(subscriptions: DataFrame) -> DataFrame:
 def tiers_used(subscriptions: DataFrame) -> DataFrame:
     """Distinct products per customer, counted through one row per customer and product."""
     return (
-        subscriptions.where(F.col("billing_id").isNotNull())
+        subscriptions.where(is_truthy("billing_id"))
         .groupBy("billing_id", "product_id").agg(F.count(F.lit(1)).alias("n"))
         .groupBy("billing_id").agg(F.count("product_id").alias("distinct_tiers"))
     )
@@ -61,7 +62,7 @@ def tiers_used(subscriptions: DataFrame) -> DataFrame:
 def session_summary(sessions: DataFrame) -> DataFrame:
     by = ["session_date", "session_id"]
     return (
-        sessions.where(F.col("client_id").isNotNull())
+        sessions.where(is_truthy("client_id"))
         .groupBy("client_id")
         .agg(
             latest(SESSION_LATEST, by).alias("latest"),
@@ -75,7 +76,7 @@ def session_summary(sessions: DataFrame) -> DataFrame:
 def asset_summary(assets: DataFrame) -> DataFrame:
     by = ["updated_at", "asset_id"]
     return (
-        assets.where(F.col("billing_id").isNotNull())
+        assets.where(is_truthy("billing_id"))
         .groupBy("billing_id")
         .agg(latest(ASSET_LATEST, by).alias("latest"), F.count(F.lit(1)).alias("total"))
     )

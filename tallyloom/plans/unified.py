@@ -11,8 +11,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.values import full_name
-from tallyloom.operators.nesting import PAGE, Children, crowded_names, nested
+from tallyloom.functions.values import full_name, is_truthy
+from tallyloom.operators.nesting import Children, item_counts, nested
 from tallyloom.plans.summaries import current_tier
 
 MEMBER_COLUMNS = (
@@ -26,7 +26,7 @@ ARRAYS = ("billing_subscriptions", "billing_product_ids", "membership_subscripti
 
 def join_both_systems(members: DataFrame, customers: DataFrame) -> DataFrame:
     """Members with their billing customer; anyone known to one system only is left out."""
-    member = members.where(F.col("billing_id").isNotNull()).select(
+    member = members.where(is_truthy("billing_id")).select(
         "client_id", "billing_id", "email", "first_name", "last_name",
         full_name("first_name", "last_name").alias("full_name"), "phone_number",
         F.col("customer_created_date").alias("membership_since"),
@@ -74,13 +74,12 @@ def billing_subscription_children(subscriptions: DataFrame) -> Children:
         "collection_method", F.col("created").alias("sub_created"), F.col("updated_at").alias("sub_updated_at"),
     )
     return Children("billing_subscriptions", rows, "customer_id", tuple(rows.columns[1:]),
-                    ("sub_created", "subscription_id"), descending=True, counted=subscriptions)
+                    ("sub_created", "subscription_id"), descending=True)
 
 
 def billing_product_children(subscriptions: DataFrame) -> Children:
     rows = subscriptions.where(F.col("product_id").isNotNull()).select("customer_id", "product_id").distinct()
-    return Children("billing_product_ids", rows, "customer_id", ("product_id",), ("product_id",),
-                    counted=subscriptions)
+    return Children("billing_product_ids", rows, "customer_id", ("product_id",), ("product_id",))
 
 
 def membership_subscription_children(subscriptions: DataFrame, tiers: DataFrame) -> Children:
@@ -90,8 +89,7 @@ def membership_subscription_children(subscriptions: DataFrame, tiers: DataFrame)
         "tier_name", "tier_key", "tier_description", "tier_perks", "tier_taxable_amount",
         F.col("updated_at").alias("sub_updated_at"), F.col("ingested_at").alias("sub_ingested_at"),
     )
-    return Children("membership_subscriptions", rows, "billing_id", tuple(rows.columns[1:]), ("subscription_id",),
-                    counted=subscriptions)
+    return Children("membership_subscriptions", rows, "billing_id", tuple(rows.columns[1:]), ("subscription_id",))
 
 
 def asset_children(assets: DataFrame) -> Children:
@@ -124,60 +122,49 @@ def _plain(child: Children, array: DataFrame) -> DataFrame:
     return renamed.withColumn(child.name, F.transform(child.name, lambda x: x[child.fields[0]]))
 
 
-def attach(parents: DataFrame, children: Iterable[Children], page: int = PAGE) -> DataFrame:
-    """Adds one array column per child table, and `array_page`.
-
-    Rows with array_page 0 are one per parent. Further pages exist only for parents with more than
-    `page` children of one kind; they repeat the parent and fill only that array.
-    """
-    children = list(children)
-    crowd = crowded_names(children, page)
-    whole, extras = parents.withColumn("array_page", F.lit(0)), []
+def attach(parents: DataFrame, children: Iterable[Children]) -> DataFrame:
+    """Adds one array column per child table; parents without children get an empty array."""
+    children, whole = list(children), parents
     # Children under the client id go first, while the rows that change key are still narrow; all
     # others share the billing id and its partitioning.
     for child in sorted(children, key=_parent_key, reverse=True):
-        first, further = nested(child, page, child.name in crowd)
-        whole = whole.join(_plain(child, first), _parent_key(child), "left")
-        if further is not None:
-            extras.append(parents.join(_plain(child, further), _parent_key(child)))
-    names = [c.name for c in children]
-    empty = {name: F.array().cast(whole.schema[name].dataType) for name in names}
+        whole = whole.join(_plain(child, nested(child)), _parent_key(child), "left")
+    filled = [F.coalesce(c.name, F.array().cast(whole.schema[c.name].dataType)).alias(c.name) for c in children]
+    return whole.select(*parents.columns, *filled)
 
-    def filled(name: str) -> Column:
-        return F.coalesce(F.col(name), empty[name]).alias(name)
 
-    scalars = [*parents.columns, "array_page"]
-    result = whole.select(*scalars, *[filled(n) for n in names])
-    for extra in extras:
-        own = [filled(n) if n in extra.columns else empty[n].alias(n) for n in names]
-        result = result.unionByName(extra.select(*scalars, *own))
-    return result
+def all_children(
+    billing_subscriptions: DataFrame, membership_subscriptions: DataFrame, tiers: DataFrame, assets: DataFrame,
+    sessions: DataFrame,
+) -> list[Children]:
+    return [
+        billing_subscription_children(billing_subscriptions), billing_product_children(billing_subscriptions),
+        membership_subscription_children(membership_subscriptions, tiers), asset_children(assets), session_children(sessions),
+    ]
 
 
 def unified_customers(
     members: DataFrame, customers: DataFrame, billing_subscriptions: DataFrame,
     membership_subscriptions: DataFrame, tiers: DataFrame, assets: DataFrame, sessions: DataFrame,
-    page: int = PAGE,
 ) -> DataFrame:
     return attach(
         unified_scalars(members, customers, membership_subscriptions, tiers),
-        [
-            billing_subscription_children(billing_subscriptions),
-            billing_product_children(billing_subscriptions),
-            membership_subscription_children(membership_subscriptions, tiers),
-            asset_children(assets),
-            session_children(sessions),
-        ],
-        page,
+        all_children(billing_subscriptions, membership_subscriptions, tiers, assets, sessions),
     )
 
 
-def unnest(unified: DataFrame, array: str, keep: Iterable[str]) -> DataFrame:
-    """One row per item of an array, over all pages, with some of the parent's columns."""
-    return unified.where(F.size(array) > 0).select(*keep, F.inline(array))
+def unnest(parents: DataFrame, child: Children, keep: Iterable[str]) -> DataFrame:
+    """One row per child with some of the parent's columns: what exploding the child's array would give."""
+    key, keep = _parent_key(child), list(keep)
+    kept = parents.select(F.col(key).alias("_parent"), *keep)
+    return kept.join(child.items.withColumnRenamed(child.key, "_parent"), "_parent").select(*keep, *child.fields)
 
 
-def array_counts(unified: DataFrame, keep: Iterable[str]) -> DataFrame:
-    """Number of items per array and parent, summed over pages. Items themselves are not moved."""
-    sizes = [F.sum(F.size(name).cast("long")).alias(f"{name}_count") for name in ARRAYS]
-    return unified.groupBy(*keep).agg(*sizes)
+def with_counts(parents: DataFrame, children: Iterable[Children]) -> DataFrame:
+    """Adds the number of items per child table. The items are counted in place; only numbers move."""
+    children, whole = list(children), parents
+    for child in sorted(children, key=_parent_key, reverse=True):
+        counted = item_counts(child).withColumnRenamed(child.key, _parent_key(child))
+        whole = whole.join(counted, _parent_key(child), "left")
+    counts = [F.coalesce(f"{c.name}_count", F.lit(0).cast("long")).alias(f"{c.name}_count") for c in children]
+    return whole.select(*parents.columns, *counts)

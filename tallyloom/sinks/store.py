@@ -75,6 +75,11 @@ class Store:
     def history(self) -> Table:
         return self._table("sync_history", schemas.SYNC_HISTORY, partition=COMPLETED_MONTH)
 
+    @cached_property
+    def quarantine(self) -> dict[str, Table]:
+        """Records that could not be read, each in the batch that saw it first."""
+        return {e: self._table(f"quarantine/{e}", "json_data string, reason string") for e in ENTITIES}
+
     @property
     def unified_path(self) -> str:
         return f"{self.folder}/unified_customers"
@@ -198,5 +203,11 @@ def replace_snapshot(snapshot: DataFrame, path: str, batch: int) -> DataFrame:
     return table.read_base()
 
 
+def latest_version(spark: SparkSession, path: str) -> DataFrame:
+    """The last complete content of a table that is replaced as a whole, with the columns it was written with."""
+    base = Table(spark, path, "").last_batch()
+    return spark.read.parquet(f"{path}/base/upto={base:019d}")
+
+
 def _ddl(df: DataFrame) -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)

@@ -82,9 +82,10 @@ class Table:
         """A new content for the whole table, visible once it is complete."""
         self._write(df, f"{self.folder}/base/upto={batch:0{_WIDTH}d}")
 
-    def compact(self) -> None:
-        """Folds the batches into the base."""
-        if batches := self._batches():
+    def compact(self, after: int = 1) -> None:
+        """Folds the batches into the base, if there are `after` of them at least."""
+        batches = self._batches()
+        if len(batches) >= after:
             self.replace(self.current() if self.keys else self.read(), batches[-1])
 
     def drop_superseded(self) -> int:
@@ -127,13 +128,13 @@ class Table:
         rows = self.spark.read.schema(self._stored_schema()).option("basePath", f"{self.folder}/batches").parquet(*paths)
         return rows.drop("batch")
 
-    def read(self) -> DataFrame:
-        """Every stored row, including older rows of a key."""
+    def read(self, below: int | None = None) -> DataFrame:
+        """Every stored row, including older rows of a key; or those of batches below a number and of the base."""
         if self._base() is None:
-            return self.read_batches()
+            return self.read_batches(below)
         if not self._batches():
             return self.read_base()
-        return self.read_base().unionByName(self.read_batches())
+        return self.read_base().unionByName(self.read_batches(below))
 
     def current(self) -> DataFrame:
         """The newest row of every key.

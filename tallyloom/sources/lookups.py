@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.functions.times import from_seconds, to_seconds
+from tallyloom.functions.times import to_seconds
 from tallyloom.functions.values import truthy
 
 
@@ -23,12 +23,12 @@ def incremental(rows: DataFrame, watermark: int | None, time: str = "created", m
     return newer if month is None else newer.where(F.col(month) >= F.lit(mark.date().replace(day=1)))
 
 
-def incremental_records(records: DataFrame, watermark: int | None, lookback: int = 0) -> DataFrame:
+def is_newer(watermark: int | None, lookback: int = 0) -> Column:
     """The same on unflattened records, which carry `created` as seconds in their JSON."""
     if not watermark:
-        return records
+        return F.lit(True)
     created = F.get_json_object("json_data", "$.created").try_cast("bigint")
-    return records.where(created > watermark - lookback)
+    return F.coalesce(created > watermark - lookback, F.lit(False))
 
 
 def bounded(rows: DataFrame, limit: int, order: list[str | Column]) -> DataFrame:
@@ -108,6 +108,3 @@ def identified(rows: DataFrame) -> DataFrame:
     """Rows with at least one of client id, billing id and e-mail."""
     return rows.where(F.coalesce(truthy("client_id"), truthy("billing_id"), truthy("email")).isNotNull())
 
-
-def watermark_of(seconds: int | None) -> Column:
-    return from_seconds(F.lit(seconds).cast("long"))

@@ -9,25 +9,26 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom import schemas
 from tallyloom.functions.times import moment
+from tallyloom.functions.values import is_truthy
 from tallyloom.operators.contacts import chunk_bodies, contacts
 from tallyloom.operators.flatten import (
-    MemberFeed, flatten_customers, flatten_subscriptions, flatten_tiers, parse_members, product_ids, quarantine,
+    MemberFeed, flatten_customers, flatten_subscriptions, flatten_tiers, judged, parse_members, product_ids,
 )
 from tallyloom.operators.upsert import newest_per_key
 from tallyloom.plans.snapshot import bi_snapshot
 from tallyloom.plans.unified import unified_customers
 from tallyloom.sinks.store import (
     ENTITIES, Store, audit_row, completion_audit_row, raw_linked_rows, raw_rows, raw_tier_rows, replace_nested,
-    replace_snapshot,
+    latest_version, replace_snapshot,
 )
-from tallyloom.sources.lookups import incremental_records, last_sync
+from tallyloom.sources.lookups import is_newer, last_sync
 
 FLATTEN = {"customers": flatten_customers, "subscriptions": flatten_subscriptions}
 RECORD = {"customers": schemas.BILLING_CUSTOMER, "subscriptions": schemas.BILLING_SUBSCRIPTION}
@@ -45,13 +46,19 @@ class UnreadableRecords(RuntimeError):
     """More records than allowed could not be read."""
 
 
-def watermark(store: Store, entity: str) -> int:
-    """Where the last successful sync of an entity got to; 0 means from the beginning."""
-    try:
-        row = last_sync(store.history.read(), entity, successful_only=True).first()
-    except AnalysisException:
-        return 0
-    return row["last_sync_timestamp"] or 0
+# Audit rows of one batch have numbers from batch * AUDIT_LINES on.
+AUDIT_LINES = 10
+# A table with so many batches on top of its base is folded into a new base at the end of a run.
+COMPACT_AFTER = 8
+
+
+def watermark(store: Store, entity: str, batch: int | None = None) -> int:
+    """Where the last successful sync of an entity got to, or the last one before `batch`; 0 means from the beginning.
+
+    A batch that runs again starts where it started the first time, so it reads the same records again.
+    """
+    history = store.history.read() if batch is None else store.history.read(below=batch * AUDIT_LINES)
+    return last_sync(history, entity, successful_only=True).first()["last_sync_timestamp"] or 0
 
 
 def new_watermark(raw: DataFrame) -> tuple[int, int]:
@@ -74,6 +81,10 @@ def sync_entity(
     Reads records created after the watermark (minus `lookback` seconds, to catch late ones), adds
     them to the raw table, flattens them into the processed table, and writes an audit row. `send`
     receives the contact chunks of a customer sync; if it fails, a failed row is added.
+
+    Records are judged in one pass, staged, and tested before anything is added: a batch with too many unreadable records
+    leaves the raw table as it was. An unreadable record counts in the batch that sees it first.
+    The same batch again, complete or not, replaces what it added and leaves the same tables.
     """
     if entity not in ENTITIES:
         raise ValueError(f"unknown entity: {entity}")
@@ -82,23 +93,26 @@ def sync_entity(
     def audit(rows: int, status: str, mark: int | None = None, error: str | None = None, line: int = 0) -> None:
         row = audit_row(spark, entity, rows, started, _clock(now), status, mark, error)
         # Two lines per entity and batch: the sync itself and, for customers, a failed sending.
-        number = batch * 10 + ENTITIES.index(entity) * 2 + line
+        number = batch * AUDIT_LINES + ENTITIES.index(entity) * 2 + line
         store.history.append(row, number)
 
     try:
-        mark = watermark(store, entity)
-        # Unreadable records first: without a creation time the watermark would silently drop them.
-        good, bad = quarantine(records, RECORD[entity], "id")
-        raw = store.raw[entity]
-        raw.append(raw_rows(incremental_records(good, mark, lookback), moment(started)), batch)
-        # From here on the stored raw batch is read, not the source again.
-        stored = raw.read_batch(batch)
-        count, newest = new_watermark(stored)
-        rejected = f"{store.folder}/quarantine/{entity}/batch={batch:019d}"
-        bad.select("json_data", "reason").write.mode("overwrite").parquet(rejected)
-        unreadable = spark.read.parquet(rejected).count()
+        mark = watermark(store, entity, batch)
+        staging = f"{store.folder}/staging/{entity}/batch={batch:019d}"
+        # Unreadable records are kept whatever the watermark is, since they have no creation time.
+        fresh = is_newer(mark, lookback) | F.col("reason").isNotNull()
+        judged(records, RECORD[entity], "id").where(fresh).select("json_data", "reason").write.mode("overwrite").parquet(staging)
+        staged = spark.read.schema("json_data string, reason string").parquet(staging)
+        good, bad = staged.where("reason is null").drop("reason"), staged.where("reason is not null")
+        seen = store.quarantine[entity].read(below=batch).select("json_data").distinct()
+        store.quarantine[entity].append(bad.join(seen, "json_data", "left_anti"), batch)
+        unreadable = store.quarantine[entity].read_batch(batch).count()
+        count, newest = new_watermark(good)
         if unreadable > allowed_bad * (count + unreadable):
             raise UnreadableRecords(f"{unreadable} of {count + unreadable} records of {entity} could not be read")
+        raw = store.raw[entity]
+        raw.append(raw_rows(good, moment(started)), batch)
+        stored = raw.read_batch(batch)
         if count == 0:
             audit(0, "success", mark)
             return Outcome(entity, "success", 0)
@@ -129,7 +143,7 @@ def refresh_membership(
 
     def audit(entity: str, rows: int, status: str, error: str | None = None, line: int = 0) -> None:
         row = completion_audit_row(spark, entity, rows, started, _clock(now), status, error)
-        store.history.append(row, batch * 10 + 4 + line)
+        store.history.append(row, batch * AUDIT_LINES + 4 + line)
 
     try:
         store.raw_tiers.append(raw_tier_rows(tiers, moment(started)), batch)
@@ -151,7 +165,10 @@ def refresh_membership(
         store.membership["customers"].replace(feed.customers(), batch)
         for name, rows in (("subscriptions", feed.subscriptions()), ("assets", feed.assets())):
             table = store.membership[name]
-            table.replace(newest_per_key(rows, table.keys, table.newest_by), batch)
+            # A row without its whole key is nobody's newer version: all such rows stay.
+            keyed = reduce(Column.__and__, [is_truthy(k) for k in table.keys])
+            newest = newest_per_key(rows.where(keyed), table.keys, table.newest_by)
+            table.replace(newest.unionByName(rows.where(~keyed)), batch)
         store.membership["sessions"].append(feed.sessions(), batch)
         audit("linked_customers", count, "success", line=1)
         return Outcome("membership", "success", count)
@@ -174,7 +191,7 @@ def refresh_unified(store: Store, batch: int) -> Outcome:
 
 def refresh_snapshot(store: Store, batch: int) -> Outcome:
     try:
-        unified = store.spark.read.parquet(f"{store.unified_path}/base/upto={batch:019d}")
+        unified = latest_version(store.spark, store.unified_path)
         m = store.membership
         snapshot = bi_snapshot(
             unified, store.billing["subscriptions"].current(), m["subscriptions"].current(), m["assets"].current(),
@@ -185,14 +202,23 @@ def refresh_snapshot(store: Store, batch: int) -> Outcome:
         return Outcome("bi_snapshot", "failed", 0, str(problem))
 
 
+def compact(store: Store) -> None:
+    """Folds tables with many batches, so that a run does not read a folder for every run before it."""
+    for table in (*store.billing.values(), *store.membership.values(), store.history):
+        table.compact(COMPACT_AFTER)
+
+
 def run_all(
     store: Store, batch: int, billing: Mapping[str, DataFrame], tiers: DataFrame | None = None,
     linked: DataFrame | None = None, order: list[str] | None = None, *, entities: list[str] | None = None,
-    skip_membership: bool = False, now: str | None = None,
+    skip_membership: bool = False, now: str | None = None, lookback: int = 0, allowed_bad: float = 0.0,
+    send: Callable[[DataFrame], None] | None = None,
 ) -> DataFrame:
     """A whole run: membership, each billing entity, the unified table, the BI snapshot.
 
+    Customers come after the other entities, so that the contacts sent for new customers name the products of this run.
     A step that fails does not stop the next one, except that the snapshot needs the unified table.
+    Tables with many small batches are folded at the end.
     Returns (step, status, rows, error) with a last row for the run as a whole.
     """
     outcomes = []
@@ -200,9 +226,10 @@ def run_all(
         outcomes.append(Outcome("membership", "skipped"))
     else:
         outcomes.append(refresh_membership(store, tiers, linked, order or [], batch, now=now))
-    for entity in ENTITIES if entities is None else entities:
+    for entity in sorted(ENTITIES if entities is None else entities, key=lambda e: e == "customers"):
         try:
-            outcomes.append(sync_entity(store, entity, billing[entity], batch, now=now))
+            outcomes.append(sync_entity(
+                store, entity, billing[entity], batch, now=now, lookback=lookback, allowed_bad=allowed_bad, send=send))
         except Exception as problem:
             outcomes.append(Outcome(entity, "failed", 0, str(problem)))
     unified = refresh_unified(store, batch)
@@ -211,6 +238,7 @@ def run_all(
         outcomes.append(refresh_snapshot(store, batch))
     else:
         outcomes.append(Outcome("bi_snapshot", "skipped", 0, "the unified table was not refreshed"))
+    compact(store)
     failed = any(o.status == "failed" for o in outcomes) or unified.status != "success"
     outcomes.append(Outcome("run", "failed" if failed else "success"))
     return as_table(store.spark, outcomes)

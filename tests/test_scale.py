@@ -45,39 +45,31 @@ def test_a_crowded_key_is_spread_over_tasks(crowded):
 
 
 @pytest.mark.parametrize("descending", [True, False])
-def test_paged_arrays_hold_everything_in_order(crowded, descending):
+def test_arrays_hold_everything_in_order(crowded, descending):
     rows, df = crowded
-    child = nesting.Children("items", df, "k", ("t", "i"), ("t", "i"), descending)
-    assert nesting.crowded_names([child], 7) == {"items"} and nesting.crowded_names([child], 400) == set()
-    first, further = nesting.nested(child, 7, True)
-    got: dict = {}
-    for r in first.withColumn("array_page", F.lit(0)).unionByName(further).collect():
-        assert len(r["items"]) <= 7
-        got.setdefault(r["k"], {})[r["array_page"]] = [(x["t"], x["i"]) for x in r["items"]]
-    for key, by_page in got.items():
-        own = sorted(((t, i) for k, t, i in rows if k == key), reverse=descending)
-        assert [x for p in sorted(by_page) for x in by_page[p]] == own
-
-
-def test_unified_pages_give_the_same_items(spark, tables):
-    def build(page):
-        return unified.unified_customers(
-            tables.m_customers, tables.b_customers, tables.b_subscriptions, tables.m_subscriptions, tables.m_tiers,
-            tables.m_assets, tables.m_sessions, page)
-
-    whole, paged = build(nesting.PAGE).cache(), build(5).cache()
-    assert paged.where("array_page = 0").count() == whole.count() < paged.count()
-    for array in unified.ARRAYS:
-        assert paged.agg(F.max(F.size(array))).first()[0] <= 5
-        if array == "billing_product_ids":
-            items = [df.select("client_id", F.explode(array)).sort("client_id", "col").collect() for df in (whole, paged)]
-        else:
-            items = [sorted(map(str, unified.unnest(df, array, ["client_id"]).collect())) for df in (whole, paged)]
-        assert items[0] == items[1]
-    counts = [sorted(map(tuple, unified.array_counts(df, ["client_id"]).collect())) for df in (whole, paged)]
-    assert counts[0] == counts[1]
+    blank = df.where("k = 'hot'").limit(3).withColumn("k", F.lit(""))
+    child = nesting.Children("items", df.unionByName(blank), "k", ("t", "i"), ("t", "i"), descending)
+    got = {r["k"]: [(x["t"], x["i"]) for x in r["items"]] for r in nesting.nested(child).collect()}
+    assert "" not in got and set(got) == {k for k, _, _ in rows}
+    for key, items in got.items():
+        assert items == sorted(((t, i) for k, t, i in rows if k == key), reverse=descending)
+    assert {r["k"]: r["items_count"] for r in nesting.item_counts(child).collect()} == {k: len(v) for k, v in got.items()}
+
+
+def test_counts_and_unnested_rows_agree_with_the_arrays(tables):
+    t = tables
+    children = unified.all_children(t.b_subscriptions, t.m_subscriptions, t.m_tiers, t.m_assets, t.m_sessions)
+    people = unified.join_both_systems(t.m_customers, t.b_customers)
+    whole = unified.attach(people, children).cache()
+    counts = {r["client_id"]: r for r in unified.with_counts(people, children).collect()}
+    for row in whole.select("client_id", *(F.size(a).alias(a) for a in unified.ARRAYS)).collect():
+        assert all(row[a] == counts[row["client_id"]][f"{a}_count"] for a in unified.ARRAYS)
+    for child in children:
+        if child.name != "billing_product_ids":
+            exploded = whole.select("client_id", F.inline(child.name)).select("client_id", *child.fields)
+            single = unified.unnest(people, child, ["client_id"])
+            assert sorted(map(str, exploded.collect())) == sorted(map(str, single.collect()))
     whole.unpersist()
-    paged.unpersist()
 
 
 def test_latest_and_first_rows(crowded):

@@ -128,7 +128,7 @@ def test_a_failed_run_does_not_move_the_watermark(store, records):
 def test_some_unreadable_records_can_be_allowed(spark, store, records):
     outcome = sync.sync_entity(store, "customers", records(customer(1, 1), "{broken", {"email": "x"}), 1, allowed_bad=0.7)
     assert (outcome.status, outcome.rows) == ("success", 1)
-    assert spark.read.parquet(f"{store.folder}/quarantine/customers").count() == 2
+    assert store.quarantine["customers"].read().count() == 2
 
 
 def test_late_records_need_a_lookback(store, records):
@@ -201,7 +201,7 @@ def test_a_whole_run(spark, store, records):
                "subscriptions": records({"id": "s", "customer": "c1", "status": "active", "created": 5})}
     steps = sync.run_all(store, 1, billing, records(*TIERS), records(*LINKED), ["place"], now="2024-01-01 00:00:00")
     assert [tuple(r)[:3] for r in steps.collect()] == [
-        ("membership", "success", 2), ("customers", "success", 2), ("subscriptions", "success", 1),
+        ("membership", "success", 2), ("subscriptions", "success", 1), ("customers", "success", 2),
         ("unified_customers", "success", 1), ("bi_snapshot", "success", 1), ("run", "success", 0)]
     row = spark.read.parquet(f"{store.snapshot_path}/base").first()
     assert (row["client_id"], row["customer_status"], row["current_tier_name"], row["total_assets"], row["total_sessions"]) == (
@@ -212,7 +212,7 @@ def test_one_failed_step_does_not_stop_the_others(store, records):
     billing = {"customers": records("{broken"), "subscriptions": records({"id": "s", "created": 5})}
     steps = sync.run_all(store, 1, billing, skip_membership=True, now="2024-01-01 00:00:00")
     assert [tuple(r)[:2] for r in steps.collect()] == [
-        ("membership", "skipped"), ("customers", "failed"), ("subscriptions", "success"),
+        ("membership", "skipped"), ("subscriptions", "success"), ("customers", "failed"),
         ("unified_customers", "success"), ("bi_snapshot", "success"), ("run", "failed")]
 
 
@@ -267,3 +267,72 @@ def test_a_repeated_batch_does_not_see_its_own_rows(spark, scratch):
     sink(body, 0)
     sink(body, 0)
     assert table.read().count() == 1
+
+
+# -- syncs that run again
+
+
+def content(store):
+    """All that a billing sync leaves behind."""
+    parts = (store.raw["customers"].read(), store.billing["customers"].read(), store.quarantine["customers"].read())
+    return [sorted(map(str, p.drop("ingested_at", "updated_at").collect())) for p in parts]
+
+
+def test_the_same_batch_again_leaves_the_same_tables(store, records):
+    for _ in range(3):
+        sync.sync_entity(store, "customers", records(customer(1, 100), customer(2, 200)), 1, now="2024-01-01 00:00:00")
+        if _ == 0:
+            first = content(store), audit(store)
+    assert (content(store), audit(store)) == first
+    assert len(first[0][0]) == len(first[0][1]) == 2 and first[1] == [("customers", 2, "success", "1970-01-01 00:03:20")]
+
+
+def test_a_failed_batch_adds_nothing_and_its_retry_all(spark, store, scratch, records):
+    mixed = (customer(1, 100), "{broken", customer(2, 200))
+    assert sync.sync_entity(store, "customers", records(*mixed), 1).status == "failed"
+    assert store.raw["customers"].read().count() == 0 == store.billing["customers"].read().count()
+    assert sync.sync_entity(store, "customers", records(*mixed), 1, allowed_bad=0.5).rows == 2
+    once = Store(spark, f"{scratch}-once")
+    sync.sync_entity(once, "customers", records(*mixed), 1, allowed_bad=0.5)
+    assert content(store) == content(once)
+
+
+def test_a_record_set_aside_does_not_fail_later_batches(store, records):
+    assert sync.sync_entity(store, "customers", records(customer(1, 100), "{broken"), 1, allowed_bad=0.5).rows == 1
+    outcome = sync.sync_entity(store, "customers", records(customer(1, 100), "{broken", customer(2, 200)), 2)
+    assert (outcome.status, outcome.rows) == ("success", 1)
+    assert store.quarantine["customers"].read().count() == 1
+
+
+def test_many_small_batches_are_folded(store, records, monkeypatch):
+    monkeypatch.setattr(sync, "COMPACT_AFTER", 2)
+    table = store.billing["customers"]
+    for n in (1, 2, 3):
+        for name in ("customers", "subscriptions"):
+            sync.sync_entity(store, name, records(customer(n, n * 100)), n)
+        sync.compact(store)
+        assert len(table._batches()) < 2 > len(store.history._batches())
+    assert ids(table.current()) == ["c1", "c2", "c3"]
+    assert sync.watermark(store, "customers") == 300
+
+
+def test_contacts_of_a_run_name_the_products_of_the_run(store, records):
+    bought = {"id": "s1", "customer": "c1", "created": 5, "items": {"data": [{"price": {"product": "p1"}}]}}
+    sent = []
+    billing = {"customers": records(customer(1, 100)), "subscriptions": records(bought)}
+    sync.run_all(store, 1, billing, skip_membership=True, send=lambda chunks: sent.extend(json.loads(r["body"]) for r in chunks.collect()))
+    assert [(x["customer_id"], x["product_id"]) for body in sent for x in body["customers"]] == [("c1", "p1")]
+
+
+def test_rows_without_a_key_stay_and_strangers_stay_apart(spark, store, records):
+    def member(client, billing, subscription, session):
+        return {"clientId": client, "billingID": billing, "email": f"{billing}@x", "subscriptions": [{"id": subscription, "status": "active"}],
+                "latestSession": {"sessionId": session, "sessionDate": "2024-01-01T10:00:00+02:00"}}
+
+    feed = records(member(None, "c1", None, "x1"), member("", "c2", None, "x2"), member("k", "c3", "s", "x3"))
+    billing = {"customers": records(*(customer(k, 5) for k in (1, 2, 3))), "subscriptions": records()}
+    sync.run_all(store, 1, billing, records(), feed, ["place"]).collect()
+    assert store.membership["subscriptions"].read().count() == 3
+    assert [str(r[0]) for r in store.membership["sessions"].read().select("session_date").distinct().collect()] == ["2024-01-01 08:00:00"]
+    found = spark.read.parquet(f"{store.unified_path}/base/upto={1:019d}")
+    assert {r["billing_id"]: [s["session_id"] for s in r["sessions"]] for r in found.collect()} == {"c1": [], "c2": [], "c3": ["x3"]}

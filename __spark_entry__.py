@@ -111,6 +111,12 @@ def _(t):
     return found.select(F.get_json_object("json_data", "$.id").alias("id"), "page")
 
 
+@query("scan_unreadable_pages")
+def _(t):
+    records = landed.tier_records(t.m_tiers)
+    return pages.unreadable(landed.pages(records, landed.key_number("product_id"), "any")).select("page", "reason")
+
+
 @query("scan_incremental")
 def _(t):
     return lookups.incremental(t.b_customers, CUT_SECONDS).select("customer_id", "name", "created")

@@ -53,6 +53,9 @@ for _name in ("scan_page_envelopes", "flatten_customers", "incremental_sync", "s
 add("scan_list_or_envelope", """
 SELECT product_id AS id, cast(split_part(product_id, '_', 2) AS bigint) // 100 + 1 AS page FROM m_tiers
 WHERE (cast(split_part(product_id, '_', 2) AS bigint) // 100 + 1) % 3 <> 2""")
+add("scan_unreadable_pages", """
+SELECT DISTINCT cast(split_part(product_id, '_', 2) AS bigint) // 100 + 1 AS page, 'no list of records' AS reason FROM m_tiers
+WHERE (cast(split_part(product_id, '_', 2) AS bigint) // 100 + 1) % 3 = 2""")
 add("scan_incremental", "SELECT customer_id, name, created FROM b_customers WHERE created > timestamp '1997-01-01'")
 add("scan_bounded", """
 SELECT subscription_id, customer_id, created, amount_cents FROM b_subscriptions ORDER BY created, subscription_id LIMIT 100""")

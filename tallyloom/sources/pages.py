@@ -5,7 +5,7 @@ A body is `{"data": [...], "has_more": bool}`, `{"data": [...], "nextCursor": te
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.records import parse, with_parsed
@@ -13,52 +13,54 @@ from tallyloom.functions.records import parse, with_parsed
 ENVELOPE = "data array<string>, has_more boolean, nextCursor string"
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """One row (page, body) per line of the landed text files.
+def _opened(pages: DataFrame) -> DataFrame:
+    """page, body, and `read`: the records, has_more and nextCursor of the body, which is parsed once.
 
-    Each landed line is {"page": n, "body": "..."}; one file may hold many pages.
+    The records are null if the body is neither a list nor an envelope with one.
     """
-    return spark.read.schema("page bigint, body string").json(path)
+    bare = F.startswith(F.ltrim("body"), F.lit("["))
+    # A list is read as the envelope it would be in.
+    whole = F.when(bare, F.concat(F.lit('{"data":'), "body", F.lit("}"))).otherwise(F.col("body"))
+    return with_parsed(pages, F.from_json(whole, ENVELOPE), "read")
 
 
-def page_records(body: Column) -> Column:
-    """The record list of a body as an array of JSON texts; null for anything but a list or envelope."""
-    envelope = F.from_json(body, ENVELOPE)
-    bare = F.from_json(body, "array<string>")
-    return F.when(F.startswith(F.ltrim(body), F.lit("[")), bare).otherwise(envelope["data"])
+def _records(opened: DataFrame) -> DataFrame:
+    return opened.select("page", F.posexplode("read.data").alias("place", "json_data"))
 
 
 def list_or_envelope(pages: DataFrame) -> DataFrame:
-    """All records of all pages, whatever their form; malformed bodies give no rows."""
-    return pages.select("page", F.posexplode(page_records(F.col("body"))).alias("place", "json_data"))
+    """All records of all pages, whatever their form; bodies that cannot be read are in `unreadable`."""
+    return _records(_opened(pages))
 
 
-def envelopes(pages: DataFrame, follow: str = "has_more") -> DataFrame:
-    """Records of the pages a reader would reach, in (page, place) order.
+def unreadable(pages: DataFrame) -> DataFrame:
+    """page, body and reason of the pages that give no records because they cannot be read."""
+    return _opened(pages).where("read.data is null").select("page", "body", F.lit("no list of records").alias("reason"))
 
-    Reading ends before the first empty or malformed page and after the first page that does not
-    point to a next one. `follow` says what the pointer is: has_more, nextCursor, or any integer
-    text for 'a page shorter than this is the last'.
+
+def envelopes(pages: DataFrame, follow: str = "has_more", stop: bool = False) -> DataFrame:
+    """Records of all pages, in (page, place) order; bodies that cannot be read are in `unreadable`.
+
+    With `stop`, only the pages a reader would reach who follows the pointers: reading ends before the first empty or
+    malformed page and after the first page that does not point to a next one. `follow` says what the pointer is: has_more,
+    nextCursor, or any integer text for 'a page shorter than this is the last'.
     """
-    records, parsed = page_records(F.col("body")), F.col("envelope")
+    opened = _opened(pages)
+    if not stop:
+        return _records(opened)
     if follow == "has_more":
-        more = F.coalesce(parsed["has_more"], F.lit(False))
+        more = F.coalesce(F.col("read.has_more"), F.lit(False))
     elif follow == "nextCursor":
-        more = F.coalesce(parsed["nextCursor"], F.lit("")) != ""
+        more = F.coalesce("read.nextCursor", F.lit("")) != ""
     else:
-        more = F.size("records") >= int(follow)
-    opened = with_parsed(parse(pages, ENVELOPE, "envelope", "body"), records, "records")
-    read = opened.select("page", "records", more.alias("more"))
-    blank = F.coalesce(F.size("records"), F.lit(0)) < 1
+        more = F.size("read.data") >= int(follow)
+    blank = F.coalesce(F.size("read.data"), F.lit(0)) < 1
     # Two numbers for the whole source, reduced in the tasks before they meet.
-    ends = read.agg(
-        F.min(F.when(blank, F.col("page"))).alias("blank"),
-        F.min(F.when(~F.col("more"), F.col("page"))).alias("last"),
+    ends = opened.agg(
+        F.min(F.when(blank, F.col("page"))).alias("blank"), F.min(F.when(~more, F.col("page"))).alias("last"),
     ).select(F.struct(F.coalesce("blank", F.lit(2**62)).alias("blank"), F.coalesce("last", F.lit(2**62)).alias("last")))
     end = ends.scalar()
-    return read.where(
-        (F.col("page") < end.getField("blank")) & (F.col("page") <= end.getField("last"))
-    ).select("page", F.posexplode("records").alias("place", "json_data"))
+    return _records(opened.where((F.col("page") < end.getField("blank")) & (F.col("page") <= end.getField("last"))))
 
 
 def as_records(rows: DataFrame, schema: str) -> DataFrame:

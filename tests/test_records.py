@@ -142,7 +142,7 @@ def test_products_in_order_of_first_appearance(spark):
 def test_pages_stop_where_a_reader_would(spark):
     def read(bodies, follow):
         made = spark.createDataFrame(list(enumerate(bodies, start=1)), "page long, body string")
-        return [r[0] for r in rows(pages.envelopes(made, follow), "json_data")]
+        return [r[0] for r in rows(pages.envelopes(made, follow, stop=True), "json_data")]
 
     assert read(['{"data":[1],"has_more":true}', '{"data":[2],"has_more":false}', '{"data":[3]}'], "has_more") == ["1", "2"]
     assert read(['{"data":[1],"has_more":true}', '{"error":1}', '{"data":[3],"has_more":true}'], "has_more") == ["1"]
@@ -152,6 +152,13 @@ def test_pages_stop_where_a_reader_would(spark):
     assert read(["[1,2]", '{"data":[3]}', '{"data":[4,5]}'], "2") == ["1", "2", "3"]
 
 
+def test_every_page_is_read_and_bad_ones_are_set_aside(spark):
+    bodies = ['{"data":[1],"has_more":true}', "junk", '{"data":[]}', '{"data":[3],"has_more":false}', "[4]", None]
+    made = spark.createDataFrame(list(enumerate(bodies, start=1)), "page long, body string")
+    assert rows(pages.envelopes(made), "page", "json_data") == [(1, "1"), (4, "3"), (5, "4")]
+    assert rows(pages.unreadable(made), "page", "body") == [(2, "junk"), (6, None)]
+
+
 def test_list_or_envelope(spark):
     made = spark.createDataFrame([(1, "[1]"), (2, '{"data":[2]}'), (3, '{"items":[3]}'), (4, '{"data":"x"}'), (5, "")], "page long, body string")
     assert rows(pages.list_or_envelope(made), "page", "json_data") == [(1, "1"), (2, "2")]

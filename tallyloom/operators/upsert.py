@@ -29,11 +29,6 @@ def first_seen(df: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFra
     return _pick(df, keys, earliest, by)
 
 
-def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """The target after a batch: a batch row replaces an older row of its key."""
-    return newest_per_key(target.unionByName(batch), keys, by)
-
-
 def seed_missing(table: DataFrame, seeds: DataFrame, key: str) -> DataFrame:
     """The table plus the seed rows whose key it does not have yet."""
     new = seeds.join(table.select(key).distinct(), key, "left_anti")

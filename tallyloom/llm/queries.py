@@ -36,6 +36,29 @@ def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.groups(common.table(spark, folder, "documents"))
 
 
+# All pairs that share a shingle, and what can be reached over the similar ones.
+ORACLE["op3_ngram_jaccard_join"] = r"""
+with recursive words as (
+    select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+    from documents
+), sets as (
+    select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')] else list_distinct(
+        list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) end as g
+    from words
+), each_one as (select doc_id, len(g) as n, unnest(g) as x from sets),
+links as (
+    select a.doc_id as a, b.doc_id as b from each_one a join each_one b on a.x = b.x and a.doc_id <> b.doc_id
+    group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reached as (
+    select doc_id, doc_id as other from documents
+    union select r.doc_id, l.b from reached r join links l on l.a = r.other
+)
+select s.doc_id, cast(len(any_value(s.g)) as bigint) as n_shingles, min(r.other) as component_id
+from sets s join reached r on r.doc_id = s.doc_id group by s.doc_id
+"""
+
+
 def public_tokenizer(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 

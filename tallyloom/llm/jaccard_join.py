@@ -2,13 +2,17 @@
 
 1. Every shingle's document frequency is counted over the whole table (`key_exchange`). A document can only have a link if
    80 % of its shingles occur in another document; all others are alone.
-2. Documents with equal sets become one class. A class's shingles are ordered from rare to frequent. If two sets are similar,
-   the first |x| - ceil(0.8 |x|) + 2 shingles of both share two at least. So each class is indexed by the rare shingles of that
-   extended prefix one by one, and by the pairs of its frequent ones: a shared pair of shingles has a rare one or is such a pair.
-3. Within the bucket of a shingle a few leaders are compared with all members first. What that links is one component, and needs
-   no further comparison inside: a bucket of one component is done, however large it is. Only classes of different components
-   that share a bucket are compared with one another.
-4. Candidates are verified on the whole sets. Components of the verified links give each document its smallest doc_id.
+2. Documents with equal sets become one class. A class's shingles are ordered from rare to frequent; two similar sets share one of
+   the first |x| - ceil(0.8 |x|) + 1, and where they first meet, what can still follow in both must be enough.
+3. A rare shingle of this prefix (in `RARE` classes at most) is indexed on its own: classes that meet there are candidates.
+4. A frequent shingle leads its classes to a base, the class among them whose shingles are the most frequent. Each class is
+   written as its difference from the base: the shingles that only one of the two has. The difference of two differences is
+   the difference of the sets. Thousands of near copies share nearly everything, but their differences share little, and that
+   little tells who belongs together. Classes similar to their base are linked to it, and need no comparison with one another.
+5. Sets with a difference of D at most share two of the first D + 2 elements of their differences, ordered from rare to frequent
+   (one, if they need share one only). That extended prefix is indexed: its rare elements one by one, pairs of its frequent
+   ones. Again what can still follow must be enough.
+6. Candidates are verified on the whole sets. Components of the links give each document its smallest doc_id.
 
 Words are told apart by 64-bit hashes, shingles by a 64-bit mix of five of them, and equal sets by a 128-bit hash.
 
@@ -22,7 +26,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom import session
@@ -31,9 +35,10 @@ from tallyloom.llm.components import components
 
 WORDS = 5
 PERCENT = 80
-# Shingles in up to so many documents are indexed one by one, others in pairs.
+# Shingles in the prefixes of up to so many classes are indexed on their own.
 RARE = 32
-LEADERS = 3
+# Elements in the differences of up to so many classes of a base are indexed one by one, others in pairs.
+RARE_ELEMENT = 512
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(31)
 
@@ -71,73 +76,153 @@ def _least(size):
     return -(-PERCENT * size // 100)
 
 
-_SET_SCHEMA = "doc_id long, n_shingles long, node binary, shared binary, prefix binary, seen binary"
+_SET_SCHEMA = "doc_id long, n_shingles long, node binary, whole binary, prefix binary, alone long, central double"
 
 
 def _sets(table: pa.Table, totals: list[np.ndarray], state) -> pa.Table:
-    """Per document its class and, if it can have a link, its shared shingles and the first of them with their frequency."""
-    names = ["doc_id", "n_shingles", "node", "shared", "prefix", "seen"]
+    """Per document its class and, if it can have a link, its shingles and those that are shared of its prefix."""
+    names = ["doc_id", "n_shingles", "node", "whole", "prefix", "alone", "central"]
     columns: list[list] = [[] for _ in names]
     if table.num_rows:
         _, (flat, starts, place) = state
         often = totals[0][place]
         for k, doc in enumerate(table["doc_id"].to_pylist()):
             mine, df = flat[starts[k] : starts[k + 1]], often[starts[k] : starts[k + 1]]
-            n, twice = len(mine), df > 1
-            known = int(twice.sum())
-            row = [doc, n, None, None, None, None]
+            n = len(mine)
+            row = [doc, n, *[None] * 5]
+            known = int((df > 1).sum())
             if n and known >= _least(n):
-                node = xxhash.xxh3_128_digest(mine.tobytes())
-                mine, df = mine[twice], df[twice]
-                # Shingles of this document alone come first in the order and can't be shared.
-                first = max(0, n - _least(n) + 2 - (n - known))
-                order = np.lexsort((mine, df))[:first]
-                seen = np.minimum(df[order], 2**32 - 1).astype("<u4")
-                row[2:] = [node, mine.tobytes(), mine[order].tobytes(), seen.tobytes()]
+                first = np.lexsort((mine, df))[: n - _least(n) + 1]
+                whole = mine.tobytes()
+                prefix = mine[first[df[first] > 1]].tobytes()
+                row[2:] = [xxhash.xxh3_128_digest(whole), whole, prefix, n - known, float(np.log(df).mean())]
             for column, value in zip(columns, row, strict=True):
                 column.append(value)
-    types = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
+    types = [pa.int64(), pa.int64(), *[pa.binary()] * 3, pa.int64(), pa.float64()]
     return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
 
-def _index(classes: DataFrame) -> DataFrame:
-    """token, often, node, n for every shingle of the extended prefixes."""
+def _prefixes(classes: DataFrame) -> DataFrame:
+    """token, node, n, at, central for each shared shingle of the prefixes; `at` is its place in the class's order."""
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        prefix = [np.frombuffer(x, "<u8") for x in batch["prefix"].to_pylist()]
-        seen = [np.frombuffer(x, "<u4") for x in batch["seen"].to_pylist()]
-        rows = np.repeat(np.arange(len(prefix)), [len(x) for x in prefix])
+        prefix = [np.frombuffer(x, "<i8") for x in batch["prefix"].to_pylist()]
+        sizes = [len(x) for x in prefix]
+        rows = pa.array(np.repeat(np.arange(len(prefix)), sizes))
+        # Shingles of one document alone come first.
+        at = [a + np.arange(s) for a, s in zip(batch["alone"].to_pylist(), sizes, strict=True)]
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(np.concatenate(prefix).view(np.int64)), pa.array(np.concatenate(seen) > RARE),
-                batch["node"].take(pa.array(rows)), batch["n_shingles"].take(pa.array(rows)),
+                pa.array(np.concatenate(prefix)), batch["node"].take(rows), batch["n_shingles"].take(rows),
+                pa.array(np.concatenate(at).astype(np.int64)), batch["central"].take(rows),
             ],
-            ["token", "often", "node", "n"],
+            ["token", "node", "n", "at", "central"],
         )
 
-    return common.map_arrow(classes, step, "token long, often boolean, node binary, n long")
+    rows = classes.select("node", "n_shingles", "prefix", "alone", "central")
+    return common.map_arrow(rows, step, "token long, node binary, n long, at long, central double")
 
 
-def _long_enough(n: Column, m: Column) -> Column:
-    return F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT
+def _buckets(prefixes: DataFrame) -> DataFrame:
+    """token, members, root: the classes of each shingle that two have at least, and the most central of them."""
+    found = prefixes.groupBy("token").agg(F.count("*").alias("members"), F.max(F.struct("central", "node")).alias("root"))
+    return found.where("members > 1").select("token", "members", "root.node").withColumnRenamed("node", "root")
+
+
+def _alike(x: str, y: str):
+    """Two sets of n elements, as their sizes allow."""
+    return F.least(f"{x}.n", f"{y}.n") * 100 >= F.greatest(f"{x}.n", f"{y}.n") * PERCENT
+
+
+def _met(prefixes: DataFrame, buckets: DataFrame) -> DataFrame:
+    """Pairs of classes that share a rare shingle of their prefixes and can still be similar there."""
+    rare = prefixes.join(buckets.where(f"members <= {RARE}").select("token"), "token").select("token", "node", "n", "at")
+    x, y = rare.alias("x"), rare.alias("y")
+    # Shared shingles, times 100 + PERCENT, that two similar sets have.
+    wanted = (F.col("x.n") + F.col("y.n")) * PERCENT
+    follow = lambda s: (F.col(f"{s}.n") - F.col(f"{s}.at")) * (100 + PERCENT) >= wanted
+    same = (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node"))
+    met = x.join(y, same & _alike("x", "y") & follow("x") & follow("y"))
+    return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
+def _differences(classes: DataFrame, prefixes: DataFrame, buckets: DataFrame) -> DataFrame:
+    """root, node, n, m, reach, near, away: each class's difference, of m elements, from each of its bases.
+
+    near: similar to the base. reach: the largest difference that a similar set can have.
+    """
+    frequent = buckets.where(f"members > {RARE}").select("token", "root")
+    led = prefixes.select("token", "node").join(frequent, "token").select("root", "node").distinct()
+    base = classes.select(F.col("node").alias("root"), F.col("n_shingles").alias("n_base"), F.col("whole").alias("base"))
+    members = classes.join(led, "node").join(base, "root")
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        away, near, reach = [], [], []
+        for x, y, n, n_base in zip(*(batch[c].to_pylist() for c in ("whole", "base", "n_shingles", "n_base")), strict=True):
+            both = np.concatenate([np.frombuffer(x, "<i8"), np.frombuffer(y, "<i8")])
+            both.sort()
+            new = np.append(True, both[1:] != both[:-1])
+            away.append(both[new & np.append(new[1:], True)])
+            near.append((100 + PERCENT) * len(away[-1]) <= (100 - PERCENT) * (n + n_base))
+            reach.append((100 - PERCENT) * n // PERCENT)
+        sizes = np.array([len(x) for x in away])
+        lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(np.concatenate(away)))
+        return pa.RecordBatch.from_arrays(
+            [batch["root"], batch["node"], batch["n_shingles"], pa.array(sizes), pa.array(reach, pa.int64()), pa.array(near), lists],
+            ["root", "node", "n", "m", "reach", "near", "away"],
+        )
+
+    schema = "root binary, node binary, n long, m long, reach long, near boolean, away array<long>"
+    return common.map_arrow(members.select("root", "node", "n_shingles", "n_base", "whole", "base"), step, schema)
+
+
+def _index(apart: DataFrame) -> DataFrame:
+    """root, one, two, at, slack and the class's numbers, for each element or pair of elements of the extended prefixes."""
+    each = apart.select("root", "node", F.explode("away").alias("token"))
+    often = each.groupBy("root", "token").agg(F.count("*").alias("often")).where("often > 1")
+    order = each.join(often, ["root", "token"]).groupBy("root", "node").agg(F.sort_array(F.collect_list(F.struct("often", "token"))).alias("order"))
+    rows = apart.drop("away").join(order, ["root", "node"])
+    # Elements of one class alone come first in its order.
+    alone = F.col("m") - F.size("order")
+    placed = F.transform("order", lambda x, k: F.struct(x["often"].alias("often"), x["token"].alias("token"), (k + alone).alias("at")))
+    rows = rows.withColumn("first", F.filter(placed, lambda x: x["at"] < F.col("reach") + 2)).drop("order")
+    own = ["root", "node", "n", "m", "near"]
+    # A class this close to its base may have to share one element only.
+    single = rows.select(*own, "reach", F.explode("first").alias("x")).where(f"x.often <= {RARE_ELEMENT} or m <= reach + 2")
+    single = single.select(*own, F.col("x.token").alias("one"), F.lit(None).cast("long").alias("two"), "x.at", F.lit(1).alias("slack"))
+    frequent = rows.select(*own, F.filter("first", lambda x: x["often"] > RARE_ELEMENT).alias("first")).where("size(first) > 1")
+    pair = frequent.select(*own, "first", F.posexplode("first").alias("k", "x"))
+    pair = pair.select(*own, "x", F.explode(F.slice("first", F.col("k") + 2, F.size("first"))).alias("y"))
+    pair = pair.select(*own, F.col("x.token").alias("one"), F.col("y.token").alias("two"), "x.at", F.lit(0).alias("slack"))
+    return single.union(pair)
+
+
+def _candidates(index: DataFrame) -> DataFrame:
+    """Pairs of classes, not both near their base, that can still be similar where they meet."""
+    x, y = index.where("not near").alias("x"), index.alias("y")
+    same = (F.col("x.root") == F.col("y.root")) & (F.col("x.one") == F.col("y.one")) & F.col("x.two").eqNullSafe(F.col("y.two"))
+    other = (F.col("y.near") | (F.col("x.node") < F.col("y.node"))) & (F.col("x.node") != F.col("y.node"))
+    # Twice the elements that the differences must share, times 100 + PERCENT.
+    twice = (F.col("x.m") + F.col("y.m")) * (100 + PERCENT) - (F.col("x.n") + F.col("y.n")) * (100 - PERCENT)
+    follow = lambda s: (F.col(f"{s}.m") - F.col(f"{s}.at") + F.col("x.slack")) * 2 * (100 + PERCENT) >= twice
+    met = x.join(y, same & other & _alike("x", "y") & follow("x") & follow("y"))
+    return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
 def _verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b) whose whole sets overlap enough."""
-    whole = classes.select("node", F.col("n_shingles").alias("n"), "shared")
-    side = lambda x: whole.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("shared").alias(f"shared_{x}"))
+    side = lambda x: classes.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("whole").alias(f"whole_{x}"))
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         linked = []
-        for x, y, n, m in zip(*(batch[c].to_pylist() for c in ("shared_a", "shared_b", "n_a", "n_b")), strict=True):
+        for x, y, n, m in zip(*(batch[c].to_pylist() for c in ("whole_a", "whole_b", "n_a", "n_b")), strict=True):
             both = np.concatenate([np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")])
             both.sort()
-            common_ = int((both[1:] == both[:-1]).sum())
-            linked.append(100 * common_ >= PERCENT * (n + m - common_))
+            shared = int((both[1:] == both[:-1]).sum())
+            linked.append(100 * shared >= PERCENT * (n + m - shared))
         return batch.filter(pa.array(linked)).select(["a", "b"])
 
-    got = pairs.select("a", "b").join(side("b"), "b").join(side("a"), "a")
-    return common.map_arrow(got, step, "a binary, b binary")
+    return common.map_arrow(pairs.join(side("b"), "b").join(side("a"), "a"), step, "a binary, b binary")
 
 
 def _stored(df: DataFrame, folder: str, name: str) -> DataFrame:
@@ -145,42 +230,6 @@ def _stored(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(f"{folder}/{name}")
 
 
-def _to_leaders(index: DataFrame) -> DataFrame:
-    """Pairs of a bucket's leaders with all its members."""
-    orders = [F.xxhash64("node", F.lit(k)) for k in range(LEADERS)]
-    leaders = index.groupBy("token").agg(
-        F.count("*").alias("members"), *(F.min_by("node", o).alias(f"leader_{k}") for k, o in enumerate(orders)),
-        *(F.min_by("n", o).alias(f"size_{k}") for k, o in enumerate(orders)),
-    )
-    leaders = leaders.where("members > 1").select(
-        "token", F.array_distinct(F.array(*(F.struct(F.col(f"leader_{k}").alias("node"), F.col(f"size_{k}").alias("n")) for k in range(LEADERS)))).alias("leaders")
-    )
-    met = index.join(leaders, "token").select("node", "n", F.explode("leaders").alias("leader"))
-    met = met.where(_long_enough(F.col("n"), F.col("leader.n")) & (F.col("node") != F.col("leader.node")))
-    return met.select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")).distinct()
-
-
-def _across(index: DataFrame, parts: DataFrame) -> DataFrame:
-    """Pairs of classes of different components that share a rare shingle or two frequent ones."""
-    index = index.join(parts.withColumnRenamed("root", "part"), "node", "left")
-    index = index.withColumn("part", F.coalesce("part", "node"))
-    open_ = index.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low != high")
-    index = index.join(open_.select("token"), "token")
-    rare = index.where("not often").select(F.array("token").alias("key"), "node", "n", "part")
-    frequent = index.where("often").groupBy("node", "n", "part").agg(F.sort_array(F.collect_set("token")).alias("tokens"))
-    # A class's own prefix bounds its pairs.
-    pair = frequent.select("node", "n", "part", "tokens", F.posexplode("tokens").alias("at", "one"))
-    pair = pair.select("node", "n", "part", "one", F.explode(F.slice("tokens", F.col("at") + 2, F.size("tokens"))).alias("two"))
-    keyed = rare.union(pair.select(F.array("one", "two").alias("key"), "node", "n", "part"))
-    keyed = keyed.select(F.xxhash64("key").alias("key"), "node", "n", "part")
-    open_ = keyed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low != high")
-    keyed = keyed.join(open_.select("key"), "key")
-    x, y = keyed.alias("x"), keyed.alias("y")
-    met = x.join(y, F.col("x.key") == F.col("y.key")).where("x.node < y.node and x.part != y.part")
-    met = met.where(_long_enough(F.col("x.n"), F.col("y.n")))
-    return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-
-
 def join(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Members (doc_id, n_shingles, node; a null node has no link) and the verified links (a, b) between nodes."""
     spark = docs.sparkSession
@@ -190,21 +239,19 @@ def join(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     dealt = key_exchange.with_blocks(rows, total, "doc_id", "text")
     sets = _stored(key_exchange.exchange(dealt, total, _keys, _sets, _SET_SCHEMA, drop_bits=16), folder, "sets")
     found = sets.where("node is not null")
-    classes = _stored(
-        found.groupBy("node").agg(*(F.first(x).alias(x) for x in ("n_shingles", "shared", "prefix", "seen"))), folder, "classes"
-    )
-    index = _stored(_index(classes), folder, "index")
-    # A shingle that only one class has in its prefix leads to nobody.
-    met = index.groupBy("token").count().where("count > 1").select("token")
-    index = _stored(index.join(met, "token"), folder, "shared-index")
-    near = _stored(_verified(_to_leaders(index), classes), folder, "near")
-    far = _stored(_verified(_across(index, components(near)), classes), folder, "far")
+    classes = found.groupBy("node").agg(*(F.first(x).alias(x) for x in ("n_shingles", "whole", "prefix", "alone", "central")))
+    classes = _stored(classes, folder, "classes")
+    prefixes = _stored(_prefixes(classes), folder, "prefixes")
+    buckets = _stored(_buckets(prefixes), folder, "buckets")
+    apart = _stored(_differences(classes, prefixes, buckets), folder, "apart")
+    near = apart.where("near and node != root").select(F.col("root").alias("a"), F.col("node").alias("b"))
+    met = _met(prefixes, buckets).union(_candidates(_stored(_index(apart), folder, "index"))).distinct()
+    far = _stored(_verified(met, classes), folder, "far")
     return sets.select("doc_id", "n_shingles", "node"), near.union(far)
 
 
-def groups(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of docs."""
-    members, links = join(docs)
+def _named(members: DataFrame, links: DataFrame) -> DataFrame:
+    """members with component_id."""
     parts = components(links).withColumnRenamed("root", "part")
     linked = members.where("node is not null").join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
     named = linked.groupBy("part").agg(F.min("doc_id").alias("component_id"))
@@ -213,7 +260,19 @@ def groups(docs: DataFrame) -> DataFrame:
     return linked.union(alone)
 
 
+def groups(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of docs."""
+    return _named(*join(docs))
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of docs, all columns, that are the first of their component; rows with a null id stay."""
-    first = groups(docs).where("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_anti")
+    """The rows of docs, all columns, that are the first of their component; of equal rows one. Rows with a null id stay."""
+    members, links = join(docs)
+    first = _named(members, links).where("component_id < doc_id").select("doc_id").distinct()
+    kept = docs.join(first, "doc_id", "left_anti").select(docs.columns)
+    again = members.where("node is not null and doc_id is not null").groupBy("doc_id", "node").count().where("count > 1")
+    again = again.select("doc_id").distinct()
+    if again.isEmpty():
+        return kept
+    once = kept.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"])
+    return kept.join(again, "doc_id", "left_anti").select(docs.columns).union(once)

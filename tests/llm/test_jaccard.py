@@ -55,9 +55,10 @@ def family(seed, texts, edits, words=60):
     return out
 
 
-@pytest.mark.parametrize("rare", [1, 512])
-def test_equals_brute_force(docs_of, monkeypatch, rare):
+@pytest.mark.parametrize(("rare", "element"), [(1, 1), (1, 512), (1000, 512)])
+def test_equals_brute_force(docs_of, monkeypatch, rare, element):
     monkeypatch.setattr(jaccard_join, "RARE", rare)
+    monkeypatch.setattr(jaccard_join, "RARE_ELEMENT", element)
     texts = family(1, 60, 4) + family(2, 40, 2, 200) + family(3, 10, 6, 30)
     shared = " ".join(f"p{k}" for k in range(40))
     texts += [f"{shared} {' '.join(f'q{n}x{k}' for k in range(12))}" for n in range(30)]

@@ -8,7 +8,7 @@ documents is scored with its own occurrence deleted from the counts. For that, d
 bigram share, unigram count, in half powers of two), of which there are `CELLS` at most whatever the corpus; the driver gets the
 weight of each cell and nothing else.
 
-Counts are asked for blockwise (`key_exchange`): 64-bit hashes stand for words and pairs. What a block has found is written
+Counts are asked for blockwise (`key_exchange`): the upper 56 bits of 64-bit hashes stand for words and pairs. What a block has found is written
 once, compressed, and scored when the weights are known.
 
 Null and empty texts have the end token only. Repeated rows count and are scored each. A null doc_id counts as the empty text when
@@ -180,7 +180,7 @@ def score(docs: DataFrame, folds: int = FOLDS) -> DataFrame:
     total = common.text_bytes(rows)
     dealt = key_exchange.with_blocks(rows, total, "doc_id", "text")
     folder = session.scratch(spark, "language-model")
-    key_exchange.exchange(dealt, total, _keys, _found, _BLOCK, summary=_summary).write.parquet(f"{folder}/blocks")
+    key_exchange.exchange(dealt, total, _keys, _found, _BLOCK, drop_bits=8, summary=_summary).write.parquet(f"{folder}/blocks")
     blocks = spark.read.parquet(f"{folder}/blocks")
     size = blocks.agg(F.sum("types"), F.sum("tokens")).first()
     types, tokens = int(size[0] or 0), int(size[1] or 0)

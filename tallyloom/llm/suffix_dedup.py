@@ -84,27 +84,37 @@ def runs(text: bytes, min_length: int) -> Iterator[tuple[int, int, int, bytes]]:
 
 
 def _runs_of(docs: DataFrame, min_length: int) -> DataFrame:
-    """doc_id, th, first, last, anchor, segment for every run of every text."""
+    """doc_id, th, firsts, more, anchor, segment: each different run of a text, where it begins and its last start after that.
+
+    A text that repeats itself has a run for each period; equal ones are one row with many places.
+    """
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        rows, found = [], []
+        rows, firsts, more, anchors, segments = [], [], [], [], []
         for k, text in enumerate(common.raw_bytes(batch["text"])):
-            before = len(found)
-            found.extend(runs(text, min_length))
-            rows.extend([k] * (len(found) - before))
-        if not found:
+            own: dict[tuple[int, bytes], list[int]] = {}
+            for first, last, anchor, segment in runs(text, min_length):
+                places = own.get((anchor, segment))
+                if places is None:
+                    own[anchor, segment] = places = []
+                    rows.append(k)
+                    firsts.append(places)
+                    more.append(last - first)
+                    anchors.append(anchor)
+                    segments.append(segment)
+                places.append(first)
+        if not rows:
             return None
-        first, last, anchor, segment = zip(*found, strict=True)
         at = pa.array(rows)
         return pa.RecordBatch.from_arrays(
             [
-                batch["doc_id"].take(at), batch["th"].take(at), pa.array(first, pa.int64()), pa.array(last, pa.int64()),
-                pa.array(anchor, pa.int64()), pa.array(segment, pa.binary()),
+                batch["doc_id"].take(at), batch["th"].take(at), pa.array(firsts, pa.list_(pa.int64())), pa.array(more, pa.int64()),
+                pa.array(anchors, pa.int64()), pa.array(segments, pa.binary()),
             ],
-            ["doc_id", "th", "first", "last", "anchor", "segment"],
+            ["doc_id", "th", "firsts", "more", "anchor", "segment"],
         )
 
-    return common.map_arrow(docs, step, "doc_id long, th long, first long, last long, anchor long, segment binary")
+    return common.map_arrow(docs, step, "doc_id long, th long, firsts array<long>, more long, anchor long, segment binary")
 
 
 def suffix_order(segments: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -288,14 +298,14 @@ def _hot(rows: DataFrame, total: int, min_length: int) -> DataFrame:
 def _segments(docs: DataFrame, wanted: DataFrame, min_length: int) -> DataFrame:
     """The bytes of one occurrence of each wanted segment."""
     lists = wanted.groupBy("at.doc_id", "at.th").agg(
-        F.collect_list(F.struct("anchor", "segment", "copies", "kinds", "at.first", "at.last")).alias("cuts")
+        F.collect_list(F.struct("anchor", "segment", "copies", "kinds", "at.first", "at.more")).alias("cuts")
     )
     schema = "anchor long, segment binary, copies long, kinds long, bytes binary"
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
         for text, cuts in zip(common.raw_bytes(batch["text"]), batch["cuts"].to_pylist(), strict=True):
-            out += [(c["anchor"], c["segment"], c["copies"], c["kinds"], text[c["first"] : c["last"] + min_length]) for c in cuts]
+            out += [(c["anchor"], c["segment"], c["copies"], c["kinds"], text[c["first"] : c["first"] + c["more"] + min_length]) for c in cuts]
         types = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary())
         columns = [pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)]
         return pa.RecordBatch.from_arrays(columns, ["anchor", "segment", "copies", "kinds", "bytes"])
@@ -320,10 +330,11 @@ def repeats(docs: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
     folder = session.scratch(docs.sparkSession, "suffix")
     docs = docs.withColumn("th", F.xxhash64("text"))
     every = _stored(_runs_of(docs.select("doc_id", "th", "text"), min_length), folder, "runs")
-    twice = every.groupBy("anchor").count().where("count > 1").select("anchor")
+    twice = every.groupBy("anchor").agg(F.sum(F.size("firsts")).alias("n")).where("n > 1").select("anchor")
     some = _stored(every.join(twice, "anchor"), folder, "some")
     kinds = some.groupBy("anchor", "segment").agg(
-        F.count("*").alias("copies"), F.min(F.struct("doc_id", "th", "first", "last")).alias("at")
+        F.sum(F.size("firsts")).alias("copies"),
+        F.min(F.struct("doc_id", "th", F.get("firsts", F.lit(0)).alias("first"), "more")).alias("at"),
     )
     kinds = _stored(kinds, folder, "kinds")
     several = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
@@ -335,10 +346,10 @@ def repeats(docs: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
     marks = _stored(marks, folder, "marks")
     # An anchor with one kind of segment: all its starts are repeated.
     alone = some.join(several.select("anchor"), "anchor", "left_anti").select(
-        "doc_id", "th", "first", F.array(F.lit(0).cast("long"), F.col("last") - F.col("first")).alias("spans")
+        "doc_id", "th", "firsts", F.array(F.lit(0).cast("long"), F.col("more")).alias("spans")
     )
-    found = alone.union(some.join(marks, ["anchor", "segment"]).select("doc_id", "th", "first", "spans"))
-    lists = found.groupBy("doc_id", "th").agg(F.collect_list(F.struct("first", "spans")).alias("found"))
+    found = alone.union(some.join(marks, ["anchor", "segment"]).select("doc_id", "th", "firsts", "spans"))
+    lists = found.groupBy("doc_id", "th").agg(F.collect_list(F.struct("firsts", "spans")).alias("found"))
     return _with(docs, lists, "left").select(*names, "found")
 
 
@@ -347,7 +358,8 @@ def removed_spans(found: list[dict] | None, min_length: int) -> list[tuple[int,
     if not found:
         return []
     ranges = sorted(
-        (x["first"] + a, x["first"] + b + min_length) for x in found for a, b in zip(x["spans"][::2], x["spans"][1::2], strict=True)
+        (first + a, first + b + min_length)
+        for x in found for first in x["firsts"] for a, b in zip(x["spans"][::2], x["spans"][1::2], strict=True)
     )
     out = [ranges[0]]
     for a, b in ranges[1:]:

@@ -3,8 +3,9 @@
 Text becomes a template: numbers, units after numbers and names (capitalised words inside a sentence) turn into typed
 placeholders, all else is lower-cased words without punctuation. Every window of `WINDOW` template words of a document is looked
 up by its hash among the windows of the benchmark. Windows that agree on item and offset form one alignment. It counts if it
-covers enough of the item, and if its slots are consistent: each value of the item stands for one value in the document
-throughout, and different values for different ones.
+covers enough of the item, and if its names are consistent: each name of the item stands for one name in the document
+throughout, and different names for different ones. Numbers and units may meet: 3 and 5 can both become 4, and a 3 of two
+roles can become 3 and 8. `find` wants the same consistency of all slots; `search`, which the query and the pipeline use, does not.
 
 Only DataFrame functions run. The benchmark's window hashes are broadcast up to `BROADCAST_ROWS` of them, which a count checks;
 more of them are joined by a shuffle of the hashes.
@@ -84,11 +85,20 @@ def _items(benchmark: DataFrame) -> DataFrame:
 
 
 def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """What `search` gives, by the narrower rule that all slots, numbers too, are consistent."""
+    return _best(docs, benchmark, False)
+
+
+def search(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per contaminated document and item.
 
     doc_id, item_id, n_windows (of the best alignment), item_windows, first_word (its place in the document), n_slots,
     n_changed (slots whose value is not the item's).
     """
+    return _best(docs, benchmark, True)
+
+
+def _best(docs: DataFrame, benchmark: DataFrame, whole: bool) -> DataFrame:
     items = _items(benchmark)
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     rows = _read(docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text")), "text")
@@ -108,8 +118,10 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
     )
     enough = (F.col("n_windows") >= LEAST_WINDOWS) | (F.col("n_windows") >= F.col("item_windows") * LEAST_SHARE)
-    one_way = F.size(F.array_distinct(F.col("slots.was"))) == F.size("slots")
-    other_way = F.size(F.array_distinct(F.col("slots.now"))) == F.size("slots")
+    bound = F.filter("slots", lambda x: x["was"].startswith("<p>")) if whole else F.col("slots")
+    lines = lines.withColumn("bound", bound)
+    one_way = F.size(F.array_distinct(F.col("bound.was"))) == F.size("bound")
+    other_way = F.size(F.array_distinct(F.col("bound.now"))) == F.size("bound")
     lines = lines.where(enough & one_way & other_way).select(
         "doc_id", "item_id",
         F.struct(
@@ -127,4 +139,4 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_found(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs, all columns, in which no item was found; rows with a null id stay."""
-    return docs.join(find(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti")
+    return docs.join(search(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti")

@@ -28,7 +28,7 @@ def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    return decontaminate.find(common.table(spark, folder, "documents"), common.table(spark, folder, "benchmark"))
+    return decontaminate.search(common.table(spark, folder, "documents"), common.table(spark, folder, "benchmark"))
 
 
 @query

@@ -100,3 +100,23 @@ def test_no_rows(empty, odd, spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find(odd, none).count() == 0
     assert decontaminate.find(empty, spark.createDataFrame([(1, QUESTION)], "item_id long, text string")).count() == 0
+
+
+def pairs(docs, benchmark):
+    found = {(r.doc_id, r.item_id) for r in decontaminate.search(docs, benchmark).collect()}
+    kept = {r.doc_id for r in decontaminate.drop_found(docs, benchmark).collect()}
+    assert not kept & {d for d, _ in found}
+    return found
+
+
+def test_numbers_may_tie(docs_of, spark):
+    two = "A bag holds {} red marbles, {} blue marbles and nothing else. How many ways are there to take {} of them?"
+    said = "If Anna gives Bert {} pens, and Bert gives Anna {} pens, who of the two has more of them now?"
+    benchmark = spark.createDataFrame([(1, two.format(3, 5, 2)), (2, two.format(3, 3, 2).replace("bag", "box")), (3, said.format(2, 3))], "item_id long, text string")
+    docs = docs_of([
+        (1, two.format(4, 4, 4)), (2, two.format(3, 8, 2).replace("bag", "box")), (3, said.format(6, 6).replace("Anna", "Carla")),
+        (4, said.format(6, 6).replace("Anna", "Bert")), (5, said.format(6, 6).replace("Bert gives Anna", "Bert gives Dora")),
+    ])
+    assert pairs(docs, benchmark) >= {(1, 1), (2, 2), (3, 3)}
+    # Two names that become one, or one that becomes two, are another question.
+    assert not {4, 5} & {d for d, _ in pairs(docs, benchmark)}

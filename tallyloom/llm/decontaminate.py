@@ -7,11 +7,15 @@ covers enough of the item, and if its names are consistent: each name of the ite
 throughout, and different names for different ones. Numbers and units may meet: 3 and 5 can both become 4, and a 3 of two
 roles can become 3 and 8. `find` wants the same consistency of all slots; `search`, which the query and the pipeline use, does not.
 
+`search` looks the windows up in their plain words too, which stand for themselves, so a copy is found however many numbers and
+names it has. Items of less than `WINDOW` words are one window of plain words, of their whole length. If plain windows alone
+are enough, nothing has to be consistent. Half of the windows that can be looked up as templates are enough as well.
+
 Only DataFrame functions run. The benchmark's window hashes are broadcast up to `BROADCAST_ROWS` of them, which a count checks;
 more of them are joined by a shuffle of the hashes.
 
-Null and empty texts match nothing, on either side. Items of less than `WINDOW` words, and windows with fewer than
-`LITERALS` words that are no placeholders, are not looked for. Items of equal text count as the one of least item_id. Repeated
+Null and empty texts match nothing, on either side. Windows with fewer than `LITERALS` words that are no placeholders are looked
+for by their plain words only, and so are items of less than `WINDOW` words; `find` does not look for either. Items of equal text count as the one of least item_id. Repeated
 document rows give one result row. A null doc_id is an id like others; items with a null id are left out. Further columns are
 not read. An empty benchmark or table gives no rows.
 """
@@ -42,6 +46,7 @@ _NUMBER = r"\d+(?:[.,:/]\d+)*"
 _UNIT = rf"(<n>[\d.,:/]+)\s?({'|'.join(sorted(UNITS.split(), key=len, reverse=True))}|[%€£°])(?![\p{{L}}\p{{N}}])"
 _MARKS = r"[^\p{L}\p{M}\p{N}<>\s]+"
 _VALUE = r"(<[npu]>)\S+"
+_PLACEHOLDER = r"<[npu]>(?=\S)"
 _BLANK = " \t\n\r\f\v"
 
 
@@ -55,32 +60,64 @@ def valued(text: Column) -> Column:
 
 
 def _read(rows: DataFrame, text: str) -> DataFrame:
-    """rows with `values`, their words, and `words`, the same with bare placeholders."""
+    """rows with `values`, their words, `words`, the same with bare placeholders, and `plain`, the same without placeholders."""
     rows = rows.withColumn("read", valued(F.coalesce(F.col(text).cast("string"), F.lit(""))))
-    bare = F.when(F.col("read").contains("<"), F.regexp_replace("read", _VALUE, "$1")).otherwise(F.col("read"))
-    rows = rows.select("*", F.split("read", r"\s+").alias("values"), F.split(bare, r"\s+").alias("words"))
-    return rows.drop("read", text)
+    read = F.col("read")
+    bare = F.when(read.contains("<"), F.regexp_replace(read, _VALUE, "$1")).otherwise(read)
+    # A unit that is a mark has no value left, and its placeholder stays: all readings have the same number of words.
+    plain = F.when(read.contains("<u>"), F.regexp_replace(read, _PLACEHOLDER, ""))
+    plain = plain.otherwise(F.replace(F.replace(read, F.lit("<n>"), F.lit("")), F.lit("<p>"), F.lit("")))
+    split = lambda x, name: F.split(x, r"\s+").alias(name)
+    return rows.select("*", split(read, "values"), split(bare, "words"), split(plain, "plain")).drop("read", text)
+
+
+def _hash(words: str, width: int = WINDOW) -> Column:
+    """The hash of the window at `at`; past the end of a text it is that of the words there are."""
+    return F.xxhash64(F.slice(words, F.col("at") + 1, width))
 
 
-def _windows(rows: DataFrame) -> DataFrame:
-    """rows, which have `words`, once for each window: `at`, and the hash of its words."""
+def _windows(rows: DataFrame, readings: list[str], widths: list[int]) -> DataFrame:
+    """rows once for each window and hash: `at`, and the hash of its words in a reading; plain ones in all widths."""
     # The outer form, since the filter that goes with the other would read every text a second time.
-    places = F.when(F.size("words") >= WINDOW, F.sequence(F.lit(0), F.size("words") - WINDOW))
+    places = F.when(F.size("words") >= min(widths), F.sequence(F.lit(0), F.size("words") - min(widths)))
     rows = rows.withColumn("at", F.explode_outer(places)).where("at is not null")
-    return rows.withColumn("hash", F.xxhash64(*(F.get("words", F.col("at") + k) for k in range(WINDOW))))
+    hashes = [_hash(x) for x in readings] + [_hash("plain", n) for n in widths if n != WINDOW]
+    if len(hashes) == 1:
+        return rows.withColumn("hash", hashes[0])
+    return rows.withColumn("hash", F.explode_outer(F.array_distinct(F.array(*hashes))))
 
 
-def _items(benchmark: DataFrame) -> DataFrame:
-    """hash, item_id, place, item_windows, slots (offset and value) for each window of the benchmark."""
+def _items(benchmark: DataFrame, readings: list[str]) -> DataFrame:
+    """hash, item_id, place, exact, told, item_windows, item_told, width, slots for each window and hash of the benchmark.
+
+    exact: the hash is that of the plain words. told: the window can be looked up as a template; item_told counts these.
+    slots: offset and value, as read and plain.
+    """
     items = benchmark.select(
         benchmark["item_id"].cast("long").alias("item_id"), F.coalesce(benchmark["text"].cast("string"), F.lit("")).alias("text")
     )
     items = items.where("item_id is not null").groupBy("text").agg(F.min("item_id").alias("item_id"))
-    found = _windows(_read(items, "text"))
-    each = F.array(*(F.struct(F.lit(k).alias("k"), F.get("values", F.col("at") + k).alias("was")) for k in range(WINDOW)))
-    found = found.withColumn("slots", F.filter(each, lambda x: x["was"].startswith("<")))
-    return found.where(F.size("slots") <= WINDOW - LITERALS).select(
-        "hash", "item_id", F.col("at").alias("place"), (F.size("words") - WINDOW + 1).alias("item_windows"), "slots"
+    rows = _read(items, "text").withColumn("width", F.least(F.lit(WINDOW), F.size("words"))).where(F.element_at("words", 1) != "")
+    if "plain" not in readings:
+        rows = rows.where(F.col("width") == WINDOW)
+    rows = rows.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("width"))))
+    each = F.array(*(
+        F.struct(F.lit(k).alias("k"), F.get("values", F.col("at") + k).alias("was"), F.get("plain", F.col("at") + k).alias("said"))
+        for k in range(WINDOW)
+    ))
+    rows = rows.withColumn("slots", F.filter(each, lambda x: x["was"].startswith("<")))
+    rows = rows.withColumn("told", (F.col("width") == WINDOW) & (F.size("slots") <= WINDOW - LITERALS))
+    told = rows.where("told").groupBy("item_id").agg(F.count("*").alias("item_told"))
+    rows = rows.join(told, "item_id", "left").withColumn("item_told", F.coalesce("item_told", F.lit(0)))
+    hashes = F.array(*(
+        F.struct(_hash(x).alias("hash"), F.lit(x == "plain").alias("exact")) for x in readings
+    ))
+    rows = rows.withColumn("x", F.explode(hashes)).where("told or x.exact")
+    # A window without placeholders has one hash in all readings.
+    return rows.groupBy("item_id", F.col("at").alias("place"), "x.hash").agg(
+        F.max("x.exact").alias("exact"),
+        *(F.first(c).alias(c) for c in ("told", "item_told", "width", "slots")),
+        F.first(F.size("words") - F.col("width") + 1).alias("item_windows"),
     )
 
 
@@ -98,31 +135,48 @@ def search(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return _best(docs, benchmark, True)
 
 
+def _enough(count: str, total: str) -> Column:
+    return (F.col(count) >= LEAST_WINDOWS) | (F.col(count) >= F.col(total) * LEAST_SHARE)
+
+
 def _best(docs: DataFrame, benchmark: DataFrame, whole: bool) -> DataFrame:
-    items = _items(benchmark)
+    readings = ["words", "plain"] if whole else ["words"]
+    items = _items(benchmark, readings)
+    known = items.agg(F.count("*").alias("n"), F.collect_set("width").alias("widths")).first()
+    widths = sorted({WINDOW, *known["widths"]})
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     rows = _read(docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text")), "text")
-    if items.count() <= BROADCAST_ROWS:
+    if known["n"] <= BROADCAST_ROWS:
         items = F.broadcast(items)
     else:
-        some = _windows(rows).join(items.select("hash").distinct(), "hash", "left_semi").select("doc_id", "th").distinct()
+        some = _windows(rows, readings, widths).join(items.select("hash").distinct(), "hash", "left_semi").select("doc_id", "th").distinct()
         some = some.select(F.col("doc_id").alias("id"), F.col("th").alias("text_hash"))
         rows = rows.join(some, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("th") == F.col("text_hash")), "left_semi")
-    met = _windows(rows).join(items, "hash").select(
-        "doc_id", "th", "item_id", "item_windows", "place", (F.col("at") - F.col("place")).alias("shift"),
-        F.transform("slots", lambda x: F.struct(x["was"].alias("was"), F.get("values", F.col("at") + x["k"]).alias("now"))).alias("slots"),
+    # A name that stands for itself need not be read as a name in the document.
+    was, now = ("said", "plain") if whole else ("was", "values")
+    slot = lambda x: F.struct(
+        F.substring(x["was"], 1, 3).alias("kind"), x[was].alias("was"), F.get(now, F.col("at") + x["k"]).alias("now")
     )
-    # One alignment has one row per window of the item at most, so these sets are no longer than an item.
-    lines = met.groupBy("doc_id", "th", "item_id", "item_windows", "shift").agg(
+    met = _windows(rows, readings, widths).join(items, "hash").select(
+        "doc_id", "th", "item_id", "item_windows", "item_told", "place", "exact", "told",
+        (F.col("at") - F.col("place")).alias("shift"), F.transform("slots", slot).alias("slots"),
+    )
+    # One alignment has a few rows per window of the item at most, so these sets are no longer than an item.
+    places = lambda kind: F.size(F.collect_set(F.when(F.col(kind), F.col("place"))))
+    lines = met.groupBy("doc_id", "th", "item_id", "item_windows", "item_told", "shift").agg(
         F.size(F.collect_set("place")).alias("n_windows"), F.min("place").alias("from"),
+        places("exact").alias("n_exact"), places("told").alias("n_told"),
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
     )
-    enough = (F.col("n_windows") >= LEAST_WINDOWS) | (F.col("n_windows") >= F.col("item_windows") * LEAST_SHARE)
-    bound = F.filter("slots", lambda x: x["was"].startswith("<p>")) if whole else F.col("slots")
-    lines = lines.withColumn("bound", bound)
-    one_way = F.size(F.array_distinct(F.col("bound.was"))) == F.size("bound")
-    other_way = F.size(F.array_distinct(F.col("bound.now"))) == F.size("bound")
-    lines = lines.where(enough & one_way & other_way).select(
+    lines = lines.withColumn("bound", F.filter("slots", lambda x: x["kind"] == "<p>") if whole else F.col("slots"))
+    consistent = (F.size(F.array_distinct("bound.was")) == F.size("bound")) & (F.size(F.array_distinct("bound.now")) == F.size("bound"))
+    enough = _enough("n_windows", "item_windows")
+    if whole:
+        of_told = (F.col("n_told") > 0) & _enough("n_told", "item_told")
+        lines = lines.where(_enough("n_exact", "item_windows") | consistent & (enough | of_told))
+    else:
+        lines = lines.where(enough & consistent)
+    lines = lines.select(
         "doc_id", "item_id",
         F.struct(
             "n_windows", (-(F.col("from") + F.col("shift"))).alias("back"), "item_windows", F.size("slots").alias("n_slots"),

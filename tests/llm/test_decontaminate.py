@@ -120,3 +120,25 @@ def test_numbers_may_tie(docs_of, spark):
     assert pairs(docs, benchmark) >= {(1, 1), (2, 2), (3, 3)}
     # Two names that become one, or one that becomes two, are another question.
     assert not {4, 5} & {d for d, _ in pairs(docs, benchmark)}
+
+
+def test_copies_dense_in_placeholders_and_short_ones(docs_of, spark):
+    sums = "What is 23 * 45 - 12 + 8 / 2 * 7 + 91 - 16 when you work from left to right?"
+    row = "Continue: 1 1 2 3 5 8 13 21 34 55 89 144"
+    benchmark = spark.createDataFrame([(1, sums), (2, row), (3, "What is 7 times 8?"), (4, "Name Lima's river."), (5, ""), (6, " ?! ")], "item_id long, text string")
+    docs = docs_of([
+        (1, f"Here it is: {sums} Yes."), (2, f"so {row} and on"), (3, "First. What is 7 times 8? Second."), (4, "Name Lima's river."),
+        (5, sums.replace("23", "31").replace("91", "17")), (6, "What is 7 times 9?"), (7, "8 13 21"), (8, None), (9, ""),
+        (10, "100 % of 7 times 8"), (11, "As 50% of them: what is 7 times 8"),
+    ])
+    assert pairs(docs, benchmark) == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 1), (11, 3)}
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert pairs(docs, none) == set()
+
+
+@pytest.mark.parametrize("broadcast", [1_000_000, 0])
+def test_search_finds_what_find_does(documents, folder, spark, monkeypatch, broadcast):
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", broadcast)
+    benchmark = common.table(spark, folder, "benchmark")
+    narrow = {(r.doc_id, r.item_id) for r in decontaminate.find(documents, benchmark).collect()}
+    assert narrow and narrow <= pairs(documents, benchmark)

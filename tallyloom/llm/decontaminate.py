@@ -8,7 +8,8 @@ throughout, and different names for different ones. Numbers and units may meet:
 roles can become 3 and 8. `find` wants the same consistency of all slots; `search`, which the query and the pipeline use, does not.
 
 `search` looks the windows up in their plain words too, which stand for themselves, so a copy is found however many numbers and
-names it has. Items of less than `WINDOW` words are one window of plain words, of their whole length. If plain windows alone
+names it has. A third reading leaves the names as plain words and numbers and units as placeholders, since a copy in lower case
+or in capitals shows no names. Each window counts that agrees in one of the readings. Items of less than `WINDOW` words are one window of plain words, of their whole length. If plain windows alone
 are enough, nothing has to be consistent. Half of the windows that can be looked up as templates are enough as well.
 
 Only DataFrame functions run. The benchmark's window hashes are broadcast up to `BROADCAST_ROWS` of them, which a count checks;
@@ -60,15 +61,19 @@ def valued(text: Column) -> Column:
 
 
 def _read(rows: DataFrame, text: str) -> DataFrame:
-    """rows with `values`, their words, `words`, the same with bare placeholders, and `plain`, the same without placeholders."""
+    """rows with `values`, their words, and three readings of them: `words`, where all placeholders are bare, `counted`, where
+    names are plain words, and `plain`, where all are."""
     rows = rows.withColumn("read", valued(F.coalesce(F.col(text).cast("string"), F.lit(""))))
     read = F.col("read")
     bare = F.when(read.contains("<"), F.regexp_replace(read, _VALUE, "$1")).otherwise(read)
     # A unit that is a mark has no value left, and its placeholder stays: all readings have the same number of words.
     plain = F.when(read.contains("<u>"), F.regexp_replace(read, _PLACEHOLDER, ""))
     plain = plain.otherwise(F.replace(F.replace(read, F.lit("<n>"), F.lit("")), F.lit("<p>"), F.lit("")))
+    nameless = F.replace(read, F.lit("<p>"), F.lit(""))
+    counted = F.when(read.contains("<n>"), F.regexp_replace(nameless, _VALUE, "$1")).otherwise(nameless)
     split = lambda x, name: F.split(x, r"\s+").alias(name)
-    return rows.select("*", split(read, "values"), split(bare, "words"), split(plain, "plain")).drop("read", text)
+    rows = rows.select("*", split(read, "values"), split(bare, "words"), split(counted, "counted"), split(plain, "plain"))
+    return rows.drop("read", text)
 
 
 def _hash(words: str, width: int = WINDOW) -> Column:
@@ -109,10 +114,12 @@ def _items(benchmark: DataFrame, readings: list[str]) -> DataFrame:
     rows = rows.withColumn("told", (F.col("width") == WINDOW) & (F.size("slots") <= WINDOW - LITERALS))
     told = rows.where("told").groupBy("item_id").agg(F.count("*").alias("item_told"))
     rows = rows.join(told, "item_id", "left").withColumn("item_told", F.coalesce("item_told", F.lit(0)))
+    literal = F.size(F.filter("slots", lambda x: ~x["was"].startswith("<p>"))) <= WINDOW - LITERALS
+    sought = {"words": F.col("told"), "counted": (F.col("width") == WINDOW) & literal, "plain": F.lit(True)}
     hashes = F.array(*(
-        F.struct(_hash(x).alias("hash"), F.lit(x == "plain").alias("exact")) for x in readings
+        F.struct(_hash(x).alias("hash"), F.lit(x == "plain").alias("exact"), sought[x].alias("sought")) for x in readings
     ))
-    rows = rows.withColumn("x", F.explode(hashes)).where("told or x.exact")
+    rows = rows.withColumn("x", F.explode(hashes)).where("x.sought")
     # A window without placeholders has one hash in all readings.
     return rows.groupBy("item_id", F.col("at").alias("place"), "x.hash").agg(
         F.max("x.exact").alias("exact"),
@@ -140,7 +147,7 @@ def _enough(count: str, total: str) -> Column:
 
 
 def _best(docs: DataFrame, benchmark: DataFrame, whole: bool) -> DataFrame:
-    readings = ["words", "plain"] if whole else ["words"]
+    readings = ["words", "counted", "plain"] if whole else ["words"]
     items = _items(benchmark, readings)
     known = items.agg(F.count("*").alias("n"), F.collect_set("width").alias("widths")).first()
     widths = sorted({WINDOW, *known["widths"]})

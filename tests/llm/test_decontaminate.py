@@ -142,3 +142,18 @@ def test_search_finds_what_find_does(documents, folder, spark, monkeypatch, broa
     benchmark = common.table(spark, folder, "benchmark")
     narrow = {(r.doc_id, r.item_id) for r in decontaminate.find(documents, benchmark).collect()}
     assert narrow and narrow <= pairs(documents, benchmark)
+
+
+def test_case_of_names(docs_of, spark):
+    battle = "In which battle did the armies of Napoleon defeat the combined forces of Austria and Russia near the village of Austerlitz?"
+    trains = "A train leaves Rome for Milan at 9:30 and Anna meets it after 3 hours: when did Anna leave Turin?"
+    eight = "Where does the river Po meet the sea?"
+    benchmark = spark.createDataFrame([(1, battle), (2, trains), (3, eight)], "item_id long, text string")
+    changed = trains.replace("9:30", "7:15").replace("3 hours", "40 minutes")
+    docs = docs_of([
+        (1, battle), (2, battle.lower()), (3, battle.upper()), (4, trains.lower()), (5, changed), (6, changed.lower()), (7, changed.upper()),
+        (8, f"and so on {eight}"), (9, eight.upper()), (10, changed.replace("Anna", "Carla")), (11, changed.title()),
+        (12, changed.lower().replace("anna", "bert").replace("rome", "oslo").replace("milan", "bergen").replace("turin", "moss")),
+    ])
+    wanted = {(1, 1), (2, 1), (3, 1), (4, 2), (5, 2), (6, 2), (7, 2), (8, 3), (9, 3), (10, 2), (11, 2)}
+    assert pairs(docs, benchmark) == wanted

@@ -1,7 +1,8 @@
 """HTML extraction: a linear-chain conditional random field over the leaf blocks of a page, decoded by Viterbi.
 
 A page is read tag by tag. Text between two block-level tags is a leaf block; character references are decoded, white space
-becomes one space, empty blocks go. Scripts, styles, heads, and what is no text (options, buttons' values, frames) never become
+becomes one space, empty blocks go. What stands in a script, style, title, textarea, iframe or noscript is raw up to the end
+tag, whatever it looks like. Scripts, styles, heads, and what is no text (options, buttons' values, frames) never become
 blocks. Each block has features of its ancestors (tags, words of class, id and role), of its own tag and of its text
 (length, share of links, sentence marks, set phrases). The field gives each block a label, main or not, where neighbouring labels
 depend on each other; the best labelling of the page is found by Viterbi. The main text is the main blocks, one a line.
@@ -20,6 +21,7 @@ import functools
 import html as markup
 import random
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,7 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 # Kinds of HTML elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset("script style noscript template title head svg math iframe object canvas select option textarea audio video".split())
+RAW = {x: re.compile(rf"</{x}(?=[\s/>])", re.I) for x in "script style title textarea iframe noscript".split()}
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike "
     "strong sub sup time tt u var wbr".split()
@@ -106,6 +109,22 @@ def _own_bits(tag: str, more: str) -> int:
 Block = tuple[str, int, str, int]
 
 
+def _tokens(page: str) -> Iterator[re.Match[str]]:
+    """Tags, comments and texts of a page; the content of raw elements is left out, unless they never end."""
+    at, endless = 0, set()
+    while at is not None:
+        start, at = at, None
+        for found in _TAG.finditer(page, start):
+            yield found
+            name = found["name"] and not found["close"] and found["name"].lower()
+            if name in RAW and name not in endless and not found["more"].endswith("/"):
+                end = RAW[name].search(page, found.end())
+                if end:
+                    at = end.start()
+                    break
+                endless.add(name)
+
+
 def blocks(page: str) -> list[Block]:
     """The leaf blocks of a page, in its order."""
     out: list[Block] = []
@@ -132,7 +151,7 @@ def blocks(page: str) -> list[Block]:
             if stack[k][0] in bounds:
                 return
 
-    for found in _TAG.finditer(page):
+    for found in _tokens(page):
         name = found["name"]
         if name is None:
             piece = found[0]

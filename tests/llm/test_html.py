@@ -83,3 +83,14 @@ def test_odd_rows(spark, field):
     assert found.columns == ["page_id", "url", "text", "n_chars"] and found.count() == 5
     assert found.where("page_id is null").first().text == "Some text, here it is, quite long."
     assert html_crf.extract(pages.limit(0), field).count() == 0
+
+
+def test_raw_text():
+    for script in ("for(var i=0;i<n;i++){f(i)}", "x='<!--'", "x='<body>'", "if(a<b&&c>d)y(\"<p>no\")", "x='</scripts>'", "</p", ""):
+        said = f"<SCRIPT async>{script}</Script ><article><p>a</p></article><script>{script}</script><p>b"
+        assert [b[0] for b in html_crf.blocks(f"<body>{said}")] == ["a", "b"]
+        assert [b[0] for b in html_crf.blocks(f"<head><script>{script}</script><title>i<n</title></head><body>{said}")] == ["a", "b"]
+    for tag in ("style", "title", "textarea", "iframe", "noscript"):
+        assert [b[0] for b in html_crf.blocks(f"<p>a</p><{tag}>x<y <!-- <body></{tag.upper()}><p>b")] == ["a", "b"]
+    # Without an end tag the head ends at the body, as before; many such tags are looked for once.
+    assert [b[0] for b in html_crf.blocks("<head>" + "<title>x" * 50_000 + "<body><p>a")] == ["a"]

@@ -21,6 +21,7 @@ import functools
 import html as markup
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -128,7 +129,10 @@ def _tokens(page: str) -> Iterator[re.Match[str]]:
 def blocks(page: str) -> list[Block]:
     """The leaf blocks of a page, in its order."""
     out: list[Block] = []
-    stack: list[tuple[str, int]] = [("body", 0)]
+    # Tag, bits of it and its ancestors, innermost block tag.
+    stack: list[tuple[str, int, str]] = [("body", 0, "body")]
+    # Open elements by name, so that a search for one that is not open takes no time, however deep the page.
+    opened: Counter[str] = Counter()
     silent = ""
     pieces: list[str] = []
     links = bits = 0
@@ -144,8 +148,11 @@ def blocks(page: str) -> list[Block]:
         links = 0
 
     def pop_to(names: tuple[str, ...], bounds: frozenset[str]) -> None:
+        if not any(opened[x] for x in names):
+            return
         for k in range(len(stack) - 1, 0, -1):
             if stack[k][0] in names:
+                opened.subtract(x for x, _, _ in stack[k:])
                 del stack[k:]
                 return
             if stack[k][0] in bounds:
@@ -161,7 +168,7 @@ def blocks(page: str) -> list[Block]:
                 if piece.isspace():
                     continue
                 bits = stack[-1][1]
-                own = next((t for t, _ in reversed(stack) if t not in INLINE), "body")
+                own = stack[-1][2]
             bits |= stack[-1][1] & ~_ANCESTOR_BIT["a"]
             pieces.append(piece)
             if stack[-1][1] & _ANCESTOR_BIT["a"]:
@@ -196,8 +203,8 @@ def blocks(page: str) -> list[Block]:
             if tag in SAME:
                 pop_to(SAME[tag], frozenset(("ul", "ol", "dl", "table")))
         if tag not in VOID and not (tag in INLINE and found["more"].endswith("/")):
-            if len(stack) < 512:
-                stack.append((tag, stack[-1][1] | _own_bits(tag, found["more"])))
+            stack.append((tag, stack[-1][1] | _own_bits(tag, found["more"]), stack[-1][2] if tag in INLINE else tag))
+            opened[tag] += 1
     flush()
     return out
 

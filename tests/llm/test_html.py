@@ -94,3 +94,14 @@ def test_raw_text():
         assert [b[0] for b in html_crf.blocks(f"<p>a</p><{tag}>x<y <!-- <body></{tag.upper()}><p>b")] == ["a", "b"]
     # Without an end tag the head ends at the body, as before; many such tags are looked for once.
     assert [b[0] for b in html_crf.blocks("<head>" + "<title>x" * 50_000 + "<body><p>a")] == ["a"]
+
+
+def test_any_depth():
+    nav, article = html_crf._ANCESTOR_BIT["nav"], html_crf._ANCESTOR_BIT["article"]
+    deep = "<article>" + "<div>" * 2000 + "a<nav>b</nav>c<article>d</article>e" + "</div>" * 2000 + "f</article>g"
+    found = html_crf.blocks(deep)
+    assert [(b[0], bool(b[1] & nav), bool(b[1] & article)) for b in found] == [
+        ("a", False, True), ("b", True, True), ("c", False, True), ("d", False, True), ("e", False, True), ("f", False, True), ("g", False, False),
+    ]
+    # End tags of what is not open cost nothing on a deep page.
+    assert [b[0] for b in html_crf.blocks("<div>" * 50_000 + "</section>" * 50_000 + "x")] == ["x"]

@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import chat_template, common, decontaminate, html_crf, interpolated_lm, jaccard_join, line_rules, packing, quality_gbdt, suffix_dedup, toxicity
+from tallyloom.llm import (
+    chat_template, common, conversation_repair, decontaminate, html_crf, interpolated_lm, jaccard_join, license_templates, line_rules,
+    ns_clusters, packing, quality_gbdt, suffix_dedup, toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -123,3 +126,169 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return line_rules.judge(common.table(spark, folder, "documents"))
+
+
+@query
+def op11_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return license_templates.scan(common.table(spark, folder, "documents")).drop("found")
+
+
+def _license_sql() -> str:
+    """Each wording as a regular expression over the words of a text."""
+    lt = license_templates
+    phrases = [(lt.parse(text), label) for text, label in lt.PHRASES]
+    every = [*phrases, *((lt.parse(text), label) for label, text in lt.TEMPLATES)]
+
+    def stands(parts: list) -> str:
+        return f"regexp_matches(s, ' {lt.as_regex(parts)}')"
+
+    def labels(some: list) -> str:
+        cases = ", ".join(f"case when {stands(parts)} then '{label}' end" for parts, label in some)
+        return f"array_to_string(list_sort(list_distinct(list_filter([{cases}], lambda x: x is not null))), ',')"
+
+    def here(parts: list) -> str:
+        return "(" + " and ".join(f"coalesce(w[i + {k}] = '{word}', false)" for k, word in enumerate(parts[0][1])) + ")"
+
+    places = ", ".join(f"list_filter(range(1, len(w) + 1), lambda i: {here(parts)})" for parts, _ in phrases)
+    weights = ", ".join(f"case when {stands(parts)} then {lt.mandatory(parts)} else 0 end" for parts, _ in every)
+    return rf"""
+with words as (
+    select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from documents
+), said as (select *, ' ' || array_to_string(w, ' ') || ' ' as s, flatten([{places}]) as p from words),
+found as (select *, greatest({weights}) as m, {labels(phrases)} as base_labels, {labels(every)} as labels from said)
+select doc_id, cast(len(w) as bigint) as n_words, cast(len(p) as bigint) as n_base, cast(list_min(p) - 1 as bigint) as first_word,
+    cast(list_max(p) - 1 as bigint) as last_word, base_labels, labels, m / (m + 4.0::double) as score
+from found
+""".replace("\\\\", "\\")
+
+
+ORACLE["op11_license_scans"] = _license_sql()
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damage(common.table(spark, folder, "conversations")))
+
+
+def _repair_sql() -> str:
+    """Damage, faults and repair; the repair goes over a conversation's rows with the best way into each state of the form."""
+    states = ("e", "s", "u", "a")
+    nowhere = "{cost: 1000000000::bigint, audit: '', said: ''}"
+    nothing = "{cost: 0::bigint, audit: '', said: ''}"
+
+    def way(state: str, cost: str, letter: str, said: str = "''") -> str:
+        return f"{{cost: acc.{state}.cost + {cost}, audit: acc.{state}.audit || '{letter}', said: acc.{state}.said || {said}}}"
+
+    def kept(state: str, initial: str) -> str:
+        way_there = way(state, "x.more", "K", "chr(10) || x.role || ':' || x.text")
+        return f"case when not x.go and x.initial = '{initial}' then {way_there} else {nowhere} end"
+
+    def renamed(state: str, role: str) -> str:
+        way_there = way(state, "3 + x.more", "R", f"chr(10) || '{role}:' || x.text")
+        return f"case when not x.go then {way_there} else {nowhere} end"
+
+    def put_in(state: str, role: str) -> str:
+        return way(state, "3", "I", f"chr(10) || '{role}:'")
+
+    before = {"e": "", "s": "e", "u": "esa", "a": "u"}
+    roles = {"u": "user", "a": "assistant"}
+    row = {
+        to: "list_min([" + ", ".join(
+            [way(to, "4", "D"), *(kept(q, to) for q in before[to]), *(renamed(q, roles[to]) for q in before[to] if to in roles)]
+        ) + "])"
+        for to in states
+    }
+    insert = {to: "list_min([" + ", ".join([f"acc.{to}", *(put_in(q, roles[to]) for q in before[to])]) + "])" for to in roles}
+    step = ", ".join(
+        f"{to}: case x.kind when 'row' then {row[to]}" + (f" when '{to}' then {insert[to]}" if to in roles else "") + f" else acc.{to} end"
+        for to in states
+    )
+    put = [f"{{kind: '{k}', initial: '', role: '', text: '', go: false, more: 0::bigint}}" for k in ("u", "a", "u")]
+    begin = f"{{e: {nothing}, s: {nowhere}, u: {nowhere}, a: {nowhere}}}"
+    return rf"""
+with named as (
+    select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+        coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as key
+    from conversations
+), bits as (
+    select *, flatten(list_transform(string_split(key, ''), lambda c: list_transform(range(8), lambda k: (ascii(c) >> k) & 1))) as b
+    from named
+), kinds as (
+    select *, xor(list_reduce(list_transform(b, lambda x: x::bigint),
+        lambda crc, x: xor(crc >> 1, (xor(crc, x) & 1) * 3988292384), 4294967295::bigint), 4294967295) % 20 as kind
+    from bits
+), damaged as (
+    select conv_id, turn, case kind when 4 then 'user' else role end as role,
+        case kind when 1 then '' when 2 then translate(text, '.!?', '') else text end as text,
+        unnest(case kind when 0 then []::int[] when 3 then [0, 1] else [0] end) as copy
+    from kinds
+), numbered as (
+    select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as n from damaged
+), judged as (
+    select *, not regexp_matches(text, '[^ 	-]') as is_blank,
+        row_number() over (partition by conv_id, role, text order by n) > 1 as is_again,
+        not regexp_matches(text, '[.!?][ 	-]*$') as is_cut,
+        lag(left(role, 1)) over (partition by conv_id order by n) || left(role, 1) as pair
+    from numbered
+), counted as (
+    select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+        count(*) filter (where is_blank) as blank, count(*) filter (where not is_blank and is_again) as duplicate,
+        count(*) filter (where not is_blank and not is_again and is_cut) as truncated,
+        count(*) filter (where pair not in ('su', 'ua', 'au')) as illegal,
+        flatten(list([{{kind: 'row', initial: left(role, 1), role: role, text: text, go: is_blank or is_again,
+            more: case when is_cut then 3 else 0 end::bigint}}, {", ".join(put)}] order by n)) as steps
+    from judged group by conv_id
+), repaired as (
+    select *, list_reduce([{", ".join(put)}] || steps, lambda acc, x: {{{step}}}, {begin}) as ways from counted
+), best as (select *, list_min([ways.e, ways.a]) as way from repaired)
+select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+    coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(way.cost, 0) as cost, coalesce(way.audit, '') as audit,
+    sha256(substr(coalesce(way.said, ''), 2)) as repaired_sha256
+from (select distinct conv_id from conversations) o left join best b on o.conv_id is not distinct from b.conv_id
+"""
+
+
+ORACLE["op12_conversation_repair"] = _repair_sql()
+
+
+@query
+def op13_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return ns_clusters.report(common.table(spark, folder, "embeddings"))
+
+
+def _cluster_sql() -> str:
+    """Every distance to every centroid in every round."""
+    rounds = []
+    for n in range(ns_clusters.ROUNDS + 1):
+        rounds.append(f"""
+d{n} as (
+    select v.id, v.vec_id, v.v, c.k, list_sum(list_transform(range(1, 65), lambda i: (v.v[i] - c.c[i]) * (v.v[i] - c.c[i]))) as d
+    from v, c{n} c
+), n{n} as (select id, vec_id, v, min(struct_pack(d := d, k := k)) as best from d{n} group by id, vec_id, v),
+s{n} as (
+    select k, list(f order by i) as c from (
+        select best.k as k, i, cast((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) as bigint) as f
+        from (select best, unnest(v) as x, unnest(range(1, 65)) as i from n{n}) group by best.k, i
+    ) group by k
+), c{n + 1} as (select c.k, coalesce(s.c, c.c) as c from c{n} c left join s{n} s on s.k = c.k)""")
+    last = ns_clusters.ROUNDS
+    return f"""
+with kept as (
+    select vec_id, list_transform(embedding, lambda x: cast(floor(64 * x::double) as bigint)) as v, row_number() over () as id
+    from embeddings where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64
+), v as materialized (select * from kept),
+c0 as materialized (
+    select row_number() over (order by h, v) - 1 as k, v as c
+    from (select sha256('1:' || coalesce(vec_id::varchar, '')) as h, v from v order by h, v limit 16)
+), {",".join(rounds).replace(" as (select c.k", " as materialized (select c.k").replace("n0 as (", "n0 as materialized (")}
+select vec_id, cast(best.k as int) as cluster, best.d::bigint as distance,
+    cast(sum(best.d) over (partition by best.k) as bigint) as cluster_inertia, cast(sum(best.d) over () as bigint) as inertia,
+    sha256(array_to_string(c.c, ',')) as centroid_sha256
+from n{last} join c{last} c on c.k = best.k
+"""
+
+
+ORACLE["op13_centroid_clustering"] = _cluster_sql()

@@ -36,7 +36,8 @@ _HALF = 4.0
 _MARKUP = re.compile(r"<<(.*?)>>", re.S)
 _ANY = re.compile(r"\.\{(\d+),(\d+)\}")
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-_GAP = re.compile(rb"[\x00-\x2F\x3A-\x60\x7B-\x7F]")
+# No capital is a gap: texts are cut into pieces before they are lower-cased.
+_GAP = re.compile(rb"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 # Phrases whose places are counted, and their labels.

@@ -14,8 +14,8 @@ both have one letter for each row and an insertion costs more.
 
 Rows are dealt by conversation, sorted, and read as a stream. `BLOCK` rows at a time make one agenda for each state the form can be in
 before them; what it derives is a rule of the agenda over whole blocks, which keeps the repaired text as a running hash for each
-state. So memory is one block and the audits, however long a conversation is. Copies of a row are counted before they are dealt, and
-rows seen earlier are found by the least turn of each text, not by remembering texts.
+state. So memory is one block and the audits, however long a conversation is. The texts are shuffled once. Rows seen earlier are found
+by sorting a conversation's rows by their text's hash, not by remembering texts; a row's copies behind it are one step of the agenda.
 
 Rows are in order of turn (nulls first), then role, then text; equal rows are copies. Null role and text are one space. Rows of null
 conv_id are one conversation. Tables may be empty; further columns are not read. A conversation whose rows are all lost has zeros,
@@ -33,7 +33,7 @@ from itertools import groupby
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm import common
@@ -110,7 +110,7 @@ def _insertion(weight: Weight) -> Weight:
 class Row(NamedTuple):
     initial: str
     copies: int  # this one and those right behind it
-    must_go: bool
+    must_go: bool  # this one; the copies behind it always do
     cut_off: bool
 
 
@@ -229,16 +229,11 @@ def damage(rows: DataFrame) -> DataFrame:
     return held.select("conv_id", "gone", turn.alias("turn"), role.alias("role"), text.alias("text"), F.explode(copies).alias("_")).drop("_")
 
 
-def _counted(rows: DataFrame) -> DataFrame:
-    """Different rows with `copies`, and `earlier`: the same role and text stand at an earlier turn of the conversation."""
-    own = ["conv_id", "gone", "role", "text"]
-    counted = rows.groupBy(*own, "turn").agg(F.count(F.lit(1)).alias("copies"))
-    # Nulls come first: a struct with null is the least.
-    first = counted.groupBy(*own).agg(F.min(F.struct("turn")).alias("first"))
-    first = first.select(*[F.col(x).alias(f"_{x}") for x in own], "first")
-    same = [F.col(x).eqNullSafe(F.col(f"_{x}")) for x in own]
-    both = counted.join(first, on=same)
-    return both.select(*counted.columns, (~F.col("first.turn").eqNullSafe(F.col("turn"))).alias("earlier"))
+def _marked(rows: DataFrame) -> DataFrame:
+    """rows, dealt by conversation, with `again`: the same role and text stand before. Equal rows differ in nothing else."""
+    text = F.md5(F.concat("role", F.lit("\n"), "text").cast("binary"))
+    earlier_first = Window.partitionBy("conv_id", "gone", text).orderBy(F.col("turn").asc_nulls_first())
+    return rows.repartition("conv_id").withColumn("again", F.row_number().over(earlier_first) > 1)
 
 
 RESULT = (
@@ -254,26 +249,30 @@ class _Reading:
     def __init__(self, conv_id: int | None):
         self.conv_id = conv_id
         self.blank = self.duplicate = self.truncated = self.illegal = self.turns = 0
-        self.least = self.most = self.initial = None
+        self.least = self.most = self.initial = self.last = None
         self.repair, self.rows, self.texts = Repair(), [], []
 
-    def add(self, turn: int | None, role: str, text: str, copies: int, earlier: bool) -> None:
+    def add(self, turn: int | None, role: str, text: str, again: bool) -> None:
+        initial = role[:1]
+        self.illegal += self.initial is not None and self.initial + initial not in _LEGAL
+        self.initial = initial
         if turn is not None and turn != self.most:
             self.least = turn if self.least is None else self.least
             self.most, self.turns = turn, self.turns + 1
         stripped = text.rstrip(" \t\n\v\f\r")
         is_blank = not stripped
-        is_cut = not is_blank and not earlier and stripped[-1] not in ".!?"
-        self.blank += copies if is_blank else 0
-        self.duplicate += 0 if is_blank else copies if earlier else copies - 1
+        is_cut = not is_blank and not again and stripped[-1] not in ".!?"
+        self.blank += is_blank
+        self.duplicate += again and not is_blank
         self.truncated += is_cut
-        initial = role[:1]
-        self.illegal += self.initial is not None and self.initial + initial not in _LEGAL
-        self.illegal += copies - 1
-        self.initial = initial
+        if again and self.last == (turn, role, text):
+            # A copy right behind its row: it goes with that row's edit.
+            self.rows[-1] = self.rows[-1]._replace(copies=self.rows[-1].copies + 1)
+            return
+        self.last = turn, role, text
         if len(self.rows) == BLOCK:
             self._feed(False)
-        self.rows.append(Row(initial, copies, is_blank or earlier, is_cut))
+        self.rows.append(Row(initial, 1, is_blank or again, is_cut))
         self.texts.append((role, text))
 
     def _feed(self, last: bool) -> None:
@@ -293,7 +292,7 @@ def repair(rows: DataFrame) -> DataFrame:
 
     def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
-            yield from zip(*(batch[c].to_pylist() for c in ("conv_id", "gone", "turn", "role", "text", "copies", "earlier")), strict=True)
+            yield from zip(*(batch[c].to_pylist() for c in ("conv_id", "gone", "turn", "role", "text", "again")), strict=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: list[tuple] = []
@@ -312,5 +311,5 @@ def repair(rows: DataFrame) -> DataFrame:
     def _table(done: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*done, strict=True), types, strict=True)], names)
 
-    order = ["conv_id", "gone", F.col("turn").asc_nulls_first(), "role", "text"]
-    return _counted(rows).repartition("conv_id").sortWithinPartitions(*order).mapInArrow(run, RESULT)
+    order = ["conv_id", "gone", F.col("turn").asc_nulls_first(), "role", "text", "again"]
+    return _marked(rows).sortWithinPartitions(*order).mapInArrow(run, RESULT)

@@ -3,7 +3,8 @@
 The tokenizer's own pre-tokenisation never joins two words across a single space: the space goes to the word after it.
 So a text is the concatenation of its words, each but the first with its space in front. Only a space followed by more
 white space breaks that rule, and such a text goes to the tokenizer whole. Words that are new are tokenized many at a time,
-joined by spaces; only the first id of a word can hold a space, which parts them again.
+joined by spaces; only the first id of a word can hold a space, which parts them again. A text that holds a special token's own
+text (such as <|endoftext|>) goes to the tokenizer whole too, which makes that one id of it, as it does by itself.
 """
 
 from __future__ import annotations
@@ -24,7 +25,9 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        # A special token with white space in it could arise from two words, so nothing is taken apart then.
+        self.special = re.compile("|".join(map(re.escape, added)) or "(?!)") if not any(re.search(r"\s", x) for x in added) else re.compile("")
         vocabulary = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         # Byte-level vocabularies write the space as this letter.
@@ -57,7 +60,7 @@ class WordIds:
         if len(known) + len(first) > REMEMBERED:
             known.clear()
             first.clear()
-        split = [None if _TWO_SPACES.search(t) else t.split(" ") for t in texts]
+        split = [None if _TWO_SPACES.search(t) or self.special.search(t) else t.split(" ") for t in texts]
         new = {s[0] for s in split if s} - first.keys()
         first.update(zip(new, self._plain(list(new)), strict=True))
         new = set()

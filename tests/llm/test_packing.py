@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from tallyloom.llm import packing, queries, word_ids
 from tests.llm.conftest import ODD
@@ -13,19 +14,30 @@ from tests.llm.conftest import ODD
 PATH = queries.public_tokenizer()
 
 
+def plain_ids(texts):
+    """By a tokenizer as it comes from its file."""
+    found = Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)
+    return [np.array(x.ids, "<u4").tobytes() for x in found]
+
+
+def test_a_special_token_is_one_id():
+    assert np.frombuffer(word_ids.WordIds(PATH).encode(["a <|endoftext|> b"])[0], "<u4").tolist() == [64, 220, 50256, 275]
+
+
 def test_words_are_the_tokenizers_ids():
     r = random.Random(0)
     texts = ["", " ", "  ", "a  b", "a   b", "a \n b", "\n\n x", "x\n\n y\t z ", "it's  don't 'll", "　a 　b", " é́ <|endoftext|> x"]
     texts += ["".join(r.choice(" \n\tab1!'s<é|漢") for _ in range(40)) for _ in range(3000)]
+    special = "<|endoftext|>"
+    texts += [special, f"a {special} b", f"a{special}b {special}{special}", f"{special} ", f" x  {special}\n y", special[:-1], f"a {special[:5]} {special[5:]}"]
     memory = word_ids.WordIds(PATH)
-    wanted = [np.array(x.ids, "<u4").tobytes() for x in memory.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    wanted = plain_ids(texts)
     assert memory.encode(texts) == wanted
     assert memory.encode(texts[::-1]) == wanted[::-1]
 
 
 def check(docs, rows, window=1024):
-    tokens = word_ids.WordIds(PATH)
-    wanted = sorted((i is not None, i or 0, x + packing.END) for (i, _), x in zip(rows, tokens.encode([t or "" for _, t in rows]), strict=True))
+    wanted = sorted((i is not None, i or 0, x + packing.END) for (i, _), x in zip(rows, plain_ids([t or "" for _, t in rows]), strict=True))
     pieces = packing.pack(docs, PATH, window, with_ids=True).collect()
     sequences, texts = defaultdict(list), defaultdict(lambda: defaultdict(list))
     for p in pieces:

@@ -1,10 +1,12 @@
 """Toxicity: a lexicon met through Levenshtein automata, with scores of the words around each hit.
 
-1. Lexicon: words that occur in more different surroundings of toxic learning texts than chance allows. A word that only copies
-   of one text repeat has one surrounding, however many copies there are. `TERMS` at most, the surest first.
+1. Lexicon: all words that occur in more different surroundings of toxic learning texts than chance allows. A word that only copies
+   of one text repeat has one surrounding, however many copies there are. Words are counted and tested as a table; only those that
+   pass the test are collected.
 2. Matching: the terms form a trie; the Levenshtein automaton of a word is intersected with it. The product is built lazily
    as a deterministic automaton whose states are sets of (trie node, edits so far), so all new words of a batch move through one
-   table together. Terms of five letters may differ by one edit, terms of ten by two.
+   table together. Terms of five letters may differ by one edit, terms of ten by two. Beyond `STATES` states the automaton begins
+   anew, with the same answers.
 3. Context: a hit inside quotation marks, or near a word of reporting or defining, counts for `QUOTED` of a plain one; a hit
    near an address to the reader counts for more.
 4. A logistic model on the weighted hits gives the score.
@@ -18,8 +20,6 @@ from __future__ import annotations
 
 import functools
 import math
-from collections import Counter
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +31,7 @@ from tallyloom import session
 from tallyloom.llm import common
 
 TRAIN_ROWS = 20_000
-TERMS = 2_000
-CANDIDATES = 50_000
+STATES = 100_000
 # How far, as a logarithm, beyond what chance gives one of the candidates.
 SURE = 0.0
 AROUND = 8
@@ -81,6 +80,9 @@ class Automaton:
             self.term[node] = number
         self.longest = max((len(t) + edits_allowed(t) for t in terms), default=0)
         self.width = len(self.letters) + 1
+        self._begin()
+
+    def _begin(self) -> None:
         # State 0 is dead.
         self.states: list[dict[int, int]] = [{}, self._closed({0: 0})]
         self.number = {(): 0, self._name(self.states[1]): 1}
@@ -129,6 +131,8 @@ class Automaton:
         out: list[tuple[int, int] | None] = [None] * len(words)
         if not fit:
             return out
+        if len(self.states) > STATES:
+            self._begin()
         get = self.letters.get
         sizes = np.array([len(words[k]) for k in fit])
         codes = np.zeros((int(sizes.max()), len(fit)), np.int32)
@@ -217,42 +221,35 @@ def _surroundings(batch: pa.RecordBatch) -> pa.RecordBatch | None:
     return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(around, pa.int64())], ["word", "around"])
 
 
+def _once(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+    """word for every word of the texts of a batch, once for each text."""
+    words = [w for text in batch["text"].to_pylist() for w in {w.strip(MARKS) for w in text.lower().split()} if w]
+    return pa.RecordBatch.from_arrays([pa.array(words, pa.string())], ["word"])
+
+
 def _lexicon(sample: DataFrame) -> tuple[tuple[str, ...], np.ndarray]:
-    """Terms with the logarithm of their odds, from the labelled texts."""
-    size = {r["label"] > 0: r["count"] for r in sample.groupBy("label").count().collect()}
+    """Terms with the logarithm of their odds, from the labelled texts, the surest first."""
+    size = {r["label"] > 0: r["count"] for r in sample.groupBy("label").count().groupBy((F.col("label") > 0).alias("label")).agg(F.sum("count").alias("count")).collect()}
     if len(size) < 2:
         return (), np.zeros(0)
-    toxic = sample.where("label > 0").select("text")
+    folder = session.scratch(sample.sparkSession, "lexicon")
+    toxic, clean = (sample.where(x).select("text") for x in ("label > 0", "label <= 0"))
     seen = common.map_arrow(toxic, _surroundings, "word string, around long").groupBy("word", "around").count()
-    # A word is worth counting from two surroundings on; the bound is far above the words of a lexicon.
-    seen = seen.groupBy("word").agg(F.count("*").alias("ways"), F.sum("count").alias("texts")).where("ways > 1")
-    found = seen.orderBy(F.desc("ways"), "word").limit(CANDIDATES).collect()
-    candidates = {r["word"]: r["ways"] for r in found}
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        clean: Counter[str] = Counter()
-        for batch in batches:
-            for text in batch["text"].to_pylist():
-                clean.update({w.strip(MARKS) for w in text.lower().split()} & candidates.keys())
-        if clean:
-            yield pa.RecordBatch.from_arrays([pa.array(clean.keys(), pa.string()), pa.array(clean.values(), pa.int64())], ["word", "texts"])
-
-    clean = sample.where("label <= 0").select("text").mapInArrow(count, "word string, texts long")
-    against = {r["word"]: r["n"] for r in clean.groupBy("word").agg(F.sum("texts").alias("n")).collect()}
-    share = size[True] / (size[True] + size[False])
-    scored = []
-    for word, ways in candidates.items():
-        other = against.get(word, 0)
-        # Chance of so many toxic ones among all, after Chernoff, for as many words as there are.
-        part = ways / (ways + other)
-        if part <= max(share, 0.5):
-            continue
-        spread = part * math.log(part / share) + ((1 - part) * math.log((1 - part) / (1 - share)) if part < 1 else 0.0)
-        sure = (ways + other) * spread - math.log(max(2, len(candidates)))
-        if sure > SURE:
-            scored.append((-sure, word, math.log((ways + 0.5) / (other + 0.5)) - math.log(size[True] / size[False])))
-    scored.sort()
-    return tuple(w for _, w, _ in scored[:TERMS]), np.array([x for _, _, x in scored[:TERMS]])
+    # A word is a candidate from two surroundings on.
+    seen.groupBy("word").agg(F.count("*").alias("ways")).where("ways > 1").write.parquet(f"{folder}/candidates")
+    candidates = sample.sparkSession.read.parquet(f"{folder}/candidates")
+    against = common.map_arrow(clean, _once, "word string").groupBy("word").agg(F.count("*").alias("other"))
+    met = candidates.join(against, "word", "left").select("word", "ways", F.coalesce("other", F.lit(0)).alias("other"))
+    share, every = size[True] / (size[True] + size[False]), candidates.count()
+    # Chance of so many toxic ones among all, after Chernoff, for as many words as there are.
+    total = F.col("ways") + F.col("other")
+    part = F.col("ways") / total
+    rest = F.when(F.col("other") > 0, (1 - part) * F.log((1 - part) / (1 - share))).otherwise(0.0)
+    sure = total * (part * F.log(part / share) + rest) - math.log(max(2, every))
+    odds = F.log((F.col("ways") + 0.5) / (F.col("other") + 0.5)) - math.log(size[True] / size[False])
+    passed = met.where(part > max(share, 0.5)).select("word", sure.alias("sure"), odds.alias("odds")).where(F.col("sure") > SURE)
+    terms = passed.orderBy(F.desc("sure"), "word").collect()
+    return tuple(r["word"] for r in terms), np.array([r["odds"] for r in terms])
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, keep: float = 1e-3, rounds: int = 30) -> np.ndarray:

@@ -1,7 +1,10 @@
 """Toxicity: automata against plain distances, context, held-out accuracy."""
 
+import math
 import random
 
+import pytest
+
 from tallyloom.llm import common, toxicity
 from tests.llm.conftest import ODD
 
@@ -28,6 +31,48 @@ def test_automaton():
     assert toxicity.Automaton(()).match(["a", ""]) == [None, None]
 
 
+def test_a_bounded_automaton_gives_the_same_answers(monkeypatch):
+    r = random.Random(7)
+    terms = tuple({"".join(r.choice("abcde") for _ in range(r.choice([4, 6, 11]))) for _ in range(30)})
+    words = ["".join(r.choice("abcdef") for _ in range(r.randrange(1, 13))) for _ in range(600)] + list(terms)
+    free, bounded = toxicity.Automaton(terms), toxicity.Automaton(terms)
+    wanted = free.match(words)
+    monkeypatch.setattr(toxicity, "STATES", 50)
+    found, most = [], 0
+    for k in range(0, len(words), 20):
+        found += bounded.match(words[k : k + 20])
+        most = max(most, len(bounded.states))
+    assert found == wanted and most < len(free.states)
+
+
+def test_lexicon_is_every_word_that_passes_the_test(docs_of, labels_of, spark):
+    rows, labels = corpus(11, 300)
+    truth = {k: t for k, _, t, _ in labels}
+    sample = spark.createDataFrame([(k, text, truth[k]) for k, text in rows], "doc_id long, text string, label int")
+    around, against = {}, {}
+    for k, text in rows:
+        words = [w.strip(toxicity.MARKS) for w in text.lower().split()]
+        padded = ["", *words, ""]
+        for w in set(words):
+            if truth[k]:
+                at = words.index(w)
+                around.setdefault(w, set()).add((padded[at], padded[at + 2]))
+            else:
+                against[w] = against.get(w, 0) + 1
+    ways = {w: len(x) for w, x in around.items() if len(x) > 1}
+    share = sum(truth.values()) / len(truth)
+    passed = {}
+    for w, n in ways.items():
+        m = against.get(w, 0)
+        part = n / (n + m)
+        if part > max(share, 0.5):
+            spread = part * math.log(part / share) + ((1 - part) * math.log((1 - part) / (1 - share)) if m else 0)
+            if (n + m) * spread - math.log(len(ways)) > toxicity.SURE:
+                passed[w] = math.log((n + 0.5) / (m + 0.5)) - math.log(share / (1 - share))
+    terms, odds = toxicity._lexicon(sample)
+    assert dict(zip(terms, odds)) == {w: pytest.approx(x) for w, x in passed.items()} and len(passed) >= 3
+
+
 def test_context():
     plain = "what a stupid plan this was in the end".split()
     assert toxicity.context(plain, 2) == 1.0

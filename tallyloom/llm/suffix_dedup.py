@@ -35,6 +35,9 @@ MIN_LENGTH = 400
 ANCHOR = 32
 PIECE = 1 << 20
 POOL = 1 << 20
+# Segments' bytes for one task, and the most tasks that this makes; beyond them tasks get larger.
+TASK = 4 << 20
+MOST_TASKS = 100_000
 HOT = 256
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _TURN = np.uint64(0xD6E8FEB86659FD93)
@@ -136,31 +139,31 @@ def suffix_order(segments: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndar
     padded = np.append(symbols, np.zeros(7, np.uint64))
     for k in range(7):
         key = (key << np.uint64(9)) | np.where(left >= k, padded[k : k + n], np.uint64(0))
-    # Marks are in the order of their segments from the start.
     order = np.argsort(key, kind="stable")
+    # Marks have the least key, and are in the order of their segments from the start: each is a group of its own.
     sorted_key = key[order]
-    new = np.append(True, sorted_key[1:] != sorted_key[:-1])
+    starts = np.flatnonzero(np.append(True, sorted_key[1:] != sorted_key[:-1]))
+    starts = np.concatenate([np.arange(len(segments)), starts[starts >= len(segments)]])
+    # A group's rank is its first row. Rows in groups of one are settled; `rows` are the others.
+    sizes = np.diff(np.append(starts, n))
     rank = np.empty(n, np.int64)
-    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    rank[marks] = np.arange(len(segments))
+    rank[order] = np.repeat(starts, sizes)
+    rows = np.flatnonzero(np.repeat(sizes > 1, sizes))
     width = 7
-    while True:
-        # A group's rank is its first row. Rows in groups of one are settled.
-        at = rank[order]
-        single = np.bincount(at, minlength=n) == 1
-        rows = np.flatnonzero(~single[at])
-        if not len(rows):
-            return order, np.append(0, symbols[:-1]).astype(np.int64), owner
+    while len(rows):
         places = order[rows]
         inside = left[places] >= width
         second = np.where(inside, rank[np.minimum(places + width, n - 1)] + len(segments), owner[places])
-        wide = (at[rows].astype(np.uint64) << np.uint64(32)) | second.astype(np.uint64)
+        wide = (rank[places].astype(np.uint64) << np.uint64(32)) | second.astype(np.uint64)
         by = np.argsort(wide, kind="stable")
         places, wide = places[by], wide[by]
         order[rows] = places
-        new = np.append(True, wide[1:] != wide[:-1])
-        rank[places] = np.maximum.accumulate(np.where(new, rows, 0))
+        starts = np.flatnonzero(np.append(True, wide[1:] != wide[:-1]))
+        sizes = np.diff(np.append(starts, len(rows)))
+        rank[places] = np.repeat(rows[starts], sizes)
+        rows = rows[np.repeat(sizes > 1, sizes)]
         width *= 2
+    return order, np.append(0, symbols[:-1]).astype(np.int64), owner
 
 
 def bounded_repeats(order: np.ndarray, before: np.ndarray, bound: int) -> np.ndarray:
@@ -172,35 +175,38 @@ def bounded_repeats(order: np.ndarray, before: np.ndarray, bound: int) -> np.nda
     """
     n = len(order)
     bwt = before[order]
-    stable = np.argsort(bwt, kind="stable")
+    stable = np.argsort(bwt.astype(np.int16), kind="stable")
     lf = np.empty(n, np.int64)
     lf[stable] = np.arange(n)
+    # The first symbol of the suffix in each row.
+    begins = bwt[stable]
     unset = np.ones(n + 1, bool)
     unset[[0, n]] = False
+    bits = n.bit_length()
+    mask = (1 << bits) - 1
     low, high = np.array([0]), np.array([n])
     for _ in range(bound):
+        if not len(low):
+            break
         widths = high - low
+        alone = widths == 1
+        wide = np.flatnonzero(~alone)
+        widths = widths[wide]
         total = int(widths.sum())
-        if not total:
-            break
-        which = np.repeat(np.arange(len(low)), widths)
-        rows = np.arange(total) - np.repeat(np.cumsum(widths) - widths, widths) + low[which]
+        rows = np.arange(total) - np.repeat(np.cumsum(widths) - widths, widths) + np.repeat(low[wide], widths)
+        # A symbol's rows follow each other in the suffix array, so sorting by interval and target row sorts by symbol as well.
+        key = np.sort(np.repeat(np.arange(len(wide)) << bits, widths) | lf[rows])
+        which = key >> bits
+        target = key & mask
+        symbol = begins[target]
         # Marks differ from one another, so no string extends over them; but each ends the interval before it.
-        symbol = bwt[rows]
-        key = which * 257 + symbol
-        by = np.argsort(key, kind="stable")
-        key, target = key[by], lf[rows[by]]
-        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        count = np.diff(np.append(first, total))
-        mark = symbol[by][first] == 0
-        if mark.any():
-            single = target[np.repeat(mark, count)]
-            low_next = np.concatenate([target[first[~mark]], single])
-            high_next = np.concatenate([target[first[~mark]] + count[~mark], single + 1])
-        else:
-            low_next, high_next = target[first], target[first] + count
-        fresh = unset[high_next]
-        low, high = low_next[fresh], high_next[fresh]
+        new = (symbol[1:] != symbol[:-1]) | (which[1:] != which[:-1]) | (symbol[1:] == 0)
+        first = np.flatnonzero(np.append(True, new)) if total else np.zeros(0, np.int64)
+        one = lf[low[alone]]
+        low = np.concatenate([target[first], one])
+        high = np.concatenate([target[first] + np.diff(np.append(first, total)), one + 1])
+        fresh = unset[high]
+        low, high = low[fresh], high[fresh]
         unset[high] = False
     return unset[:n]
 
@@ -233,8 +239,8 @@ def _marks(found: list[tuple[int, bytes, list[int]]]) -> list[pa.Array]:
     return [pa.array(anchor, pa.int64()), pa.array(segment, pa.binary()), pa.array(where, pa.list_(pa.int64()))]
 
 
-def _pools(rows: DataFrame, min_length: int) -> DataFrame:
-    """Expand pools of whole anchors; rows come sorted by anchor."""
+def _pools(rows: DataFrame, total: int, min_length: int) -> DataFrame:
+    """Expand pools of whole anchors; rows come sorted by anchor. `total` is the bytes of their segments."""
 
     def expand(held: list[tuple[int, bytes, int, bytes]]) -> pa.RecordBatch:
         _, sizes = equal_starts([x[3] for x in held], min_length)
@@ -256,7 +262,9 @@ def _pools(rows: DataFrame, min_length: int) -> DataFrame:
         if held:
             yield expand(held)
 
-    return rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, _MARKS)
+    # Sorting suffixes is far more work for a byte than reading it, so tasks are not gathered by the bytes they read.
+    tasks = max(1, min(MOST_TASKS, -(-total // TASK)))
+    return rows.repartition(tasks, "anchor").sortWithinPartitions("anchor").mapInArrow(run, _MARKS)
 
 
 def _hot(rows: DataFrame, total: int, min_length: int) -> DataFrame:
@@ -339,10 +347,11 @@ def repeats(docs: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
     kinds = _stored(kinds, folder, "kinds")
     several = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
     pool = _stored(_segments(docs.select("doc_id", "th", "text"), kinds.join(several, "anchor"), min_length), folder, "pool")
-    cold = _pools(pool.where(f"kinds <= {HOT}"), min_length)
-    hot = pool.where(f"kinds > {HOT}")
-    total = hot.agg(F.sum(F.octet_length("bytes"))).first()[0]
-    marks = cold.union(_hot(hot, int(total), min_length)) if total else cold
+    size, is_hot = F.octet_length("bytes"), F.col("kinds") > HOT
+    totals = pool.agg(F.sum(F.when(~is_hot, size)).alias("cold"), F.sum(F.when(is_hot, size)).alias("hot")).first()
+    marks = _pools(pool.where(~is_hot), int(totals["cold"] or 0), min_length)
+    if totals["hot"]:
+        marks = marks.union(_hot(pool.where(is_hot), int(totals["hot"]), min_length))
     marks = _stored(marks, folder, "marks")
     # An anchor with one kind of segment: all its starts are repeated.
     alone = some.join(several.select("anchor"), "anchor", "left_anti").select(

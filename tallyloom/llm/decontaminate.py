@@ -146,7 +146,8 @@ def _enough(count: str, total: str) -> Column:
     return (F.col(count) >= LEAST_WINDOWS) | (F.col(count) >= F.col(total) * LEAST_SHARE)
 
 
-def _best(docs: DataFrame, benchmark: DataFrame, whole: bool) -> DataFrame:
+def _lines(docs: DataFrame, benchmark: DataFrame, whole: bool) -> DataFrame:
+    """doc_id, th (the text's hash), item_id and the alignments that count, as structs of which the largest is the best."""
     readings = ["words", "counted", "plain"] if whole else ["words"]
     items = _items(benchmark, readings)
     known = items.agg(F.count("*").alias("n"), F.collect_set("width").alias("widths")).first()
@@ -183,14 +184,17 @@ def _best(docs: DataFrame, benchmark: DataFrame, whole: bool) -> DataFrame:
         lines = lines.where(_enough("n_exact", "item_windows") | consistent & (enough | of_told))
     else:
         lines = lines.where(enough & consistent)
-    lines = lines.select(
-        "doc_id", "item_id",
+    return lines.select(
+        "doc_id", "th", "item_id",
         F.struct(
             "n_windows", (-(F.col("from") + F.col("shift"))).alias("back"), "item_windows", F.size("slots").alias("n_slots"),
             F.size(F.filter("slots", lambda x: x["was"] != x["now"])).alias("n_changed"),
         ).alias("line"),
     )
-    best = lines.groupBy("doc_id", "item_id").agg(F.max("line").alias("line"))
+
+
+def _best(docs: DataFrame, benchmark: DataFrame, whole: bool) -> DataFrame:
+    best = _lines(docs, benchmark, whole).groupBy("doc_id", "item_id").agg(F.max("line").alias("line"))
     return best.select(
         "doc_id", "item_id", F.col("line.n_windows").cast("long").alias("n_windows"),
         F.col("line.item_windows").cast("long").alias("item_windows"), (-F.col("line.back")).cast("long").alias("first_word"),
@@ -199,5 +203,12 @@ def _best(docs: DataFrame, benchmark: DataFrame, whole: bool) -> DataFrame:
 
 
 def drop_found(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs, all columns, in which no item was found; rows with a null id stay."""
-    return docs.join(search(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti")
+    """The rows of docs, all columns, in which no item was found.
+
+    A row is known by its id, null or not, and its text: of one id only the rows go whose own text holds an item.
+    """
+    found = _lines(docs, benchmark, True).select("doc_id", "th").distinct()
+    found = found.select(F.col("doc_id").alias("found_id"), F.col("th").alias("found_text"))
+    text = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    same = docs["doc_id"].cast("long").eqNullSafe(found["found_id"]) & (text == found["found_text"])
+    return docs.join(found, same, "left_anti")

@@ -250,10 +250,15 @@ def join(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return sets.select("doc_id", "n_shingles", "node"), near.union(far)
 
 
+def _parted(members: DataFrame, links: DataFrame) -> DataFrame:
+    """The members that can have a link, with the node that names their component as `part`."""
+    parts = components(links).withColumnRenamed("root", "part")
+    return members.where("node is not null").join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
+
+
 def _named(members: DataFrame, links: DataFrame) -> DataFrame:
     """members with component_id."""
-    parts = components(links).withColumnRenamed("root", "part")
-    linked = members.where("node is not null").join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
+    linked = _parted(members, links)
     named = linked.groupBy("part").agg(F.min("doc_id").alias("component_id"))
     linked = linked.join(named, "part").select("doc_id", "n_shingles", "component_id")
     alone = members.where("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
@@ -266,13 +271,29 @@ def groups(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of docs, all columns, that are the first of their component; of equal rows one. Rows with a null id stay."""
-    members, links = join(docs)
-    first = _named(members, links).where("component_id < doc_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_anti").select(docs.columns)
-    again = members.where("node is not null and doc_id is not null").groupBy("doc_id", "node").count().where("count > 1")
-    again = again.select("doc_id").distinct()
+    """The rows of docs, all columns, that are the first of their component; of equal rows one.
+
+    A row is known by its id and its text, so rows of one id with other texts are judged apart, and rows with a null id like all
+    others. First is the least id, null last; of one id's similar texts the one of least hash. Rows without words all stay. Ids with
+    texts are told apart by 64-bit hashes.
+    """
+    doc_id, text = docs["doc_id"].cast("long"), F.coalesce(docs["text"].cast("string"), F.lit(""))
+    row = F.xxhash64(doc_id.isNull(), doc_id, text)
+    rows = docs.select(doc_id.alias("id"), row.alias("row"))
+    members, links = join(docs.select(row.alias("doc_id"), text.alias("text")))
+    linked = _parted(members, links).select(F.col("doc_id").alias("row"), "part").distinct()
+    owned = linked.join(rows.groupBy("row", "id").agg(F.count(F.lit(1)).alias("times")), "row")
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "row")
+    first = owned.groupBy("part").agg(F.min(rank).alias("first"))
+    judged = session.checkpointed(owned.join(first, "part").select("row", "id", "times", (F.col("first.row") == F.col("row")).alias("stays")))
+
+    def of(some: DataFrame, how: str, left: DataFrame) -> DataFrame:
+        other = some.select(F.col("row").alias("row_key"), F.col("id").alias("row_id"))
+        return left.join(other, (row == other["row_key"]) & doc_id.eqNullSafe(other["row_id"]), how)
+
+    kept = of(judged.where("not stays"), "left_anti", docs)
+    again = judged.where("stays and times > 1")
     if again.isEmpty():
         return kept
-    once = kept.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"])
-    return kept.join(again, "doc_id", "left_anti").select(docs.columns).union(once)
+    # Equal rows of a component: their columns may differ, and one of them is taken.
+    return of(again, "left_anti", kept).union(of(again, "left_semi", kept).dropDuplicates(["doc_id", "text"]))

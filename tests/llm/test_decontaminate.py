@@ -59,9 +59,17 @@ def test_reparameterised_questions(docs_of, spark):
     assert all(r.item_id == 7 for r in rows.values())
     assert (rows[1].n_changed, rows[1].first_word, rows[2].n_changed) == (0, 2, 8) and rows[2].n_slots == 8
     kept = decontaminate.drop_found(docs, benchmark)
-    assert kept.columns == docs.columns and not {1, 2} & {r.doc_id for r in kept.collect()}
-    # A row without an id cannot be named, so it stays.
-    assert kept.where("doc_id is null").count() == 3
+    assert kept.columns == docs.columns and not {1, 2} & {r.doc_id for r in kept.collect() if r.text}
+    # Of the rows without an id only the one with the question goes.
+    assert kept.where("doc_id is null").count() == 2
+
+
+def test_only_rows_whose_own_text_holds_an_item_go(docs_of, spark):
+    benchmark = spark.createDataFrame([(7, QUESTION)], "item_id long, text string")
+    clean = "nothing of this kind is asked here, and nothing else either"
+    docs = docs_of([(1, QUESTION), (1, clean), (None, QUESTION), (None, clean), (2, clean), (3, QUESTION), (3, QUESTION), (4, None)])
+    kept = [(r.doc_id, r.text) for r in decontaminate.drop_found(docs, benchmark).collect()]
+    assert sorted(kept, key=repr) == sorted([(1, clean), (None, clean), (2, clean), (4, None)], key=repr)
 
 
 @pytest.mark.parametrize("broadcast", [1_000_000, 0])

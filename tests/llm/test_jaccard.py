@@ -87,6 +87,15 @@ def test_one_of_each_group_stays(odd, docs_of):
     assert [r.doc_id for r in jaccard_join.keep_one(docs_of([(k + 3, t) for k, t in enumerate(texts)])).collect()] == [3]
 
 
+def test_rows_are_known_by_id_and_text(docs_of):
+    one, other, near = "a b c d e f g h i j k l m n o p q r s t", "quite another text, which has nothing to do with it", "a b c d e f g h i j k l m n o p q r s u"
+    rows = [(1, one), (2, near), (2, other), (None, one), (None, "a third text of nobody, with words of its own"), (None, other), (3, one), (3, one), (4, ""), (4, None), (4, "")]
+    kept = [(r.doc_id, r.text) for r in jaccard_join.keep_one(docs_of(rows)).collect()]
+    assert sorted(kept, key=repr) == sorted(
+        [(1, one), (2, other), (None, "a third text of nobody, with words of its own"), (4, ""), (4, ""), (4, None)], key=repr
+    )
+
+
 def test_components(spark):
     r = random.Random(4)
     links = [(r.randrange(300), r.randrange(300)) for _ in range(160)] + [(k, k + 1) for k in range(1000, 1040)] + [(5, 5), (None, 3)]

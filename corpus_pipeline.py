@@ -1,4 +1,10 @@
-"""From raw documents to packed training sequences: each stage works on all that the stage before it kept."""
+"""From raw documents to packed training sequences: each stage works on all that the stage before it kept.
+
+Every stage takes nulls, empty and very long texts, repeated rows, several texts of one id, an empty table and further columns. A
+row is known by its id and its text, so no row goes because of another one's text. A null text is an empty one, whose quality the
+classifier judges; without labels nothing is rejected. Rows without words are never near duplicates or contaminated. A document
+whose text is wholly repeated stays, with an empty text, and is packed as the end mark alone.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +16,11 @@ from tallyloom import session
 from tallyloom.llm import common, decontaminate, jaccard_join, packing, quality_gbdt, queries, suffix_dedup
 
 
+# Repeated byte strings of this length are taken out. Passages of over 50 words begin at some 250 bytes; strings that long which
+# clean documents share by chance are rare, shorter ones less so.
+PASSAGE = 250
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts."""
     common.prepare(spark)
@@ -26,7 +37,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the long byte strings that occur more than once."""
     common.prepare(spark)
-    return suffix_dedup.clean(docs)
+    return suffix_dedup.clean(docs, PASSAGE)
 
 
 def benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

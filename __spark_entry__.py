@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +22,7 @@ from tallyloom.operators import contacts, exports, flatten, matching, nesting, u
 from tallyloom.operators.ordinals import number_rows  # noqa: E402
 from tallyloom.plans import customers, invoices, quality, revenue, snapshot, summaries, sync_reports, unified  # noqa: E402
 from tallyloom.sinks import store  # noqa: E402
+from tallyloom.sinks.buckets import BucketedTable  # noqa: E402
 from tallyloom.sinks.tables import Table  # noqa: E402
 from tallyloom.sources import landed, lookups, pages  # noqa: E402
 from tallyloom.sources.fixtures import Tables  # noqa: E402
@@ -227,7 +231,7 @@ def _(t):
 @query("upsert_latest")
 def _(t):
     rows = t.b_invoices
-    table = _table(t, "upsert", _ddl(rows), keys=["invoice_id"])
+    table = BucketedTable(t.spark, session.scratch(t.spark, "upsert"), _ddl(rows), keys=["invoice_id"])
     earlier = c("created") < times.moment("1999-01-01 00:00:00")
     table.append(rows.where(earlier), 1)
     table.compact()
@@ -1056,7 +1060,7 @@ def _(t):
     s, (everything, early) = _store(t, "incremental"), _customer_increments(t)
     sync.sync_entity(s, "customers", early, 1, now="2024-02-01 00:00:00")
     sync.sync_entity(s, "customers", everything, 2, now="2024-02-02 00:00:00")
-    return s.billing["customers"].current().drop("updated_at", "ingested_at", "created_month")
+    return s.billing["customers"].current().drop("updated_at", "ingested_at")
 
 
 @query("incremental_sync_history")
@@ -1069,7 +1073,7 @@ def _(t):
 
 def _stored_customers(s: store.Store) -> DataFrame:
     """Every stored row, so that a row that was added twice shows."""
-    return s.billing["customers"].read().drop("updated_at", "ingested_at", "created_month")
+    return s.billing["customers"].read().drop("updated_at", "ingested_at")
 
 
 @query("rerun_batch")
@@ -1080,6 +1084,79 @@ def _(t):
     return _stored_customers(s)
 
 
+def _what_is_stored(s: store.Store, entity: str = "customers") -> DataFrame:
+    """Rows of the raw, processed and audit tables: a key and how many rows it has, or how many records were synced."""
+    raw = s.raw[entity].read().groupBy(c("id").alias("key")).agg(F.count(F.lit(1)).alias("rows"))
+    kept = s.billing[entity].read().groupBy(c(s.billing[entity].keys[0]).alias("key")).agg(F.count(F.lit(1)).alias("rows"))
+    line = F.concat_ws(" ", "entity_type", F.date_format("sync_completed_at", "yyyy-MM-dd"), "status").alias("key")
+    lines = s.history.read().select(line, c("records_synced").alias("rows"))
+    named = {"raw": raw, "processed": kept, "audit": lines}
+    parts = [rows.select(F.lit(name).alias("stored_in"), "key", "rows") for name, rows in named.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("rerun_after_compaction")
+def _(t):
+    """The second of two batches runs again after both were folded; the first reads the watermark of no batch."""
+    s, (everything, early) = _store(t, "folded"), _customer_increments(t)
+    for batch, records in ((1, early), (2, everything)):
+        sync.sync_entity(s, "customers", records, batch, now=f"2024-02-0{batch} 00:00:00")
+    sync.compact(s, after=1)
+    sync.sync_entity(s, "customers", everything, 2, now="2024-02-02 00:00:00")
+    return _what_is_stored(s)
+
+
+class _Killed(BaseException):
+    pass
+
+
+@contextmanager
+def _killed_after(writes: int) -> Iterator[None]:
+    """Ends the work inside, as a lost driver would, right after so many writes to stored tables."""
+    plain, done = Table._write, itertools.count(1)
+
+    def write(self, *arguments):
+        path = plain(self, *arguments)
+        if next(done) == writes:
+            raise _Killed
+        return path
+
+    Table._write = write
+    try:
+        yield
+    except _Killed:
+        pass
+    finally:
+        Table._write = plain
+
+
+@query("killed_between_writes")
+def _(t):
+    """A batch is killed after each of its four writes in turn, then runs: what is stored before it runs, and after."""
+    s, (everything, early) = _store(t, "killed"), _customer_increments(t)
+    sync.sync_entity(s, "customers", early, 1, now="2024-02-01 00:00:00")
+    for writes in (1, 2, 3, 4):
+        with _killed_after(writes):
+            sync.sync_entity(store.Store(t.spark, s.folder), "customers", everything, 2, now="2024-02-02 00:00:00")
+    survivor = store.Store(t.spark, s.folder)
+    before = _what_is_stored(survivor).withColumn("moment", F.lit("before"))
+    sync.sync_entity(survivor, "customers", everything, 2, now="2024-02-02 00:00:00")
+    return before.unionByName(_what_is_stored(survivor).withColumn("moment", F.lit("after")))
+
+
+@query("read_as_of_version")
+def _(t):
+    """Rows of a table after each of its commits: two batches, a fold, and the first batch again."""
+    rows, cut = t.b_invoices.select("invoice_id", "status", "created"), times.moment(CUT)
+    table = _table(t, "versions", _ddl(rows))
+    table.append(rows.where(c("created") < cut), 1)
+    table.append(rows.where(c("created") >= cut), 2)
+    table.compact()
+    table.append(rows.where((c("created") < cut) & (c("status") == "paid")), 1)
+    parts = [table.at(v).read().groupBy("status").agg(F.count(F.lit(1)).alias("rows")).withColumn("version", F.lit(v).cast("long")) for v in range(1, 5)]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _broken(t: Tables) -> DataFrame:
     return t.spark.range(1).select(F.lit("{broken").alias("json_data"))
 
@@ -1112,8 +1189,13 @@ def _(t):
 
 
 def _land(t: Tables, body_pages: DataFrame, label: str) -> str:
-    path = session.scratch(t.spark, label)
-    body_pages.repartition(4, "page").write.json(path)
+    """Pages as four files that land one after another, in the order of the pages' numbers."""
+    staged, path = session.scratch(t.spark, label), session.scratch(t.spark, label)
+    body_pages.write.parquet(staged)
+    rows = t.spark.read.parquet(staged)
+    last = rows.agg(F.max("page")).first()[0] or 0
+    for part in range(4):
+        rows.where(F.floor(c("page") * 4 / (last + 1)) == part).coalesce(1).write.mode("append").json(path)
     return path
 
 
@@ -1126,18 +1208,28 @@ def _(t):
     return _flat_customers(table.read())
 
 
+@query("stream_unreadable_pages")
+def _(t):
+    """What a stream of pages sets aside, beside the number of records it keeps."""
+    path = _land(t, landed.pages(landed.tier_records(t.m_tiers), landed.key_number("product_id"), "any"), "landing")
+    table, aside = _table(t, "streamed", "json_data string"), _table(t, "aside", "page bigint, body string, reason string")
+    feed.drain(feed.stream_pages(t.spark, path), session.scratch(t.spark, "progress"),
+               feed.append_pages(table, lambda rows: rows.select("json_data"), aside))
+    kept = table.read().agg(F.count(F.lit(1))).scalar()
+    return aside.read().select("page", "reason", kept.alias("kept"))
+
+
 @query("stream_dedup")
 def _(t):
     records = landed.subscription_records(t.b_subscriptions)
     path = _land(t, landed.pages(records, landed.key_number("subscription_id")), "landing")
     table = _table(t, "deduplicated", "customer_id string, page bigint, place int")
-
-    def shape(rows: DataFrame) -> DataFrame:
-        return rows.select(F.get_json_object("json_data", "$.customer").alias("customer_id"), "page", "place")
-
-    feed.drain(feed.stream_pages(t.spark, path), session.scratch(t.spark, "progress"),
-               feed.append_unseen(table, shape, ["customer_id"], ["page", "place"]))
-    return table.read().select("customer_id")
+    rows = pages.list_or_envelope(feed.stream_pages(t.spark, path)).select(
+        F.get_json_object("json_data", "$.customer").alias("customer_id"), "page", "place"
+    )
+    first = feed.first_arrivals(rows, ["customer_id"], ["page", "place"])
+    feed.drain(first, session.scratch(t.spark, "progress"), feed.append_rows(table), changes=True)
+    return table.read()
 
 
 def _landed_feed(t: Tables) -> DataFrame:
@@ -1154,6 +1246,47 @@ def _(t):
     return counts.select("table_name", "row_count")
 
 
+@query("full_refresh_contents")
+def _(t):
+    """What a full refresh leaves in each table, as a key and a value of every row."""
+    s = _store(t, "refresh")
+    sync.refresh_membership(s, landed.tier_records(t.m_tiers), _landed_feed(t), [*FEED_ORDER, "json_data"], 1, now=SYNCED_AT)
+    shown = {
+        "tiers": ("product_id", "name"), "customers": ("client_id", "billing_id"), "sessions": ("session_id", "client_id"),
+        "subscriptions": ("subscription_id", "status"), "assets": ("asset_id", "client_id"),
+    }
+    parts = [
+        s.membership[name].current().select(F.lit(name).alias("table_name"), c(key).alias("key"), c(value).alias("value"))
+        for name, (key, value) in shown.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("full_sync_contents")
+def _(t):
+    """What a whole run leaves in the two tables made for readers, and the contacts it sends."""
+    s, sent = _store(t, "run"), session.scratch(t.spark, "sent")
+    billing = {
+        "customers": _landed(t, landed.customer_records(t.b_customers), "customers"),
+        "subscriptions": _landed(t, landed.subscription_records(t.b_subscriptions), "subscriptions"),
+    }
+    sync.run_all(
+        s, 1, billing, landed.tier_records(t.m_tiers), _landed_feed(t), [*FEED_ORDER, "json_data"], now=SYNCED_AT,
+        send=lambda bodies: bodies.write.parquet(sent),
+    )
+    people = store.latest_version(t.spark, s.unified_path, s.log)
+    snapshot_rows = store.latest_version(t.spark, s.snapshot_path, s.log)
+    told = "struct<customers:array<struct<customer_id:string,product_id:string>>>"
+    contact = t.spark.read.parquet(sent).select(F.explode(F.from_json("body", told)["customers"]).alias("x")).select("x.*")
+    def shown(rows: DataFrame, name: str, key: str, value: str) -> DataFrame:
+        return rows.select(F.lit(name).alias("table_name"), c(key).alias("key"), c(value).alias("value"))
+
+    return reduce(DataFrame.unionByName, [
+        shown(people, "unified_customers", "client_id", "billing_id"), shown(snapshot_rows, "bi_snapshot", "client_id", "customer_status"),
+        shown(contact, "contacts", "customer_id", "product_id"),
+    ])
+
+
 @query("full_sync_run")
 def _(t):
     s = _store(t, "run")

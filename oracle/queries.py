@@ -572,7 +572,36 @@ SELECT 'customers' AS entity_type, x.mark AS last_sync_timestamp, x.n AS records
     SELECT max(created) FROM b_customers WHERE created <= timestamp '1997-01-01')
   UNION ALL SELECT max(created), 0, timestamp '2024-02-03 00:00:00' FROM b_customers) x""")
 add("late_records", "SELECT customer_id, created FROM b_customers WHERE created > timestamp '1997-01-01'")
-add("stream_dedup", "SELECT DISTINCT customer_id FROM b_subscriptions")
+add("stream_dedup", """
+SELECT customer_id, page, place FROM (
+  SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY page, place) AS rn FROM (
+    SELECT customer_id, page, cast(row_number() OVER (PARTITION BY page ORDER BY subscription_id) - 1 AS int) AS place FROM (
+      SELECT *, cast(split_part(subscription_id, '_', -1) AS bigint) // 100 + 1 AS page FROM b_subscriptions) p) q) r WHERE rn = 1""")
+add("stream_unreadable_pages", """
+SELECT page, 'no list of records' AS reason, (SELECT count(*) FROM m_tiers
+  WHERE (cast(split_part(product_id, '_', 2) AS bigint) // 100 + 1) % 3 <> 2) AS kept
+FROM (SELECT DISTINCT cast(split_part(product_id, '_', 2) AS bigint) // 100 + 1 AS page FROM m_tiers) p WHERE page % 3 = 2""")
+EARLY = "coalesce(created, timestamp '1970-01-01') <= timestamp '1997-01-01'"
+STORED = """
+SELECT 'raw' AS stored_in, customer_id AS key, 1 AS rows FROM b_customers WHERE {where}
+UNION ALL SELECT 'processed', customer_id, 1 FROM b_customers WHERE {where}
+UNION ALL SELECT 'audit', 'customers 2024-02-01 success', count(*) FROM b_customers WHERE """ + EARLY
+SECOND = f"""
+UNION ALL SELECT 'audit', 'customers 2024-02-02 success', count(*) FROM b_customers WHERE NOT ({EARLY})"""
+add("rerun_after_compaction", STORED.format(where="true") + SECOND)
+add("killed_between_writes", f"""
+SELECT *, 'before' AS moment FROM ({STORED.format(where=EARLY)}) x
+UNION ALL SELECT *, 'after' FROM ({STORED.format(where="true") + SECOND}) y""")
+add("read_as_of_version", """
+SELECT version, status, count(*) AS rows FROM b_invoices, (VALUES (1), (2), (3), (4)) v(version)
+WHERE version IN (2, 3) OR (version = 1 AND created < timestamp '1997-01-01')
+   OR (version = 4 AND (created >= timestamp '1997-01-01' OR status = 'paid')) GROUP BY 1, 2""")
+add("full_refresh_contents", """
+SELECT 'tiers' AS table_name, product_id AS key, name AS value FROM m_tiers
+UNION ALL SELECT 'customers', client_id, billing_id FROM m_customers
+UNION ALL SELECT 'subscriptions', subscription_id, status FROM m_subscriptions
+UNION ALL SELECT 'sessions', session_id, client_id FROM last_session JOIN m_customers USING (client_id)
+UNION ALL SELECT DISTINCT 'assets', json_extract_string(asset_ids, '$[0]'), client_id FROM m_subscriptions""", LAST_SESSION)
 add("full_refresh_sync", """
 SELECT 'tiers' AS table_name, count(*) AS row_count FROM m_tiers UNION ALL SELECT 'customers', count(*) FROM m_customers
 UNION ALL SELECT 'subscriptions', count(DISTINCT subscription_id) FROM m_subscriptions
@@ -643,6 +672,13 @@ LEFT JOIN (SELECT customer_id, count(*) FILTER (status = 'active') AS active, co
   FROM b_subscriptions GROUP BY 1) bc ON bc.customer_id = m.billing_id"""
 add("bi_customer_360_snapshot", BI, BI_SOURCES)
 add("ctas_bi_partitioned", f"SELECT *, cast(date_trunc('month', membership_since) AS date) AS since_month FROM ({BI}) x", BI_SOURCES)
+add("full_sync_contents", f"""
+SELECT 'unified_customers' AS table_name, client_id AS key, billing_id AS value FROM m_customers WHERE billing_id IN (SELECT customer_id FROM b_customers)
+UNION ALL SELECT 'bi_snapshot', client_id, customer_status FROM ({BI}) x
+UNION ALL SELECT 'contacts', customer_id, product_id FROM reachable LEFT JOIN (
+  SELECT DISTINCT customer_id, product_id FROM b_subscriptions WHERE product_id IS NOT NULL) p USING (customer_id)""",
+    BI_SOURCES + """, reachable AS (SELECT customer_id FROM b_customers
+  WHERE coalesce(nullif(email, ''), nullif(phone, ''), nullif(name, '')) IS NOT NULL)""")
 add("join_bi_chain", f"""
 SELECT client_id, billing_id, customer_status, latest_billing_sub_id, latest_membership_sub_id, latest_session_id,
        latest_asset_model, total_assets, distinct_tiers_used FROM ({BI}) x""", BI_SOURCES)

@@ -12,6 +12,8 @@ from tallyloom.functions.times import from_seconds, moment
 from tallyloom.operators.flatten import classify
 from tallyloom.operators.upsert import seed_missing
 from tallyloom.plans.snapshot import CLUSTER_COLUMNS
+from tallyloom.sinks.buckets import BucketedTable
+from tallyloom.sinks.log import Log
 from tallyloom.sinks.tables import Table
 
 # The entities of the billing sync, in the order they run.
@@ -24,13 +26,15 @@ INGEST_DATE = ("ingest_date", "CAST(ingested_at AS DATE)")
 
 
 class Store:
-    """All tables under one folder that every executor can reach."""
+    """All tables under one folder that every executor can reach, with one commit log."""
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+    def __init__(self, spark: SparkSession, folder: str, buckets: int = 16):
+        """`buckets` is the number of hash buckets of the tables that syncs merge into; it stays what it was at first."""
+        self.spark, self.folder, self.buckets = spark, folder, buckets
+        self.log = Log(spark, folder)
 
-    def _table(self, name: str, schema: str, **options) -> Table:
-        return Table(self.spark, f"{self.folder}/{name}", schema, **options)
+    def _table(self, name: str, schema: str, kind: type[Table] = Table, **options) -> Table:
+        return kind(self.spark, f"{self.folder}/{name}", schema, log=self.log, name=name, **options)
 
     @cached_property
     def raw(self) -> dict[str, Table]:
@@ -51,10 +55,8 @@ class Store:
     @cached_property
     def billing(self) -> dict[str, Table]:
         return {
-            "customers": self._table("b_customers", schemas.B_CUSTOMERS, keys=["customer_id"], partition=CREATED_MONTH,
-                                     cluster=["customer_id", "email"]),
-            "subscriptions": self._table("b_subscriptions", schemas.B_SUBSCRIPTIONS, keys=["subscription_id"],
-                                         partition=CREATED_MONTH, cluster=["customer_id", "status"]),
+            "customers": self._table("b_customers", schemas.B_CUSTOMERS, BucketedTable, keys=["customer_id"], buckets=self.buckets),
+            "subscriptions": self._table("b_subscriptions", schemas.B_SUBSCRIPTIONS, BucketedTable, keys=["subscription_id"], buckets=self.buckets),
         }
 
     @cached_property
@@ -182,14 +184,19 @@ def create_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def replace_nested(unified: DataFrame, path: str, batch: int) -> DataFrame:
+def _named(path: str, log: Log | None) -> dict:
+    """A table in a store's log, or with a log of its own."""
+    return {} if log is None else {"log": log, "name": path.rsplit("/", 1)[1]}
+
+
+def replace_nested(unified: DataFrame, path: str, batch: int, log: Log | None = None) -> DataFrame:
     """CREATE OR REPLACE TABLE AS for the unified table; the old version stays until this is complete."""
-    table = Table(unified.sparkSession, path, _ddl(unified))
+    table = Table(unified.sparkSession, path, _ddl(unified), **_named(path, log))
     table.replace(unified, batch)
     return table.read_base()
 
 
-def replace_snapshot(snapshot: DataFrame, path: str, batch: int) -> DataFrame:
+def replace_snapshot(snapshot: DataFrame, path: str, batch: int, log: Log | None = None) -> DataFrame:
     """The BI table: partitioned by the month customers joined in, sorted for the usual filters.
 
     Months instead of days keep files from getting small; the day stays a column, and readers
@@ -197,16 +204,15 @@ def replace_snapshot(snapshot: DataFrame, path: str, batch: int) -> DataFrame:
     """
     table = Table(
         snapshot.sparkSession, path, _ddl(snapshot), cluster=CLUSTER_COLUMNS,
-        partition=("since_month", "trunc(membership_since, 'month')"),
+        partition=("since_month", "trunc(membership_since, 'month')"), **_named(path, log),
     )
     table.replace(snapshot, batch)
     return table.read_base()
 
 
-def latest_version(spark: SparkSession, path: str) -> DataFrame:
+def latest_version(spark: SparkSession, path: str, log: Log | None = None) -> DataFrame:
     """The last complete content of a table that is replaced as a whole, with the columns it was written with."""
-    base = Table(spark, path, "").last_batch()
-    return spark.read.parquet(f"{path}/base/upto={base:019d}")
+    return Table(spark, path, "", **_named(path, log)).read_as_written()
 
 
 def _ddl(df: DataFrame) -> str:

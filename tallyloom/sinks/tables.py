@@ -1,17 +1,17 @@
-"""Stored Parquet tables that survive a half-finished write.
+"""Stored Parquet tables: folders that a commit log names.
 
-A table is a folder of complete Spark outputs:
+    base      a whole version of the table, with everything up to a batch
+    batches   the rows each batch added, on top of the base
 
-    base/upto=<n>      a whole version that contains everything up to batch n
-    batches/batch=<n>  the rows that batch n added
-
-Only outputs with Spark's _SUCCESS marker are read, so readers never see a partial write, and a
-batch that runs twice replaces itself. Full refreshes write a new base beside the old one instead
-of truncating it.
+A write goes to a new folder and counts from its commit on, so readers never see a part of it. A batch that runs twice replaces
+itself, also after it was folded into the base: every row keeps the number of its batch in `_batch`. Versions that were replaced stay
+readable until `drop_superseded`.
 """
 
 from __future__ import annotations
 
+import copy
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -19,49 +19,46 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.operators.upsert import newest_per_key
+from tallyloom.sinks.log import Action, Contents, Log, delete
 
-_WIDTH = 19
+BATCH, WRITE = "_batch", "_write"
 
 
 class Table:
     def __init__(
         self, spark: SparkSession, folder: str, schema: str, keys: Sequence[str] = (),
         newest_by: Sequence[str] = ("ingested_at",), partition: tuple[str, str] | None = None,
-        cluster: Sequence[str] = (),
+        cluster: Sequence[str] = (), log: Log | None = None, name: str = "table",
     ):
         self.spark, self.folder, self.schema = spark, folder, schema
         self.keys, self.newest_by = list(keys), list(newest_by)
         self.partition, self.cluster = partition, list(cluster)
+        self.log, self.name = log if log is not None else Log(spark, folder), name
+        self.as_of: int | None = None
 
-    # -- folders ---------------------------------------------------------------------------------
-
-    def _listing(self, kind: str, label: str) -> list[int]:
-        """Numbers of the complete outputs under a sub-folder, ascending."""
-        jvm = self.spark._jvm
-        parent = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{kind}")
-        files = parent.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(parent):
-            return []
-        names = [s.getPath() for s in files.listStatus(parent) if s.getPath().getName().startswith(f"{label}=")]
-        done = [p for p in names if files.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-        return sorted(int(p.getName().split("=")[1]) for p in done)
-
-    def _base(self) -> int | None:
-        found = self._listing("base", "upto")
-        return found[-1] if found else None
+    def at(self, version: int) -> Table:
+        """The table as it was after a commit."""
+        then = copy.copy(self)
+        then.as_of = version
+        return then
 
-    def _batches(self) -> list[int]:
-        base = self._base()
-        return [b for b in self._listing("batches", "batch") if base is None or b > base]
+    @property
+    def contents(self) -> Contents:
+        return self.log.contents(self.name, self.as_of)
 
     def last_batch(self) -> int:
-        return max([self._base() or 0, *self._batches()])
+        found = self.contents
+        return max([found.upto or 0, *found.batches])
+
+    def columns(self) -> list[str]:
+        return [field.split()[0] for field in _split_ddl(self.schema)]
 
     # -- writing ---------------------------------------------------------------------------------
 
-    def _write(self, df: DataFrame, path: str) -> None:
-        names = [field.split()[0] for field in _split_ddl(self.schema)]
-        rows = df.select(*names)
+    def _write(self, df: DataFrame, label: str, batch: int) -> str:
+        """Writes rows to a new folder. Rows without the number of their batch get this one."""
+        number = F.col(BATCH) if BATCH in df.columns else F.lit(batch).cast("long").alias(BATCH)
+        rows = df.select(*self.columns(), number)
         if self.partition:
             name, value = self.partition
             # Rebalancing splits a partition value that holds much of the data over several tasks
@@ -69,72 +66,101 @@ class Table:
             rows = rows.withColumn(name, F.expr(value)).hint("rebalance", name)
         if self.cluster:
             rows = rows.sortWithinPartitions(*([self.partition[0]] if self.partition else []), *self.cluster)
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        path = f"{WRITE}={label}-{batch}-{uuid.uuid4().hex}"
+        writer = rows.write
         if self.partition:
             writer = writer.partitionBy(self.partition[0])
-        writer.parquet(path)
+        writer.parquet(f"{self.folder}/{path}")
+        return path
 
     def append(self, df: DataFrame, batch: int) -> None:
         """Adds a batch; the same batch number again replaces what it added before."""
-        self._write(df, f"{self.folder}/batches/batch={batch:0{_WIDTH}d}")
+        self.log.add(Action(self.name, "add", batch, self._write(df, "batch", batch)))
 
     def replace(self, df: DataFrame, batch: int) -> None:
-        """A new content for the whole table, visible once it is complete."""
-        self._write(df, f"{self.folder}/base/upto={batch:0{_WIDTH}d}")
+        """A new content for the whole table."""
+        self.log.add(Action(self.name, "replace", batch, self._write(df, "base", batch)))
 
     def compact(self, after: int = 1) -> None:
         """Folds the batches into the base, if there are `after` of them at least."""
-        batches = self._batches()
-        if len(batches) >= after:
-            self.replace(self.current() if self.keys else self.read(), batches[-1])
+        with self.log.transaction():
+            if len(self.contents.batches) >= max(1, after):
+                upto = self.last_batch()
+                rows = self._current() if self.keys else self._rows()
+                self.log.add(Action(self.name, "fold", upto, self._write(rows, "base", upto)))
 
     def drop_superseded(self) -> int:
-        """Deletes old versions of the base, and batches the base contains. Call it when no reader
+        """Deletes the folders that only earlier versions name. Call it when no reader
         of an older state is at work. Returns how many folders went."""
-        base = self._base()
-        if base is None:
-            return 0
-        old = [f"base/upto={n:0{_WIDTH}d}" for n in self._listing("base", "upto") if n < base]
-        old += [f"batches/batch={n:0{_WIDTH}d}" for n in self._listing("batches", "batch") if n <= base]
-        jvm = self.spark._jvm
-        for name in old:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        old = self.log.paths(self.name) - self.log.contents(self.name).paths
+        for path in old:
+            delete(self.spark, f"{self.folder}/{path}")
         return len(old)
 
     # -- reading ---------------------------------------------------------------------------------
 
-    def _read(self, path: str) -> DataFrame:
-        return self.spark.read.schema(self._stored_schema()).parquet(path)
-
     def _stored_schema(self) -> str:
-        return f"{self.schema}, {self.partition[0]} date" if self.partition else self.schema
+        month = f", {self.partition[0]} date" if self.partition else ""
+        return f"{self.schema}, {BATCH} long{month}"
+
+    def _scan(self, paths: Sequence[str]) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], self._stored_schema())
+        # The folders are read as partitions of the table's, since each may have partitions of its own.
+        reader = self.spark.read.schema(self._stored_schema()).option("basePath", self.folder)
+        return reader.parquet(*[f"{self.folder}/{p}" for p in paths]).drop(WRITE)
+
+    def _base(self) -> DataFrame:
+        """The base without the batches that ran again since."""
+        found = self.contents
+        rows = self._scan([found.base] if found.base else [])
+        again = [b for b in found.batches if b <= (found.upto or 0)]
+        return rows.where(~F.col(BATCH).isin(again)) if again else rows
+
+    def _batches(self, below: int | None = None) -> DataFrame:
+        # One scan over all folders.
+        return self._scan([p for b, p in sorted(self.contents.batches.items()) if below is None or b < below])
+
+    def _rows(self, below: int | None = None) -> DataFrame:
+        found = self.contents
+        base = self._base() if below is None else self._base().where(F.col(BATCH) < below)
+        if not found.batches:
+            return base
+        return self._batches(below) if found.base is None else base.unionByName(self._batches(below))
+
+    def _current(self) -> DataFrame:
+        found = self.contents
+        if not found.batches:
+            return self._base()
+        recent = self._batches()
+        if found.base is None:
+            return newest_per_key(recent, self.keys, self.newest_by)
+        touched = recent.select(*[F.col(k).alias(f"_key_{k}") for k in self.keys]).distinct()
+        same_key = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in self.keys])
+        base = self._scan([found.base])
+        again = base.join(touched, same_key, "left_semi").unionByName(recent)
+        untouched = base.join(touched, same_key, "left_anti")
+        return untouched.unionByName(newest_per_key(again, self.keys, self.newest_by))
 
     def read_base(self) -> DataFrame:
-        base = self._base()
+        return self._base().drop(BATCH)
+
+    def read_as_written(self) -> DataFrame:
+        """The last whole version, with the columns it was written with."""
+        base = self.contents.base
         if base is None:
-            return self.spark.createDataFrame([], self._stored_schema())
-        return self._read(f"{self.folder}/base/upto={base:0{_WIDTH}d}")
+            raise LookupError(f"{self.folder} has no whole version yet")
+        return self.spark.read.parquet(f"{self.folder}/{base}").drop(BATCH)
 
     def read_batch(self, batch: int) -> DataFrame:
-        return self._read(f"{self.folder}/batches/batch={batch:0{_WIDTH}d}")
+        return self._scan([self.contents.batches[batch]]).drop(BATCH)
 
     def read_batches(self, below: int | None = None) -> DataFrame:
-        wanted = [b for b in self._batches() if below is None or b < below]
-        if not wanted:
-            return self.spark.createDataFrame([], self._stored_schema())
-        # One scan over all batch folders; their number is in the path only.
-        paths = [f"{self.folder}/batches/batch={b:0{_WIDTH}d}" for b in wanted]
-        rows = self.spark.read.schema(self._stored_schema()).option("basePath", f"{self.folder}/batches").parquet(*paths)
-        return rows.drop("batch")
+        return self._batches(below).drop(BATCH)
 
     def read(self, below: int | None = None) -> DataFrame:
-        """Every stored row, including older rows of a key; or those of batches below a number and of the base."""
-        if self._base() is None:
-            return self.read_batches(below)
-        if not self._batches():
-            return self.read_base()
-        return self.read_base().unionByName(self.read_batches(below))
+        """Every stored row, including older rows of a key; or those of batches below a number, folded or not."""
+        return self._rows(below).drop(BATCH)
 
     def current(self) -> DataFrame:
         """The newest row of every key.
@@ -143,17 +169,7 @@ class Table:
         compared again; when the batches are small Spark broadcasts their keys and the base is
         filtered without a shuffle.
         """
-        if not self._batches():
-            return self.read_base()
-        recent = self.read_batches()
-        if self._base() is None:
-            return newest_per_key(recent, self.keys, self.newest_by)
-        touched = recent.select(*[F.col(k).alias(f"_key_{k}") for k in self.keys]).distinct()
-        same_key = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in self.keys])
-        base = self.read_base()
-        again = base.join(touched, same_key, "left_semi").unionByName(recent)
-        untouched = base.join(touched, same_key, "left_anti")
-        return untouched.unionByName(newest_per_key(again, self.keys, self.newest_by))
+        return self._current().drop(BATCH)
 
 
 def _split_ddl(schema: str) -> list[str]:

@@ -7,6 +7,7 @@ driver.
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
@@ -42,10 +43,6 @@ class Outcome:
     error: str | None = None
 
 
-class UnreadableRecords(RuntimeError):
-    """More records than allowed could not be read."""
-
-
 # Audit rows of one batch have numbers from batch * AUDIT_LINES on.
 AUDIT_LINES = 10
 # A table with so many batches on top of its base is folded into a new base at the end of a run.
@@ -82,9 +79,9 @@ def sync_entity(
     them to the raw table, flattens them into the processed table, and writes an audit row. `send`
     receives the contact chunks of a customer sync; if it fails, a failed row is added.
 
-    Records are judged in one pass, staged, and tested before anything is added: a batch with too many unreadable records
-    leaves the raw table as it was. An unreadable record counts in the batch that sees it first.
-    The same batch again, complete or not, replaces what it added and leaves the same tables.
+    Records are judged in one pass and staged. What the batch adds to the raw, quarantine and processed tables and the audit row
+    become visible by one commit. A batch with too many unreadable records commits these and a failed audit row only. An unreadable
+    record counts in the batch that sees it first. The same batch again, complete or not, folded or not, replaces what it added.
     """
     if entity not in ENTITIES:
         raise ValueError(f"unknown entity: {entity}")
@@ -97,30 +94,36 @@ def sync_entity(
         store.history.append(row, number)
 
     try:
-        mark = watermark(store, entity, batch)
-        staging = f"{store.folder}/staging/{entity}/batch={batch:019d}"
-        # Unreadable records are kept whatever the watermark is, since they have no creation time.
-        fresh = is_newer(mark, lookback) | F.col("reason").isNotNull()
-        judged(records, RECORD[entity], "id").where(fresh).select("json_data", "reason").write.mode("overwrite").parquet(staging)
-        staged = spark.read.schema("json_data string, reason string").parquet(staging)
-        good, bad = staged.where("reason is null").drop("reason"), staged.where("reason is not null")
-        seen = store.quarantine[entity].read(below=batch).select("json_data").distinct()
-        store.quarantine[entity].append(bad.join(seen, "json_data", "left_anti"), batch)
-        unreadable = store.quarantine[entity].read_batch(batch).count()
-        count, newest = new_watermark(good)
-        if unreadable > allowed_bad * (count + unreadable):
-            raise UnreadableRecords(f"{unreadable} of {count + unreadable} records of {entity} could not be read")
-        raw = store.raw[entity]
-        raw.append(raw_rows(good, moment(started)), batch)
-        stored = raw.read_batch(batch)
-        if count == 0:
-            audit(0, "success", mark)
-            return Outcome(entity, "success", 0)
-        store.billing[entity].append(FLATTEN[entity](stored, moment(started)), batch)
-        audit(count, "success", max(newest, mark))
+        with store.log.transaction():
+            mark = watermark(store, entity, batch)
+            staging = f"{store.folder}/staging/{entity}-{batch}-{uuid.uuid4().hex}"
+            # Unreadable records are kept whatever the watermark is, since they have no creation time.
+            fresh = is_newer(mark, lookback) | F.col("reason").isNotNull()
+            judged(records, RECORD[entity], "id").where(fresh).select("json_data", "reason").write.parquet(staging)
+            staged = spark.read.schema("json_data string, reason string").parquet(staging)
+            good, bad = staged.where("reason is null").drop("reason"), staged.where("reason is not null")
+            seen = store.quarantine[entity].read(below=batch).select("json_data").distinct()
+            store.quarantine[entity].append(bad.join(seen, "json_data", "left_anti"), batch)
+            unreadable = store.quarantine[entity].read_batch(batch).count()
+            count, newest = new_watermark(good)
+            refused = unreadable > allowed_bad * (count + unreadable)
+            if refused:
+                error = f"{unreadable} of {count + unreadable} records of {entity} could not be read"
+                audit(0, "failed", None, error)
+            else:
+                raw = store.raw[entity]
+                raw.append(raw_rows(good, moment(started)), batch)
+                stored = raw.read_batch(batch)
+                if count:
+                    store.billing[entity].append(FLATTEN[entity](stored, moment(started)), batch)
+                audit(count, "success", max(newest, mark))
     except Exception as problem:
         audit(0, "failed", None, str(problem))
         return Outcome(entity, "failed", 0, str(problem))
+    if refused:
+        return Outcome(entity, "failed", 0, error)
+    if count == 0:
+        return Outcome(entity, "success", 0)
     if entity == "customers" and send is not None:
         try:
             products = product_ids(store.raw["subscriptions"].read())
@@ -138,6 +141,7 @@ def refresh_membership(
 
     Everything but sessions is replaced by what came in. The feed carries only the latest session of
     a customer, so sessions are added and kept. With no linked customers the tables stay as they are.
+    All tables and the audit rows become visible by one commit.
     """
     spark, started = store.spark, _clock(now)
 
@@ -146,37 +150,43 @@ def refresh_membership(
         store.history.append(row, batch * AUDIT_LINES + 4 + line)
 
     try:
-        store.raw_tiers.append(raw_tier_rows(tiers, moment(started)), batch)
-        landed_tiers = store.raw_tiers.read_batch(batch)
-        tier_count = landed_tiers.count()
-        if tier_count:
-            store.membership["tiers"].replace(flatten_tiers(landed_tiers, moment(started)), batch)
-        audit("tiers", tier_count, "success")
-        if linked.isEmpty():
-            audit("linked_customers", 0, "success", line=1)
-            return Outcome("membership", "success", 0)
-        store.raw_linked.append(raw_linked_rows(linked, order, moment(started)), batch)
-        stored = store.raw_linked.read_batch(batch)
-        count = stored.count()
-        # Records are parsed once; the four tables then read only the columns they need.
-        staging = f"{store.folder}/staging/linked_customers/batch={batch:019d}"
-        parse_members(stored, ["feed_row"], mixed=False).write.mode("overwrite").parquet(staging)
-        feed = MemberFeed(spark.read.parquet(staging), ["feed_row"], mixed=False, synced_at=moment(started))
-        store.membership["customers"].replace(feed.customers(), batch)
-        for name, rows in (("subscriptions", feed.subscriptions()), ("assets", feed.assets())):
-            table = store.membership[name]
-            # A row without its whole key is nobody's newer version: all such rows stay.
-            keyed = reduce(Column.__and__, [is_truthy(k) for k in table.keys])
-            newest = newest_per_key(rows.where(keyed), table.keys, table.newest_by)
-            table.replace(newest.unionByName(rows.where(~keyed)), batch)
-        store.membership["sessions"].append(feed.sessions(), batch)
-        audit("linked_customers", count, "success", line=1)
-        return Outcome("membership", "success", count)
+        with store.log.transaction():
+            return _refresh_membership(store, tiers, linked, order, batch, moment(started), audit)
     except Exception as problem:
         audit("linked_customers", 0, "failed", str(problem), line=1)
         return Outcome("membership", "failed", 0, str(problem))
 
 
+def _refresh_membership(store: Store, tiers: DataFrame, linked: DataFrame, order: list[str], batch: int, started: Column, audit) -> Outcome:
+    spark = store.spark
+    store.raw_tiers.append(raw_tier_rows(tiers, started), batch)
+    landed_tiers = store.raw_tiers.read_batch(batch)
+    tier_count = landed_tiers.count()
+    if tier_count:
+        store.membership["tiers"].replace(flatten_tiers(landed_tiers, started), batch)
+    audit("tiers", tier_count, "success")
+    if linked.isEmpty():
+        audit("linked_customers", 0, "success", line=1)
+        return Outcome("membership", "success", 0)
+    store.raw_linked.append(raw_linked_rows(linked, order, started), batch)
+    stored = store.raw_linked.read_batch(batch)
+    count = stored.count()
+    # Records are parsed once; the four tables then read only the columns they need.
+    staging = f"{store.folder}/staging/linked_customers-{batch}-{uuid.uuid4().hex}"
+    parse_members(stored, ["feed_row"], mixed=False).write.parquet(staging)
+    feed = MemberFeed(spark.read.parquet(staging), ["feed_row"], mixed=False, synced_at=started)
+    store.membership["customers"].replace(feed.customers(), batch)
+    for name, rows in (("subscriptions", feed.subscriptions()), ("assets", feed.assets())):
+        table = store.membership[name]
+        # A row without its whole key is nobody's newer version: all such rows stay.
+        keyed = reduce(Column.__and__, [is_truthy(k) for k in table.keys])
+        newest = newest_per_key(rows.where(keyed), table.keys, table.newest_by)
+        table.replace(newest.unionByName(rows.where(~keyed)), batch)
+    store.membership["sessions"].append(feed.sessions(), batch)
+    audit("linked_customers", count, "success", line=1)
+    return Outcome("membership", "success", count)
+
+
 def refresh_unified(store: Store, batch: int) -> Outcome:
     try:
         m = store.membership
@@ -184,28 +194,29 @@ def refresh_unified(store: Store, batch: int) -> Outcome:
             m["customers"].current(), store.billing["customers"].current(), store.billing["subscriptions"].current(),
             m["subscriptions"].current(), m["tiers"].current(), m["assets"].current(), m["sessions"].current(),
         ).withColumn("unified_refreshed_at", F.localtimestamp())
-        return Outcome("unified_customers", "success", replace_nested(table, store.unified_path, batch).count())
+        return Outcome("unified_customers", "success", replace_nested(table, store.unified_path, batch, store.log).count())
     except Exception as problem:
         return Outcome("unified_customers", "failed", 0, str(problem))
 
 
 def refresh_snapshot(store: Store, batch: int) -> Outcome:
     try:
-        unified = latest_version(store.spark, store.unified_path)
+        unified = latest_version(store.spark, store.unified_path, store.log)
         m = store.membership
         snapshot = bi_snapshot(
             unified, store.billing["subscriptions"].current(), m["subscriptions"].current(), m["assets"].current(),
             m["sessions"].current(), F.localtimestamp(),
         )
-        return Outcome("bi_snapshot", "success", replace_snapshot(snapshot, store.snapshot_path, batch).count())
+        return Outcome("bi_snapshot", "success", replace_snapshot(snapshot, store.snapshot_path, batch, store.log).count())
     except Exception as problem:
         return Outcome("bi_snapshot", "failed", 0, str(problem))
 
 
-def compact(store: Store) -> None:
+def compact(store: Store, after: int | None = None) -> None:
     """Folds tables with many batches, so that a run does not read a folder for every run before it."""
-    for table in (*store.billing.values(), *store.membership.values(), store.history):
-        table.compact(COMPACT_AFTER)
+    with store.log.transaction():
+        for table in (*store.billing.values(), *store.membership.values(), store.history):
+            table.compact(COMPACT_AFTER if after is None else after)
 
 
 def run_all(

@@ -2,12 +2,16 @@
 
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.sinks.store import ENTITIES, Store, seed_history
+from tallyloom.sinks.buckets import BucketedTable
+from tallyloom.sinks.log import Conflict, put_if_absent
+from tallyloom.sinks.store import ENTITIES, Store, latest_version, seed_history
 from tallyloom.sinks.tables import Table
+from tallyloom.sources.pages import list_or_envelope
 from tallyloom.streaming import feed, sync
 
 
@@ -70,11 +74,127 @@ def test_superseded_folders_can_go(spark, table):
     assert sorted(tuple(r) for r in table.current().select("k", "v").collect()) == [("a", 2), ("b", 3)]
 
 
-def test_half_written_outputs_are_not_read(spark, table):
+def test_writes_without_a_commit_are_not_read(spark, table):
     table.replace(batch(spark, ("a", 1, 1)), 1)
-    table.replace(batch(spark, ("b", 1, 1)), 2)
-    os.remove(f"{table.folder}/base/upto={2:019d}/_SUCCESS")
-    assert ids(table.read(), "k") == ["a"]
+    with pytest.raises(RuntimeError), table.log.transaction():
+        table.replace(batch(spark, ("b", 1, 1)), 2)
+        assert ids(table.read(), "k") == ["b"]
+        raise RuntimeError
+    assert ids(table.read(), "k") == ["a"] == ids(Table(spark, table.folder, table.schema).read(), "k")
+    assert sum(name.startswith("_write=base-") for name in os.listdir(table.folder)) == 2
+
+
+def test_a_batch_replaces_itself_after_it_was_folded(spark, scratch):
+    log = Table(spark, scratch, "k string, v int, ingested_at int")
+    for n in (1, 2, 3):
+        log.append(batch(spark, ("a", n, n), ("b", n, n)), n)
+    log.compact()
+    assert log.read(below=2).count() == 2 and log.read(below=3).count() == 4
+    log.append(batch(spark, ("c", 9, 9)), 2)
+    for _ in range(2):
+        assert sorted(tuple(r) for r in log.read().select("k", "v").collect()) == [("a", 1), ("a", 3), ("b", 1), ("b", 3), ("c", 9)]
+        assert ids(log.read(below=3), "k") == ["a", "b", "c"]
+        log.compact()
+
+
+def test_versions_stay_readable_until_they_are_dropped(spark, table):
+    table.append(batch(spark, ("a", 1, 1)), 1)
+    table.append(batch(spark, ("a", 2, 2)), 2)
+    table.compact()
+    table.replace(batch(spark, ("z", 1, 1)), 9)
+    assert [ids(table.at(v).current(), "k") for v in (1, 3, 4)] == [["a"], ["a"], ["z"]]
+    assert [r["v"] for v in (1, 2, 3) for r in table.at(v).current().collect()] == [1, 2, 2]
+    assert table.log.as_table().count() == table.log.version == 4
+    assert table.drop_superseded() == 3 and ids(table.current(), "k") == ["z"]
+
+
+def test_only_one_of_two_writers_wins(spark, table):
+    other = Table(spark, table.folder, table.schema, keys=["k"])
+    table.append(batch(spark, ("a", 1, 1)), 1)
+    # Both see version 1; the second one to commit takes the next number.
+    with other.log.transaction():
+        other.append(batch(spark, ("b", 2, 2)), 2)
+        table.append(batch(spark, ("c", 3, 3)), 3)
+    assert other.log.version == 3 and ids(other.read(), "k") == ["a", "b", "c"]
+    with pytest.raises(Conflict), other.log.transaction():
+        other.append(batch(spark, ("x", 4, 4)), 4)
+        table.log.refresh()
+        table.append(batch(spark, ("y", 4, 4)), 4)
+    assert ids(other.read(), "k") == ["a", "b", "c", "y"]
+    with pytest.raises(Conflict), other.log.transaction():
+        other.compact()
+        table.append(batch(spark, ("late", 1, 1)), 1)
+    # A batch on top of what was folded is no conflict.
+    with other.log.transaction():
+        other.compact()
+        table.append(batch(spark, ("new", 5, 5)), 5)
+    assert ids(other.current(), "k") == ["b", "c", "late", "new", "y"]
+
+
+def test_a_file_is_put_only_if_absent(spark, scratch):
+    assert put_if_absent(spark, f"{scratch}/x.json", "one") and not put_if_absent(spark, f"{scratch}/x.json", "two")
+    assert os.listdir(scratch) == ["x.json"] and open(f"{scratch}/x.json").read() == "one"
+
+
+# -- bucketed tables
+
+
+@pytest.fixture
+def bucketed(spark, scratch):
+    return BucketedTable(spark, scratch, "k string, l int, v int, ingested_at int", keys=["k", "l"], buckets=16)
+
+
+def pairs(spark, *rows):
+    return spark.createDataFrame(list(rows), "k string, l int, v int, ingested_at int")
+
+
+def test_bucketed_rows_are_those_of_a_plain_table(spark, scratch, bucketed):
+    plain = Table(spark, f"{scratch}-plain", bucketed.schema, keys=bucketed.keys)
+    chance = random.Random(3)
+    keys = [("a|b", 1), ("a", None), (None, 1), (None, None), ("a\\", 1), ("=", 0), ("", 1), ("-", 1), *((f"k{n}", n % 3) for n in range(60))]
+
+    def rows(n):
+        return [(*k, n, chance.randrange(6)) for k in chance.choices(keys, k=50)]
+
+    for n in range(1, 8):
+        new = pairs(spark, *rows(n))
+        for table in (plain, bucketed):
+            table.append(new, min(n, 6))
+            if n in (3, 5):
+                table.compact()
+        assert same(plain.current(), bucketed.current())
+    bucketed.compact()
+    assert same(plain.current(), bucketed.read()) and bucketed.compact() == []
+    bucketed.replace(pairs(spark, ("x", 1, 1, 1), ("x", 1, 2, 2)), 9)
+    assert [tuple(r) for r in bucketed.current().collect()] == [("x", 1, 2, 2)]
+    bucketed.replace(pairs(spark), 10)
+    assert bucketed.current().count() == 0 == bucketed.read().count()
+
+
+def same(a, b):
+    return sorted(map(tuple, a.select(sorted(a.columns)).collect()), key=repr) == sorted(map(tuple, b.select(sorted(a.columns)).collect()), key=repr)
+
+
+def test_a_merge_rewrites_the_buckets_it_touches(spark, bucketed):
+    bucketed.append(pairs(spark, *((f"k{n}", n, 0, 0) for n in range(200))), 1)
+    assert bucketed.compact() == list(range(16))
+    before = dict(bucketed.contents.buckets)
+    bucketed.append(pairs(spark, ("k7", 7, 1, 1)), 2)
+    touched = bucketed.compact()
+    after = bucketed.contents.buckets
+    assert len(touched) == 1 and [b for b in after if after[b] != before[b]] == touched
+    assert bucketed.current().count() == 200 and bucketed.current().where("v = 1").count() == 1
+    assert not bucketed._bucketed(touched).where("k = 'k7' and v = 0").count()
+
+
+def test_the_base_is_not_shuffled(spark, bucketed):
+    bucketed.append(pairs(spark, *((f"k{n}", n, 0, 0) for n in range(200))), 1)
+    bucketed.compact()
+    bucketed.append(pairs(spark, ("k7", 7, 1, 1)), 2)
+    plan = bucketed.current()._jdf.queryExecution().executedPlan().toString()
+    base = plan[: plan.index("Bucketed: true")]
+    # Above the base's scan, which comes first in the plan, there is the join and no exchange.
+    assert "FullOuter" in base and "Exchange" not in base and plan.count("Bucketed: true") == 1
 
 
 def test_replacing_with_nothing_empties_the_table(spark, table):
@@ -203,7 +323,7 @@ def test_a_whole_run(spark, store, records):
     assert [tuple(r)[:3] for r in steps.collect()] == [
         ("membership", "success", 2), ("subscriptions", "success", 1), ("customers", "success", 2),
         ("unified_customers", "success", 1), ("bi_snapshot", "success", 1), ("run", "success", 0)]
-    row = spark.read.parquet(f"{store.snapshot_path}/base").first()
+    row = latest_version(spark, store.snapshot_path, store.log).first()
     assert (row["client_id"], row["customer_status"], row["current_tier_name"], row["total_assets"], row["total_sessions"]) == (
         "m1", "Active", "Gold", 1, 1)
 
@@ -236,37 +356,58 @@ def test_pages_arrive_in_batches_and_a_restart_goes_on(spark, scratch):
     sink = feed.append_pages(table, lambda rows: rows.select("json_data"))
     for n in (1, 2, 3):
         land(landing, n, {"n": n}, {"n": -n})
-    assert feed.drain(feed.stream_pages(spark, landing), f"{scratch}/progress", sink) == 3
+    assert len(feed.drain(feed.stream_pages(spark, landing), f"{scratch}/progress", sink)) == 3
     assert table.read().count() == 6
     land(landing, 4, {"n": 4})
-    assert feed.drain(feed.stream_pages(spark, landing), f"{scratch}/progress", sink) == 1
+    assert len(feed.drain(feed.stream_pages(spark, landing), f"{scratch}/progress", sink)) == 1
     assert table.read().count() == 7
 
 
+def firsts(spark, landing, progress, table):
+    rows = list_or_envelope(feed.stream_pages(spark, landing)).select(
+        F.get_json_object("json_data", "$.k").alias("k"), F.get_json_object("json_data", "$.v").cast("int").alias("v"), "page", "place")
+    return feed.drain(feed.first_arrivals(rows, ["k"], ["page", "place"]), progress, feed.append_rows(table), changes=True)
+
+
 def test_copies_are_recognised_however_late(spark, scratch):
     landing = f"{scratch}/in"
     table = Table(spark, f"{scratch}/out", "k string, v int, page long, place int")
-    land(landing, 1, {"k": "a", "v": 1}, {"k": "a", "v": 2}, {"k": "b", "v": 1})
-    land(landing, 2, {"k": "c", "v": 1})
+    land(landing, 1, {"k": "a", "v": 1}, {"k": "a", "v": 2}, {"k": "b", "v": 1}, {"v": 5})
+    land(landing, 2, {"k": "c", "v": 1}, {"v": 6})
     land(landing, 3, {"k": "a", "v": 3}, {"k": "d", "v": 1}, {"k": "b", "v": 9})
-
-    def shape(rows):
-        return rows.select(F.get_json_object("json_data", "$.k").alias("k"),
-                           F.get_json_object("json_data", "$.v").cast("int").alias("v"), "page", "place")
-
-    sink = feed.append_unseen(table, shape, ["k"], ["page", "place"])
-    feed.drain(feed.stream_pages(spark, landing), f"{scratch}/progress", sink)
-    assert sorted((r["k"], r["v"]) for r in table.read().collect()) == [("a", 1), ("b", 1), ("c", 1), ("d", 1)]
-
-
-def test_a_repeated_batch_does_not_see_its_own_rows(spark, scratch):
-    table = Table(spark, f"{scratch}/out", "k string, page long, place int")
-    body = spark.createDataFrame([(1, '{"data":[{"k":"a"}]}')], "page long, body string")
-    sink = feed.append_unseen(
-        table, lambda rows: rows.select(F.get_json_object("json_data", "$.k").alias("k"), "page", "place"), ["k"], ["page", "place"])
-    sink(body, 0)
-    sink(body, 0)
-    assert table.read().count() == 1
+    firsts(spark, landing, f"{scratch}/progress", table)
+    assert sorted(((r["k"], r["v"]) for r in table.read().collect()), key=str) == [("a", 1), ("b", 1), ("c", 1), ("d", 1), (None, 5)]
+    # A restart goes on with what it knows; a page with a smaller number that comes later is later.
+    land(landing, 4, {"k": "d", "v": 7}, {"k": "e", "v": 1})
+    with open(f"{landing}/part-0.json", "w") as out:
+        out.write(json.dumps({"page": 0, "body": json.dumps([{"k": "a", "v": 0}])}) + "\n")
+    firsts(spark, landing, f"{scratch}/progress", table)
+    assert sorted((r["k"], r["v"]) for r in table.read().collect() if r["k"]) == [("a", 1), ("b", 1), ("c", 1), ("d", 1), ("e", 1)]
+
+
+def test_a_late_batch_reads_no_more_than_an_early_one(spark, scratch, monkeypatch):
+    landing, table = f"{scratch}/in", Table(spark, f"{scratch}/out", "k string, v int, page long, place int")
+    for n in range(30):
+        land(landing, n, {"k": f"k{n}"}, {"k": "hot"}, {"k": f"k{n // 2}"})
+    # Nothing that was stored before is read.
+    for name in ("_scan", "read", "read_batches"):
+        monkeypatch.setattr(Table, name, None)
+    seen = firsts(spark, landing, f"{scratch}/progress", table)
+    monkeypatch.undo()
+    assert len(seen) == 30 and {p["numInputRows"] for p in seen} == {1}
+    assert seen[-1]["stateOperators"][0]["numRowsTotal"] == 31
+    assert max(p["stateOperators"][0]["numRowsUpdated"] for p in seen) <= 3
+    assert sorted(r["k"] for r in table.read().collect()) == sorted(["hot", *(f"k{n}" for n in range(30))])
+
+
+def test_a_repeated_batch_replaces_its_rows(spark, scratch):
+    table = Table(spark, f"{scratch}/out", "json_data string")
+    aside = Table(spark, f"{scratch}/aside", "page long, body string, reason string", log=table.log, name="aside")
+    pages = spark.createDataFrame([(1, '{"data":[{"k":"a"}]}'), (2, "{}")], "page long, body string")
+    sink = feed.append_pages(table, lambda rows: rows.select("json_data"), aside)
+    for _ in range(2):
+        sink(pages, 0)
+    assert table.read().count() == 1 and [r["page"] for r in aside.read().collect()] == [2] and table.log.version == 2
 
 
 # -- syncs that run again
@@ -311,7 +452,7 @@ def test_many_small_batches_are_folded(store, records, monkeypatch):
         for name in ("customers", "subscriptions"):
             sync.sync_entity(store, name, records(customer(n, n * 100)), n)
         sync.compact(store)
-        assert len(table._batches()) < 2 > len(store.history._batches())
+        assert len(table.contents.batches) < 2 > len(store.history.contents.batches)
     assert ids(table.current()) == ["c1", "c2", "c3"]
     assert sync.watermark(store, "customers") == 300
 
@@ -334,5 +475,66 @@ def test_rows_without_a_key_stay_and_strangers_stay_apart(spark, store, records)
     sync.run_all(store, 1, billing, records(), feed, ["place"]).collect()
     assert store.membership["subscriptions"].read().count() == 3
     assert [str(r[0]) for r in store.membership["sessions"].read().select("session_date").distinct().collect()] == ["2024-01-01 08:00:00"]
-    found = spark.read.parquet(f"{store.unified_path}/base/upto={1:019d}")
+    found = latest_version(spark, store.unified_path, store.log)
     assert {r["billing_id"]: [s["session_id"] for s in r["sessions"]] for r in found.collect()} == {"c1": [], "c2": [], "c3": ["x3"]}
+
+
+def test_a_batch_that_runs_again_after_a_fold_loses_nothing(store, records):
+    everything = [customer(n, n * 100) for n in range(1, 17)]
+    for n in range(1, 9):
+        sync.sync_entity(store, "customers", records(*everything[: 2 * n]), n, now=f"2024-01-0{n} 00:00:00")
+    sync.compact(store)
+    first = content(store), audit(store)
+    assert sync.sync_entity(store, "customers", records(*everything), 8, now="2024-01-08 00:00:00").rows == 2
+    assert (content(store), audit(store)) == first and store.raw["customers"].read().count() == 16
+    assert sync.sync_entity(store, "customers", records(*everything), 3, now="2024-01-03 00:00:00").rows == 12
+    assert ids(store.billing["customers"].current()) == sorted(f"c{n}" for n in range(1, 17))
+
+
+class Killed(BaseException):
+    pass
+
+
+@pytest.mark.parametrize("writes", range(1, 5))
+def test_killed_after_a_write_a_sync_leaves_all_as_it_was(spark, store, records, monkeypatch, writes):
+    sync.sync_entity(store, "customers", records(customer(1, 100)), 1, now="2024-01-01 00:00:00")
+    first, plain, done = (content(store), audit(store)), Table._write, []
+
+    def write(*arguments):
+        done.append(plain(*arguments))
+        if len(done) == writes:
+            raise Killed
+        return done[-1]
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Table, "_write", write)
+        with pytest.raises(Killed):
+            sync.sync_entity(store, "customers", records(customer(1, 100), "{broken", customer(2, 200)), 2, now="2024-01-02 00:00:00", allowed_bad=0.9)
+    after = Store(spark, store.folder)
+    assert (content(after), audit(after)) == first == (content(store), audit(store))
+
+
+def test_killed_at_any_write_a_refresh_leaves_all_as_it_was(spark, store, records, monkeypatch):
+    sync.refresh_membership(store, records(*TIERS), records(*LINKED), ["place"], 1, now="2024-01-01 00:00:00")
+
+    def state(s):
+        return [sorted(map(str, table.current().drop("ingested_at", "updated_at").collect())) for table in s.membership.values()], audit(s)
+
+    first, plain = state(store), Table._write
+    later = {"clientId": "m9", "billingID": "c1", "subscriptions": [{"id": "s9", "status": "active"}]}
+    for writes in (1, 4, 8, 9):
+        done = []
+
+        def write(*arguments):
+            done.append(plain(*arguments))
+            if len(done) == writes:
+                raise Killed
+            return done[-1]
+
+        with monkeypatch.context() as patch:
+            patch.setattr(Table, "_write", write)
+            with pytest.raises(Killed):
+                sync.refresh_membership(store, records(*TIERS), records(later), ["place"], 2, now="2024-01-02 00:00:00")
+        assert state(Store(spark, store.folder)) == first
+    sync.refresh_membership(store, records(*TIERS), records(later), ["place"], 2, now="2024-01-02 00:00:00")
+    assert state(Store(spark, store.folder)) != first and len(done) == 9

@@ -599,7 +599,9 @@ WHERE version IN (2, 3) OR (version = 1 AND created < timestamp '1997-01-01')
 add("full_refresh_contents", """
 SELECT 'tiers' AS table_name, product_id AS key, name AS value FROM m_tiers
 UNION ALL SELECT 'customers', client_id, billing_id FROM m_customers
-UNION ALL SELECT 'subscriptions', subscription_id, status FROM m_subscriptions
+UNION ALL SELECT 'subscriptions', subscription_id, status FROM (
+  SELECT *, row_number() OVER (PARTITION BY subscription_id ORDER BY client_id DESC, billing_id DESC NULLS LAST, status DESC NULLS LAST) AS rn
+  FROM m_subscriptions) s WHERE rn = 1
 UNION ALL SELECT 'sessions', session_id, client_id FROM last_session JOIN m_customers USING (client_id)
 UNION ALL SELECT DISTINCT 'assets', json_extract_string(asset_ids, '$[0]'), client_id FROM m_subscriptions""", LAST_SESSION)
 add("full_refresh_sync", """

@@ -267,29 +267,51 @@ def _pools(rows: DataFrame, total: int, min_length: int) -> DataFrame:
     return rows.repartition(tasks, "anchor").sortWithinPartitions("anchor").mapInArrow(run, _MARKS)
 
 
+def _cuts(segments: list[bytes]) -> list[tuple[int, int]]:
+    """Ranges of segments of about `POOL` bytes each, so that a block needs no more memory than a pool."""
+    edges, size = [0], 0
+    for k, segment in enumerate(segments):
+        if size > POOL:
+            edges.append(k)
+            size = 0
+        size += len(segment)
+    return list(zip(edges, [*edges[1:], len(segments)], strict=True))
+
+
+def _classes(segments: list[bytes], copies: np.ndarray, min_length: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The hash of each different string of these segments, how often it starts here, and the number of the one at each start."""
+    classes, _ = equal_starts(segments, min_length)
+    flat = np.concatenate(classes)
+    counts = np.bincount(flat, np.repeat(copies, [len(c) for c in classes]))
+    first = np.full(len(counts), -1)
+    places = np.cumsum([0, *map(len, classes)])
+    first[flat[::-1]] = np.arange(len(flat))[::-1]
+    named = np.flatnonzero(first >= 0)
+    row = np.searchsorted(places, first[named], side="right") - 1
+    at = first[named] - places[row]
+    hashes = np.fromiter(
+        (xxhash.xxh3_64_intdigest(segments[r][a : a + min_length]) for r, a in zip(row.tolist(), at.tolist(), strict=True)),
+        np.uint64, len(named),
+    )
+    number = np.full(len(counts), -1, np.int32)
+    number[named] = np.arange(len(named))
+    return hashes, counts[named], [number[c] for c in classes]
+
+
 def _hot(rows: DataFrame, total: int, min_length: int) -> DataFrame:
     """The same for anchors of very many segments: classes of each block, added up over all blocks."""
 
     def keys_of(table: pa.Table):
-        segments = table["bytes"].to_pylist()
-        classes, _ = equal_starts(segments, min_length)
-        flat = np.concatenate(classes)
-        copies = np.repeat(table["copies"].to_numpy(), [len(c) for c in classes])
-        counts = np.bincount(flat, copies)
-        first = np.full(len(counts), -1)
-        places = np.cumsum([0, *map(len, classes)])
-        first[flat[::-1]] = np.arange(len(flat))[::-1]
-        named = np.flatnonzero(first >= 0)
-        row = np.searchsorted(places, first[named], side="right") - 1
-        at = first[named] - places[row]
-        hashes = np.fromiter(
-            (xxhash.xxh3_64_intdigest(segments[r][a : a + min_length]) for r, a in zip(row.tolist(), at.tolist(), strict=True)),
-            np.uint64, len(named),
-        )
-        keys, place = np.unique(hashes, return_inverse=True)
-        slot = np.full(len(counts), -1)
-        slot[named] = place
-        return [(keys, np.bincount(place, counts[named], len(keys)))], [slot[c] for c in classes]
+        segments, copies = table["bytes"].to_pylist(), table["copies"].to_numpy()
+        found = [_classes(segments[a:b], copies[a:b], min_length) for a, b in _cuts(segments)]
+        keys, place = np.unique(np.concatenate([hashes for hashes, _, _ in found]), return_inverse=True)
+        counts = np.bincount(place, np.concatenate([counts for _, counts, _ in found]), len(keys))
+        slots, at = [], 0
+        for hashes, _, starts in found:
+            own = place[at : at + len(hashes)]
+            slots += [own[x] for x in starts]
+            at += len(hashes)
+        return [(keys, counts)], slots
 
     def use(table: pa.Table, totals: list[np.ndarray], state) -> pa.Table:
         found = []

@@ -217,14 +217,14 @@ FEED_ORDER = ["feed_kind", "feed_key"]
 @query("sink_raw_mixed")
 def _(t):
     table = _table(t, "raw-mixed", schemas.RAW_MIXED, partition=store.INGEST_DATE)
-    table.append(store.raw_mixed_rows(_mixed(t), [*FEED_ORDER, "json_data"], times.moment(SYNCED_AT)), 1)
+    table.append(store.raw_mixed_rows(_mixed(t), FEED_ORDER, times.moment(SYNCED_AT)), 1)
     return table.read().select("id", "record_type", "ingested_at")
 
 
 @query("sink_raw_linked")
 def _(t):
     table = _table(t, "raw-linked", schemas.RAW_LINKED, partition=store.INGEST_DATE)
-    table.append(store.raw_linked_rows(_linked(t), [*FEED_ORDER, "json_data"], times.moment(SYNCED_AT)), 1)
+    table.append(store.raw_linked_rows(_linked(t), FEED_ORDER, times.moment(SYNCED_AT)), 1)
     return table.read().select("id", "ingested_at")
 
 
@@ -419,7 +419,7 @@ def _(t):
         )).alias("json_data"),
     )
     rows = subs.unionByName(visits)
-    found = flatten.classify(rows, ("clientId", "sessionId"), ["kind", "key", "at", "json_data"])
+    found = flatten.classify(rows, ("clientId", "sessionId"), ["kind", "key", "at"])
     return found.select("feed_row", "id", "record_type")
 
 
@@ -897,9 +897,9 @@ def _(t):
 
 @query("order_multi")
 def _(t):
-    order = [F.desc("status"), F.asc("plan_name"), F.desc("amount_cents"), F.asc("subscription_id")]
+    order = ["status", "plan_name", "amount_cents", "subscription_id"]
     rows = t.b_subscriptions.select("subscription_id", "status", "plan_name", "amount_cents")
-    return number_rows(rows, order, "position")
+    return number_rows(rows, order, "position", descending=["status", "amount_cents"])
 
 
 @query("topk_subscriptions")
@@ -918,8 +918,8 @@ def _(t):
 def _(t):
     """Where nulls go: the place of every row in descending and in ascending order."""
     rows = t.sync_history.select("entity_type", "sync_completed_at", "sync_started_at")
-    last = number_rows(rows, [F.desc("sync_completed_at"), F.asc("sync_started_at")], "position")
-    first = number_rows(rows, [F.asc("sync_completed_at"), F.asc("sync_started_at")], "position")
+    order = ["sync_completed_at", "sync_started_at"]
+    last, first = (number_rows(rows, order, "position", descending) for descending in (order[:1], ()))
     return last.withColumn("direction", F.lit("desc")).unionByName(first.withColumn("direction", F.lit("asc")))
 
 
@@ -1241,7 +1241,7 @@ def _landed_feed(t: Tables) -> DataFrame:
 @query("full_refresh_sync")
 def _(t):
     s = _store(t, "refresh")
-    sync.refresh_membership(s, landed.tier_records(t.m_tiers), _landed_feed(t), [*FEED_ORDER, "json_data"], 1, now=SYNCED_AT)
+    sync.refresh_membership(s, landed.tier_records(t.m_tiers), _landed_feed(t), FEED_ORDER, 1, now=SYNCED_AT)
     counts = quality.row_counts({name: table.current() for name, table in s.membership.items()})
     return counts.select("table_name", "row_count")
 
@@ -1250,7 +1250,7 @@ def _(t):
 def _(t):
     """What a full refresh leaves in each table, as a key and a value of every row."""
     s = _store(t, "refresh")
-    sync.refresh_membership(s, landed.tier_records(t.m_tiers), _landed_feed(t), [*FEED_ORDER, "json_data"], 1, now=SYNCED_AT)
+    sync.refresh_membership(s, landed.tier_records(t.m_tiers), _landed_feed(t), FEED_ORDER, 1, now=SYNCED_AT)
     shown = {
         "tiers": ("product_id", "name"), "customers": ("client_id", "billing_id"), "sessions": ("session_id", "client_id"),
         "subscriptions": ("subscription_id", "status"), "assets": ("asset_id", "client_id"),
@@ -1271,7 +1271,7 @@ def _(t):
         "subscriptions": _landed(t, landed.subscription_records(t.b_subscriptions), "subscriptions"),
     }
     sync.run_all(
-        s, 1, billing, landed.tier_records(t.m_tiers), _landed_feed(t), [*FEED_ORDER, "json_data"], now=SYNCED_AT,
+        s, 1, billing, landed.tier_records(t.m_tiers), _landed_feed(t), FEED_ORDER, now=SYNCED_AT,
         send=lambda bodies: bodies.write.parquet(sent),
     )
     people = store.latest_version(t.spark, s.unified_path, s.log)
@@ -1294,7 +1294,7 @@ def _(t):
         "customers": _landed(t, landed.customer_records(t.b_customers), "customers"),
         "subscriptions": _landed(t, landed.subscription_records(t.b_subscriptions), "subscriptions"),
     }
-    return sync.run_all(s, 1, billing, landed.tier_records(t.m_tiers), _landed_feed(t), [*FEED_ORDER, "json_data"], now=SYNCED_AT)
+    return sync.run_all(s, 1, billing, landed.tier_records(t.m_tiers), _landed_feed(t), FEED_ORDER, now=SYNCED_AT)
 
 
 # -- end products --------------------------------------------------------------------------------

@@ -34,10 +34,41 @@ def test_numbers_in_descending_order_and_within_keys(crowded):
     for key in {r[0] for r in rows}:
         own = sorted((r for r in rows if r[0] == key), key=lambda r: (-r[1], -r[2]))
         expected.update({r: n for n, r in enumerate(own, start=1)})
-    numbered = number_rows_within(df, ["k"], [F.desc("t"), F.desc("i")])
+    numbered = number_rows_within(df, ["k"], ["t", "i"], descending=["t", "i"])
     assert {(r["k"], r["t"], r["i"]): r["ordinal"] for r in numbered.collect()} == expected
 
 
+def test_rows_with_one_order_are_told_apart(spark):
+    rows = [(None if i % 3 else "k", f"text {i}") for i in range(90)]
+    df = spark.createDataFrame(rows, "k string, body string")
+    got = sorted(tuple(r) for r in number_rows(df, ["k"]).select("ordinal", "k", "body").collect())
+    assert [n for n, _, _ in got] == list(range(1, 91))
+    assert [k for _, k, _ in got] == [None] * 60 + ["k"] * 30 and sorted(b for _, _, b in got) == sorted(b for _, b in rows)
+
+
+def test_copies_get_numbers_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr("tallyloom.operators.ordinals.RUN", 7)
+    rows = [("a", "x")] * 40 + [("a", "y"), ("b", None), ("b", None), ("c", "z")]
+    got = number_rows(spark.createDataFrame(rows, "k string, body string"), ["k"], descending=["k"]).orderBy("ordinal").collect()
+    assert [r["ordinal"] for r in got] == list(range(1, len(rows) + 1))
+    assert [r["k"] for r in got] == ["c", "b", "b"] + ["a"] * 41
+    copies = [i for i, r in enumerate(got) if r["body"] == "x"]
+    assert copies == list(range(copies[0], copies[0] + 40))
+
+
+def test_no_rows_have_no_numbers(spark):
+    assert number_rows(spark.createDataFrame([], "k string, body string"), ["k"]).collect() == []
+
+
+def test_texts_beside_the_order_are_neither_sorted_nor_checkpointed(spark, scratch):
+    spark.range(500).selectExpr("id AS place", "repeat('long text', 50) AS body").write.parquet(scratch)
+    numbered = number_rows(spark.read.parquet(scratch), ["place"])
+    assert [tuple(r)[::2] for r in numbered.orderBy("place").collect()] == [(i, i + 1) for i in range(500)]
+    plan = numbered._jdf.queryExecution().sparkPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert all("body" not in line for line in plan.splitlines() if "ExistingRDD" in line)
+
+
 def test_a_crowded_key_is_spread_over_tasks(crowded):
     _, df = crowded
     parts = df.repartitionByRange(4, "k", "t", "i").withColumn("p", F.spark_partition_id())

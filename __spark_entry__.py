@@ -26,6 +26,7 @@ from tallyloom.sinks.buckets import BucketedTable  # noqa: E402
 from tallyloom.sinks.tables import Table  # noqa: E402
 from tallyloom.sources import landed, lookups, pages  # noqa: E402
 from tallyloom.sources.fixtures import Tables  # noqa: E402
+from tallyloom.sources.landing import Landing  # noqa: E402
 from tallyloom.streaming import feed, sync  # noqa: E402
 
 # Reports on a moving window take the moment they report for.
@@ -1188,6 +1189,42 @@ def _(t):
     return s.billing["customers"].current().select("customer_id", "created")
 
 
+def _customer_files(t: Tables) -> tuple[str, list[DataFrame]]:
+    """An empty landing folder, and the pages with the customers created up to the cut and with the later ones."""
+    created = F.get_json_object("json_data", "$.created").try_cast("bigint")
+    late = F.coalesce(created, F.lit(0)) > CUT_SECONDS
+    records = landed.customer_records(t.b_customers)
+    parts = [landed.pages(records.where(part), landed.key_number("customer_id")) for part in (~late, late)]
+    return session.scratch(t.spark, "landing"), parts
+
+
+def _files_read(s: store.Store) -> DataFrame:
+    read = s.landed["customers"].read().groupBy("batch").agg(F.count(F.lit(1)).alias("rows"))
+    return read.select(F.lit("files").alias("stored_in"), F.concat(F.lit("batch "), c("batch").cast("string")).alias("key"), "rows")
+
+
+@query("sync_new_files")
+def _(t):
+    """Three syncs of a folder in which a file lands before the first and one before the second; each opens the new files only."""
+    s, (path, parts) = _store(t, "new-files"), _customer_files(t)
+    for batch, part in enumerate((*parts, None), start=1):
+        if part is not None:
+            part.coalesce(1).write.mode("append").json(path)
+        sync.sync_entity(s, "customers", Landing(t.spark, path), batch, now=f"2024-02-0{batch} 00:00:00")
+    return _what_is_stored(s).unionByName(_files_read(s))
+
+
+@query("sync_late_files")
+def _(t):
+    """The later customers land first. The file with the earlier ones is read and skipped, and taken when a lookback reaches back to it."""
+    s, (path, parts) = _store(t, "late-files"), _customer_files(t)
+    for batch, part, lookback in ((1, parts[1], 0), (2, parts[0], 0), (3, None, 10**10)):
+        if part is not None:
+            part.coalesce(1).write.mode("append").json(path)
+        sync.sync_entity(s, "customers", Landing(t.spark, path), batch, now=f"2024-02-0{batch} 00:00:00", lookback=lookback)
+    return _what_is_stored(s).unionByName(_files_read(s))
+
+
 def _land(t: Tables, body_pages: DataFrame, label: str) -> str:
     """Pages as four files that land one after another, in the order of the pages' numbers."""
     staged, path = session.scratch(t.spark, label), session.scratch(t.spark, label)

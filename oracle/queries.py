@@ -589,6 +589,16 @@ UNION ALL SELECT 'audit', 'customers 2024-02-01 success', count(*) FROM b_custom
 SECOND = f"""
 UNION ALL SELECT 'audit', 'customers 2024-02-02 success', count(*) FROM b_customers WHERE NOT ({EARLY})"""
 add("rerun_after_compaction", STORED.format(where="true") + SECOND)
+add("sync_new_files", STORED.format(where="true") + SECOND + """
+UNION ALL SELECT 'audit', 'customers 2024-02-03 success', 0
+UNION ALL SELECT 'files', 'batch 1', 1 UNION ALL SELECT 'files', 'batch 2', 1""")
+add("sync_late_files", f"""
+SELECT 'raw' AS stored_in, customer_id AS key, CASE WHEN {EARLY} THEN 1 ELSE 2 END AS rows FROM b_customers WHERE created IS NOT NULL
+UNION ALL SELECT 'processed', customer_id, CASE WHEN {EARLY} THEN 1 ELSE 2 END FROM b_customers WHERE created IS NOT NULL
+UNION ALL SELECT 'audit', 'customers 2024-02-01 success', count(*) FROM b_customers WHERE NOT ({EARLY})
+UNION ALL SELECT 'audit', 'customers 2024-02-02 success', 0
+UNION ALL SELECT 'audit', 'customers 2024-02-03 success', count(created) FROM b_customers
+UNION ALL SELECT 'files', 'batch 1', 1 UNION ALL SELECT 'files', 'batch 2', 1 UNION ALL SELECT 'files', 'batch 3', 2""")
 add("killed_between_writes", f"""
 SELECT *, 'before' AS moment FROM ({STORED.format(where=EARLY)}) x
 UNION ALL SELECT *, 'after' FROM ({STORED.format(where="true") + SECOND}) y""")

@@ -15,6 +15,7 @@ from tallyloom.plans.snapshot import CLUSTER_COLUMNS
 from tallyloom.sinks.buckets import BucketedTable
 from tallyloom.sinks.log import Log
 from tallyloom.sinks.tables import Table
+from tallyloom.sources.landing import READ_FILE
 
 # The entities of the billing sync, in the order they run.
 ENTITIES = ("customers", "subscriptions")
@@ -82,6 +83,11 @@ class Store:
         """Records that could not be read, each in the batch that saw it first."""
         return {e: self._table(f"quarantine/{e}", "json_data string, reason string") for e in ENTITIES}
 
+    @cached_property
+    def landed(self) -> dict[str, Table]:
+        """Files that were read, by the batch that read them."""
+        return {e: self._table(f"landed/{e}", READ_FILE) for e in ENTITIES}
+
     @property
     def unified_path(self) -> str:
         return f"{self.folder}/unified_customers"

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.records import parse, with_parsed
 
+PAGE_FILE = "page bigint, body string"
 ENVELOPE = "data array<string>, has_more boolean, nextCursor string"
 
 
@@ -38,6 +39,15 @@ def unreadable(pages: DataFrame) -> DataFrame:
     return _opened(pages).where("read.data is null").select("page", "body", F.lit("no list of records").alias("reason"))
 
 
+def page_contents(pages: DataFrame) -> DataFrame:
+    """(file, json_data, no_list) of pages with a `file`: their records, and the body of a page that gives none because it cannot be read."""
+    no_list = F.col("read.data").isNull()
+    each = _opened(pages).withColumn("no_list", no_list).select(
+        "file", "body", "no_list", F.explode(F.coalesce("read.data", F.array(F.lit(None).cast("string")))).alias("record")
+    )
+    return each.select("file", F.when(F.col("no_list"), F.col("body")).otherwise(F.col("record")).alias("json_data"), "no_list")
+
+
 def envelopes(pages: DataFrame, follow: str = "has_more", stop: bool = False) -> DataFrame:
     """Records of all pages, in (page, place) order; bodies that cannot be read are in `unreadable`.
 

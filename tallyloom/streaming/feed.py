@@ -8,9 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.sinks.tables import Table
-from tallyloom.sources.pages import list_or_envelope, unreadable
-
-PAGE_FILE = "page bigint, body string"
+from tallyloom.sources.pages import PAGE_FILE, list_or_envelope, unreadable
 
 
 def stream_pages(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:

@@ -29,6 +29,7 @@ from tallyloom.sinks.store import (
     ENTITIES, Store, audit_row, completion_audit_row, raw_linked_rows, raw_rows, raw_tier_rows, replace_nested,
     latest_version, replace_snapshot,
 )
+from tallyloom.sources.landing import Landing
 from tallyloom.sources.lookups import is_newer, last_sync
 
 FLATTEN = {"customers": flatten_customers, "subscriptions": flatten_subscriptions}
@@ -47,6 +48,8 @@ class Outcome:
 AUDIT_LINES = 10
 # A table with so many batches on top of its base is folded into a new base at the end of a run.
 COMPACT_AFTER = 8
+# The reason staged records have that were taken by an earlier batch, or came too late for it.
+OLD = "old"
 
 
 def watermark(store: Store, entity: str, batch: int | None = None) -> int:
@@ -69,8 +72,33 @@ def _clock(now: str | None) -> str:
     return now or datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None).isoformat(" ")
 
 
+STAGED = "file string, json_data string, reason string, second long"
+
+
+def _stage(entity: str, records: DataFrame, from_files: bool, mark: int, lookback: int, path: str) -> DataFrame:
+    """Judges records in one pass and stages the new ones: readable ones created after the watermark, and all unreadable ones.
+
+    Those of files are all staged, with file and creation second, but old ones without their text and with reason 'old'.
+    """
+    # Unreadable records are kept whatever the watermark is, since they have no creation time.
+    found = judged(records, RECORD[entity], "id")
+    if not from_files:
+        found = found.select(F.lit(None).cast("string").alias("file"), "json_data", "reason", F.lit(None).cast("long").alias("second"))
+        found = found.where(is_newer(mark, lookback) | F.col("reason").isNotNull())
+    else:
+        reason = F.when(F.col("no_list"), "no list of records").otherwise(F.col("reason"))
+        second = F.get_json_object("json_data", "$.created").try_cast("bigint")
+        old = F.col("reason").isNull() & ~is_newer(mark, lookback)
+        found = found.withColumn("reason", reason).select(
+            "file", F.when(~old, F.col("json_data")).alias("json_data"), F.when(old, OLD).otherwise(F.col("reason")).alias("reason"),
+            F.when(F.col("reason").isNull(), F.coalesce(second, F.lit(0).cast("long"))).alias("second"),
+        )
+    found.write.parquet(path)
+    return found.sparkSession.read.schema(STAGED).parquet(path)
+
+
 def sync_entity(
-    store: Store, entity: str, records: DataFrame, batch: int, *, now: str | None = None, lookback: int = 0,
+    store: Store, entity: str, records: DataFrame | Landing, batch: int, *, now: str | None = None, lookback: int = 0,
     allowed_bad: float = 0.0, send: Callable[[DataFrame], None] | None = None,
 ) -> Outcome:
     """One incremental sync of a billing entity.
@@ -79,6 +107,11 @@ def sync_entity(
     them to the raw table, flattens them into the processed table, and writes an audit row. `send`
     receives the contact chunks of a customer sync; if it fails, a failed row is added.
 
+    Records are those of a frame, or of the new files of a landing folder. Then files of earlier batches are not opened, except those
+    that hold records created after the point from which this batch takes them (as with a larger `lookback`). The files are marked as
+    read by the commit that adds their records, so a failed batch leaves them to the next one; a page that cannot be read counts
+    as an unreadable record.
+
     Records are judged in one pass and staged. What the batch adds to the raw, quarantine and processed tables and the audit row
     become visible by one commit. A batch with too many unreadable records commits these and a failed audit row only. An unreadable
     record counts in the batch that sees it first. The same batch again, complete or not, folded or not, replaces what it added.
@@ -97,11 +130,13 @@ def sync_entity(
         with store.log.transaction():
             mark = watermark(store, entity, batch)
             staging = f"{store.folder}/staging/{entity}-{batch}-{uuid.uuid4().hex}"
-            # Unreadable records are kept whatever the watermark is, since they have no creation time.
-            fresh = is_newer(mark, lookback) | F.col("reason").isNotNull()
-            judged(records, RECORD[entity], "id").where(fresh).select("json_data", "reason").write.parquet(staging)
-            staged = spark.read.schema("json_data string, reason string").parquet(staging)
-            good, bad = staged.where("reason is null").drop("reason"), staged.where("reason is not null")
+            files = None
+            if isinstance(records, Landing):
+                files = records.unread(store.landed[entity].read(), batch, mark - lookback)
+                records = records.contents([row["file"] for row in files.collect()])
+            staged = _stage(entity, records, files is not None, mark, lookback, staging)
+            good = staged.where("reason is null").select("json_data")
+            bad = staged.where(F.col("reason") != OLD).select("json_data", "reason")
             seen = store.quarantine[entity].read(below=batch).select("json_data").distinct()
             store.quarantine[entity].append(bad.join(seen, "json_data", "left_anti"), batch)
             unreadable = store.quarantine[entity].read_batch(batch).count()
@@ -116,6 +151,9 @@ def sync_entity(
                 stored = raw.read_batch(batch)
                 if count:
                     store.billing[entity].append(FLATTEN[entity](stored, moment(started)), batch)
+                if files is not None:
+                    newest_in = staged.groupBy("file").agg(F.max("second").alias("newest"))
+                    store.landed[entity].append(files.join(newest_in, "file", "left").withColumn("batch", F.lit(batch).cast("long")), batch)
                 audit(count, "success", max(newest, mark))
     except Exception as problem:
         audit(0, "failed", None, str(problem))
@@ -215,12 +253,12 @@ def refresh_snapshot(store: Store, batch: int) -> Outcome:
 def compact(store: Store, after: int | None = None) -> None:
     """Folds tables with many batches, so that a run does not read a folder for every run before it."""
     with store.log.transaction():
-        for table in (*store.billing.values(), *store.membership.values(), store.history):
+        for table in (*store.billing.values(), *store.membership.values(), *store.landed.values(), store.history):
             table.compact(COMPACT_AFTER if after is None else after)
 
 
 def run_all(
-    store: Store, batch: int, billing: Mapping[str, DataFrame], tiers: DataFrame | None = None,
+    store: Store, batch: int, billing: Mapping[str, DataFrame | Landing], tiers: DataFrame | None = None,
     linked: DataFrame | None = None, order: list[str] | None = None, *, entities: list[str] | None = None,
     skip_membership: bool = False, now: str | None = None, lookback: int = 0, allowed_bad: float = 0.0,
     send: Callable[[DataFrame], None] | None = None,

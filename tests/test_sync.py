@@ -11,6 +11,7 @@ from tallyloom.sinks.buckets import BucketedTable
 from tallyloom.sinks.log import Conflict, put_if_absent
 from tallyloom.sinks.store import ENTITIES, Store, latest_version, seed_history
 from tallyloom.sinks.tables import Table
+from tallyloom.sources.landing import Landing
 from tallyloom.sources.pages import list_or_envelope
 from tallyloom.streaming import feed, sync
 
@@ -287,6 +288,101 @@ def test_unknown_entities_are_refused(store, records):
         sync.sync_entity(store, "refunds", records({"id": "x"}), 1)
 
 
+# -- landing folders
+
+
+def land_file(folder, name, *values, body=None):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}", "w") as out:
+        out.write(json.dumps({"page": 1, "body": body or json.dumps({"data": values})}) + "\n")
+
+
+@pytest.fixture
+def landing(spark, scratch):
+    return Landing(spark, f"{scratch}-landing")
+
+
+@pytest.fixture
+def opened(monkeypatch):
+    """The files each sync opens, by name."""
+    seen = []
+    contents = Landing.contents
+
+    def noted(self, files):
+        seen.append(sorted(f.rsplit("/", 1)[1] for f in files))
+        return contents(self, files)
+
+    monkeypatch.setattr(Landing, "contents", noted)
+    return seen
+
+
+def test_a_sync_opens_new_files_only(store, landing, opened):
+    for n in range(1, 4):
+        land_file(landing.folder, f"{n} [a] {{b}}.json", customer(n, n * 100), customer(10 + n, n * 100 + 50))
+        assert sync.sync_entity(store, "customers", landing, n).rows == 2
+    for n in range(4, 21):
+        if n == 10:
+            sync.compact(store, after=1)
+        assert sync.sync_entity(store, "customers", landing, n).rows == 0
+    assert opened == [[f"{n} [a] {{b}}.json"] for n in (1, 2, 3)] + [[]] * 17
+    assert ids(store.billing["customers"].current()) == ["c1", "c11", "c12", "c13", "c2", "c3"]
+
+
+def test_a_failed_sync_leaves_its_files_to_the_next(store, landing, opened):
+    land_file(landing.folder, "a.json", customer(1, 100), {"email": "nobody"})
+    assert sync.sync_entity(store, "customers", landing, 1).status == "failed"
+    land_file(landing.folder, "b.json", customer(2, 200))
+    assert sync.sync_entity(store, "customers", landing, 2).rows == 2
+    assert opened == [["a.json"], ["a.json", "b.json"]]
+
+
+def test_a_batch_that_runs_again_reads_its_files_and_not_those_of_others(store, landing, opened):
+    land_file(landing.folder, "a.json", customer(1, 100))
+    sync.sync_entity(store, "customers", landing, 1)
+    land_file(landing.folder, "b.json", customer(2, 200))
+    sync.sync_entity(store, "customers", landing, 2)
+    for fold in (False, True):
+        if fold:
+            sync.compact(store, after=1)
+        for n in (1, 2):
+            assert sync.sync_entity(store, "customers", landing, n).rows == 1
+    assert opened == [["a.json"], ["b.json"]] * 3
+    assert store.raw["customers"].read().count() == 2
+
+
+def test_late_files_are_read_again_if_a_lookback_reaches_them(store, landing, opened):
+    for n, second in ((1, 1000), (2, 900), (3, 100)):
+        land_file(landing.folder, f"{n}.json", customer(n, second))
+        sync.sync_entity(store, "customers", landing, n)
+    assert ids(store.billing["customers"].current()) == ["c1"]
+    assert sync.sync_entity(store, "customers", landing, 4, lookback=200).rows == 2
+    assert opened[-1] == ["1.json", "2.json"] and ids(store.billing["customers"].current()) == ["c1", "c2"]
+
+
+def test_a_file_written_anew_is_a_new_file(store, landing, opened):
+    land_file(landing.folder, "a.json", customer(1, 100))
+    sync.sync_entity(store, "customers", landing, 1)
+    land_file(landing.folder, "a.json", customer(1, 100), customer(2, 200))
+    assert sync.sync_entity(store, "customers", landing, 2).rows == 1 and len(opened[1]) == 1
+
+
+def test_pages_that_cannot_be_read_count_as_records_that_cannot(store, landing):
+    land_file(landing.folder, "a.json", customer(1, 100))
+    land_file(landing.folder, "b.json", body=json.dumps(customer(7, 700)))
+    land_file(landing.folder, "c.json", body=json.dumps({"data": []}))
+    assert sync.sync_entity(store, "customers", landing, 1).status == "failed"
+    outcome = sync.sync_entity(store, "customers", landing, 2, allowed_bad=0.5)
+    assert (outcome.status, outcome.rows) == ("success", 1)
+    assert [r["reason"] for r in store.quarantine["customers"].read().collect()] == ["no list of records"]
+    assert sync.watermark(store, "customers") == 100
+
+
+def test_a_folder_that_is_not_there_fails_the_sync(store, landing):
+    assert sync.sync_entity(store, "customers", landing, 1).status == "failed"
+    os.makedirs(landing.folder)
+    assert sync.sync_entity(store, "customers", landing, 1).status == "success"
+
+
 # -- membership and whole runs
 
 

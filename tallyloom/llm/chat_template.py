@@ -6,7 +6,9 @@ pieces of text and note the spans between `{% generation %}` and `{% endgenerati
 The language: text, `{{ expression }}`, `{# comment #}`, `for`, `if`/`elif`/`else`, `set`, `generation`; a `-` inside a tag takes
 white space away. Expressions have literals, names, `.key` and `[index]` on maps and lists, filters, comparison, arithmetic, `~`,
 `and`, `or`, `not`, `in`, `a if b else c`. It is a sandbox because there is nothing else: no calls, no attributes of Python
-objects, no loops but over given lists, and a bound on the nesting of expressions.
+objects, no loops but over given lists. Expressions and statements nest up to `DEEPEST`, and no tree is higher than `HIGHEST`. `-`, `*`
+and `%` are for numbers, `+` is for two numbers or two texts; numbers have 64 bits, and a text that `+`, `~` or `replace` makes
+longer than its parts has up to `LONGEST` code points. Whatever does not hold to this is a `TemplateError`.
 
 Control strings (anything that begins with `<|`) cannot come from a text: `escape` puts one more backslash between `<` and `|`,
 and reading back takes one away, whatever the text had there.
@@ -39,6 +41,8 @@ CHATML = (
     "{% if add_generation_prompt %}<|im_start|>assistant\n{% endif %}"
 )
 DEEPEST = 50
+HIGHEST = 200
+LONGEST = 1 << 28
 _OPENING = re.compile(r"<(\\*)\|")
 _ESCAPED = re.compile(r"<(\\+)\|")
 
@@ -63,14 +67,56 @@ def unescape_line(text: str) -> str:
     return unescape(text.replace("<|nl|>", "\n"))
 
 
+def _joined(a: Any, b: Any) -> str:
+    a, b = _text(a), _text(b)
+    if len(a) + len(b) > LONGEST:
+        raise TemplateError("the text gets too long")
+    return a + b
+
+
+def _replaced(x: Any, a: Any, b: Any) -> str:
+    x, a, b = _text(x), _text(a), _text(b)
+    if len(b) > len(a) and len(x) + x.count(a) * (len(b) - len(a)) > max(LONGEST, len(x)):
+        raise TemplateError("the text gets too long")
+    return x.replace(a, b)
+
+
+def _number(work: Callable[[Any, Any], Any]) -> Callable[[Any, Any], Any]:
+    def apply(a: Any, b: Any) -> Any:
+        if not (isinstance(a, (int, float)) and isinstance(b, (int, float))):
+            raise TemplateError("arithmetic is for numbers")
+        found = work(a, b)
+        if abs(found) >= 1 << 63:
+            raise TemplateError("the number gets too large")
+        return found
+
+    return apply
+
+
+def _sum(a: Any, b: Any) -> Any:
+    return _joined(a, b) if isinstance(a, str) and isinstance(b, str) else _number(operator.add)(a, b)
+
+
+def _checked(work: Callable[..., Any], what: str) -> Callable[..., Any]:
+    """Values of the wrong kind, or too many of them, are a fault of the template."""
+
+    def apply(*values: Any) -> Any:
+        try:
+            return work(*values)
+        except (TypeError, ArithmeticError) as problem:
+            raise TemplateError(f"{what}: {problem}") from None
+
+    return apply
+
+
 FILTERS: dict[str, Callable[..., Any]] = {
     "escape": lambda x: escape(_text(x)), "escape_line": lambda x: escape_line(_text(x)), "trim": lambda x: _text(x).strip(),
     "upper": lambda x: _text(x).upper(), "lower": lambda x: _text(x).lower(), "length": len,
-    "default": lambda x, other="": other if x is None else x, "replace": lambda x, a, b: _text(x).replace(_text(a), _text(b)),
+    "default": lambda x, other="": other if x is None else x, "replace": _replaced,
 }
 BINARY: dict[str, Callable[[Any, Any], Any]] = {
     "==": operator.eq, "!=": operator.ne, "<": operator.lt, ">": operator.gt, "<=": operator.le, ">=": operator.ge,
-    "+": operator.add, "-": operator.sub, "*": operator.mul, "%": operator.mod, "~": lambda a, b: _text(a) + _text(b),
+    "+": _sum, "-": _number(operator.sub), "*": _number(operator.mul), "%": _number(operator.mod), "~": _joined,
     "in": lambda a, b: a in b,
 }
 # Binding strength, weakest first.
@@ -89,6 +135,12 @@ class Node:
     kind: str
     value: Any = None
     parts: list[Node] = field(default_factory=list)
+    height: int = field(init=False)
+
+    def __post_init__(self) -> None:
+        self.height = 1 + max((p.height for p in self.parts), default=0)
+        if self.height > HIGHEST:
+            raise TemplateError("nested too deeply")
 
 
 _TAG = re.compile(r"(\{\{-?.*?-?\}\}|\{%-?.*?-?%\}|\{#.*?#\})", re.S)
@@ -135,10 +187,13 @@ class Expression:
             raise TemplateError(f"unexpected {self.tokens[self.at][1]!r}")
         return node
 
-    def choice(self) -> Node:
+    def deeper(self) -> None:
         self.depth += 1
         if self.depth > DEEPEST:
             raise TemplateError("nested too deeply")
+
+    def choice(self) -> Node:
+        self.deeper()
         node = self.level(0)
         if self.peek() == "if":
             self.take()
@@ -152,10 +207,15 @@ class Expression:
         if k == len(LEVELS):
             return self.filtered()
         if LEVELS[k] == ("not",):
-            if self.peek() == "not":
+            times = 0
+            while self.peek() == "not":
                 self.take()
-                return Node("not", None, [self.level(k)])
-            return self.level(k + 1)
+                times += 1
+            node = self.level(k + 1)
+            # Two of them make a truth value of whatever there is.
+            for _ in range(min(times, 2 - times % 2)):
+                node = Node("not", None, [node])
+            return node
         node = self.level(k + 1)
         while self.peek() in LEVELS[k]:
             mark = self.take()[1]
@@ -194,6 +254,9 @@ class Expression:
         if kind == "text":
             return Node("constant", re.sub(r"\\(.)", lambda m: _BACKSLASHED.get(m[1], m[1]), text[1:-1], flags=re.S))
         if kind == "number":
+            # No 64-bit number has more digits.
+            if len(text) > 19 or int(text) >= 1 << 63:
+                raise TemplateError("the number is too large")
             return Node("constant", int(text))
         if kind == "name":
             return Node("constant", _WORDS[text]) if text in _WORDS else Node("name", text)
@@ -202,7 +265,10 @@ class Expression:
             self.take(")")
             return node
         if text == "-":
-            return Node("binary", "-", [Node("constant", 0), self.postfix()])
+            self.deeper()
+            node = Node("binary", "-", [Node("constant", 0), self.postfix()])
+            self.depth -= 1
+            return node
         raise TemplateError(f"unexpected {text!r}")
 
 
@@ -214,31 +280,40 @@ def parse(source: str) -> Node:
             pieces[k - 1] = pieces[k - 1].rstrip()
         if pieces[k].endswith(("-}}", "-%}")):
             pieces[k + 1] = pieces[k + 1].lstrip()
-    at = 0
+    at = depth = 0
 
     def block(*ends: str) -> tuple[Node, str, str]:
         nonlocal at
-        node = Node("block")
+        parts: list[Node] = []
         while at < len(pieces):
             piece, tag = pieces[at], at % 2 == 1
             at += 1
             if not tag:
                 if piece:
-                    node.parts.append(Node("text", piece))
+                    parts.append(Node("text", piece))
                 continue
             body = piece[2:-2].strip("-").strip()
             if piece.startswith("{{"):
-                node.parts.append(Node("write", None, [Expression(body).whole()]))
+                parts.append(Node("write", None, [Expression(body).whole()]))
             elif piece.startswith("{%"):
                 word, _, rest = body.partition(" ")
                 if word in ends:
-                    return node, word, rest
-                node.parts.append(statement(word, rest.strip()))
+                    return Node("block", None, parts), word, rest
+                parts.append(statement(word, rest.strip()))
         if ends:
             raise TemplateError(f"{ends[-1]} is missing")
-        return node, "", ""
+        return Node("block", None, parts), "", ""
 
     def statement(word: str, rest: str) -> Node:
+        nonlocal depth
+        depth += 1
+        if depth > DEEPEST:
+            raise TemplateError("nested too deeply")
+        node = inner(word, rest)
+        depth -= 1
+        return node
+
+    def inner(word: str, rest: str) -> Node:
         if word == "for":
             name, _, of = rest.partition(" in ")
             return Node("for", Expression(name).name(), [Expression(of).whole(), block("endfor")[0]])
@@ -293,7 +368,7 @@ Env = dict[str, Any]
 
 def _item(of: Any, key: Any) -> Any:
     if isinstance(of, dict):
-        return of.get(key)
+        return of.get(key) if isinstance(key, (str, int)) else None
     if isinstance(of, (list, str)) and isinstance(key, int):
         return of[key] if -len(of) <= key < len(of) else None
     return None
@@ -313,13 +388,13 @@ def _expression(node: Node) -> Callable[[Env], Any]:
             return lambda env: _item(of(env), key_value)
         return lambda env: _item(of(env), key(env))
     if kind == "filter":
-        apply = FILTERS[value]
+        apply = _checked(FILTERS[value], value)
         if len(parts) == 1:
             only = parts[0]
             return lambda env: apply(only(env))
         return lambda env: apply(*(p(env) for p in parts))
     if kind == "binary":
-        (left, right), work = parts, BINARY[value]
+        (left, right), work = parts, _checked(BINARY[value], value)
         return lambda env: work(left(env), right(env))
     if kind == "not":
         return lambda env: not parts[0](env)

@@ -37,6 +37,22 @@ def test_sandbox():
         render("{% for x in y %}{% endfor %}", y="text")
 
 
+@pytest.mark.parametrize("template", [
+    "{{ 'ab' * 50000000 }}", "{{ '%50000000d' % 1 }}", "{{ 1 + 'a' }}", "{{ 1 < 'a' }}", "{{ 1 % 0 }}", "{{ 1 | length }}", "{{ 'a' | trim('b') }}",
+    "{{ 1 in 2 }}", "{{ ms + ms }}", "{{ 9223372036854775807 * 9 }}", "{{ " + "9" * 5000 + " }}", "{{ " + "-" * 3000 + "1 }}",
+    "{{ 1" + " + 1" * 3000 + " }}", "{{ m" + ".x" * 3000 + " }}", "{% if 1 %}" * 300 + "{% endif %}" * 300,
+    "{% if m %}a" + "{% elif m %}b" * 2000 + "{% endif %}", "{% set a = 'x' %}" + "{% set a = a ~ a %}" * 40,
+    "{% set a = 'xxxx' %}" + "{% set a = a | replace('x', 'xxxx') %}" * 30,
+])
+def test_bounded_in_size_and_depth(template):
+    with pytest.raises(chat_template.TemplateError):
+        render(template, ms=["a"], m={})
+
+
+def test_chains_of_not_have_no_bound():
+    assert render("{{ " + "not " * 5001 + "a }}{{ " + "not " * 5000 + "a }}{{ not a }}{{ a }}", a="x") == "FalseTrueFalsex"
+
+
 def test_escapes_are_reversible():
     r = random.Random(2)
     for _ in range(5000):

@@ -259,6 +259,15 @@ def _(t):
     return _snapshot_flat(table).withColumn("since_month", c("since_month"))
 
 
+@query("clustered_lookup")
+def _(t):
+    """Customers of the BI table by a range of ids, from the files that can hold them."""
+    rows = _snapshot(t)
+    table = store.snapshot_table(rows, session.scratch(t.spark, "snapshot"))
+    table.replace(rows, 1)
+    return _snapshot_flat(table.find("client_id", "cl_2", "cl_4")).withColumn("since_month", c("since_month"))
+
+
 @query("create_views")
 def _(t):
     return store.create_view(revenue.mrr_by_month(t.b_subscriptions), "mrr_summary")

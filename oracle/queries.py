@@ -684,6 +684,9 @@ LEFT JOIN (SELECT customer_id, count(*) FILTER (status = 'active') AS active, co
   FROM b_subscriptions GROUP BY 1) bc ON bc.customer_id = m.billing_id"""
 add("bi_customer_360_snapshot", BI, BI_SOURCES)
 add("ctas_bi_partitioned", f"SELECT *, cast(date_trunc('month', membership_since) AS date) AS since_month FROM ({BI}) x", BI_SOURCES)
+add("clustered_lookup", f"""
+SELECT *, cast(date_trunc('month', membership_since) AS date) AS since_month FROM ({BI}) x
+WHERE client_id BETWEEN 'cl_2' AND 'cl_4'""", BI_SOURCES)
 add("full_sync_contents", f"""
 SELECT 'unified_customers' AS table_name, client_id AS key, billing_id AS value FROM m_customers WHERE billing_id IN (SELECT customer_id FROM b_customers)
 UNION ALL SELECT 'bi_snapshot', client_id, customer_status FROM ({BI}) x

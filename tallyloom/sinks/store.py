@@ -202,16 +202,21 @@ def replace_nested(unified: DataFrame, path: str, batch: int, log: Log | None =
     return table.read_base()
 
 
-def replace_snapshot(snapshot: DataFrame, path: str, batch: int, log: Log | None = None) -> DataFrame:
-    """The BI table: partitioned by the month customers joined in, sorted for the usual filters.
+def snapshot_table(snapshot: DataFrame, path: str, log: Log | None = None) -> Table:
+    """The BI table: partitioned by the month customers joined in, and dealt to files by the columns of the usual filters.
 
     Months instead of days keep files from getting small; the day stays a column, and readers
     filter on both.
     """
-    table = Table(
+    return Table(
         snapshot.sparkSession, path, _ddl(snapshot), cluster=CLUSTER_COLUMNS,
         partition=("since_month", "trunc(membership_since, 'month')"), **_named(path, log),
     )
+
+
+def replace_snapshot(snapshot: DataFrame, path: str, batch: int, log: Log | None = None) -> DataFrame:
+    """A new content of the BI table, which is returned."""
+    table = snapshot_table(snapshot, path, log)
     table.replace(snapshot, batch)
     return table.read_base()
 

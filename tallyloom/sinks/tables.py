@@ -6,6 +6,9 @@
 A write goes to a new folder and counts from its commit on, so readers never see a part of it. A batch that runs twice replaces
 itself, also after it was folded into the base: every row keeps the number of its batch in `_batch`. Versions that were replaced stay
 readable until `drop_superseded`.
+
+Rows of a table with cluster columns are dealt to files by ranges of them (inside a month, if it is partitioned), and least and
+greatest values of each file are stored beside the folder, under `_bounds`: `find` opens only files that can hold what is looked for.
 """
 
 from __future__ import annotations
@@ -20,8 +23,9 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators.upsert import newest_per_key
 from tallyloom.sinks.log import Action, Contents, Log, delete
+from tallyloom.sources.landing import as_path
 
-BATCH, WRITE = "_batch", "_write"
+BATCH, WRITE, BOUNDS = "_batch", "_write", "_bounds"
 
 
 class Table:
@@ -61,16 +65,24 @@ class Table:
         rows = df.select(*self.columns(), number)
         if self.partition:
             name, value = self.partition
-            # Rebalancing splits a partition value that holds much of the data over several tasks
-            # and gathers the small ones, so files come out near the advisory size.
-            rows = rows.withColumn(name, F.expr(value)).hint("rebalance", name)
+            rows = rows.withColumn(name, F.expr(value))
+            if not self.cluster:
+                # Rebalancing splits a partition value that holds much of the data over several tasks
+                # and gathers the small ones, so files come out near the advisory size.
+                rows = rows.hint("rebalance", name)
         if self.cluster:
-            rows = rows.sortWithinPartitions(*([self.partition[0]] if self.partition else []), *self.cluster)
+            # A partition value with much of the data has several ranges. Small ones are gathered.
+            by = [*([self.partition[0]] if self.partition else []), *self.cluster]
+            rows = rows.repartitionByRange(*by).sortWithinPartitions(*by)
         path = f"{WRITE}={label}-{batch}-{uuid.uuid4().hex}"
         writer = rows.write
         if self.partition:
             writer = writer.partitionBy(self.partition[0])
         writer.parquet(f"{self.folder}/{path}")
+        if self.cluster:
+            ends = [f(x).alias(f"{name}_{x}") for x in self.cluster for name, f in (("low", F.min), ("high", F.max))]
+            files = self._read([path]).groupBy(F.col("_metadata.file_path").alias("file")).agg(*ends)
+            files.write.parquet(f"{self.folder}/{BOUNDS}/{path}")
         return path
 
     def append(self, df: DataFrame, batch: int) -> None:
@@ -95,6 +107,8 @@ class Table:
         old = self.log.paths(self.name) - self.log.contents(self.name).paths
         for path in old:
             delete(self.spark, f"{self.folder}/{path}")
+            if self.cluster:
+                delete(self.spark, f"{self.folder}/{BOUNDS}/{path}")
         return len(old)
 
     # -- reading ---------------------------------------------------------------------------------
@@ -103,12 +117,13 @@ class Table:
         month = f", {self.partition[0]} date" if self.partition else ""
         return f"{self.schema}, {BATCH} long{month}"
 
-    def _scan(self, paths: Sequence[str]) -> DataFrame:
-        if not paths:
-            return self.spark.createDataFrame([], self._stored_schema())
+    def _read(self, folders: Sequence[str], files: Sequence[str] | None = None) -> DataFrame:
         # The folders are read as partitions of the table's, since each may have partitions of its own.
         reader = self.spark.read.schema(self._stored_schema()).option("basePath", self.folder)
-        return reader.parquet(*[f"{self.folder}/{p}" for p in paths]).drop(WRITE)
+        return reader.parquet(*([f"{self.folder}/{p}" for p in folders] if files is None else [as_path(f) for f in files]))
+
+    def _scan(self, paths: Sequence[str]) -> DataFrame:
+        return self._read(paths).drop(WRITE) if paths else self.spark.createDataFrame([], self._stored_schema())
 
     def _base(self) -> DataFrame:
         """The base without the batches that ran again since."""
@@ -162,6 +177,41 @@ class Table:
         """Every stored row, including older rows of a key; or those of batches below a number, folded or not."""
         return self._rows(below).drop(BATCH)
 
+    def _files(self, folders: Sequence[str], column: str, low: object, high: object) -> list[str]:
+        if not folders:
+            return []
+        found = self.spark.read.parquet(*[f"{self.folder}/{BOUNDS}/{p}" for p in folders])
+        if low is not None:
+            found = found.where(F.col(f"high_{column}") >= F.lit(low))
+        if high is not None:
+            found = found.where(F.col(f"low_{column}") <= F.lit(high))
+        return [row["file"] for row in found.select("file").collect()]
+
+    def files(self, column: str, low: object, high: object) -> list[str]:
+        """The files that can hold rows whose cluster column lies between two values; None is no bound."""
+        return self._files(sorted(self.contents.paths), column, low, high)
+
+    def find(self, column: str, low: object, high: object) -> DataFrame:
+        """Stored rows whose column lies between two values, both included; None is no bound, and null is never between.
+
+        By a cluster column only files are opened whose range meets this one; their names pass
+        through the driver, as with any read of files. By other columns all files are read.
+        """
+        wanted = F.col(column).isNotNull()
+        if low is not None:
+            wanted &= F.col(column) >= F.lit(low)
+        if high is not None:
+            wanted &= F.col(column) <= F.lit(high)
+        if column not in self.cluster:
+            return self.read().where(wanted)
+        found = self.contents
+        again = [b for b in found.batches if b <= (found.upto or 0)]
+        rows = self.spark.createDataFrame([], self._stored_schema())
+        for folders, replaced in (([found.base] if found.base else [], again), (sorted(found.batches.values()), [])):
+            if files := self._files(folders, column, low, high):
+                rows = rows.unionByName(self._read(folders, files).drop(WRITE).where(wanted & ~F.col(BATCH).isin(replaced)))
+        return rows.drop(BATCH)
+
     def current(self) -> DataFrame:
         """The newest row of every key.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,8 @@ class Landing:
     def files(self) -> DataFrame:
         """All files there are; their contents are not read."""
         found = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(self.folder)
-        return found.select(F.col("path").alias("file"), F.unix_millis("modificationTime").alias("modified"), F.col("length").alias("size"))
+        # The form of the name that the rows of a file carry too.
+        return found.select(F.col("_metadata.file_path").alias("file"), F.unix_millis("modificationTime").alias("modified"), F.col("length").alias("size"))
 
     def unread(self, known: DataFrame, batch: int, after: int) -> DataFrame:
         """Files no other batch has read, and those read by earlier batches that hold records created after a second.
@@ -45,11 +47,10 @@ class Landing:
         """(file, json_data, no_list) of the records in some files; a body that cannot be read is one row with `no_list`."""
         if not files:
             return self.spark.createDataFrame([], "file string, json_data string, no_list boolean")
-        # Names are not patterns.
-        paths = [_literal(f) for f in files]
-        pages = self.spark.read.schema(PAGE_FILE).json(paths)
+        pages = self.spark.read.schema(PAGE_FILE).json([as_path(f) for f in files])
         return page_contents(pages.select("*", F.col("_metadata.file_path").alias("file")))
 
 
-def _literal(path: str) -> str:
-    return "".join(f"\\{letter}" if letter in "*?[]{}\\" else letter for letter in path)
+def as_path(file: str) -> str:
+    """What to read a file by whose name is that of `_metadata.file_path`; letters of patterns stand for themselves."""
+    return "".join(f"\\{letter}" if letter in "*?[]{}\\" else letter for letter in unquote(file))

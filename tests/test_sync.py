@@ -3,6 +3,7 @@
 import json
 import os
 import random
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import functions as F
@@ -288,6 +289,43 @@ def test_unknown_entities_are_refused(store, records):
         sync.sync_entity(store, "refunds", records({"id": "x"}), 1)
 
 
+# -- clustered tables
+
+
+@pytest.fixture
+def many_files(spark):
+    settings = {"spark.sql.shuffle.partitions": "100", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_a_lookup_opens_few_files(spark, scratch, many_files):
+    rows = spark.range(6000).selectExpr("lpad(id, 5, '0') AS k", "CAST(id % 7 AS int) AS v", "make_date(2024, CAST(1 + id % 3 AS int), 5) AS day")
+    table = Table(spark, scratch, "k string, v int, day date", partition=("month", "trunc(day, 'month')"), cluster=["k"])
+    table.replace(rows, 1)
+    table.append(rows.where("k < '00010'"), 2)
+    assert sorted(r["k"] for r in table.find("k", "00020", "00022").collect()) == ["00020", "00021", "00022"]
+    assert table.find("k", "00003", "00003").count() == 2 and table.find("k", "9", "9").count() == 0
+    base = [f for f in table.files("k", None, None) if "base-" in f]
+    assert len(base) > 60 and 0 < len(table.files("k", "03000", "03000")) < 0.1 * len(base)
+    assert table.find("k", None, "00001").count() == 4 and table.find("v", 3, 3).count() == rows.where("v = 3").count() + 1
+    table.append(rows.where("k = '05000'"), 1)
+    assert table.find("k", "00020", "00022").count() == 0 and table.find("k", "05000", "05000").count() == 1
+
+
+def test_bounds_go_with_their_folders(spark, scratch):
+    table = Table(spark, scratch, "k string, v int", cluster=["k"])
+    assert table.find("k", "a", "z").count() == 0
+    table.replace(spark.createDataFrame([("b", 1), (None, 2)], "k string, v int"), 1)
+    table.replace(spark.createDataFrame([], "k string, v int"), 2)
+    assert table.find("k", "a", "z").count() == 0 and [tuple(r) for r in table.at(1).find("k", "a", "z").collect()] == [("b", 1)]
+    assert table.drop_superseded() == 1 and len([x for x in os.listdir(f"{scratch}/_bounds") if not x.startswith(".")]) == 1
+
+
 # -- landing folders
 
 
@@ -309,7 +347,7 @@ def opened(monkeypatch):
     contents = Landing.contents
 
     def noted(self, files):
-        seen.append(sorted(f.rsplit("/", 1)[1] for f in files))
+        seen.append(sorted(unquote(f.rsplit("/", 1)[1]) for f in files))
         return contents(self, files)
 
     monkeypatch.setattr(Landing, "contents", noted)
@@ -352,11 +390,11 @@ def test_a_batch_that_runs_again_reads_its_files_and_not_those_of_others(store,
 
 def test_late_files_are_read_again_if_a_lookback_reaches_them(store, landing, opened):
     for n, second in ((1, 1000), (2, 900), (3, 100)):
-        land_file(landing.folder, f"{n}.json", customer(n, second))
+        land_file(landing.folder, f"{n} %.json", customer(n, second))
         sync.sync_entity(store, "customers", landing, n)
     assert ids(store.billing["customers"].current()) == ["c1"]
     assert sync.sync_entity(store, "customers", landing, 4, lookback=200).rows == 2
-    assert opened[-1] == ["1.json", "2.json"] and ids(store.billing["customers"].current()) == ["c1", "c2"]
+    assert opened[-1] == ["1 %.json", "2 %.json"] and ids(store.billing["customers"].current()) == ["c1", "c2"]
 
 
 def test_a_file_written_anew_is_a_new_file(store, landing, opened):

@@ -298,6 +298,22 @@ def _(t):
     return spark.table(name).drop("last_synced_id")
 
 
+@query("ensure_database")
+def _(t):
+    """All tables are created, some are filled, one is dropped, and all are created again but for one nobody ever made."""
+    spark, name, folder = t.spark, "tallyloom_installation", session.scratch(t.spark, "database")
+    spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    wanted = store.ensure_database(spark, name, folder)
+    for label, rows in (("sync_history", t.sync_history), ("m_tiers", t.m_tiers), ("m_sessions", t.m_sessions)):
+        whole = spark.createDataFrame([], store.CATALOG[label]).unionByName(rows, allowMissingColumns=True)
+        whole.select(*spark.table(f"{name}.{label}").columns).write.insertInto(f"{name}.{label}")
+    store.drop_tables(spark, [f"{name}.m_assets"])
+    before = quality.table_report(spark, name, ["m_assets", "m_tiers"]).withColumn("moment", F.lit("dropped"))
+    store.ensure_database(spark, name, folder)
+    after = quality.table_report(spark, name, [*wanted, "b_refunds"]).withColumn("moment", F.lit("ensured"))
+    return before.unionByName(after)
+
+
 @query("drop_legacy")
 def _(t):
     spark, names = t.spark, ["tallyloom_staging_customers", "tallyloom_staging_sessions"]

@@ -122,6 +122,15 @@ UNION ALL SELECT 'customers', timestamp '1997-01-01 00:00:00', 5, timestamp '202
                  timestamp '2024-02-02 00:00:00', 'success', NULL
 UNION ALL SELECT 'tiers', NULL, 7, timestamp '2024-02-02 00:00:00', timestamp '2024-02-02 00:00:00', 'failed', 'no answer'""")
 add("ensure_tables", f"SELECT {HISTORY}, cast(sync_completed_at AS date) AS completed_date FROM sync_history")
+add("ensure_database", """
+SELECT 'dropped' AS moment, 'm_assets' AS table_name, false AS is_there, cast(NULL AS bigint) AS row_count
+UNION ALL SELECT 'dropped', 'm_tiers', true, count(*) FROM m_tiers
+UNION ALL SELECT 'ensured', 'm_tiers', true, count(*) FROM m_tiers
+UNION ALL SELECT 'ensured', 'm_sessions', true, count(*) FROM m_sessions
+UNION ALL SELECT 'ensured', 'sync_history', true, count(*) FROM sync_history
+UNION ALL SELECT 'ensured', 'b_refunds', false, NULL
+UNION ALL SELECT 'ensured', x, true, 0 FROM unnest(['raw_billing_customers', 'raw_billing_subscriptions', 'raw_tiers', 'raw_mixed',
+  'raw_linked_customers', 'b_customers', 'b_subscriptions', 'm_customers', 'm_subscriptions', 'm_assets']) u(x)""")
 add("drop_legacy", """
 SELECT count(*) AS tiers, (SELECT count(*) FROM m_customers) + (SELECT count(*) FROM m_sessions) AS staged_rows,
        2 AS tables_before, 0 AS tables_after FROM m_tiers""")

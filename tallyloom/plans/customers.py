@@ -156,6 +156,7 @@ def date_range(customers: DataFrame) -> DataFrame:
             "total_count", "earliest_timestamp", "latest_timestamp",
             F.nullif(printed("earliest_timestamp"), F.lit("")).alias("earliest_date"),
             F.nullif(printed("latest_timestamp"), F.lit("")).alias("latest_date"),
+            # The two texts readers of this report know.
             F.when(F.col("total_count") == 0, "No customers found")
             .when(F.col("earliest_timestamp").isNull(), "No creation dates found")
             .otherwise(F.concat(printed("earliest_timestamp"), F.lit(" to "), printed("latest_timestamp")))

@@ -180,6 +180,26 @@ def ensure_table(spark: SparkSession, name: str, schema: str, location: str, par
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {by} LOCATION '{location}'")
 
 
+# Every table of an installation with its columns.
+CATALOG = {
+    **{f"raw_billing_{e}": schemas.RAW for e in ENTITIES}, "raw_tiers": schemas.RAW_UNDATED, "raw_mixed": schemas.RAW_MIXED,
+    "raw_linked_customers": schemas.RAW_LINKED, "b_customers": schemas.B_CUSTOMERS, "b_subscriptions": schemas.B_SUBSCRIPTIONS,
+    "m_tiers": schemas.M_TIERS, "m_customers": schemas.M_CUSTOMERS, "m_subscriptions": schemas.M_SUBSCRIPTIONS,
+    "m_sessions": schemas.M_SESSIONS, "m_assets": schemas.M_ASSETS, "sync_history": schemas.SYNC_HISTORY,
+}
+
+
+def ensure_database(spark: SparkSession, database: str, folder: str) -> list[str]:
+    """Creates the database and all its tables, unless they are there; returns the names of the tables.
+
+    What is there stays as it is, with its rows.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{folder}'")
+    for name, schema in CATALOG.items():
+        ensure_table(spark, f"{database}.{name}", schema, f"{folder}/{name}")
+    return list(CATALOG)
+
+
 def drop_tables(spark: SparkSession, names: list[str]) -> None:
     for name in names:
         spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -29,6 +29,12 @@ def _sortable(values: Sequence[str], by: Sequence[str | Column]) -> Column:
     return F.struct(*by, *[v for v in values if v not in [b for b in by if isinstance(b, str)]])
 
 
+def array_order(values: Sequence[str], by: Sequence[str], descending: bool) -> list[Column]:
+    """The order of the items of `ordered_array`, for sorting rows."""
+    names = [*by, *[v for v in values if v not in by]]
+    return [F.col(x).desc_nulls_last() if descending else F.col(x).asc_nulls_first() for x in names]
+
+
 def active_first(status: str = "status") -> Column:
     """Sorts above everything else when the status is active."""
     return F.coalesce(F.col(status) == "active", F.lit(False)).alias("is_active")

@@ -87,6 +87,21 @@ def test_arrays_hold_everything_in_order(crowded, descending):
     assert {r["k"]: r["items_count"] for r in nesting.item_counts(child).collect()} == {k: len(v) for k, v in got.items()}
 
 
+def test_a_crowded_parent_is_sorted_by_all_tasks_that_read_it(crowded):
+    rows, df = crowded
+    child = nesting.Children("items", df.repartition(8, "i"), "k", ("t", "i"), ("t", "i"))
+    tasks = {}
+    for r in nesting.runs(child).withColumn("task", F.spark_partition_id()).collect():
+        tasks.setdefault(r["task"], []).append((r["k"], r["t"], r["i"]))
+    assert len(tasks) == 8 and all(part == sorted(part) for part in tasks.values())
+    sizes = sorted(map(len, tasks.values()))
+    assert sizes[-1] <= 3 * sizes[4] and sum(sizes) == len(rows)
+    assert sum(any(k == "hot" for k, _, _ in part) for part in tasks.values()) == 8
+    plan = nesting.nested(child)._jdf.queryExecution().executedPlan().toString()
+    # Runs are made before the one shuffle by the parent.
+    assert plan.index("hashpartitioning(k") < plan.index("partial_collect_list") < plan.index("Sort [k")
+
+
 def test_counts_and_unnested_rows_agree_with_the_arrays(tables):
     t = tables
     children = unified.all_children(t.b_subscriptions, t.m_subscriptions, t.m_tiers, t.m_assets, t.m_sessions)

@@ -1205,6 +1205,40 @@ def _(t):
     return _stored_customers(s)
 
 
+def _twice_read(t: Tables, label: str, fold: bool) -> store.Store:
+    """Early customers, then all of them, the early ones once more, both times beside a record that cannot be read."""
+    s, (everything, early) = _store(t, label), _customer_increments(t)
+    for batch, records in ((1, early), (2, everything)):
+        sync.sync_entity(
+            s, "customers", records.unionByName(_broken(t)), batch, now=f"2024-02-0{batch} 00:00:00", lookback=10**10, allowed_bad=0.5
+        )
+    if fold:
+        sync.compact(s, after=1)
+    return s
+
+
+@query("sync_metrics")
+def _(t):
+    """What was observed while each batch was written, after the batches were folded."""
+    s = _twice_read(t, "metrics", fold=True)
+    tables = {"raw": s.raw["customers"], "processed": s.billing["customers"], "unreadable": s.quarantine["customers"]}
+    parts = [table.metrics().select(F.lit(name).alias("stored_in"), "batch", "rows", "newest") for name, table in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("dq_freshness_observed")
+def _(t):
+    s = _twice_read(t, "freshness", fold=False)
+    return quality.observed_freshness({"raw": s.raw["customers"], "processed": s.billing["customers"]}, FRESH_AS_OF)
+
+
+@query("dq_raw_vs_processed_observed")
+def _(t):
+    """From the log alone, since all batches are folded."""
+    s = _twice_read(t, "counts", fold=True)
+    return quality.observed_raw_against_processed({"customers": (s.raw["customers"], s.billing["customers"])})
+
+
 @query("late_records")
 def _(t):
     s, (everything, _early) = _store(t, "late"), _customer_increments(t)

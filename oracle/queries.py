@@ -608,6 +608,18 @@ UNION ALL SELECT 'audit', 'customers 2024-02-01 success', count(*) FROM b_custom
 UNION ALL SELECT 'audit', 'customers 2024-02-02 success', 0
 UNION ALL SELECT 'audit', 'customers 2024-02-03 success', count(created) FROM b_customers
 UNION ALL SELECT 'files', 'batch 1', 1 UNION ALL SELECT 'files', 'batch 2', 1 UNION ALL SELECT 'files', 'batch 3', 2""")
+add("sync_metrics", f"""
+SELECT s.stored_in, b.batch, b.n AS rows, b.newest FROM (VALUES ('raw'), ('processed')) s(stored_in), (
+  SELECT 1 AS batch, count(*) AS n, '2024-02-01 00:00:00' AS newest FROM b_customers WHERE {EARLY}
+  UNION ALL SELECT 2, count(*), '2024-02-02 00:00:00' FROM b_customers) b
+UNION ALL SELECT 'unreadable', 1, 1, NULL UNION ALL SELECT 'unreadable', 2, 0, NULL""")
+add("dq_freshness_observed", f"""
+SELECT stored_in AS table_name, count(*) + count(*) FILTER ({EARLY}) AS records, timestamp '2024-02-02 00:00:00' AS last_ingested,
+  date_sub('hour', timestamp '2024-02-02 00:00:00', timestamp '2024-03-01 00:00:00') AS hours_since_last_update
+FROM b_customers, (VALUES ('raw'), ('processed')) s(stored_in) GROUP BY 1""")
+add("dq_raw_vs_processed_observed", f"""
+SELECT 'customers' AS entity, count(*) + count(*) FILTER ({EARLY}) AS raw_count, count(DISTINCT customer_id) AS processed_count,
+  count(DISTINCT customer_id) - count(*) - count(*) FILTER ({EARLY}) AS difference FROM b_customers""")
 add("killed_between_writes", f"""
 SELECT *, 'before' AS moment FROM ({STORED.format(where=EARLY)}) x
 UNION ALL SELECT *, 'after' FROM ({STORED.format(where="true") + SECOND}) y""")

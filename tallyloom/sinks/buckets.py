@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators.upsert import newest_per_key
 from tallyloom.sinks.log import Action, Log
-from tallyloom.sinks.tables import BATCH, Table
+from tallyloom.sinks.tables import BATCH, Table, Written
 
 KEY, BUCKET = "_key", "_bucket"
 
@@ -55,13 +55,20 @@ class BucketedTable(Table):
             self.spark.sql(f"ALTER TABLE {name} ADD {parts}")
         return self.spark.table(name)
 
-    def _write_buckets(self, rows: DataFrame, batch: int) -> str:
+    def _write_buckets(self, rows: DataFrame, batch: int) -> tuple[Written, dict[int, int]]:
+        """What was written, and the number of rows of each bucket that has some."""
         path, name = f"base-{batch}-{uuid.uuid4().hex}", f"tallyloom_{uuid.uuid4().hex}"
-        writer = rows.select(*self.columns(), BATCH, KEY, BUCKET).write.format("parquet").option("path", f"{self.folder}/{path}")
+        each = F.array(*(F.count(F.when(F.col(BUCKET) == b, 1)) for b in range(self.buckets))).alias("each")
+        rows, seen = self._observed(rows.select(*self.columns(), BATCH, KEY, BUCKET), each)
+        writer = rows.write.format("parquet").option("path", f"{self.folder}/{path}")
         writer.partitionBy(BUCKET).bucketBy(self.buckets, KEY).sortBy(KEY).saveAsTable(name)
         # The files stay; the name is not needed to read them.
         self.spark.sql(f"DROP TABLE {name}")
-        return path
+        sizes = {b: n for b, n in enumerate(seen.get["each"]) if n}
+        return Written(path, seen.get["rows"], seen.get["newest"]), sizes
+
+    def _merges(self, batch: int, path: str, sizes: dict[int, int]) -> list[Action]:
+        return [Action(self.name, "merge", batch, f"{path}/{BUCKET}={b}", b, n) for b, n in sorted(sizes.items())]
 
     def _merged(self, base: DataFrame, recent: DataFrame) -> DataFrame:
         """Base rows and newest rows of the batches, the newer one of each key. The order is that of `newest_per_key`."""
@@ -88,18 +95,21 @@ class BucketedTable(Table):
             recent = self._keyed(self._batches())
             # At most as many numbers as there are buckets.
             touched = sorted(r[0] for r in recent.select(BUCKET).distinct().collect())
-            if touched:
-                # The join has dealt the rows to buckets, so writing needs no shuffle of its own.
-                path = self._write_buckets(self._merged(self._bucketed(touched), recent), upto)
-            actions = [Action(self.name, "merge", upto, f"{path}/{BUCKET}={b}", b) for b in touched]
-            self.log.add(*(actions or [Action(self.name, "fold", upto)]))
+            if not touched:
+                # The base stays as it is.
+                self.log.add(Action(self.name, "fold", upto))
+                return touched
+            # The join has dealt the rows to buckets, so writing needs no shuffle of its own.
+            written, sizes = self._write_buckets(self._merged(self._bucketed(touched), recent), upto)
+            self.log.add(*self._merges(upto, written.path, sizes))
             return touched
 
-    def replace(self, df: DataFrame, batch: int) -> None:
+    def replace(self, df: DataFrame, batch: int) -> int:
         rows = self._keyed(df.select(*self.columns(), F.lit(batch).cast("long").alias(BATCH)))
-        path = self._write_buckets(rows.repartition(self.buckets, KEY), batch)
-        found = sorted(r[0] for r in rows.select(BUCKET).distinct().collect())
-        self.log.add(Action(self.name, "replace", batch), *(Action(self.name, "merge", batch, f"{path}/{BUCKET}={b}", b) for b in found))
+        written, sizes = self._write_buckets(rows.repartition(self.buckets, KEY), batch)
+        whole = Action(self.name, "replace", batch, rows=written.rows, newest=written.newest)
+        self.log.add(whole, *self._merges(batch, written.path, sizes))
+        return written.rows
 
     def _base(self) -> DataFrame:
         rows = self._bucketed().drop(KEY, BUCKET)

@@ -215,9 +215,14 @@ def _named(path: str, log: Log | None) -> dict:
     return {} if log is None else {"log": log, "name": path.rsplit("/", 1)[1]}
 
 
+def nested_table(unified: DataFrame, path: str, log: Log | None = None) -> Table:
+    """The unified table."""
+    return Table(unified.sparkSession, path, _ddl(unified), **_named(path, log))
+
+
 def replace_nested(unified: DataFrame, path: str, batch: int, log: Log | None = None) -> DataFrame:
     """CREATE OR REPLACE TABLE AS for the unified table; the old version stays until this is complete."""
-    table = Table(unified.sparkSession, path, _ddl(unified), **_named(path, log))
+    table = nested_table(unified, path, log)
     table.replace(unified, batch)
     return table.read_base()
 

@@ -9,6 +9,10 @@ readable until `drop_superseded`.
 
 Rows of a table with cluster columns are dealt to files by ranges of them (inside a month, if it is partitioned), and least and
 greatest values of each file are stored beside the folder, under `_bounds`: `find` opens only files that can hold what is looked for.
+
+While rows are written, their number and their newest time are observed, and the commit names both: `metrics` has them for each batch and
+`size` for the whole table, so reports add numbers up instead of reading data. What is observed lies behind the last shuffle of a write,
+where a task that runs again counts once.
 """
 
 from __future__ import annotations
@@ -16,9 +20,10 @@ from __future__ import annotations
 import copy
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.operators.upsert import newest_per_key
@@ -28,6 +33,15 @@ from tallyloom.sources.landing import as_path
 BATCH, WRITE, BOUNDS = "_batch", "_write", "_bounds"
 
 
+@dataclass(frozen=True)
+class Written:
+    """A folder, the number of its rows, and the newest time among them as text."""
+
+    path: str
+    rows: int
+    newest: str | None
+
+
 class Table:
     def __init__(
         self, spark: SparkSession, folder: str, schema: str, keys: Sequence[str] = (),
@@ -59,7 +73,13 @@ class Table:
 
     # -- writing ---------------------------------------------------------------------------------
 
-    def _write(self, df: DataFrame, label: str, batch: int) -> str:
+    def _observed(self, rows: DataFrame, *more: Column) -> tuple[DataFrame, Observation]:
+        """Rows, and their number and newest time as soon as they are written."""
+        seen, time = Observation(), self.newest_by[0] if self.newest_by else None
+        newest = F.max(time).cast("string") if time in self.columns() else F.lit(None).cast("string")
+        return rows.observe(seen, F.count(F.lit(1)).alias("rows"), newest.alias("newest"), *more), seen
+
+    def _write(self, df: DataFrame, label: str, batch: int) -> Written:
         """Writes rows to a new folder. Rows without the number of their batch get this one."""
         number = F.col(BATCH) if BATCH in df.columns else F.lit(batch).cast("long").alias(BATCH)
         rows = df.select(*self.columns(), number)
@@ -75,6 +95,7 @@ class Table:
             by = [*([self.partition[0]] if self.partition else []), *self.cluster]
             rows = rows.repartitionByRange(*by).sortWithinPartitions(*by)
         path = f"{WRITE}={label}-{batch}-{uuid.uuid4().hex}"
+        rows, seen = self._observed(rows)
         writer = rows.write
         if self.partition:
             writer = writer.partitionBy(self.partition[0])
@@ -83,15 +104,19 @@ class Table:
             ends = [f(x).alias(f"{name}_{x}") for x in self.cluster for name, f in (("low", F.min), ("high", F.max))]
             files = self._read([path]).groupBy(F.col("_metadata.file_path").alias("file")).agg(*ends)
             files.write.parquet(f"{self.folder}/{BOUNDS}/{path}")
-        return path
+        return Written(path, seen.get["rows"], seen.get["newest"])
+
+    def _log(self, op: str, batch: int, written: Written) -> int:
+        self.log.add(Action(self.name, op, batch, written.path, rows=written.rows, newest=written.newest))
+        return written.rows
 
-    def append(self, df: DataFrame, batch: int) -> None:
-        """Adds a batch; the same batch number again replaces what it added before."""
-        self.log.add(Action(self.name, "add", batch, self._write(df, "batch", batch)))
+    def append(self, df: DataFrame, batch: int) -> int:
+        """Adds a batch and returns the number of its rows; the same batch number again replaces what it added before."""
+        return self._log("add", batch, self._write(df, "batch", batch))
 
-    def replace(self, df: DataFrame, batch: int) -> None:
-        """A new content for the whole table."""
-        self.log.add(Action(self.name, "replace", batch, self._write(df, "base", batch)))
+    def replace(self, df: DataFrame, batch: int) -> int:
+        """A new content for the whole table; returns the number of its rows."""
+        return self._log("replace", batch, self._write(df, "base", batch))
 
     def compact(self, after: int = 1) -> None:
         """Folds the batches into the base, if there are `after` of them at least."""
@@ -99,7 +124,7 @@ class Table:
             if len(self.contents.batches) >= max(1, after):
                 upto = self.last_batch()
                 rows = self._current() if self.keys else self._rows()
-                self.log.add(Action(self.name, "fold", upto, self._write(rows, "base", upto)))
+                self._log("fold", upto, self._write(rows, "base", upto))
 
     def drop_superseded(self) -> int:
         """Deletes the folders that only earlier versions name. Call it when no reader
@@ -113,6 +138,29 @@ class Table:
 
     # -- reading ---------------------------------------------------------------------------------
 
+    def metrics(self) -> DataFrame:
+        """batch, rows, newest: what each batch brought, folded or not, from the log alone.
+
+        newest is the greatest value, as text, of the first column that says which row of a key is newest. After a replacement of
+        the table there is one line for it. Numbers are null where a batch was written before they were kept.
+        """
+        lines = [(batch, rows, newest) for batch, (rows, newest) in sorted(self.contents.brought.items())]
+        return self.spark.createDataFrame(lines, "batch long, rows long, newest string")
+
+    def size(self) -> int | None:
+        """The number of rows of `current`, or of `read` if the table has no keys, if the log tells it; else None.
+
+        Rows of batches on top of a base with keys have to be compared with it to be counted.
+        """
+        found = self.contents
+        if not self.keys:
+            known = [rows for rows, _ in found.brought.values()]
+        elif not found.batches:
+            known = list(found.sizes.values())
+        else:
+            return None
+        return None if None in known else sum(known)
+
     def _stored_schema(self) -> str:
         month = f", {self.partition[0]} date" if self.partition else ""
         return f"{self.schema}, {BATCH} long{month}"

@@ -12,7 +12,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom import schemas
@@ -26,8 +26,8 @@ from tallyloom.operators.upsert import newest_per_key
 from tallyloom.plans.snapshot import bi_snapshot
 from tallyloom.plans.unified import unified_customers
 from tallyloom.sinks.store import (
-    ENTITIES, Store, audit_row, completion_audit_row, raw_linked_rows, raw_rows, raw_tier_rows, replace_nested,
-    latest_version, replace_snapshot,
+    ENTITIES, Store, audit_row, completion_audit_row, latest_version, nested_table, raw_linked_rows, raw_rows, raw_tier_rows,
+    snapshot_table,
 )
 from tallyloom.sources.landing import Landing
 from tallyloom.sources.lookups import is_newer, last_sync
@@ -75,26 +75,30 @@ def _clock(now: str | None) -> str:
 STAGED = "file string, json_data string, reason string, second long"
 
 
-def _stage(entity: str, records: DataFrame, from_files: bool, mark: int, lookback: int, path: str) -> DataFrame:
+def _stage(entity: str, records: DataFrame, from_files: bool, mark: int, lookback: int, path: str) -> tuple[DataFrame, int, int]:
     """Judges records in one pass and stages the new ones: readable ones created after the watermark, and all unreadable ones.
 
-    Those of files are all staged, with file and creation second, but old ones without their text and with reason 'old'.
+    Those of files are all staged, with file and creation second, but old ones without their text and with reason 'old'. The number
+    of new readable records and their newest creation second, 0 if there is none, are observed in the same pass.
     """
     # Unreadable records are kept whatever the watermark is, since they have no creation time.
     found = judged(records, RECORD[entity], "id")
+    second = F.coalesce(F.get_json_object("json_data", "$.created").try_cast("bigint"), F.lit(0).cast("long"))
     if not from_files:
-        found = found.select(F.lit(None).cast("string").alias("file"), "json_data", "reason", F.lit(None).cast("long").alias("second"))
-        found = found.where(is_newer(mark, lookback) | F.col("reason").isNotNull())
+        found = found.where(is_newer(mark, lookback) | F.col("reason").isNotNull()).select(
+            F.lit(None).cast("string").alias("file"), "json_data", "reason", F.when(F.col("reason").isNull(), second).alias("second")
+        )
     else:
         reason = F.when(F.col("no_list"), "no list of records").otherwise(F.col("reason"))
-        second = F.get_json_object("json_data", "$.created").try_cast("bigint")
         old = F.col("reason").isNull() & ~is_newer(mark, lookback)
         found = found.withColumn("reason", reason).select(
             "file", F.when(~old, F.col("json_data")).alias("json_data"), F.when(old, OLD).otherwise(F.col("reason")).alias("reason"),
-            F.when(F.col("reason").isNull(), F.coalesce(second, F.lit(0).cast("long"))).alias("second"),
+            F.when(F.col("reason").isNull(), second).alias("second"),
         )
+    seen, taken = Observation(), F.col("reason").isNull()
+    found = found.observe(seen, F.count(F.when(taken, 1)).alias("n"), F.max(F.when(taken, F.col("second"))).alias("mark"))
     found.write.parquet(path)
-    return found.sparkSession.read.schema(STAGED).parquet(path)
+    return found.sparkSession.read.schema(STAGED).parquet(path), seen.get["n"], seen.get["mark"] or 0
 
 
 def sync_entity(
@@ -134,13 +138,11 @@ def sync_entity(
             if isinstance(records, Landing):
                 files = records.unread(store.landed[entity].read(), batch, mark - lookback)
                 records = records.contents([row["file"] for row in files.collect()])
-            staged = _stage(entity, records, files is not None, mark, lookback, staging)
+            staged, count, newest = _stage(entity, records, files is not None, mark, lookback, staging)
             good = staged.where("reason is null").select("json_data")
             bad = staged.where(F.col("reason") != OLD).select("json_data", "reason")
             seen = store.quarantine[entity].read(below=batch).select("json_data").distinct()
-            store.quarantine[entity].append(bad.join(seen, "json_data", "left_anti"), batch)
-            unreadable = store.quarantine[entity].read_batch(batch).count()
-            count, newest = new_watermark(good)
+            unreadable = store.quarantine[entity].append(bad.join(seen, "json_data", "left_anti"), batch)
             refused = unreadable > allowed_bad * (count + unreadable)
             if refused:
                 error = f"{unreadable} of {count + unreadable} records of {entity} could not be read"
@@ -197,18 +199,15 @@ def refresh_membership(
 
 def _refresh_membership(store: Store, tiers: DataFrame, linked: DataFrame, order: list[str], batch: int, started: Column, audit) -> Outcome:
     spark = store.spark
-    store.raw_tiers.append(raw_tier_rows(tiers, started), batch)
-    landed_tiers = store.raw_tiers.read_batch(batch)
-    tier_count = landed_tiers.count()
+    tier_count = store.raw_tiers.append(raw_tier_rows(tiers, started), batch)
     if tier_count:
-        store.membership["tiers"].replace(flatten_tiers(landed_tiers, started), batch)
+        store.membership["tiers"].replace(flatten_tiers(store.raw_tiers.read_batch(batch), started), batch)
     audit("tiers", tier_count, "success")
     if linked.isEmpty():
         audit("linked_customers", 0, "success", line=1)
         return Outcome("membership", "success", 0)
-    store.raw_linked.append(raw_linked_rows(linked, order, started), batch)
+    count = store.raw_linked.append(raw_linked_rows(linked, order, started), batch)
     stored = store.raw_linked.read_batch(batch)
-    count = stored.count()
     # Records are parsed once; the four tables then read only the columns they need.
     staging = f"{store.folder}/staging/linked_customers-{batch}-{uuid.uuid4().hex}"
     parse_members(stored, ["feed_row"], mixed=False).write.parquet(staging)
@@ -232,7 +231,7 @@ def refresh_unified(store: Store, batch: int) -> Outcome:
             m["customers"].current(), store.billing["customers"].current(), store.billing["subscriptions"].current(),
             m["subscriptions"].current(), m["tiers"].current(), m["assets"].current(), m["sessions"].current(),
         ).withColumn("unified_refreshed_at", F.localtimestamp())
-        return Outcome("unified_customers", "success", replace_nested(table, store.unified_path, batch, store.log).count())
+        return Outcome("unified_customers", "success", nested_table(table, store.unified_path, store.log).replace(table, batch))
     except Exception as problem:
         return Outcome("unified_customers", "failed", 0, str(problem))
 
@@ -245,7 +244,7 @@ def refresh_snapshot(store: Store, batch: int) -> Outcome:
             unified, store.billing["subscriptions"].current(), m["subscriptions"].current(), m["assets"].current(),
             m["sessions"].current(), F.localtimestamp(),
         )
-        return Outcome("bi_snapshot", "success", replace_snapshot(snapshot, store.snapshot_path, batch, store.log).count())
+        return Outcome("bi_snapshot", "success", snapshot_table(snapshot, store.snapshot_path, store.log).replace(snapshot, batch))
     except Exception as problem:
         return Outcome("bi_snapshot", "failed", 0, str(problem))
 

@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.sinks.buckets import BucketedTable
-from tallyloom.sinks.log import Conflict, put_if_absent
+from tallyloom.plans import quality
+from tallyloom.sinks.log import Action, Conflict, put_if_absent
 from tallyloom.sinks.store import ENTITIES, Store, latest_version, seed_history
 from tallyloom.sinks.tables import Table
 from tallyloom.sources.landing import Landing
@@ -199,6 +200,101 @@ def test_the_base_is_not_shuffled(spark, bucketed):
     assert "FullOuter" in base and "Exchange" not in base and plan.count("Bucketed: true") == 1
 
 
+def test_folding_empty_batches_keeps_the_base(spark, bucketed):
+    bucketed.append(pairs(spark, ("a", 1, 1, 1), ("b", 2, 1, 1)), 1)
+    bucketed.compact()
+    bucketed.append(pairs(spark), 2)
+    assert bucketed.compact() == [] and bucketed.size() == 2
+    assert bucketed.current().count() == 2 and not bucketed.contents.batches
+
+
+# -- metrics
+
+
+def lines(table):
+    return [tuple(r) for r in table.metrics().collect()]
+
+
+def test_what_batches_brought_is_in_the_log(spark, scratch):
+    log = Table(spark, scratch, "k string, v int, ingested_at int")
+    assert lines(log) == [] and log.size() == 0
+    assert log.append(batch(spark, ("a", 1, 7), ("b", 1, 5)), 1) == 2
+    assert log.append(batch(spark), 2) == 0
+    assert log.append(batch(spark, ("c", 1, None)), 3) == 1
+    log.compact()
+    assert lines(log) == [(1, 2, "7"), (2, 0, None), (3, 1, None)] and log.size() == log.read().count() == 3
+    log.append(batch(spark, ("a", 1, 9)), 1)
+    assert lines(log)[0] == (1, 1, "9") and log.size() == log.read().count() == 2
+    assert lines(log.at(1)) == [(1, 2, "7")] and log.at(4).size() == 3
+    log.replace(batch(spark, *[("z", n, n) for n in range(5)]), 4)
+    assert lines(Table(spark, scratch, log.schema)) == [(4, 5, "4")] and log.size() == 5
+
+
+@pytest.mark.parametrize("kind", [Table, BucketedTable])
+def test_the_size_of_a_table_with_keys_is_known_once_it_is_folded(spark, scratch, kind):
+    table = kind(spark, scratch, "k string, v int, ingested_at int", keys=["k"])
+    rows = batch(spark, ("a", 1, 1), ("a", 2, 2), (None, 1, 1))
+    assert table.size() == 0
+    assert table.append(rows, 1) == 3 and table.size() is None
+    table.compact()
+    assert table.size() == table.current().count() == 2 and lines(table) == [(1, 3, "2")]
+    assert table.replace(rows.where("v = 2"), 2) == 1 and table.size() == 1 and lines(table) == [(2, 1, "2")]
+
+
+def test_what_was_written_before_metrics_has_none(spark, scratch):
+    table = Table(spark, scratch, "k string, ingested_at timestamp_ntz", keys=["k"])
+    table.append(spark.sql("SELECT 'a' AS k, timestamp_ntz'2024-01-01' AS ingested_at"), 1)
+    table.log._commit([Action("table", "add", 2, table.contents.batches[1])])
+    assert lines(table) == [(1, 1, "2024-01-01 00:00:00"), (2, None, None)]
+    counted = quality.observed_freshness({"t": table}, "2024-01-01").first()
+    assert counted["records"] is None and counted["last_ingested"] is None
+    assert quality.observed_row_counts({"t": table}).first()["row_count"] == 1
+
+
+def test_rows_are_counted_once_where_tasks_run_again(spark, scratch):
+    """The metrics lie behind the write's last shuffle, so none of its shuffled stages is counted."""
+    clustered = Table(spark, scratch, "k string, v int", cluster=["v"], partition=("part", "CAST(NULL AS DATE)"))
+    rows, seen = clustered._observed(spark.range(100).selectExpr("'a' AS k", "CAST(id AS int) AS v").repartitionByRange(4, "v"))
+    plan = rows._jdf.queryExecution().sparkPlan().toString()
+    assert plan.index("CollectMetrics") < plan.index("Exchange") and plan.count("Exchange") == 1
+    assert clustered.append(spark.range(100).selectExpr("'a' AS k", "CAST(id AS int) AS v"), 1) == 100
+
+
+def test_reports_from_metrics_equal_those_from_data(store, records):
+    for n in (1, 2, 3):
+        sync.sync_entity(store, "customers", records(*(customer(k, k * 100) for k in range(1, n * 4))), n,
+                         now=f"2024-01-0{n} 00:00:00", lookback=150)
+    raw, processed = store.raw["customers"], store.billing["customers"]
+    for fold in (False, True):
+        if fold:
+            sync.compact(store, after=1)
+        assert quality.observed_raw_against_processed({"c": (raw, processed)}).collect() == (
+            quality.raw_against_processed({"c": (raw.read(), processed.current())}).collect())
+        assert quality.observed_row_counts({"raw": raw, "p": processed}).collect() == (
+            quality.row_counts({"raw": raw.read(), "p": processed.current()}).collect())
+        assert quality.observed_freshness({"raw": raw}, "2024-02-01").collect() == quality.freshness({"raw": raw.read()}, "2024-02-01").collect()
+
+
+def test_counts_of_folded_tables_read_no_data(store, records):
+    sync.sync_entity(store, "customers", records(customer(1, 100)), 1)
+    sync.compact(store, after=1)
+    plan = quality.observed_raw_against_processed({"c": (store.raw["customers"], store.billing["customers"])})
+    assert "FileScan" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_sync_reads_its_records_once(spark, store, scratch, records):
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(rows):
+        for batch in rows:
+            reads.add(batch.num_rows)
+            yield batch
+
+    landed = records(customer(1, 100), customer(2, 200), "{broken").select("json_data").mapInArrow(seen, "json_data string")
+    assert sync.sync_entity(store, "customers", landed, 1, allowed_bad=0.5).rows == 2
+    assert reads.value == 3
+
+
 def test_replacing_with_nothing_empties_the_table(spark, table):
     table.replace(batch(spark, ("a", 1, 1)), 1)
     table.replace(batch(spark), 2)

@@ -45,6 +45,74 @@ def brute(docs, items):
     return out
 
 
+def readings(text):
+    """Each word as a template, with its name as a plain word, and as a plain word."""
+    plain = lambda v: v[3:] if v[0] == "<" and len(v) > 3 else v
+    return [(t, plain(v) if t == "<p>" else t, plain(v)) for t, v in read(text)]
+
+
+def enough(count, total):
+    return count >= 6 or 2 * count >= total
+
+
+def brute_search(docs, items):
+    """The rules of `search`, tried at every place of every document."""
+    known = {}
+    for item, text in sorted((i, t) for i, t in items if i is not None and t):
+        known.setdefault(text, item)
+    out = set()
+    for doc, text in docs:
+        found = readings(text)
+        for said, item in known.items():
+            asked = readings(said)
+            if not asked:
+                continue
+            width = min(W, len(asked))
+            total = len(asked) - width + 1
+            # The readings in which a window is looked up; a template of too few literal words is none.
+            sought = {}
+            for j in range(total):
+                kinds = [t for t, _, _ in asked[j : j + width] if t[0] == "<"]
+                few = W - decontaminate.LITERALS
+                sought[j] = [width == W and len(kinds) <= few, width == W and sum(k != "<p>" for k in kinds) <= few, True]
+            told = {j for j in sought if sought[j][0]}
+            for shift in range(-len(asked), len(found)):
+                hits, exact = set(), set()
+                for j in sought:
+                    if j + shift < 0 or j + shift + width > len(found):
+                        continue
+                    mine, theirs = asked[j : j + width], found[j + shift : j + shift + width]
+                    same = [[w[k] for w in mine] == [w[k] for w in theirs] for k in range(3)]
+                    if any(s and x for s, x in zip(sought[j], same, strict=True)):
+                        hits.add(j)
+                    if same[2]:
+                        exact.add(j)
+                if not hits:
+                    continue
+                names = {(asked[k][2], found[k + shift][2]) for j in hits for k in range(j, j + width) if asked[k][0] == "<p>"}
+                consistent = len({a for a, _ in names}) == len(names) == len({b for _, b in names})
+                of_told = hits & told and enough(len(hits & told), len(told))
+                if enough(len(exact), total) or consistent and (enough(len(hits), total) or of_told):
+                    out.add((doc, item))
+    return out
+
+
+def made(seed):
+    """Items, and documents of which each second one holds a part of an item with other names and numbers."""
+    r = random.Random(seed)
+    word = lambda: r.choice(("the", "a", "of", "Rome", "Paris", "12", "3.5", "km", "kg", "river", "flows", "past", "and", "then", "again."))
+    items = [(k, " ".join(word() for _ in range(r.randrange(5, 30)))) for k in range(25)]
+    docs = []
+    for k in range(120):
+        text = [word() for _ in range(r.randrange(25))]
+        if k % 2:
+            part = r.choice(items)[1].split()
+            part = [r.choice(("99", "Oslo", w)) if w in ("12", "Rome") else w for w in part]
+            text[5:5] = part[r.randrange(3) : len(part) - r.randrange(4)]
+        docs.append((k, " ".join(text)))
+    return items, docs
+
+
 QUESTION = "If Anna buys 12 apples for 3.50 euros and Bert eats 7 of them in 2 hours, how many apples does Anna have left?"
 AGAIN = "if Carla buys 99 apples for 1.25 dollars and Dora eats 5 of them in 3 minutes, how many apples does Carla have left?"
 MIXED = AGAIN.replace("does Carla", "does Egon")
@@ -75,22 +143,41 @@ def test_only_rows_whose_own_text_holds_an_item_go(docs_of, spark):
 @pytest.mark.parametrize("broadcast", [1_000_000, 0])
 def test_equals_brute_force(docs_of, spark, monkeypatch, broadcast):
     monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", broadcast)
-    r = random.Random(1)
-    word = lambda: r.choice(("the", "a", "of", "Rome", "Paris", "12", "3.5", "km", "kg", "river", "flows", "past", "and", "then", "again."))
-    items = [(k, " ".join(word() for _ in range(r.randrange(5, 30)))) for k in range(25)]
-    docs = []
-    for k in range(120):
-        text = [word() for _ in range(r.randrange(25))]
-        if k % 2:
-            part = r.choice(items)[1].split()
-            part = [r.choice(("99", "Oslo", w)) if w in ("12", "Rome") else w for w in part]
-            text[5:5] = part[r.randrange(3) : len(part) - r.randrange(4)]
-        docs.append((k, " ".join(text)))
+    items, docs = made(1)
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     found = {(x.doc_id, x.item_id) for x in decontaminate.find(docs_of(docs), benchmark).collect()}
     assert found == brute(docs, items) and len(found) > 20
 
 
+@pytest.mark.parametrize(("seed", "broadcast"), [(1, 1_000_000), (2, 0)])
+def test_search_equals_brute_force(docs_of, spark, monkeypatch, seed, broadcast):
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", broadcast)
+    items, docs = made(seed)
+    # Lower case shows no names; short items and items dense in numbers are looked for by their plain words.
+    docs += [(1000 + k, text.lower()) for k, text in docs[:40]] + [(2000, None), (2001, ""), (2002, "12 % of 3.5 km in Rome")]
+    items += [(100, "12 % of 3.5 km"), (101, "12 12 3.5 km 12 km 3.5 kg 12 12"), (102, items[0][1]), (None, "the river"), (103, None)]
+    docs += [(3000, f"and {items[-4][1]} then"), (3001, items[-4][1].replace("12", "13"))]
+    found = pairs(docs_of(docs), spark.createDataFrame(items, "item_id long, text string"))
+    assert found == brute_search(docs, items) and len(found) > 20
+
+
+def test_search_of_all_documents_equals_brute_force(spark, documents, folder):
+    benchmark = common.table(spark, folder, "benchmark")
+    found = pairs(documents, benchmark)
+    items = [(x.item_id, x.text) for x in benchmark.collect()]
+    assert all(len(readings(t)) >= W for _, t in items)
+    # Documents without a window in common with any item cannot match; the rest are few enough to try at every place.
+    grams = {g for _, t in items for g in grams_of(t)}
+    docs = [(d.doc_id, d.text) for d in documents.select("doc_id", "text").collect() if grams & grams_of(d.text)]
+    assert found == brute_search(docs, items) and found
+
+
+def grams_of(text):
+    """All windows of a text in its three readings, short texts whole."""
+    words = readings(text)
+    return {tuple(w[k] for w in words[j : j + W]) for k in range(3) for j in range(max(1, len(words) - W + 1))}
+
+
 def test_all_documents(spark, documents, folder):
     benchmark = common.table(spark, folder, "benchmark")
     items = [(x.item_id, x.text) for x in benchmark.collect()]
@@ -99,8 +186,9 @@ def test_all_documents(spark, documents, folder):
     assert exact and exact <= found
 
 
-def test_native(spark, documents, folder):
-    plan = decontaminate.find(documents, common.table(spark, folder, "benchmark"))._jdf.queryExecution().executedPlan().toString()
+@pytest.mark.parametrize("sought", [decontaminate.find, decontaminate.search, decontaminate.drop_found])
+def test_native(spark, documents, folder, sought):
+    plan = sought(documents, common.table(spark, folder, "benchmark"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "BroadcastHashJoin" in plan
 
 

@@ -36,9 +36,10 @@ def contacts(customers: DataFrame, products: DataFrame) -> DataFrame:
         "customer_id", truthy("email").alias("email"), truthy("name").alias("name"), truthy("phone").alias("phone")
     )
     pairs = products.select("customer_id", "product_id").distinct()
-    # The pairs drive the join: a customer with very many products can then be split.
-    with_product = pairs.join(people, "customer_id")
-    without = people.join(pairs.select("customer_id").distinct(), "customer_id", "left_anti")
+    # The pairs drive the join: a customer with very many products can then be split. Spark takes what comes out of parsed
+    # JSON for tiny, whatever its size, and would pass it through the driver as a broadcast; a merge never does.
+    with_product = pairs.hint("merge").join(people, "customer_id")
+    without = people.join(pairs.select("customer_id").distinct().hint("merge"), "customer_id", "left_anti")
     columns = ["customer_id", "email", "name", "phone", "product_id"]
     return with_product.select(columns).unionByName(
         without.withColumn("product_id", F.lit(None).cast("string")).select(columns)

@@ -5,7 +5,7 @@ import os
 from tallyloom import schemas
 from tallyloom.functions import times, values
 from tallyloom.operators import contacts, exports, flatten, matching
-from tallyloom.sources import lookups, pages
+from tallyloom.sources import landed, lookups, pages
 
 
 def rows(df, *columns):
@@ -126,6 +126,13 @@ def test_contacts(spark):
     assert bodies.where("chunk = 1").first()["body"] == '{"customers":[{"customer_id":"c3","name":"n"}],"tags":[]}'
 
 
+def test_contacts_are_never_broadcast(spark, tables):
+    products = flatten.product_ids(landed.subscription_records(tables.b_subscriptions, expanded=True))
+    plan = contacts.contacts(tables.b_customers, products)._jdf.queryExecution().executedPlan().toString()
+    # The parsed products and their customers grow with the table; only fixed tables may be sent through the driver.
+    assert plan.count("SortMergeJoin [customer_id") == 2 and "BroadcastHashJoin [customer_id" not in plan
+
+
 def test_contact_files_are_bounded(spark, scratch):
     rows_ = spark.range(25).selectExpr("'c' || id AS customer_id").coalesce(1)
     contacts.write_files(rows_, scratch, size=10)

@@ -24,11 +24,14 @@ def incremental(rows: DataFrame, watermark: int | None, time: str = "created", m
 
 
 def is_newer(watermark: int | None, lookback: int = 0) -> Column:
-    """The same on unflattened records, which carry `created` as seconds in their JSON."""
+    """The same on unflattened records, which carry `created` as seconds in their JSON.
+
+    A record without a creation time counts as one of second 0, as in the tables: a lookback that reaches there takes it too.
+    """
     if not watermark:
         return F.lit(True)
     created = F.get_json_object("json_data", "$.created").try_cast("bigint")
-    return F.coalesce(created > watermark - lookback, F.lit(False))
+    return F.coalesce(created, F.lit(0).cast("long")) > watermark - lookback
 
 
 def bounded(rows: DataFrame, limit: int, order: list[str | Column]) -> DataFrame:

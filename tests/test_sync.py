@@ -358,6 +358,12 @@ def test_late_records_need_a_lookback(store, records):
     assert sync.watermark(store, "customers") == 1000
 
 
+def test_a_lookback_to_second_0_takes_records_without_creation_time(store, records):
+    timeless = records(customer(1, 1000), {"id": "c2", "email": "e2"})
+    assert [sync.sync_entity(store, "customers", timeless, n, lookback=back).rows for n, back in ((1, 0), (2, 900), (3, 1001))] == [2, 1, 2]
+    assert [tuple(r) for r in store.raw["customers"].metrics().select("batch", "rows").collect()] == [(1, 2), (2, 1), (3, 2)]
+
+
 def test_an_update_replaces_the_older_row(store, records):
     sync.sync_entity(store, "customers", records(customer(1, 100)), 1, now="2024-01-01 00:00:00")
     changed = records(customer(1, 100, email="new"))

@@ -56,6 +56,21 @@ def test_copies_get_numbers_of_their_own(spark, monkeypatch):
     assert copies == list(range(copies[0], copies[0] + 40))
 
 
+@pytest.mark.parametrize("few", [0, 20_000])
+def test_few_rows_with_one_order_are_told_apart_by_themselves(spark, scratch, monkeypatch, few):
+    monkeypatch.setattr("tallyloom.operators.ordinals.FEW", few)
+    rows = [(i if i % 50 else None, f"text {i}") for i in range(200)] + [(7, "text 7"), (7, "other"), (9, "other")]
+    spark.createDataFrame(rows, "k int, body string").write.parquet(scratch)
+    numbered = number_rows(spark.read.parquet(scratch), ["k"])
+    got = sorted((r["ordinal"], r["k"], r["body"]) for r in numbered.collect())
+    assert [n for n, _, _ in got] == list(range(1, 204)) and sorted((g[1:] for g in got), key=repr) == sorted(rows, key=repr)
+    assert [k for _, k, _ in got] == sorted((k for k, _ in rows), key=lambda k: -1 if k is None else k)
+    if few:
+        # Texts of all rows are shuffled once, on their way to their numbers; only rows that share their order are grouped.
+        plan = numbered._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and plan.count("LeftSemi") > 0
+
+
 def test_no_rows_have_no_numbers(spark):
     assert number_rows(spark.createDataFrame([], "k string, body string"), ["k"]).collect() == []
 

@@ -8,6 +8,7 @@ from urllib.parse import unquote
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as registry
 from tallyloom.sinks.buckets import BucketedTable
 from tallyloom.plans import quality
 from tallyloom.sinks.log import Action, Conflict, put_if_absent
@@ -774,3 +775,11 @@ def test_killed_at_any_write_a_refresh_leaves_all_as_it_was(spark, store, record
         assert state(Store(spark, store.folder)) == first
     sync.refresh_membership(store, records(*TIERS), records(later), ["place"], 2, now="2024-01-02 00:00:00")
     assert state(Store(spark, store.folder)) != first and len(done) == 9
+
+
+def test_landing_files_are_compressed_and_bounded(tables, spark, monkeypatch):
+    monkeypatch.setattr(registry, "LANDED_RECORDS", 1000)
+    landed_rows = registry._landed_feed(tables)
+    files = [f for f in landed_rows.inputFiles()]
+    assert all(f.endswith(".json.gz") for f in files) and len(files) >= landed_rows.count() / 1000
+    assert landed_rows.exceptAll(registry._linked(tables)).isEmpty() and landed_rows.count() == registry._linked(tables).count()

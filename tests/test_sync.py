@@ -783,3 +783,11 @@ def test_landing_files_are_compressed_and_bounded(tables, spark, monkeypatch):
     files = [f for f in landed_rows.inputFiles()]
     assert all(f.endswith(".json.gz") for f in files) and len(files) >= landed_rows.count() / 1000
     assert landed_rows.exceptAll(registry._linked(tables)).isEmpty() and landed_rows.count() == registry._linked(tables).count()
+
+
+def test_parts_of_a_stream_land_in_many_files(tables, spark, monkeypatch):
+    monkeypatch.setattr(registry, "LANDED_PAGES", 2)
+    path, files = registry._land(tables, spark.range(40).selectExpr("id AS page", "'[]' AS body"), "landing")
+    landed_pages = spark.read.schema("page bigint, body string").json(path)
+    assert files == 5 and len(landed_pages.inputFiles()) == 20
+    assert sorted(r["page"] for r in landed_pages.collect()) == list(range(40))

@@ -5,6 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as registry
+from tallyloom import session
 from tallyloom.operators import nesting
 from tallyloom.operators.ordinals import number_rows, number_rows_within
 from tallyloom.operators.upsert import first_seen, newest_per_key
@@ -167,3 +169,14 @@ def test_multiplied_totals_equal_the_pairwise_join(spark):
     got = customers.customer_360(people, subs, bills, multiplied=True).select(
         "customer_id", "total_subscriptions", "monthly_value", "lifetime_revenue", "outstanding_balance")
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
+
+
+def test_parts_of_a_shuffle_grow_in_number_with_the_tables(spark, folder, monkeypatch):
+    monkeypatch.setattr(session, "PART_BYTES", 20_000)
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    for name in registry.SMALL_TASKS:
+        registry.queries()[name](spark, folder)
+        assert int(spark.conf.get(session.PARTITIONS)) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert spark.conf.get(size) == "16m"
+        registry.queries()["latest_session"](spark, folder)
+        assert spark.conf.get(session.PARTITIONS, None) is None and spark.conf.get(size) != "16m"

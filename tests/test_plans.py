@@ -71,3 +71,9 @@ def test_incremental_read_skips_partitions(spark, scratch):
 
 def test_top_k_does_not_sort_everything(tables):
     assert "TakeOrderedAndProject" in plan(registry.REGISTRY["topk_subscriptions"](tables))
+
+
+def test_snapshot_sums_membership_subscriptions_up_once(spark, folder):
+    text = plan(registry.queries()["bi_customer_360_snapshot"](spark, folder))
+    # The summary with the tier, the tiers used, and the assets.
+    assert text.count("lineitem.parquet") == 3

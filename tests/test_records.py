@@ -2,6 +2,9 @@
 
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from tallyloom import schemas
 from tallyloom.functions import times, values
 from tallyloom.operators import contacts, exports, flatten, matching
@@ -215,3 +218,22 @@ def test_export_writes_nothing_for_no_rows(spark, records, scratch):
     assert exports.write_export(out, scratch, titles=True)
     text = spark.read.text(scratch).collect()
     assert text[0][0].startswith("Subscription Id,Object Type,Status,")
+
+
+@pytest.mark.parametrize("mixed", [True, False])
+def test_a_part_parses_only_the_fields_it_reads(records, mixed):
+    """What it reads is the same as from whole records, also beside fields of the wrong kind and in broken texts."""
+    visit = {"sessionId": "s", "sessionDate": "2024-01-05T10:00:00", "location": {"id": "l"}, "latestSession": {"sessionId": "t"}}
+    raw = records(
+        {"clientId": "c", "firstName": "n", "subscriptions": [{"id": "u", "carIds": ["a"]}], "cars": [{"id": "a"}, "no car"], **visit},
+        {"email": "e", "subscriptions": "none", "cars": [{"_id": "b"}]}, {"billingID": "b", "cars": 7, "subscriptions": [{"id": "v"}]},
+        {"firstName": "nobody", "cars": [{"id": "x"}]}, '{"clientId": "broken", "cars": [{"id": "y"}]', "not json", "null",
+    )
+    whole = flatten.parse_members(raw, ["place"], mixed)
+    others = {"customers": "cars", "subscriptions": "cars", "sessions": "subscriptions", "assets": "subscriptions"}
+    for part, other in others.items():
+        read, expected = (getattr(flatten.MemberFeed(x, ["place"], mixed, F.lit(None).cast("timestamp_ntz")), part)() for x in (raw, whole))
+        assert read.schema == expected.schema and sorted(read.collect(), key=repr) == sorted(expected.collect(), key=repr)
+        assert not expected.isEmpty()
+        schema = flatten.parse_members(raw, ["place"], mixed, flatten.PART_FIELDS[part]).schema["r"].dataType
+        assert "clientId" in schema.names and other not in schema.names

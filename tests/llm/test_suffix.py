@@ -44,6 +44,31 @@ def test_equal_starts():
         assert [x.tolist() for x in suffix_dedup.equal_starts(segments, bound)[1]] == wanted
 
 
+def test_only_related_segments_are_sorted():
+    """Segments that share strings of the given length are kept; those that share little more than their anchor are not."""
+    r, length = random.Random(8), 64
+    letters = lambda n: bytes(97 + r.randrange(20) for _ in range(n))
+    kept = lost = 0
+    for _ in range(300):
+        anchor, around = letters(suffix_dedup.ANCHOR), (letters(length), letters(length))
+        group = []
+        for _ in range(r.randrange(2, 7)):
+            before, after = r.randrange(33), r.randrange(33)
+            more = max(0, length - suffix_dedup.ANCHOR - before - after)
+            ahead = letters(more + before - min(before, 20)) + around[0][length - min(before, 20) :]
+            behind = around[1][: min(after, 25)] + letters(after - min(after, 25))
+            group.append((ahead + anchor + behind, len(ahead)))
+        strings = [{s[i : i + length] for i in range(len(s) - length + 1)} for s, _ in group]
+        shares = [any(mine & other for k, other in enumerate(strings) if k != n) for n, mine in enumerate(strings)]
+        found = suffix_dedup.related(group, length)
+        assert all(f for f, s in zip(found, shares, strict=True) if s)
+        kept += sum(found)
+        lost += found.count(False)
+    assert kept and lost
+    alone = [(letters(60) + b"a" * suffix_dedup.ANCHOR + letters(60), 60) for _ in range(50)]
+    assert not any(suffix_dedup.related(alone, length))
+
+
 def mixed(seed):
     r = random.Random(seed)
     text = lambda n, letters=20: "".join(chr(97 + r.randrange(letters)) for _ in range(n))

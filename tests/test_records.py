@@ -105,6 +105,14 @@ def test_raw_ids_fall_back_to_the_place_in_the_feed(records):
     assert rows(found, "id", "record_type") == [("c", "customer"), ("row_2", "customer"), ("s", "session")]
 
 
+def test_classify_looks_each_field_up_once(records):
+    found = flatten.classify(records({"clientId": "c"}, {"sessionId": "s"}, {}), ("clientId", "sessionId"), ["place"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("get_json_object") == 2
+    kinds = sorted((r.id, r.record_type) for r in found.collect())
+    assert kinds == [("c", "customer"), ("row_2", "customer"), ("s", "session")]
+
+
 def test_unreadable_records_are_set_aside(records):
     good, bad = flatten.quarantine(records({"id": "a"}, "{broken", {"id": ""}, "[1]"), schemas.BILLING_CUSTOMER, "id")
     assert good.count() == 1

@@ -11,9 +11,10 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.functions.picking import active_first
 from tallyloom.functions.values import full_name, is_truthy
 from tallyloom.operators.nesting import Children, item_counts, nested
-from tallyloom.plans.summaries import current_tier
+from tallyloom.plans.summaries import current_tier, tier_of
 
 MEMBER_COLUMNS = (
     "client_id", "billing_id", "email", "first_name", "last_name", "full_name", "phone_number",
@@ -24,14 +25,14 @@ TIER_COLUMNS = ("current_tier_product_id", "current_tier_name", "current_tier_ke
 ARRAYS = ("billing_subscriptions", "billing_product_ids", "membership_subscriptions", "assets", "sessions")
 
 
-def join_both_systems(members: DataFrame, customers: DataFrame) -> DataFrame:
-    """Members with their billing customer; anyone known to one system only is left out."""
+def join_both_systems(members: DataFrame, customers: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Members with their billing customer, and columns of the members to keep; anyone known to one system only is left out."""
     member = members.where(is_truthy("billing_id")).select(
         "client_id", "billing_id", "email", "first_name", "last_name",
         full_name("first_name", "last_name").alias("full_name"), "phone_number",
         F.col("customer_created_date").alias("membership_since"),
         F.col("updated_at").alias("membership_updated_at"),
-        F.col("ingested_at").alias("membership_ingested_at"),
+        F.col("ingested_at").alias("membership_ingested_at"), *keep,
     )
     customer = customers.select(
         F.col("customer_id").alias("billing_customer_id"), F.col("created").alias("billing_customer_since"),
@@ -143,14 +144,32 @@ def all_children(
     ]
 
 
+def _tier_of_list(subscriptions: DataFrame, tiers: DataFrame) -> DataFrame:
+    """What `current_tier` gives, from membership subscriptions that are nested already."""
+    latest = F.array_max(F.transform("membership_subscriptions", lambda x: F.struct(
+        active_first(x["sub_status"]), x["sub_updated_at"], x["subscription_id"], x["sub_status"],
+        x["sub_product_id"].alias("product_id"))))
+    return tier_of(subscriptions.select("billing_id", latest["product_id"].alias("product_id")), tiers)
+
+
 def unified_customers(
     members: DataFrame, customers: DataFrame, billing_subscriptions: DataFrame,
     membership_subscriptions: DataFrame, tiers: DataFrame, assets: DataFrame, sessions: DataFrame,
 ) -> DataFrame:
-    return attach(
-        unified_scalars(members, customers, membership_subscriptions, tiers),
-        all_children(billing_subscriptions, membership_subscriptions, tiers, assets, sessions),
-    )
+    """The whole record. Items are shuffled to their customer once: current tier and billing products come out of the lists.
+
+    The same list of membership subscriptions is read twice, as a record's array and for its tier; its shuffle is one. Sessions join
+    the members while these stand under the client id, so that they follow them to the billing id and nothing else goes back.
+    """
+    billing = billing_subscription_children(billing_subscriptions)
+    membership = membership_subscription_children(membership_subscriptions, tiers)
+    with_sessions = attach(members.where(is_truthy("billing_id")), [session_children(sessions)])
+    flat = join_both_systems(with_sessions, customers, ["sessions"])
+    flat = flat.join(_tier_of_list(nested(membership), tiers), "billing_id", "left")
+    whole = attach(flat, [billing, membership, asset_children(assets)])
+    products = F.filter(F.transform("billing_subscriptions", lambda x: x["billing_product_id"]), lambda x: x.isNotNull())
+    whole = whole.withColumn("billing_product_ids", F.sort_array(F.array_distinct(products)))
+    return whole.select(*[n for n in flat.columns if n != "sessions"], *ARRAYS)
 
 
 def unnest(parents: DataFrame, child: Children, keep: Iterable[str]) -> DataFrame:

@@ -180,3 +180,32 @@ def test_parts_of_a_shuffle_grow_in_number_with_the_tables(spark, folder, monkey
         assert spark.conf.get(size) == "16m"
         registry.queries()["latest_session"](spark, folder)
         assert spark.conf.get(session.PARTITIONS, None) is None and spark.conf.get(size) != "16m"
+
+
+def test_items_reach_their_customer_once(spark, tables):
+    t, odd = tables, "ms_odd"
+    subs, tiers = t.m_subscriptions, t.m_tiers
+    known = tiers.limit(1).collect()[0]["product_id"]
+    newest = F.expr("timestamp_ntz'2100-01-01'")
+    # Ties, copies, no status, no product, an unknown product, and a tier that is listed twice.
+    more = [(1, "active", known), (1, "active", known), (2, None, known), (3, "active", None), (4, "active", "none"), (6, "active", ""), (6, "active", known)]
+    rows = spark.createDataFrame(more, "k int, status string, product_id string").select(
+        F.lit(odd).alias("subscription_id"), F.concat(F.lit("cl_"), "k").alias("client_id"), F.concat(F.lit("cus_"), "k").alias("billing_id"),
+        "status", "product_id", F.lit("[]").alias("asset_ids"), newest.alias("updated_at"), newest.alias("ingested_at"))
+    subs = subs.unionByName(rows)
+    tiers = tiers.unionByName(tiers.where(F.col("product_id") == known).withColumn("name", F.lit("again")))
+    whole = unified.unified_customers(t.m_customers, t.b_customers, t.b_subscriptions, subs, tiers, t.m_assets, t.m_sessions)
+    flat = unified.unified_scalars(t.m_customers, t.b_customers, subs, tiers)
+    assert whole.columns == [*flat.columns, *unified.ARRAYS]
+    found, wanted = (sorted(map(repr, x.select(*flat.columns).collect())) for x in (whole, flat))
+    assert found == wanted and any("again" in x for x in found)
+    products = {r[0]: r[1] for r in nesting.nested(unified.billing_product_children(t.b_subscriptions)).collect()}
+    for r in whole.select("billing_id", "billing_product_ids").collect():
+        assert r[1] == [x[0] for x in products.get(r[0], [])]
+    text = whole._jdf.queryExecution().executedPlan().toString()
+    # No summary of membership subscriptions and no distinct products are shuffled beside the lists.
+    assert "partial_max(struct" not in text and "keys=[customer_id" not in text.replace("ObjectHashAggregate(keys=[customer_id", "")
+
+
+def test_sessions_of_the_engine_shuffle_with_zstd(spark):
+    assert spark.sparkContext.getConf().get("spark.io.compression.codec") == "zstd"

@@ -36,6 +36,17 @@ def test_words_are_the_tokenizers_ids():
     assert memory.encode(texts[::-1]) == wanted[::-1]
 
 
+def test_words_that_come_again_are_not_forgotten(monkeypatch):
+    monkeypatch.setattr(word_ids, "REMEMBERED", 40)
+    memory, asked = word_ids.WordIds(PATH), []
+    monkeypatch.setattr(memory, "_words", lambda words, own=memory._words: asked.extend(words) or own(words))
+    for k in range(30):
+        texts = ["the same words", "", "x ", " the same", " ".join(f"n{k}w{i}" for i in range(12))]
+        assert memory.encode(texts) == plain_ids(texts)
+        assert len(memory.known) + len(memory.known_before) <= 80
+    assert asked.count("same") == 1 and asked.count("words") == 1 and len(asked) == len(set(asked))
+
+
 def check(docs, rows, window=1024):
     wanted = sorted((i is not None, i or 0, x + packing.END) for (i, _), x in zip(rows, plain_ids([t or "" for _, t in rows]), strict=True))
     pieces = packing.pack(docs, PATH, window, with_ids=True).collect()

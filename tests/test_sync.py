@@ -791,3 +791,21 @@ def test_parts_of_a_stream_land_in_many_files(tables, spark, monkeypatch):
     landed_pages = spark.read.schema("page bigint, body string").json(path)
     assert files == 5 and len(landed_pages.inputFiles()) == 20
     assert sorted(r["page"] for r in landed_pages.collect()) == list(range(40))
+
+
+def test_a_first_merge_has_nothing_to_join(spark, scratch, monkeypatch):
+    joins = []
+    monkeypatch.setattr(BucketedTable, "_merged", lambda self, *both, own=BucketedTable._merged: joins.append(1) or own(self, *both))
+    table = BucketedTable(spark, scratch, "id string, v int, ingested_at int", keys=["id"], buckets=4)
+    rows = [(f"k{i % 30}", i, i) for i in range(60)] + [(None, 1, 1), (None, 2, 0)]
+    wanted = sorted([(f"k{i % 30}", i, i) for i in range(30, 60)] + [(None, 1, 1)], key=repr)
+    table.append(spark.createDataFrame(rows, table.schema), 1)
+    table.compact()
+    assert not joins and sorted(map(tuple, table.current().collect()), key=repr) == wanted
+    table.append(spark.createDataFrame([("k3", 99, 99), ("k4", -1, -1)], table.schema), 2)
+    table.compact()
+    wanted = sorted([r if r[0] != "k3" else ("k3", 99, 99) for r in wanted], key=repr)
+    assert len(joins) == 1 and sorted(map(tuple, table.current().collect()), key=repr) == wanted
+    folder = table.contents.buckets
+    # Each bucket is one folder of rows dealt as Spark deals them, so that a later merge does not shuffle it.
+    assert sum(spark.read.parquet(f"{scratch}/{p}").where(F.pmod(F.hash("_key"), F.lit(4)) == b).count() for b, p in folder.items()) == 31

@@ -1,6 +1,8 @@
 """What has to hold when one key has much of the data: row numbers, paged arrays, latest rows."""
 
 import random
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from tallyloom.operators import nesting
 from tallyloom.operators.ordinals import number_rows, number_rows_within
 from tallyloom.operators.upsert import first_seen, newest_per_key
 from tallyloom.plans import customers, unified
+from tallyloom.sinks.tables import Table
 
 
 @pytest.fixture(scope="module")
@@ -209,3 +212,38 @@ def test_items_reach_their_customer_once(spark, tables):
 
 def test_sessions_of_the_engine_shuffle_with_zstd(spark):
     assert spark.sparkContext.getConf().get("spark.io.compression.codec") == "zstd"
+
+
+# -- disk
+
+
+def shuffled_bytes(spark, before=()):
+    """Bytes of shuffle files that are new since then, and these files. Reading the log and counting rows shuffle a few bytes."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    found = {f for folder in folders for f in Path(folder).rglob("shuffle_*.data")}
+    return sum(f.stat().st_size for f in found - set(before) if f.exists()), found
+
+
+def shuffles_go(spark, before):
+    """Whether all but a few bytes of the new shuffle files go within a while."""
+    until = time.time() + 20
+    while (left := shuffled_bytes(spark, before)[0]) > 5_000 and time.time() < until:
+        time.sleep(0.2)
+    return left <= 5_000
+
+
+def test_shuffle_files_go_with_the_write_that_made_them(spark, scratch):
+    rows = spark.range(20_000).selectExpr("hash(id) AS k", "id AS v").groupBy("k").agg(F.max("v").alias("v"))
+    table, set_before = Table(spark, scratch, "k int, v long", cluster=["k"]), spark.conf.get(session.TIDY)
+    _, before = shuffled_bytes(spark)
+    assert table.append(rows, 1) > 19_000 and spark.conf.get(session.TIDY) == set_before
+    assert shuffles_go(spark, before)
+
+
+def test_places_are_stored_once_and_compressed(spark, scratch):
+    spark.range(20_000).selectExpr("hash(id) AS place", "id", "'text' AS body").write.parquet(scratch)
+    _, before = shuffled_bytes(spark)
+    numbered = number_rows(spark.read.parquet(scratch), ["place", "id"])
+    stored_places = [f for f in numbered.inputFiles() if "/places-" in f]
+    assert stored_places and all(f.endswith(".zstd.parquet") for f in stored_places)
+    assert shuffles_go(spark, before) and numbered.count() == 20_000

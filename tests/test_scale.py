@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from tallyloom import session
-from tallyloom.operators import nesting
+from tallyloom.operators import contacts, nesting
 from tallyloom.operators.ordinals import number_rows, number_rows_within
-from tallyloom.operators.upsert import first_seen, newest_per_key
+from tallyloom.operators.upsert import first_seen, newest_per_key, newest_where_repeated
 from tallyloom.plans import customers, unified
 from tallyloom.sinks.tables import Table
 
@@ -247,3 +247,26 @@ def test_places_are_stored_once_and_compressed(spark, scratch):
     stored_places = [f for f in numbered.inputFiles() if "/places-" in f]
     assert stored_places and all(f.endswith(".zstd.parquet") for f in stored_places)
     assert shuffles_go(spark, before) and numbered.count() == 20_000
+
+
+@pytest.mark.parametrize("largest_broadcast", ["10m", "-1"])
+def test_only_rows_whose_key_comes_again_are_compared(spark, largest_broadcast):
+    rows = [("a", "x", i, f"v{i}") for i in (3, 9, 5)] + [("b", "x", 1, "one"), ("b", "y", 1, "two"), ("c", "x", 4, None), ("c", "x", 4, "tie")]
+    blank = [(None, "x", 1, "p"), (None, "x", 1, "p"), ("", "x", 2, "q"), ("", "x", 3, "q"), ("d", None, 1, "r"), ("d", None, 2, "r")]
+    df = spark.createDataFrame(rows + blank, "k string, l string, t int, v string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", largest_broadcast)
+    try:
+        newest = newest_where_repeated(df, ["k", "l"], ["t"])
+        found = sorted(map(tuple, newest.collect()), key=repr)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert newest.columns == df.columns
+    assert found == sorted([("a", "x", 9, "v9"), ("b", "x", 1, "one"), ("b", "y", 1, "two"), ("c", "x", 4, "tie"), *blank], key=repr)
+
+
+def test_contacts_are_made_once_for_their_numbers(spark, scratch):
+    spark.range(25).selectExpr("concat('c', id % 20) AS customer_id", "'e' AS email", "'n' AS name", "'p' AS phone",
+                               "if(id < 20, 'x', 'y') AS product_id").write.parquet(scratch)
+    bodies = contacts.chunk_bodies(spark.read.parquet(scratch), size=10)
+    assert not [f for f in bodies.inputFiles() if scratch in f]
+    assert sorted((r["chunk"], r["contacts"]) for r in bodies.collect()) == [(0, 10), (1, 10), (2, 5)]

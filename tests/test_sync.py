@@ -3,6 +3,7 @@
 import json
 import os
 import random
+from pathlib import Path
 from urllib.parse import unquote
 
 import pytest
@@ -809,3 +810,20 @@ def test_a_first_merge_has_nothing_to_join(spark, scratch, monkeypatch):
     folder = table.contents.buckets
     # Each bucket is one folder of rows dealt as Spark deals them, so that a later merge does not shuffle it.
     assert sum(spark.read.parquet(f"{scratch}/{p}").where(F.pmod(F.hash("_key"), F.lit(4)) == b).count() for b, p in folder.items()) == 31
+
+
+def test_what_only_one_step_reads_goes_with_it(store, records):
+    billing = {"customers": records(customer(1, 100), "no record"), "subscriptions": records({"id": "s", "customer": "c1", "created": 5})}
+    steps = sync.run_all(store, 1, billing, records(*TIERS), records(*LINKED), ["place"], now="2024-01-01 00:00:00")
+    assert [tuple(r)[:2] for r in steps.collect()][:3] == [("membership", "success"), ("subscriptions", "success"), ("customers", "failed")]
+    assert not [f for f in (Path(store.folder) / "staging").rglob("*") if f.is_file()]
+
+
+def test_rows_without_their_whole_key_all_stay(store, records):
+    cars = [{"_id": "a1", "brand": "old"}, {"_id": "a1", "brand": "old"}, {"_id": "a2", "brand": "B"}]
+    subs = [{"id": "s1", "status": "active"}, {"id": "s1", "status": "active"}, {"id": "", "status": "x"}, {"id": "", "status": "x"}]
+    linked = records({"clientId": "m1", "billingID": "c1", "subscriptions": subs, "cars": cars}, {"email": "e", "cars": cars})
+    sync.refresh_membership(store, records(*TIERS), linked, ["place"], 1, now="2024-01-01 00:00:00")
+    assert ids(store.membership["subscriptions"].current(), "subscription_id") == ["", "", "s1"]
+    kept = store.membership["assets"].current().select("client_id", "asset_id").collect()
+    assert sorted(map(tuple, kept)) == [("", "a1"), ("", "a1"), ("", "a2"), ("m1", "a1"), ("m1", "a2")]

@@ -6,7 +6,8 @@ subscription data. Children hang off the record as ordered arrays of structs.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -155,18 +156,24 @@ def _tier_of_list(subscriptions: DataFrame, tiers: DataFrame) -> DataFrame:
 def unified_customers(
     members: DataFrame, customers: DataFrame, billing_subscriptions: DataFrame,
     membership_subscriptions: DataFrame, tiers: DataFrame, assets: DataFrame, sessions: DataFrame,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """The whole record. Items are shuffled to their customer once: current tier and billing products come out of the lists.
 
     The same list of membership subscriptions is read twice, as a record's array and for its tier; its shuffle is one. Sessions join
     the members while these stand under the client id, so that they follow them to the billing id and nothing else goes back.
+
+    `keep` may store the rows of membership subscriptions and assets, which come out of joins of their own, and return them: the files
+    of those shuffles can go before the lists are gathered. Without it, building the plan runs no job.
     """
     billing = billing_subscription_children(billing_subscriptions)
-    membership = membership_subscription_children(membership_subscriptions, tiers)
+    membership, asset = membership_subscription_children(membership_subscriptions, tiers), asset_children(assets)
+    if keep is not None:
+        membership, asset = (replace(child, rows=keep(child.items)) for child in (membership, asset))
     with_sessions = attach(members.where(is_truthy("billing_id")), [session_children(sessions)])
     flat = join_both_systems(with_sessions, customers, ["sessions"])
     flat = flat.join(_tier_of_list(nested(membership), tiers), "billing_id", "left")
-    whole = attach(flat, [billing, membership, asset_children(assets)])
+    whole = attach(flat, [billing, membership, asset])
     products = F.filter(F.transform("billing_subscriptions", lambda x: x["billing_product_id"]), lambda x: x.isNotNull())
     whole = whole.withColumn("billing_product_ids", F.sort_array(F.array_distinct(products)))
     return whole.select(*[n for n in flat.columns if n != "sessions"], *ARRAYS)

@@ -270,3 +270,13 @@ def test_contacts_are_made_once_for_their_numbers(spark, scratch):
     bodies = contacts.chunk_bodies(spark.read.parquet(scratch), size=10)
     assert not [f for f in bodies.inputFiles() if scratch in f]
     assert sorted((r["chunk"], r["contacts"]) for r in bodies.collect()) == [(0, 10), (1, 10), (2, 5)]
+
+
+def test_joins_of_items_are_done_before_lists_are_gathered(spark, tables):
+    t = tables
+    whole = unified.unified_customers(t.m_customers, t.b_customers, t.b_subscriptions, t.m_subscriptions, t.m_tiers, t.m_assets, t.m_sessions)
+    wanted = sorted(map(repr, registry._unified_flat(whole).collect()))
+    shown = registry.queries()["unified_customers"](spark, t.folder)
+    # The rows of the two large lists are stored by then, so the files of the joins that made them can go.
+    assert "lineitem.parquet" not in shown._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(repr, shown.collect())) == wanted
